@@ -1,0 +1,164 @@
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiermill.functions import (
+    codes,
+    null_future_dates,
+    numeric_default,
+    prefer_master,
+    reconcile_amounts,
+    remove_chars,
+    sentinel_timestamp,
+    split_product_key,
+    standardize_codes,
+    strip_prefix,
+    trim_columns,
+    yyyymmdd_to_timestamp,
+)
+
+
+def values(spark, rows, schema, *columns):
+    df = spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], schema)
+    return [tuple(r) if len(columns) > 1 else r[0] for r in df.select(*columns).collect()]
+
+
+def test_codes_are_trimmed_and_case_folded(spark):
+    got = values(
+        spark, ["m", " M ", "S", "x", "", None, "\tM"], "c string", standardize_codes("c", codes.MARITAL_STATUS)
+    )
+    # only spaces are trimmed: a tab makes the code unknown
+    assert got == ["Married", "Married", "Single", "n/a", "n/a", "n/a", "n/a"]
+
+
+def test_gender_words(spark):
+    got = values(
+        spark, ["f", "Female ", "MALE", "M", "men", None], "c string", standardize_codes("c", codes.GENDER_WORDS)
+    )
+    assert got == ["Female", "Female", "Male", "Male", "n/a", "n/a"]
+
+
+def test_country_keeps_other_names_and_case(spark):
+    rule = standardize_codes("c", codes.COUNTRY, upper=False, passthrough=True)
+    got = values(spark, ["DE", "de", " USA ", "US", " France ", "", "  ", None], "c string", rule)
+    assert got == ["Germany", "de", "United States", "United States", "France", "n/a", "n/a", "n/a"]
+
+
+def test_empty_map(spark):
+    assert values(spark, ["a", None], "c string", standardize_codes("c", {})) == ["n/a", "n/a"]
+    rule = standardize_codes("c", {}, passthrough=True)
+    assert values(spark, [" a", None], "c string", rule) == ["a", "n/a"]
+
+
+def test_trim_columns_leaves_others(spark):
+    df = spark.createDataFrame([(" a ", " b ")], "x string, y string")
+    assert trim_columns(df, "x").first() == ("a", " b ")
+
+
+def test_sentinel_timestamp(spark):
+    rule = sentinel_timestamp("c", codes.CREATE_DATE_DEFAULT)
+    got = values(spark, ["NaN", "NaT", "2025-01-05 10:20:30", "2025-01-05", None, "soon"], "c string", rule)
+    default = dt.datetime(2025, 10, 7)
+    assert got == [default, default, dt.datetime(2025, 1, 5, 10, 20, 30), dt.datetime(2025, 1, 5), None, None]
+    with pytest.raises(Exception, match="not a timestamp: soon"):
+        values(spark, ["soon"], "c string", sentinel_timestamp("c", "2025-10-07", on_invalid="error"))
+    with pytest.raises(ValueError, match="on_invalid"):
+        sentinel_timestamp("c", "2025-10-07", on_invalid="ignore")
+
+
+def test_split_product_key(spark):
+    got = values(spark, ["CO-RF-FR-R92B-58", "AB-C", "", None], "c string", *split_product_key("c"))
+    assert got == [("CO_RF", "FR-R92B-58"), ("AB_C", ""), ("", ""), (None, None)]
+
+
+def test_numeric_default(spark):
+    assert values(spark, [math.nan, None, -1.5, 0.0], "c double", numeric_default("c")) == [0.0, 0.0, -1.5, 0.0]
+
+
+DEFAULT = dt.datetime(2010, 12, 29)
+
+
+@pytest.mark.parametrize(
+    ("number", "expected"),
+    [
+        (20101229, dt.datetime(2010, 12, 29)),
+        (20240229, dt.datetime(2024, 2, 29)),
+        (0, DEFAULT),
+        (32154, DEFAULT),
+        (201012290, DEFAULT),
+        (9999999999999, DEFAULT),
+        (20101399, None),
+        (20230229, None),
+        (20100001, None),
+        (-2010122, None),
+        (None, None),
+    ],
+)
+def test_int_dates(spark, number, expected):
+    rule = yyyymmdd_to_timestamp("c", "2010-12-29 00:00:00")
+    assert values(spark, [number], "c bigint", rule) == [expected]
+
+
+def test_int_dates_from_doubles_and_policies(spark):
+    rule = yyyymmdd_to_timestamp("c", "2010-12-29 00:00:00")
+    got = values(spark, [20110105.0, 20110105.5, math.nan, None], "c double", rule)
+    assert got == [dt.datetime(2011, 1, 5), DEFAULT, DEFAULT, None]
+    lenient = yyyymmdd_to_timestamp("c", "2010-12-29", on_invalid="default")
+    assert values(spark, [20101399, 20230229], "c bigint", lenient) == [DEFAULT, DEFAULT]
+    strict = yyyymmdd_to_timestamp("c", "2010-12-29", on_invalid="error")
+    assert values(spark, [20110105, 0, None], "c bigint", strict) == [dt.datetime(2011, 1, 5), DEFAULT, None]
+    for wrong in (20101399, 20230229):
+        with pytest.raises(Exception, match=f"not a calendar date: {wrong}"):
+            values(spark, [wrong], "c bigint", strict)
+
+
+@pytest.mark.parametrize(
+    ("line", "expected"),
+    [
+        ((20.0, 2.0, 10.0), (20.0, 10.0)),
+        ((None, 2.0, 10.0), (20.0, 10.0)),
+        ((-5.0, 2.0, 10.0), (20.0, 10.0)),
+        ((19.0, 2.0, 10.0), (20.0, 10.0)),
+        ((20.0, 2.0, None), (20.0, 10.0)),
+        ((20.0, 2.0, -10.0), (20.0, 10.0)),
+        # the price is repaired from the original sales value, not from the repaired one
+        ((30.0, 2.0, -10.0), (20.0, 15.0)),
+        ((-30.0, 2.0, None), (None, -15.0)),
+        ((20.0, 0.0, None), (20.0, None)),
+        ((None, None, None), (None, None)),
+    ],
+)
+def test_amounts(spark, line, expected):
+    got = values(spark, [line], "s double, q double, p double", *reconcile_amounts("s", "q", "p"))
+    assert got == [expected]
+
+
+def test_strip_prefix(spark):
+    rows = ["NASAW01", "AW00011000", "NASA", "ABCDE", None]
+    assert values(spark, rows, "c string", strip_prefix("c")) == ["AW01", "0011000", "NASA", "DE", None]
+    marked = strip_prefix("c", only_if_prefix="NAS")
+    assert values(spark, rows, "c string", marked) == ["AW01", "AW00011000", "NASA", "ABCDE", None]
+
+
+def test_null_future_dates(spark):
+    rows = ["2025-10-07", "2025-10-08", "1950-01-01", "NaN", None]
+    got = values(spark, rows, "c string", null_future_dates("c", dt.date(2025, 10, 7)))
+    assert got == [dt.date(2025, 10, 7), None, dt.date(1950, 1, 1), None, None]
+    today = null_future_dates(F.date_add(F.current_date(), F.col("c")))
+    kept = values(spark, [0, 1], "c int", today)
+    assert kept[0] is not None and kept[1] is None
+
+
+def test_remove_chars(spark):
+    assert values(spark, ["A-W-1", "AW 1"], "c string", remove_chars("c")) == ["AW1", "AW 1"]
+    assert values(spark, ["A-W 1"], "c string", remove_chars("c", "- ")) == ["AW1"]
+
+
+def test_prefer_master(spark):
+    rows = [("Male", "Female"), ("n/a", "Female"), ("n/a", None), (None, "Male"), (None, None)]
+    got = values(spark, rows, "a string, b string", prefer_master("a", "b"))
+    assert got == ["Male", "Female", "n/a", "Male", "n/a"]

@@ -99,15 +99,16 @@ def yyyymmdd_to_timestamp(value: Column | str, default: str, on_invalid: str = "
     fallback = F.lit(default).cast("timestamp_ntz")
     whole = number.try_cast("bigint")
     eight_long = (whole.between(10000000, 99999999) | whole.between(-9999999, -1000000)) & (whole == number)
-    day = number.try_cast("int")
+    digits = number.try_cast("int")
+    month = (F.call_function("div", digits, F.lit(100)) % 100).cast("int")
+    day = (digits % 100).cast("int")
     zero = F.lit(0)
-    parsed = F.try_make_timestamp_ntz(
-        F.call_function("div", day, F.lit(10000)).cast("int"),
-        (F.call_function("div", day, F.lit(100)) % 100).cast("int"),
-        (day % 100).cast("int"),
-        zero,
-        zero,
-        zero,
+    # the range test spares most impossible dates the exception that try_make_timestamp_ntz has to catch
+    parsed = F.when(
+        month.between(1, 12) & day.between(1, 31),
+        F.try_make_timestamp_ntz(
+            F.call_function("div", digits, F.lit(10000)).cast("int"), month, day, zero, zero, zero
+        ),
     )
     if on_invalid == "default":
         parsed = F.coalesce(parsed, fallback)
