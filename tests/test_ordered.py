@@ -96,6 +96,16 @@ def test_next_version_equals_lead(versions, rows_per_bucket):
     same(version_end_date(versions, "key", "start", "end", ["tie"], rows_per_bucket), expected)
 
 
+def test_next_version_of_texts_that_are_no_valid_unicode(spark):
+    df = spark.range(0, 900, 1, 4).select(
+        F.expr("cast(concat(unhex('ff'), cast(cast(id % 4 as string) as binary)) as string)").alias("key"),
+        F.col("id").alias("start"),
+    )
+    window = Window.partitionBy("key").orderBy("start")
+    expected = df.withColumn("end", F.lead("start").over(window))
+    same(version_end_date(df, "key", "start", "end", rows_per_bucket=50), expected)
+
+
 def test_exactly_one_open_version_among_copies(spark):
     copies = spark.range(2000).select(F.lit("p").alias("key"), F.lit("2010").alias("start"))
     ended = version_end_date(copies, "key", "start", "end", rows_per_bucket=100)

@@ -1,0 +1,190 @@
+"""Physical plans: what must not be shuffled, collected in one task, or left to Python."""
+
+from __future__ import annotations
+
+import re
+
+import __spark_entry__ as entry
+import pytest
+from pyspark.sql import functions as F
+
+from tests.oracle_check import rows_of
+from tiermill.functions import codes
+from tiermill.operators import in_domain, lookup_join, non_negative, valid_date_int
+from tiermill.operators.ordered import running_max_fill, surrogate_key, version_end_date
+from tiermill.plans import gold
+from tiermill.settings import ADAPTIVE, apply_settings
+
+SMALL = "/root/testdata/sf0.001"
+PROJECTIONS = (
+    "conform_types clean_location_key null_future_dates numeric_default parse_int_dates reconcile_amounts "
+    "sentinel_timestamp silver_sales silver_locations split_product_key standardize_country standardize_gender "
+    "standardize_gender_words standardize_marital standardize_product_line strip_prefix trim_names"
+).split()
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def ran(df) -> tuple[list, str]:
+    """Rows and the final adaptive plan."""
+    execution = df._jdf.queryExecution()
+    rows = df.collect()
+    return rows, execution.executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    before = {name: spark.conf.get(name, None) for name in {**changed, **ADAPTIVE}}
+    apply_settings(spark)
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("name", PROJECTIONS)
+def test_cleaning_needs_no_shuffle(spark, name):
+    text = plan(entry.queries()[name](spark, SMALL))
+    assert not re.search(r"Exchange (hash|range|Single|RoundRobin)", text)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(entry.queries()[name](spark, SMALL))
+    assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|CartesianProduct|NestedLoop", text)
+
+
+def test_checks_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("DE", -1.0, 20101229)], "cntry string, cost double, due bigint").write.parquet(path)
+    df = spark.read.parquet(path)
+    for violations, column in (
+        (in_domain(df, "cntry", codes.COUNTRY_DOMAIN), "cntry"),
+        (non_negative(df, "cost"), "cost"),
+        (valid_date_int(df, "due", codes.DATE_INT_RANGE), "due"),
+    ):
+        text = plan(violations)
+        assert re.search(r"PushedFilters: \[Or\(", text)
+        assert re.search(rf"ReadSchema: struct<{column}:\w+>", text)
+
+
+def test_reports_read_only_their_columns(spark, tmp_path):
+    star = entry.queries()["gold_sales"](spark, SMALL)
+    star.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    products = spark.createDataFrame([], "product_key bigint, category string, cost double")
+    text = plan(gold.sales_by_category(fact, products))
+    assert "ReadSchema: struct<product_key:bigint,sales_amount:double,quantity:double>" in text
+
+
+def big(spark):
+    return spark.range(0, 4000, 1, 6).select(
+        (F.col("id") % 50).alias("g"), F.lpad(F.col("id").cast("string"), 6, "0").alias("v"), "id"
+    )
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda df: surrogate_key(df, ["v"], "sk", rows_per_bucket=300),
+        lambda df: version_end_date(df, "g", "v", "e", rows_per_bucket=300),
+        lambda df: running_max_fill(df, "v", "id", max_steps=10, rows_per_bucket=300),
+    ],
+    ids=["surrogate key", "version end", "running max"],
+)
+def test_global_order_shuffles_rows_once_and_into_many_tasks(spark, build):
+    text = plan(build(big(spark)))
+    assert text.count("REPARTITION_BY_NUM") == 1
+    rows_side, *summary_side = text.split("BroadcastExchange")
+    assert "SinglePartition" not in rows_side
+    # only the table with one row per bucket is brought together, where there is one
+    for summary in summary_side:
+        assert summary.index("SinglePartition") < re.search(r"Aggregate\(keys?=\[", summary).start()
+
+
+def test_running_max_with_few_values_does_not_move_rows(spark):
+    df = spark.range(0, 4000, 1, 6).select("id", (F.col("id") % 90).cast("string").alias("v"))
+    text = plan(running_max_fill(df, "v", "id", "x"))
+    assert "Exchange" not in text and "Sort" not in text
+
+
+def hot_sales(spark, lines):
+    hot = F.col("id") % 3 == 0
+    return spark.range(0, lines, 1, 8).select(
+        F.concat(F.lit("SO"), "id").alias("sls_ord_num"),
+        F.when(hot, "P0").otherwise(F.concat(F.lit("P"), F.col("id") % 997)).alias("sls_prd_key"),
+        F.when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 991).alias("sls_cust_id"),
+        *[
+            F.lit("2010-12-29 00:00:00").cast("timestamp_ntz").alias(c)
+            for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")
+        ],
+        F.rand(1).alias("sls_sales"),
+        F.lit(1.0).alias("sls_quantity"),
+        F.rand(2).alias("sls_price"),
+    )
+
+
+def test_hot_fact_keys_are_split(no_broadcast):
+    spark = no_broadcast
+    sales = hot_sales(spark, 60_000)
+    products = spark.range(997).select(
+        F.concat(F.lit("P"), "id").alias("product_number"), F.col("id").alias("product_key")
+    )
+    customers = spark.range(991).select(F.col("id").alias("customer_id"), F.col("id").alias("customer_key"))
+    fact = gold.fact_sales(sales, products, customers)
+    rows, text = ran(fact)
+    final = text.split("Initial Plan")[0]
+    assert final.count("SortMergeJoin(skew=true)") == 2
+    assert len(rows) == 60_000
+    assert sum(r["customer_key"] is None for r in rows) == 20_000
+    assert sum(r["product_key"] == 0 for r in rows) == 20_000 + sum(
+        1 for i in range(60_000) if i % 3 and i % 997 == 0
+    )
+
+
+def test_hot_customer_number_is_split_in_the_dimension(no_broadcast):
+    spark = no_broadcast
+    customers = spark.range(0, 30_000, 1, 8).select(
+        F.col("id").alias("cst_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("AW"), "id")).alias("cst_key"),
+        F.concat(F.lit("first"), F.xxhash64("id")).alias("cst_firstname"),
+        F.concat(F.lit("last"), F.xxhash64("id")).alias("cst_lastname"),
+        F.lit("n/a").alias("cst_marital_status"),
+        F.lit("n/a").alias("cst_gndr"),
+        F.lit("2010-12-29 00:00:00").cast("timestamp_ntz").alias("cst_create_date"),
+    )
+    keys = spark.range(0, 30_000, 2).select(F.concat(F.lit("AW"), "id").alias("cid"))
+    people = keys.select("cid", F.lit("1970-01-01").cast("date").alias("bdate"), F.lit("Male").alias("gen"))
+    places = keys.select("cid", F.lit("France").alias("cntry"))
+    chained = lookup_join(lookup_join(customers, people, "cst_key", "cid"), places, "cst_key", "cid")
+    assert "SortMergeJoin(skew=true)" in ran(chained)[1].split("Initial Plan")[0]
+    dimension = gold.dim_customers(customers, people, places, rows_per_bucket=4000)
+    rows = dimension.collect()
+    assert sorted(r["customer_key"] for r in rows) == list(range(1, 30_001))
+    assert all(r["customer_key"] == r["customer_id"] + 1 for r in rows)
+    assert sum(r["country"] == "France" for r in rows) == 10_000
+
+
+def test_results_do_not_depend_on_partitions(spark):
+    names = ("silver_customers", "silver_products", "gold_customers", "gold_products")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = {}
+    try:
+        for partitions in ("2", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            for name in names:
+                df = entry.queries()[name](spark, SMALL)
+                result = rows_of(df.columns, df.collect())
+                assert seen.setdefault(name, result) == result
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -122,6 +122,6 @@ def test_empty_extract_stops_the_run_and_keeps_the_store(spark, run, tmp_path):
     _, warehouse, _ = run
     with pytest.raises(FileNotFoundError):
         run_refresh(spark, str(tmp_path), warehouse, as_of=AS_OF)
-    with pytest.raises(ValueError, match="silver.crm_cust_info would have no rows"):
+    with pytest.raises(ValueError, match="silver.* would have no rows"):
         run_refresh(spark, str(tmp_path), warehouse, as_of=AS_OF, on_missing="empty")
     assert warehouse.read("silver", "crm_cust_info").count() == 148

@@ -5,11 +5,11 @@ is cut into ranges of the order instead:
 
 1. The input is written once to scratch, so every later pass sees the same rows, and each row has a position
    (file, row in file) that makes the order total even among exact copies.
-2. A bounded sample of the order gives cut points; they only decide how even the ranges are.
+2. Some rows are sampled, evenly over the order, as cut points; a cut point is the first row of its range.
 3. ``bucket`` is the number of cut points at or before a row: a pure function of the row, so a recomputed task
    agrees with the first attempt. One shuffle sends each bucket to its own partition.
-4. A window per bucket does the local work, and a table with one row per bucket carries over what the earlier
-   (or next) buckets contribute. That table has at most ``MAX_BUCKETS`` rows, hence the broadcast.
+4. A window per bucket does the local work. What other buckets contribute comes from the cut points, or from a
+   table with one row per bucket: at most ``MAX_BUCKETS`` rows, hence its broadcast.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tiermill.sources.scratch import materialize
 
-ROWS_PER_BUCKET = 200_000
+ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 8_192
 SAMPLE_PER_BUCKET = 20
 MAX_STEPS = 4_096
@@ -67,11 +67,12 @@ def _count_reached(
 
 @dataclass(frozen=True)
 class _Layout:
-    """A stored table with the fields of its total order and its range bucket."""
+    """A stored table with the fields of its total order, its range bucket and the first rows of the ranges."""
 
     rows: DataFrame
     order: list[Column]
     buckets: int
+    cuts: Column | None = None
 
     def spread(self) -> DataFrame:
         return self.rows.repartitionById(self.buckets, F.col(_BUCKET)) if self.buckets > 1 else self.rows
@@ -109,16 +110,19 @@ def _lay_out(df: DataFrame, order: Sequence[Column], rows_per_bucket: int, label
     fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / stored.rows)
     every = max(1, round(fraction * stored.rows / buckets))
     sample = rows.select(place.alias("place")).sample(fraction=fraction, seed=17)
+    place_type = sample.schema["place"].dataType.simpleString()
+    # a cut point has to be a row of the table, so only places that JSON gives back unchanged can be one
+    exact = F.from_json(F.to_json("place", _JSON), place_type, _JSON).eqNullSafe(F.col("place"))
     cut_points = (
-        sample.agg(F.sort_array(F.collect_list("place")).alias("sampled"))
+        sample.filter(exact)
+        .agg(F.sort_array(F.collect_list("place")).alias("sampled"))
         .select(F.to_json(F.filter("sampled", lambda _, i: i % every == every - 1), _JSON))
         .first()[0]
     )
     size = len(json.loads(cut_points))
-    place_type = sample.schema["place"].dataType.simpleString()
-    cuts = F.sort_array(F.from_json(F.lit(cut_points), f"array<{place_type}>", _JSON))
+    cuts = F.from_json(F.lit(cut_points), f"array<{place_type}>", _JSON)
     bucket = _count_reached(cuts, size, place, lambda cut, here: cut <= here)
-    return _Layout(rows.withColumn(_BUCKET, bucket), order, size + 1)
+    return _Layout(rows.withColumn(_BUCKET, bucket), order, size + 1, cuts)
 
 
 def surrogate_key(
@@ -154,15 +158,11 @@ def version_end_date(
     layout = _lay_out(df, order, rows_per_bucket, name)
     version = F.struct(F.col(key).alias("key"), F.col(start).alias("start"))
     following = layout.spread().withColumn("__next", F.lead(version).over(layout.window()))
-    if layout.buckets > 1:
-        heads = layout.per_bucket(
-            F.min(F.struct(*order)),
-            lambda head: F.lead(F.struct(head["k0"].alias("key"), head["k1"].alias("start"))).over(
-                Window.orderBy(_BUCKET)
-            ),
-            "__next_head",
-        )
-        following = _carry(following, heads).withColumn("__next", F.coalesce("__next", "__next_head"))
+    if layout.cuts is not None:
+        # the last row of a bucket is followed by the first row of the next one
+        head = F.get(layout.cuts, F.col(_BUCKET))
+        after = F.when(head.isNotNull(), F.struct(head["k0"].alias("key"), head["k1"].alias("start")))
+        following = following.withColumn("__next", F.coalesce("__next", after))
     end = F.when(F.col("__next.key").eqNullSafe(F.col(key)), F.col("__next.start"))
     return following.withColumn(name, end).select(*dict.fromkeys([*df.columns, name]))
 

@@ -6,10 +6,13 @@ a lost executor is repaired from stored tables. Dimensions are written before th
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tiermill.operators.conform import AUDIT_COLUMN, conform, stamp
@@ -18,6 +21,7 @@ from tiermill.operators.quality import dq_report, enforce
 from tiermill.plans import gold, silver
 from tiermill.plans.checks import store_checks
 from tiermill.plans.schemas import BRONZE, GOLD, SILVER
+from tiermill.settings import apply_settings
 from tiermill.sources.extracts import INGEST_ORDER, SOURCES, Source, read_all
 from tiermill.sources.scratch import materialize, release
 from tiermill.sources.warehouse import RunReport, Warehouse
@@ -89,6 +93,27 @@ TABLES = (
 )
 
 
+T = TypeVar("T")
+
+
+def _waves() -> Iterator[list[TableSpec]]:
+    """Derived tables in groups that read only from earlier groups."""
+    waiting = list(TABLES)
+    while waiting:
+        pending = {(t.layer, t.name) for t in waiting}
+        wave = [t for t in waiting if not pending.intersection(t.inputs)]
+        yield wave
+        waiting = [t for t in waiting if t not in wave]
+
+
+def _together(spark: SparkSession, work: Callable[[T], None], items: Iterable[T]) -> None:
+    """Submit independent Spark jobs side by side, so that small tables do not leave the cluster idle."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]:
+            done.result()
+
+
 def bronze_rows(source: Source, extract: DataFrame) -> DataFrame:
     """Rows as landed: of a keyed source only the first row of every key in file order."""
     if source.key is not None:
@@ -116,9 +141,14 @@ def build_layers(
 ) -> dict[tuple[str, str], DataFrame]:
     """All tables from bronze frames, each derived one kept in scratch, without a warehouse."""
     tables = {("bronze", name): df for name, df in bronze.items()}
-    for spec in TABLES:
+    spark = next(iter(bronze.values())).sparkSession
+
+    def store(spec: TableSpec) -> None:
         built = _build(spec, lambda layer, table: tables[layer, table], as_of)
         tables[spec.layer, spec.name] = materialize(built, spec.name).df
+
+    for wave in _waves():
+        _together(spark, store, wave)
     return tables
 
 
@@ -145,17 +175,24 @@ def run_refresh(
     With ``enforce_quality`` a failed check raises after all checks have run. A missing extract raises here
     (``on_missing="empty"`` lands an empty table instead).
     """
+    apply_settings(spark)
     run_ts = run_ts or datetime.now()
     report = RunReport()
     warehouse.init()
-    for name, extract in read_all(spark, folder, sources, on_missing=on_missing).items():
-        source = sources[name]
-        warehouse.full_refresh(bronze_rows(source, extract), "bronze", source.table, report=report)
-    for spec in TABLES:
+
+    def land(item: tuple[str, DataFrame]) -> None:
+        source = sources[item[0]]
+        warehouse.full_refresh(bronze_rows(source, item[1]), "bronze", source.table, report=report)
+
+    def derive(spec: TableSpec) -> None:
         rows = _build(spec, warehouse.read, as_of)
         if spec.layer == "silver":
             rows = stamp(rows, run_ts)
         warehouse.full_refresh(rows, spec.layer, spec.name, require_rows=True, report=report)
+
+    _together(spark, land, read_all(spark, folder, sources, on_missing=on_missing).items())
+    for wave in _waves():
+        _together(spark, derive, wave)
     release(spark)
     quality = materialize(dq_report(store_checks(warehouse.read)), "quality").df
     for source in sources.values():

@@ -43,6 +43,7 @@ from tiermill.plans import gold, silver
 from tiermill.plans.checks import store_checks
 from tiermill.plans.refresh import build_layers
 from tiermill.plans.schemas import BRONZE
+from tiermill.settings import apply_settings
 from tiermill.sources.extracts import read_source
 from tiermill.sources.scratch import materialize, scratch_path
 from validation.bronze_views import BronzeViews
@@ -103,7 +104,7 @@ def query(name: str | None = None) -> Callable:
     """Register a build under its own name, or under ``name`` where an operator already has that one."""
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[name or build.__name__] = lambda spark, folder: build(Tables(spark, folder))
+        QUERIES[name or build.__name__] = lambda spark, folder: build(Tables(apply_settings(spark), folder))
         return build
 
     return register
