@@ -142,6 +142,12 @@ def test_running_max_only_invalid_values(spark):
     assert {r["v"] for r in running_max_fill(df, "v", "k").collect()} == {None}
 
 
+def test_running_max_of_texts_that_are_no_valid_unicode(spark):
+    text = "cast(concat(unhex('ff'), cast(lpad(cast(id % 7 as string), 2, '0') as binary)) as string)"
+    df = spark.range(0, 300, 1, 4).select("id", F.expr(text).alias("v"))
+    same(running_max_fill(df, "v", "id", "none"), running_max_expected(df, "v", "id", "none"))
+
+
 def test_running_max_keeps_full_precision(spark):
     base = dt.datetime(2020, 1, 1)
     rows = [(i, base + dt.timedelta(microseconds=i * 7 % 11)) for i in range(30)]

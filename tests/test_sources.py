@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tiermill.operators import keep_first
 from tiermill.plans.refresh import bronze_rows
+from tiermill.plans.together import together
 from tiermill.sources.extracts import INGEST_ORDER, MISSING_TEXTS, SOURCES, Source, read_all, read_source
-from tiermill.sources.scratch import materialize, release, scratch_root
+from tiermill.sources.scratch import materialize, release, scratch_path, scratch_root, scratch_scope
 from tiermill.sources.warehouse import RunReport, Warehouse
 
 CATEGORY = {"id": "string", "cat": "string", "subcat": "string", "maintenance": "string"}
@@ -52,6 +53,16 @@ def test_bad_number_fails_unless_lenient(spark, tmp_path):
     assert read_source(spark, path, {"a": "bigint"}, strict=False).first()[0] is None
 
 
+def test_line_lengths(spark, tmp_path):
+    columns = {"a": "string", "b": "string"}
+    short = write(tmp_path / "s.csv", "a,b\n1\n2,x\n3,y,\n")
+    assert [tuple(r) for r in read_source(spark, short, columns).collect()] == [("1", None), ("2", "x"), ("3", "y")]
+    long = write(tmp_path / "l.csv", "a,b\n1,x,surplus\n")
+    with pytest.raises(Exception, match="line with more than 2 cells"):
+        read_source(spark, long, columns).select("a").collect()
+    assert tuple(read_source(spark, long, columns, strict=False).first()) == ("1", "x")
+
+
 def test_quotes_and_line_breaks(spark, tmp_path):
     path = write(tmp_path / "q.csv", 'a,b\n"x, ""y""",1\n"two\nlines",2\n')
     got = [tuple(r) for r in read_source(spark, path, {"a": "string", "b": "int"}, multiline=True).collect()]
@@ -112,7 +123,23 @@ def test_materialize_counts_and_release_deletes(spark):
     assert stored.rows == 6 and stored.df.count() == 6
     assert stored.path.startswith(scratch_root(spark))
     assert materialize(spark.range(0), "t").rows == 0
-    assert release(spark) >= 2 and release(spark) == 0
+    assert release(spark) and not release(spark)
+    with pytest.raises(Exception, match="does not exist|PATH_NOT_FOUND"):
+        stored.df.collect()
+
+
+def test_scope_deletes_its_own_tables_only(spark):
+    outside = materialize(spark.range(3), "outside")
+    with pytest.raises(RuntimeError):
+        with scratch_scope(spark):
+            inside = together(spark, lambda n: materialize(spark.range(n), "inside"), [4, 5])
+            assert [s.df.count() for s in inside] == [4, 5]
+            assert scratch_path(spark, "x").rsplit("/", 1)[0] == inside[0].path.rsplit("/", 1)[0]
+            raise RuntimeError
+    assert outside.df.count() == 3
+    assert outside.path.rsplit("/", 1)[0] == scratch_path(spark, "x").rsplit("/", 1)[0]
+    with pytest.raises(Exception, match="does not exist|PATH_NOT_FOUND"):
+        inside[0].df.collect()
 
 
 @pytest.fixture

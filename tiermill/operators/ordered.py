@@ -225,10 +225,15 @@ def _staircase(
         F.max("distinct_values").alias("distinct_values"),
         F.sort_array(F.collect_list(F.struct("first", "value"))).alias("steps"),
     )
-    found = ladder.select("distinct_values", F.size("steps"), F.to_json("steps", _JSON)).first()
-    if found[0] is not None and found[0] > max_steps:
+    step_type = ladder.schema["steps"].dataType.simpleString()
+    as_json = F.to_json("steps", _JSON)
+    unchanged = F.from_json(as_json, step_type, _JSON).eqNullSafe(F.col("steps"))
+    distinct_values, size, steps_json, exact = ladder.select(
+        "distinct_values", F.size("steps"), as_json, unchanged
+    ).first()
+    if (distinct_values or 0) > max_steps or not exact:
         return None
-    return found[1], found[2], ladder.schema["steps"].dataType.simpleString()
+    return size, steps_json, step_type
 
 
 def _running_max_by_range(df: DataFrame, usable: Column, order_by: str, rows_per_bucket: int) -> DataFrame:

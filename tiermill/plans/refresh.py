@@ -6,13 +6,10 @@ a lost executor is repaired from stored tables. Dimensions are written before th
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
-from typing import TypeVar
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tiermill.operators.conform import AUDIT_COLUMN, conform, stamp
@@ -21,9 +18,10 @@ from tiermill.operators.quality import dq_report, enforce
 from tiermill.plans import gold, silver
 from tiermill.plans.checks import store_checks
 from tiermill.plans.schemas import BRONZE, GOLD, SILVER
+from tiermill.plans.together import together
 from tiermill.settings import apply_settings
 from tiermill.sources.extracts import INGEST_ORDER, SOURCES, Source, read_all
-from tiermill.sources.scratch import materialize, release
+from tiermill.sources.scratch import materialize, scratch_scope
 from tiermill.sources.warehouse import RunReport, Warehouse
 
 
@@ -93,9 +91,6 @@ TABLES = (
 )
 
 
-T = TypeVar("T")
-
-
 def _waves() -> Iterator[list[TableSpec]]:
     """Derived tables in groups that read only from earlier groups."""
     waiting = list(TABLES)
@@ -106,14 +101,6 @@ def _waves() -> Iterator[list[TableSpec]]:
         waiting = [t for t in waiting if t not in wave]
 
 
-def _together(spark: SparkSession, work: Callable[[T], None], items: Iterable[T]) -> None:
-    """Submit independent Spark jobs side by side, so that small tables do not leave the cluster idle."""
-    items = list(items)
-    with ThreadPoolExecutor(max_workers=len(items)) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]:
-            done.result()
-
-
 def bronze_rows(source: Source, extract: DataFrame) -> DataFrame:
     """Rows as landed: of a keyed source only the first row of every key in file order."""
     if source.key is not None:
@@ -148,7 +135,7 @@ def build_layers(
         tables[spec.layer, spec.name] = materialize(built, spec.name).df
 
     for wave in _waves():
-        _together(spark, store, wave)
+        together(spark, store, wave)
     return tables
 
 
@@ -190,10 +177,10 @@ def run_refresh(
             rows = stamp(rows, run_ts)
         warehouse.full_refresh(rows, spec.layer, spec.name, require_rows=True, report=report)
 
-    _together(spark, land, read_all(spark, folder, sources, on_missing=on_missing).items())
-    for wave in _waves():
-        _together(spark, derive, wave)
-    release(spark)
+    with scratch_scope(spark):
+        together(spark, land, read_all(spark, folder, sources, on_missing=on_missing).items())
+        for wave in _waves():
+            together(spark, derive, wave)
     quality = materialize(dq_report(store_checks(warehouse.read)), "quality").df
     for source in sources.values():
         warehouse.drop_superseded("bronze", source.table)

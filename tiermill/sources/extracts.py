@@ -41,6 +41,9 @@ MISSING_TEXTS = (
 # Columns that put rows back into file order; see ``read_source``.
 INGEST_ORDER = ("__file", "__block", "__line")
 
+# Takes the first cell beyond the last column.
+_SURPLUS = "__surplus"
+
 
 @dataclass(frozen=True)
 class Source:
@@ -78,8 +81,9 @@ def read_source(
     """Read one CSV file, or a folder of CSV parts, whose name ends in ``.csv``.
 
     Columns bind by position; the header line is skipped whatever it says. Cells equal to one of ``missing``
-    become NULL before the conversion to the column types. A wrong extension or an absent path gives an empty
-    table and a warning, or raises with ``on_missing="error"``.
+    become NULL before the conversion to the column types. Short lines are filled up with NULL; a line with more
+    cells than columns, or a cell that does not convert, fails the job unless ``strict`` is off. A wrong
+    extension or an absent path gives an empty table and a warning, or raises with ``on_missing="error"``.
 
     ``with_order`` adds ``INGEST_ORDER``: file, start of the block within it, and a number that grows within
     the block. Together they sort rows as they stand in the files. ``multiline`` allows line breaks inside
@@ -87,13 +91,16 @@ def read_source(
     """
     if on_missing not in ("empty", "error"):
         raise ValueError(f"on_missing must be empty or error, not {on_missing!r}")
-    raw = _scan(spark, path, columns, multiline)
+    raw = _scan(spark, path, [*columns, _SURPLUS], multiline)
     if raw is None:
         if on_missing == "error":
             raise FileNotFoundError(path)
         log.warning("no CSV data at %s, using an empty table", path)
         order = ", __file string, __block bigint, __line bigint" if with_order else ""
         return spark.createDataFrame([], ", ".join(f"`{n}` {t}" for n, t in columns.items()) + order)
+    if strict:
+        too_long = F.raise_error(F.lit(f"line with more than {len(columns)} cells in {path}")).cast("boolean")
+        raw = raw.filter(F.when(F.col(_SURPLUS).isNotNull(), too_long).otherwise(True))
     cells = {n: F.when(~F.col(n).isin(list(missing)), F.col(n)) for n in columns}
     kept = dict(columns)
     if with_order:
@@ -108,7 +115,7 @@ def read_source(
 
 
 def _scan(
-    spark: SparkSession, path: str, columns: Mapping[str, str], multiline: bool
+    spark: SparkSession, path: str, columns: Sequence[str], multiline: bool
 ) -> DataFrame | None:
     if not path.rstrip("/").endswith(".csv"):
         return None

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_written: list[str] = []
+# Spark hands local properties down to the threads a job is split over.
+_SCOPE = "tiermill.scratch.scope"
 
 
 @dataclass(frozen=True)
@@ -36,11 +39,19 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    return f"{scratch_root(spark)}/tiermill-{context.getLocalProperty(_SCOPE) or context.applicationId}"
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for one scratch table."""
-    path = f"{scratch_root(spark)}/tiermill-{label}-{uuid.uuid4().hex}"
-    _written.append(path)
-    return path
+    return f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "stage") -> Stored:
@@ -52,11 +63,20 @@ def materialize(df: DataFrame, label: str = "stage") -> Stored:
     return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"], path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every scratch table written by this process; call it once results are stored elsewhere."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    count = 0
-    while _written:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        count += bool(target.getFileSystem(hadoop).delete(target, True))
-    return count
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables written inside the block at its end, also when it fails."""
+    context = spark.sparkContext
+    outer = context.getLocalProperty(_SCOPE)
+    context.setLocalProperty(_SCOPE, uuid.uuid4().hex)
+    folder = _folder(spark)
+    try:
+        yield
+    finally:
+        _delete(spark, folder)
+        context.setLocalProperty(_SCOPE, outer)
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete what this application wrote outside a scope; call it once results are stored elsewhere."""
+    return _delete(spark, _folder(spark))

@@ -35,7 +35,9 @@ class Warehouse:
     def init(self) -> Warehouse:
         """Create the layer databases that do not exist yet."""
         for layer in LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{layer}`")
+            self.spark.sql(
+                f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{layer}` LOCATION '{self.root}/{layer}'"
+            )
         return self
 
     def table_name(self, layer: str, table: str) -> str:

@@ -324,6 +324,28 @@ STATEMENTS = {
     ),
 }
 
+_STORED = {
+    "bronze.crm_cust_info": "b_cust",
+    "bronze.crm_prd_info": "b_prd",
+    "bronze.crm_sales_details": "b_sales",
+    "bronze.erp_cust_az12": "az_first",
+    "bronze.erp_loc_a101": "b_loc",
+    "bronze.erp_px_cat_g1v2": "b_px",
+    "silver.crm_cust_info": "s_cust",
+    "silver.crm_prd_info": "s_prd",
+    "silver.crm_sales_details": "s_sales",
+    "silver.erp_cust_az12": "s_az",
+    "silver.erp_loc_a101": "s_loc",
+    "silver.erp_px_cat_g1v2": "b_px",
+    "gold.dim_customers": "g_cust",
+    "gold.dim_products": "g_prd",
+    "gold.fact_sales": "g_sales",
+}
+STATEMENTS["refresh_fact_sales"] = "SELECT * FROM g_sales"
+STATEMENTS["refresh_step_counts"] = " UNION ALL ".join(
+    f"SELECT '{step}' AS step, count(*) AS rows FROM {part}" for step, part in _STORED.items()
+)
+
 
 def _needed(text: str) -> list[str]:
     """Parts mentioned in ``text`` and in those parts, each after what it needs."""

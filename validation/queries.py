@@ -41,11 +41,13 @@ from tiermill.operators import (
 )
 from tiermill.plans import gold, silver
 from tiermill.plans.checks import store_checks
-from tiermill.plans.refresh import build_layers
+from tiermill.plans.refresh import RunResult, build_layers, run_refresh
 from tiermill.plans.schemas import BRONZE
+from tiermill.plans.together import together
 from tiermill.settings import apply_settings
-from tiermill.sources.extracts import read_source
+from tiermill.sources.extracts import SOURCES, read_source
 from tiermill.sources.scratch import materialize, scratch_path
+from tiermill.sources.warehouse import Warehouse
 from validation.bronze_views import BronzeViews
 
 AS_OF = "2025-10-07"
@@ -87,13 +89,20 @@ class Tables(BronzeViews):
         return silver.silver_categories(self.px)
 
     @cached_property
+    def dimensions(self) -> dict[str, DataFrame]:
+        builds = {
+            "customers": lambda: gold.dim_customers(self.silver_cust, self.silver_az, self.silver_loc),
+            "products": lambda: gold.dim_products(self.silver_prd, self.silver_px),
+        }
+        return dict(together(self.spark, lambda n: (n, materialize(builds[n](), f"dim-{n}").df), builds))
+
+    @property
     def dim_customers(self) -> DataFrame:
-        dimension = gold.dim_customers(self.silver_cust, self.silver_az, self.silver_loc)
-        return materialize(dimension, "dim-customers").df
+        return self.dimensions["customers"]
 
-    @cached_property
+    @property
     def dim_products(self) -> DataFrame:
-        return materialize(gold.dim_products(self.silver_prd, self.silver_px), "dim-products").df
+        return self.dimensions["products"]
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -518,3 +527,29 @@ def _bronze(t: Tables) -> dict[str, DataFrame]:
 def _quality_report(t: Tables) -> DataFrame:
     tables = build_layers(_bronze(t), AS_OF)
     return dq_report(store_checks(lambda layer, table: tables[layer, table]))
+
+
+# --- the whole run, from CSV extracts to the checked store
+
+
+def _refreshed(t: Tables) -> tuple[Warehouse, RunResult]:
+    folder = scratch_path(t.spark, "extracts")
+    # one file, as the order of its lines decides which of two rows with one key stays
+    frames = _bronze(t) | {"erp_cust_az12": t.az.coalesce(1).sortWithinPartitions("ord").drop("ord")}
+    for source in SOURCES.values():
+        writer = frames[source.table].write.option("header", True)
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        writer.csv(f"{folder}/{source.path}")
+    store = scratch_path(t.spark, "store")
+    warehouse = Warehouse(t.spark, store, prefix=f"run_{store[-8:]}_")
+    return warehouse, run_refresh(t.spark, folder, warehouse, as_of=AS_OF, run_ts=RUN_TS)
+
+
+@query()
+def refresh_fact_sales(t: Tables) -> DataFrame:
+    return _refreshed(t)[0].read("gold", "fact_sales")
+
+
+@query()
+def refresh_step_counts(t: Tables) -> DataFrame:
+    return _refreshed(t)[1].report.to_df(t.spark)
