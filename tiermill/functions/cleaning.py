@@ -97,15 +97,14 @@ def yyyymmdd_to_timestamp(value: Column | str, default: str, on_invalid: str = "
     _check_choice("on_invalid", on_invalid, ("null", "default", "error"))
     number = _column(value)
     fallback = F.lit(default).cast("timestamp_ntz")
-    whole = number.try_cast("bigint")
-    eight_long = (whole.between(10000000, 99999999) | whole.between(-9999999, -1000000)) & (whole == number)
     digits = number.try_cast("int")
+    eight_long = (digits == number) & (F.length(digits.cast("string")) == 8)
     month = (F.call_function("div", digits, F.lit(100)) % 100).cast("int")
     day = (digits % 100).cast("int")
     zero = F.lit(0)
     # the range test spares most impossible dates the exception that try_make_timestamp_ntz has to catch
     parsed = F.when(
-        month.between(1, 12) & day.between(1, 31),
+        (digits > 0) & month.between(1, 12) & day.between(1, 31),
         F.try_make_timestamp_ntz(
             F.call_function("div", digits, F.lit(10000)).cast("int"), month, day, zero, zero, zero
         ),
@@ -115,9 +114,9 @@ def yyyymmdd_to_timestamp(value: Column | str, default: str, on_invalid: str = "
     elif on_invalid == "error":
         parsed = F.when(
             parsed.isNull(),
-            F.raise_error(F.concat(F.lit("not a calendar date: "), whole.cast("string"))),
+            F.raise_error(F.concat(F.lit("not a calendar date: "), digits.cast("string"))),
         ).otherwise(parsed)
-    return F.when(F.coalesce(eight_long, F.lit(False)), parsed).when(number.isNotNull(), fallback)
+    return F.when(eight_long, parsed).when(number.isNotNull(), fallback)
 
 
 def reconcile_amounts(

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# A value that does not convert has to fail the job, not turn into NULL.
+CONVERSION = {"spark.sql.ansi.enabled": "true"}
+
 # Joins and aggregations are re-planned from measured sizes: a small side is broadcast, a hot join key is
 # split over several tasks (also where that costs one more shuffle), small partitions are merged. Before
 # anything is measured a scan counts as four times its compressed files, so that only tables that are small
@@ -16,9 +19,13 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# The JVM does not compile methods beyond 8000 bytes; wide cleaning projections that would get there are
+# generated operator by operator instead.
+CODE = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Turn on adaptive execution with skew handling for this session."""
-    for name, value in ADAPTIVE.items():
+    """Apply all of the above to this session."""
+    for name, value in {**CONVERSION, **ADAPTIVE, **CODE}.items():
         spark.conf.set(name, value)
     return spark
