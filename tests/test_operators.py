@@ -75,6 +75,10 @@ def test_conform(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         conform(bad, {"a": "bigint"}).collect()
     assert conform(bad, {"a": "bigint"}, strict=False).first()[0] is None
+    fraction = spark.createDataFrame([("1.5",)], "a string")
+    with pytest.raises(Exception, match="not a whole number: 1.5"):
+        conform(fraction, {"a": "bigint"}).collect()
+    assert conform(fraction, {"a": "bigint"}, strict=False).first()[0] is None
 
 
 def test_stamp_is_one_constant(spark):

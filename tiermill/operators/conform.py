@@ -17,12 +17,21 @@ def _convert(name: str, source: str, target: str, strict: bool) -> Column:
     column = F.col(f"`{name}`")
     if source == target:
         return column
-    cast = column.cast if strict else column.try_cast
     if source == "string" and target in WHOLE_NUMBERS:
-        # exports of nullable whole numbers carry a trailing ".0"
-        number = cast("decimal(38,6)")
-        return (number.cast(target) if strict else number.try_cast(target)).alias(name)
-    return cast(target).alias(name)
+        return _whole_number(column, target, strict).alias(name)
+    return (column.cast(target) if strict else column.try_cast(target)).alias(name)
+
+
+def _whole_number(text: Column, target: str, strict: bool) -> Column:
+    """Whole number from text that may carry a trailing ``.0``, as exports of nullable numbers do."""
+    number = text.cast("decimal(38,6)") if strict else text.try_cast("decimal(38,6)")
+    whole = number.cast(target) if strict else number.try_cast(target)
+    exact = F.when(number == whole, whole)
+    if strict:
+        exact = exact.when(
+            number.isNotNull(), F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(target)
+        )
+    return exact
 
 
 def conform(df: DataFrame, columns: Mapping[str, str], strict: bool = True) -> DataFrame:
