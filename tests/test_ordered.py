@@ -66,6 +66,15 @@ def test_surrogate_key_order_types(spark, column):
     same(surrogate_key(df, ["v", "id"], "sk", 150), expected)
 
 
+def test_no_cut_points(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SAMPLE_PER_BUCKET", 0)
+    df = spark.range(0, 100, 1, 4)
+    assert [tuple(r) for r in surrogate_key(df, ["id"], "sk", 10).orderBy("sk").collect()] == [
+        (i + 1, i) for i in range(100)
+    ]
+    assert version_end_date(df.withColumn("k", F.lit(1)), "k", "id", "e", rows_per_bucket=10).count() == 100
+
+
 def test_exact_copies_are_spread_and_numbered_once(spark):
     copies = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("v"))
     layout = ordered._lay_out(copies, ordered._nulls_last([F.col("v")]), 500, "test")

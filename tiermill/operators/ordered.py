@@ -98,13 +98,14 @@ def _lay_out(df: DataFrame, order: Sequence[Column], rows_per_bucket: int, label
     stored = materialize(df, label)
     rows = stored.df.select(
         "*",
-        F.xxhash64("_metadata.file_name").alias("__file"),
-        F.col("_metadata.row_index").alias("__row"),
+        F.xxhash64("_metadata.file_name").alias("__place_file"),
+        F.col("_metadata.row_index").alias("__place_row"),
     )
-    order = [*order, F.col("__file"), F.col("__row")]
+    order = [*order, F.col("__place_file"), F.col("__place_row")]
+    whole = _Layout(rows.withColumn(_BUCKET, F.lit(0)), order, 1)
     buckets = min(MAX_BUCKETS, max(1, math.ceil(stored.rows / rows_per_bucket)))
     if buckets == 1:
-        return _Layout(rows.withColumn(_BUCKET, F.lit(0)), order, 1)
+        return whole
 
     place = F.struct(*order)
     fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / stored.rows)
@@ -120,6 +121,8 @@ def _lay_out(df: DataFrame, order: Sequence[Column], rows_per_bucket: int, label
         .first()[0]
     )
     size = len(json.loads(cut_points))
+    if size == 0:
+        return whole
     cuts = F.from_json(F.lit(cut_points), f"array<{place_type}>", _JSON)
     bucket = _count_reached(cuts, size, place, lambda cut, here: cut <= here)
     return _Layout(rows.withColumn(_BUCKET, bucket), order, size + 1, cuts)
