@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.oracle_check import actual, duck, expected
+from tiermill.__main__ import main
 from tiermill.plans.refresh import TABLES, run_named, run_refresh
 from tiermill.sources.extracts import SOURCES
 from tiermill.sources.warehouse import Warehouse
@@ -109,6 +110,16 @@ def test_named_build_repeats_the_stored_table(run):
         run_named(warehouse, "gold", "nothing")
 
 
+def test_command_line(spark, run, tmp_path, capsys):
+    folder = run[0]
+    store, options = str(tmp_path / "store"), ["--prefix", "cli_", "--as-of", AS_OF]
+    main([folder, store, *options])
+    assert "gold.fact_sales" in capsys.readouterr().out
+    assert Warehouse(spark, store, "cli_").read("gold", "fact_sales").count() == 6000
+    with pytest.raises(ValueError, match="sales_orphans"):
+        main([folder, store, *options, "--enforce"])
+
+
 def test_second_run_gives_the_same_keys_and_leaves_one_version(spark, run):
     folder, warehouse, _ = run
     before = warehouse.read("gold", "dim_customers").orderBy("customer_key").collect()

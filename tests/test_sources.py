@@ -27,6 +27,13 @@ def test_carriage_returns_and_missing_last_newline(spark, tmp_path):
     assert got == [("AC_BR", "Accessories", "Bike Racks", "Yes"), ("BI_RB", "Bikes", "Road", "No")]
 
 
+def test_reading_is_logged(spark, tmp_path, caplog):
+    path = write(tmp_path / "c.csv", "a\n1\n")
+    with caplog.at_level(logging.INFO):
+        read_source(spark, path, {"a": "bigint"})
+    assert f"reading {path}" in caplog.text and "no CSV data" not in caplog.text
+
+
 def test_columns_bind_by_position(spark, tmp_path):
     path = write(tmp_path / "c.csv", "b,a\n1,x\n")
     df = read_source(spark, path, {"a": "bigint", "b": "string"})

@@ -91,6 +91,7 @@ def read_source(
     """
     if on_missing not in ("empty", "error"):
         raise ValueError(f"on_missing must be empty or error, not {on_missing!r}")
+    log.info("reading %s", path)
     raw = _scan(spark, path, [*columns, _SURPLUS], multiline)
     if raw is None:
         if on_missing == "error":
