@@ -12,7 +12,8 @@ from tests.oracle_check import rows_of
 from tiermill.functions import codes
 from tiermill.operators import in_domain, lookup_join, non_negative, valid_date_int
 from tiermill.operators.ordered import running_max_fill, surrogate_key, version_end_date
-from tiermill.plans import gold
+from tiermill.plans import gold, silver
+from tiermill.plans.schemas import BRONZE, SILVER
 from tiermill.settings import ADAPTIVE, apply_settings
 
 SMALL = "/root/testdata/sf0.001"
@@ -78,6 +79,24 @@ def test_checks_reach_the_scan(spark, tmp_path):
         assert re.search(rf"ReadSchema: struct<{column}:\w+>", text)
 
 
+def test_row_filters_reach_the_scan(spark, tmp_path):
+    for name, columns in (("c", BRONZE["crm_cust_info"]), ("p", SILVER["crm_prd_info"])):
+        spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in columns.items())).write.parquet(str(tmp_path / name))
+    customers = plan(silver.silver_customers(spark.read.parquet(str(tmp_path / "c"))))
+    assert "PushedFilters: [IsNotNull(cst_id)]" in customers
+    products = spark.read.parquet(str(tmp_path / "p"))
+    assert "PushedFilters: [IsNull(prd_end_dt)]" in plan(products.filter("prd_end_dt IS NULL"))
+    # the end date of the extract is not even read
+    spark.createDataFrame(
+        [("1", "AC-BR-X", "x", 1.0, "M", "2010-07-01", "2011-07-01")],
+        ", ".join(f"{n} {t}" for n, t in BRONZE["crm_prd_info"].items()),
+    ).write.parquet(str(tmp_path / "b"))
+    filled = running_max_fill(
+        spark.read.parquet(str(tmp_path / "b")).drop("prd_end_dt"), "prd_start_dt", "prd_id"
+    )
+    assert "prd_end_dt" not in plan(filled)
+
+
 def test_reports_read_only_their_columns(spark, tmp_path):
     star = entry.queries()["gold_sales"](spark, SMALL)
     star.write.parquet(str(tmp_path / "fact"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import logging
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +115,8 @@ def test_keyed_source_drops_null_keys(spark, tmp_path):
     source = Source(path, "erp_loc_a101", key="cid")
     landed = bronze_rows(source, read_source(spark, path, source.columns, with_order=True))
     assert sorted(map(tuple, landed.collect())) == [("A", "DE"), ("B", None)]
+    with pytest.raises(Exception, match="NULL in key column cid"):
+        bronze_rows(source, read_source(spark, path, source.columns, with_order=True), "fail").collect()
 
 
 def test_read_all_reads_the_named_sources(spark, tmp_path):
@@ -125,6 +128,16 @@ def test_read_all_reads_the_named_sources(spark, tmp_path):
     assert "__line" in frames["px_cat"].columns and "__line" not in frames["sales_in"].columns
 
 
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    def session(master, folder):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: folder), sparkContext=context)
+
+    assert scratch_root(session("yarn", "hdfs://shared/ck/")) == "hdfs://shared/ck"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(session("yarn", None))
+
+
 def test_materialize_counts_and_release_deletes(spark):
     stored = materialize(spark.range(10).filter("id > 3"), "t")
     assert stored.rows == 6 and stored.df.count() == 6

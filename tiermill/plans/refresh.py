@@ -101,10 +101,14 @@ def _waves() -> Iterator[list[TableSpec]]:
         waiting = [t for t in waiting if t not in wave]
 
 
-def bronze_rows(source: Source, extract: DataFrame) -> DataFrame:
-    """Rows as landed: of a keyed source only the first row of every key in file order."""
+def bronze_rows(source: Source, extract: DataFrame, on_null_key: str = "drop") -> DataFrame:
+    """Rows as landed: of a keyed source only the first row of every key in file order.
+
+    Rows of a keyed source without a key are left out, or fail the job with ``on_null_key="fail"``.
+    """
     if source.key is not None:
-        extract = keep_first(require_key(extract, source.key), source.key, INGEST_ORDER, tiebreak=())
+        present = require_key(extract, source.key, on_null=on_null_key)
+        extract = keep_first(present, source.key, INGEST_ORDER, tiebreak=())
     return conform(extract, BRONZE[source.table])
 
 
@@ -155,6 +159,7 @@ def run_refresh(
     run_ts: datetime | str | None = None,
     sources: Mapping[str, Source] = SOURCES,
     on_missing: str = "error",
+    on_null_key: str = "drop",
     enforce_quality: bool = False,
 ) -> RunResult:
     """Run everything. An empty derived table stops the run and leaves its previous content in place.
@@ -169,7 +174,8 @@ def run_refresh(
 
     def land(item: tuple[str, DataFrame]) -> None:
         source = sources[item[0]]
-        warehouse.full_refresh(bronze_rows(source, item[1]), "bronze", source.table, report=report)
+        rows = bronze_rows(source, item[1], on_null_key)
+        warehouse.full_refresh(rows, "bronze", source.table, report=report)
 
     def derive(spec: TableSpec) -> None:
         rows = _build(spec, warehouse.read, as_of)
@@ -182,10 +188,8 @@ def run_refresh(
         for wave in _waves():
             together(spark, derive, wave)
     quality = materialize(dq_report(store_checks(warehouse.read)), "quality").df
-    for source in sources.values():
-        warehouse.drop_superseded("bronze", source.table)
-    for spec in TABLES:
-        warehouse.drop_superseded(spec.layer, spec.name)
+    written = [("bronze", s.table) for s in sources.values()] + [(t.layer, t.name) for t in TABLES]
+    together(spark, lambda table: warehouse.drop_superseded(*table), written)
     if enforce_quality:
         enforce(quality)
     return RunResult(report, quality)

@@ -45,7 +45,7 @@ from tiermill.plans.refresh import RunResult, build_layers, run_refresh
 from tiermill.plans.schemas import BRONZE
 from tiermill.plans.together import together
 from tiermill.settings import apply_settings
-from tiermill.sources.extracts import SOURCES, read_source
+from tiermill.sources.extracts import SOURCES, Source, read_source
 from tiermill.sources.scratch import materialize, scratch_path
 from tiermill.sources.warehouse import Warehouse
 from validation.bronze_views import BronzeViews
@@ -536,10 +536,13 @@ def _refreshed(t: Tables) -> tuple[Warehouse, RunResult]:
     folder = scratch_path(t.spark, "extracts")
     # one file, as the order of its lines decides which of two rows with one key stays
     frames = _bronze(t) | {"erp_cust_az12": t.az.coalesce(1).sortWithinPartitions("ord").drop("ord")}
-    for source in SOURCES.values():
+
+    def extract(source: Source) -> None:
         writer = frames[source.table].write.option("header", True)
         writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         writer.csv(f"{folder}/{source.path}")
+
+    together(t.spark, extract, SOURCES.values())
     store = scratch_path(t.spark, "store")
     warehouse = Warehouse(t.spark, store, prefix=f"run_{store[-8:]}_")
     return warehouse, run_refresh(t.spark, folder, warehouse, as_of=AS_OF, run_ts=RUN_TS)
