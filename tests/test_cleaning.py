@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,12 @@ def test_numeric_default(spark):
     assert values(spark, [math.nan, None, -1.5, 0.0], "c double", numeric_default("c")) == [0.0, 0.0, -1.5, 0.0]
 
 
+def test_numeric_default_of_decimals(spark):
+    df = spark.createDataFrame([(Decimal("0.1000"),), (None,)], "c decimal(18,4)").select(numeric_default("c").alias("c"))
+    assert df.schema["c"].dataType.simpleString().startswith("decimal(")
+    assert [r["c"] for r in df.collect()] == [Decimal("0.1"), Decimal(0)]
+
+
 DEFAULT = dt.datetime(2010, 12, 29)
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +112,35 @@ def test_named_build_repeats_the_stored_table(run):
         run_named(warehouse, "gold", "nothing")
 
 
+def test_exact_amounts(spark, tmp_path):
+    rows = {
+        "cust_info": "1,AW1,a,b,S,M,2025-01-01 00:00:00",
+        "prd_info": "1,AC-BR-P1,p,0.1,R,2010-07-01,",
+        "sales_in": "SO1,P1,1,20101229,20110105,20110110,0.3,3,0.1\nSO2,P1,1,0,0,20110110,,3,0.1\nSO3,P1,1,0,0,20110110,1,3,",
+        "cust_az1": "NASAW1,1970-01-01,F",
+        "loc_a1": "AW-1,DE",
+        "px_cat": "AC_BR,Accessories,Bike Racks,Yes",
+    }
+    for name, lines in rows.items():
+        path = tmp_path / "x" / SOURCES[name].path
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(",".join(SOURCES[name].columns) + "\n" + lines + "\n")
+    warehouse = Warehouse(spark, str(tmp_path / "store"), "exact_")
+    result = run_refresh(spark, str(tmp_path / "x"), warehouse, as_of=AS_OF, measure="decimal(18,4)")
+    assert all(r["passed"] for r in result.quality.collect())
+    fact = warehouse.read("gold", "fact_sales")
+    assert dict(fact.dtypes)["sales_amount"] == "decimal(18,4)"
+    # in binary floating point three times 0.1 is not 0.3
+    assert [tuple(r) for r in fact.orderBy("order_number").select("sales_amount", "price").collect()] == [
+        (Decimal("0.3"), Decimal("0.1")),
+        (Decimal("0.3"), Decimal("0.1")),
+        (Decimal("1"), Decimal("0.3333")),
+    ]
+    assert warehouse.read("gold", "dim_products").first()["cost"] == Decimal("0.1")
+    customer = warehouse.read("gold", "dim_customers").first()
+    assert (customer["country"], customer["gender"]) == ("Germany", "Male")
+
+
 def test_command_line(spark, run, tmp_path, capsys):
     folder = run[0]
     store, options = str(tmp_path / "store"), ["--prefix", "cli_", "--as-of", AS_OF]

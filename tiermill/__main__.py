@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from tiermill.operators.quality import enforce
 from tiermill.plans.refresh import run_refresh
+from tiermill.plans.schemas import MEASURE
 from tiermill.sources.warehouse import Warehouse
 
 
@@ -18,6 +19,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("store", help="folder for the stored layers")
     parser.add_argument("--prefix", default="", help="put before the database names")
     parser.add_argument("--as-of", help="date that counts as today, YYYY-MM-DD")
+    parser.add_argument("--measure", default=MEASURE, help="type of amounts, such as decimal(18,4)")
     parser.add_argument("--on-missing", choices=("error", "empty"), default="error")
     parser.add_argument("--enforce", action="store_true", help="fail when a quality check fails")
     chosen = parser.parse_args(arguments)
@@ -29,6 +31,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         Warehouse(spark, chosen.store, chosen.prefix),
         as_of=chosen.as_of,
         on_missing=chosen.on_missing,
+        measure=chosen.measure,
     )
     result.report.to_df(spark).show(truncate=False)
     result.quality.show(truncate=False)

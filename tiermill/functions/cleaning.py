@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,9 +83,10 @@ def split_product_key(value: Column | str) -> tuple[Column, Column]:
     return category, F.substr(text, F.lit(7))
 
 
-def numeric_default(value: Column | str, default: float = 0.0) -> Column:
-    """Replace NaN and NULL."""
-    return F.coalesce(F.nanvl(_column(value).cast("double"), F.lit(default)), F.lit(default))
+def numeric_default(value: Column | str, default: float | Decimal = 0) -> Column:
+    """Replace NaN and NULL; decimals stay decimals."""
+    number = _column(value)
+    return F.coalesce(F.when(~F.isnan(number.cast("double")), number), F.lit(default))
 
 
 def yyyymmdd_to_timestamp(value: Column | str, default: str, on_invalid: str = "null") -> Column:

@@ -9,7 +9,7 @@ from tiermill.functions.cleaning import prefer_master
 from tiermill.operators.conform import conform
 from tiermill.operators.lookup import lookup_join, lookup_key
 from tiermill.operators.ordered import ROWS_PER_BUCKET, surrogate_key
-from tiermill.plans.schemas import GOLD
+from tiermill.plans.schemas import GOLD, MEASURE, with_measures
 
 
 def dim_customers(
@@ -38,7 +38,10 @@ def dim_customers(
 
 
 def dim_products(
-    products: DataFrame, categories: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET
+    products: DataFrame,
+    categories: DataFrame,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    measure: str = MEASURE,
 ) -> DataFrame:
     """Current product versions with their category, numbered by start date and product number."""
     current = products.filter(F.col("prd_end_dt").isNull())
@@ -56,11 +59,16 @@ def dim_products(
         F.col("prd_start_dt").alias("start_date"),
     )
     order = ["start_date", "product_number", "product_id"]
-    return conform(surrogate_key(renamed, order, "product_key", rows_per_bucket), GOLD["dim_products"])
+    keyed = surrogate_key(renamed, order, "product_key", rows_per_bucket)
+    return conform(keyed, with_measures(GOLD["dim_products"], measure))
 
 
 def fact_sales(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, assert_unique: bool = False
+    sales: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    assert_unique: bool = False,
+    measure: str = MEASURE,
 ) -> DataFrame:
     """Order lines with surrogate keys, NULL where the dimension has no row.
 
@@ -81,7 +89,7 @@ def fact_sales(
         F.col("sls_quantity").alias("quantity"),
         F.col("sls_price").alias("price"),
     )
-    return conform(renamed, GOLD["fact_sales"])
+    return conform(renamed, with_measures(GOLD["fact_sales"], measure))
 
 
 def flat_sales(fact: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from tiermill.operators.dedup import keep_first, require_key
 from tiermill.operators.quality import dq_report, enforce
 from tiermill.plans import gold, silver
 from tiermill.plans.checks import store_checks
-from tiermill.plans.schemas import BRONZE, GOLD, SILVER
+from tiermill.plans.schemas import GOLD, MEASURE, SILVER, with_measures
 from tiermill.plans.together import together
 from tiermill.settings import apply_settings
 from tiermill.sources.extracts import INGEST_ORDER, SOURCES, Source, read_all
@@ -27,66 +27,45 @@ from tiermill.sources.warehouse import RunReport, Warehouse
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A derived table: where it is stored, what it reads, how it is built."""
+    """A derived table: where it is stored, what it reads, how it is built, which run options it takes."""
 
     layer: str
     name: str
     inputs: tuple[tuple[str, str], ...]
     builder: Callable[..., DataFrame]
-    columns: Mapping[str, str]
+    options: tuple[str, ...] = ()
+
+    @property
+    def columns(self) -> Mapping[str, str]:
+        return {"silver": SILVER, "gold": GOLD}[self.layer][self.name]
 
 
 TABLES = (
-    TableSpec(
-        "silver", "crm_cust_info", (("bronze", "crm_cust_info"),), silver.silver_customers, SILVER["crm_cust_info"]
-    ),
-    TableSpec(
-        "silver", "crm_prd_info", (("bronze", "crm_prd_info"),), silver.silver_products, SILVER["crm_prd_info"]
-    ),
-    TableSpec(
-        "silver",
-        "crm_sales_details",
-        (("bronze", "crm_sales_details"),),
-        silver.silver_sales,
-        SILVER["crm_sales_details"],
-    ),
-    TableSpec(
-        "silver",
-        "erp_cust_az12",
-        (("bronze", "erp_cust_az12"),),
-        silver.silver_erp_customers,
-        SILVER["erp_cust_az12"],
-    ),
-    TableSpec(
-        "silver", "erp_loc_a101", (("bronze", "erp_loc_a101"),), silver.silver_locations, SILVER["erp_loc_a101"]
-    ),
-    TableSpec(
-        "silver",
-        "erp_px_cat_g1v2",
-        (("bronze", "erp_px_cat_g1v2"),),
-        silver.silver_categories,
-        SILVER["erp_px_cat_g1v2"],
-    ),
+    TableSpec("silver", "crm_cust_info", (("bronze", "crm_cust_info"),), silver.silver_customers),
+    TableSpec("silver", "crm_prd_info", (("bronze", "crm_prd_info"),), silver.silver_products, ("measure",)),
+    TableSpec("silver", "crm_sales_details", (("bronze", "crm_sales_details"),), silver.silver_sales, ("measure",)),
+    TableSpec("silver", "erp_cust_az12", (("bronze", "erp_cust_az12"),), silver.silver_erp_customers, ("as_of",)),
+    TableSpec("silver", "erp_loc_a101", (("bronze", "erp_loc_a101"),), silver.silver_locations),
+    TableSpec("silver", "erp_px_cat_g1v2", (("bronze", "erp_px_cat_g1v2"),), silver.silver_categories),
     TableSpec(
         "gold",
         "dim_customers",
         (("silver", "crm_cust_info"), ("silver", "erp_cust_az12"), ("silver", "erp_loc_a101")),
         gold.dim_customers,
-        GOLD["dim_customers"],
     ),
     TableSpec(
         "gold",
         "dim_products",
         (("silver", "crm_prd_info"), ("silver", "erp_px_cat_g1v2")),
         gold.dim_products,
-        GOLD["dim_products"],
+        ("measure",),
     ),
     TableSpec(
         "gold",
         "fact_sales",
         (("silver", "crm_sales_details"), ("gold", "dim_products"), ("gold", "dim_customers")),
         gold.fact_sales,
-        GOLD["fact_sales"],
+        ("measure",),
     ),
 )
 
@@ -101,7 +80,9 @@ def _waves() -> Iterator[list[TableSpec]]:
         waiting = [t for t in waiting if t not in wave]
 
 
-def bronze_rows(source: Source, extract: DataFrame, on_null_key: str = "drop") -> DataFrame:
+def bronze_rows(
+    source: Source, extract: DataFrame, on_null_key: str = "drop", measure: str = MEASURE
+) -> DataFrame:
     """Rows as landed: of a keyed source only the first row of every key in file order.
 
     Rows of a keyed source without a key are left out, or fail the job with ``on_null_key="fail"``.
@@ -109,22 +90,25 @@ def bronze_rows(source: Source, extract: DataFrame, on_null_key: str = "drop") -
     if source.key is not None:
         present = require_key(extract, source.key, on_null=on_null_key)
         extract = keep_first(present, source.key, INGEST_ORDER, tiebreak=())
-    return conform(extract, BRONZE[source.table])
+    return conform(extract, with_measures(source.columns, measure))
+
 
+def run_named(warehouse: Warehouse, layer: str, name: str, **options) -> DataFrame:
+    """Build one derived table from the stored tables it reads, without writing it.
 
-def run_named(warehouse: Warehouse, layer: str, name: str, as_of: date | str | None = None) -> DataFrame:
-    """Build one derived table from the stored tables it reads, without writing it."""
+    ``options`` are those of a run: ``as_of`` and ``measure``.
+    """
     spec = next((t for t in TABLES if (t.layer, t.name) == (layer, name)), None)
     if spec is None:
         raise KeyError(f"{layer}.{name}")
-    return _build(spec, warehouse.read, as_of)
+    return _build(spec, warehouse.read, options)
 
 
-def _build(spec: TableSpec, read: Callable[[str, str], DataFrame], as_of: date | str | None) -> DataFrame:
-    options = {"as_of": as_of} if spec.builder is silver.silver_erp_customers else {}
-    tables = [read(layer, table) for layer, table in spec.inputs]
-    tables = [t.drop(AUDIT_COLUMN) for t in tables]
-    return conform(spec.builder(*tables, **options), spec.columns)
+def _build(
+    spec: TableSpec, read: Callable[[str, str], DataFrame], options: Mapping[str, object]
+) -> DataFrame:
+    tables = [read(layer, table).drop(AUDIT_COLUMN) for layer, table in spec.inputs]
+    return spec.builder(*tables, **{name: options[name] for name in spec.options if name in options})
 
 
 def build_layers(
@@ -135,7 +119,7 @@ def build_layers(
     spark = next(iter(bronze.values())).sparkSession
 
     def store(spec: TableSpec) -> None:
-        built = _build(spec, lambda layer, table: tables[layer, table], as_of)
+        built = _build(spec, lambda layer, table: tables[layer, table], {"as_of": as_of})
         tables[spec.layer, spec.name] = materialize(built, spec.name).df
 
     for wave in _waves():
@@ -160,12 +144,14 @@ def run_refresh(
     sources: Mapping[str, Source] = SOURCES,
     on_missing: str = "error",
     on_null_key: str = "drop",
+    measure: str = MEASURE,
     enforce_quality: bool = False,
 ) -> RunResult:
     """Run everything. An empty derived table stops the run and leaves its previous content in place.
 
     With ``enforce_quality`` a failed check raises after all checks have run. A missing extract raises here
-    (``on_missing="empty"`` lands an empty table instead).
+    (``on_missing="empty"`` lands an empty table instead). ``measure`` is the type of costs, amounts, quantities
+    and prices: ``decimal(18,4)``, say, keeps them exact.
     """
     apply_settings(spark)
     run_ts = run_ts or datetime.now()
@@ -174,17 +160,18 @@ def run_refresh(
 
     def land(item: tuple[str, DataFrame]) -> None:
         source = sources[item[0]]
-        rows = bronze_rows(source, item[1], on_null_key)
+        rows = bronze_rows(source, item[1], on_null_key, measure)
         warehouse.full_refresh(rows, "bronze", source.table, report=report)
 
     def derive(spec: TableSpec) -> None:
-        rows = _build(spec, warehouse.read, as_of)
+        rows = _build(spec, warehouse.read, {"as_of": as_of, "measure": measure})
         if spec.layer == "silver":
             rows = stamp(rows, run_ts)
         warehouse.full_refresh(rows, spec.layer, spec.name, require_rows=True, report=report)
 
     with scratch_scope(spark):
-        together(spark, land, read_all(spark, folder, sources, on_missing=on_missing).items())
+        extracts = read_all(spark, folder, sources, measure, on_missing=on_missing)
+        together(spark, land, extracts.items())
         for wave in _waves():
             together(spark, derive, wave)
     quality = materialize(dq_report(store_checks(warehouse.read)), "quality").df

@@ -1,11 +1,15 @@
 """Columns of the fifteen tables, in order.
 
 Fixed values: names, order and types of the stored tables. Whole-number identifiers and YYYYMMDD numbers are
-bigint, measures are double, timestamps carry no zone.
+bigint, measures are double unless ``with_measures`` says otherwise, timestamps carry no zone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+MEASURE = "double"
+
 BRONZE = {
     "crm_cust_info": {
         "cst_id": "bigint",
@@ -116,3 +120,8 @@ GOLD = {
         "price": "double",
     },
 }
+
+
+def with_measures(columns: Mapping[str, str], measure: str) -> dict[str, str]:
+    """The same columns with measures of another type, such as ``decimal(18,4)`` for exact amounts."""
+    return {name: measure if kind == MEASURE else kind for name, kind in columns.items()}

@@ -23,7 +23,7 @@ from tiermill.functions.cleaning import (
 from tiermill.operators.conform import conform
 from tiermill.operators.dedup import keep_first, require_key
 from tiermill.operators.ordered import running_max_fill, version_end_date
-from tiermill.plans.schemas import SILVER
+from tiermill.plans.schemas import MEASURE, SILVER, with_measures
 
 
 def silver_customers(customers: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def silver_customers(customers: DataFrame) -> DataFrame:
     return conform(cleaned, SILVER["crm_cust_info"])
 
 
-def silver_products(products: DataFrame) -> DataFrame:
+def silver_products(products: DataFrame, measure: str = MEASURE) -> DataFrame:
     """Product versions with filled start dates; the end date is the start of the next version.
 
     The end date of the extract plays no part in the result, so it is not read.
@@ -59,10 +59,10 @@ def silver_products(products: DataFrame) -> DataFrame:
     )
     versions = version_end_date(cleaned, "prd_key", "prd_start_dt", "prd_end_dt", tiebreak=["prd_id"])
     dated = versions.withColumns({c: F.col(c).cast("date") for c in ("prd_start_dt", "prd_end_dt")})
-    return conform(dated, SILVER["crm_prd_info"])
+    return conform(dated, with_measures(SILVER["crm_prd_info"], measure))
 
 
-def silver_sales(sales: DataFrame, on_invalid: str = "null") -> DataFrame:
+def silver_sales(sales: DataFrame, on_invalid: str = "null", measure: str = MEASURE) -> DataFrame:
     """Order lines with parsed dates and repaired amounts."""
     amount, price = reconcile_amounts("sls_sales", "sls_quantity", "sls_price")
     defaults = {
@@ -74,7 +74,7 @@ def silver_sales(sales: DataFrame, on_invalid: str = "null") -> DataFrame:
         {c: yyyymmdd_to_timestamp(c, default, on_invalid) for c, default in defaults.items()}
         | {"sls_sales": amount, "sls_price": price}
     )
-    return conform(cleaned, SILVER["crm_sales_details"])
+    return conform(cleaned, with_measures(SILVER["crm_sales_details"], measure))
 
 
 def silver_erp_customers(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.operators.conform import conform
-from tiermill.plans.schemas import BRONZE
+from tiermill.plans.schemas import BRONZE, MEASURE, with_measures
 
 log = logging.getLogger(__name__)
 
@@ -135,12 +135,20 @@ def _scan(
 
 
 def read_all(
-    spark: SparkSession, folder: str, sources: Mapping[str, Source] = SOURCES, **options
+    spark: SparkSession,
+    folder: str,
+    sources: Mapping[str, Source] = SOURCES,
+    measure: str = MEASURE,
+    **options,
 ) -> dict[str, DataFrame]:
     """Read every source under ``folder``; keyed sources carry their ingest order."""
     return {
         name: read_source(
-            spark, f"{folder.rstrip('/')}/{s.path}", s.columns, with_order=s.key is not None, **options
+            spark,
+            f"{folder.rstrip('/')}/{s.path}",
+            with_measures(s.columns, measure),
+            with_order=s.key is not None,
+            **options,
         )
         for name, s in sources.items()
     }
