@@ -66,6 +66,17 @@ def test_surrogate_key_order_types(spark, column):
     same(surrogate_key(df, ["v", "id"], "sk", 150), expected)
 
 
+@pytest.mark.parametrize("marks", [1, 2, 5, 511])
+@pytest.mark.parametrize("rows", [90, 700])
+def test_search_in_tree_and_array(spark, monkeypatch, marks, rows):
+    monkeypatch.setattr(ordered, "MAX_MARKS", marks)
+    df = spark.range(0, rows, 1, 4).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("h"), "id")
+    expected = df.select(F.row_number().over(Window.orderBy("h", "id")).cast("bigint").alias("sk"), "*")
+    same(surrogate_key(df, ["h", "id"], "sk", 23), expected)
+    steps = df.select("id", F.lpad(F.col("id").cast("string"), 4, "0").alias("v"))
+    same(running_max_fill(steps, "v", "id", "none"), running_max_expected(steps, "v", "id", "none"))
+
+
 def test_no_cut_points(spark, monkeypatch):
     monkeypatch.setattr(ordered, "SAMPLE_PER_BUCKET", 0)
     df = spark.range(0, 100, 1, 4)

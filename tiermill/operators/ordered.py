@@ -14,7 +14,6 @@ is cut into ranges of the order instead:
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -28,8 +27,13 @@ ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 8_192
 SAMPLE_PER_BUCKET = 20
 MAX_STEPS = 4_096
+MAX_MARKS = 511
 
 _BUCKET = "__bucket"
+_POSITION = ("__place_file", "__place_row")
+
+# monotonically_increasing_id keeps the row's place within its partition in the lower 33 bits
+_ROW_IN_PARTITION = (1 << 33) - 1
 
 # Full precision in both directions, so that values survive the way into a literal unchanged.
 _JSON = {
@@ -38,6 +42,10 @@ _JSON = {
 }
 
 
+def _as_json(value: Column | str) -> Column:
+    return F.to_json(value, _JSON)
+
+
 def _nulls_last(columns: Sequence[Column]) -> list[Column]:
     """Struct fields that compare like the columns in ascending order with NULLs last."""
     fields = []
@@ -46,23 +54,53 @@ def _nulls_last(columns: Sequence[Column]) -> list[Column]:
     return fields
 
 
-def _count_reached(
-    sorted_values: Column, size: int, place: Column, reached: Callable[[Column, Column], Column]
-) -> Column:
-    """Number of leading elements of ``sorted_values`` that ``place`` has reached, by binary search."""
-    strides = [1 << i for i in reversed(range(size.bit_length()))]
-
-    def search(here: Column) -> Column:
-        return F.aggregate(
-            F.lit(strides),
-            F.lit(0),
-            lambda found, stride: F.when(
-                reached(F.get(sorted_values, found + stride - 1), here), found + stride
-            ).otherwise(found),
-        )
-
-    # the one-element array builds the place once per row instead of once per comparison
-    return F.get(F.transform(F.array(place), search), F.lit(0))
+@dataclass(frozen=True)
+class _Ladder:
+    """An ascending list of structs, each as JSON, that becomes part of the plan as literals."""
+
+    steps: list[str]
+    step_type: str
+
+    def array(self) -> Column:
+        return F.from_json(F.lit(f"[{','.join(self.steps)}]"), f"array<{self.step_type}>", _JSON)
+
+    def _step(self, i: int) -> Column:
+        return F.from_json(F.lit(self.steps[i]), self.step_type, _JSON)
+
+    def reached(self, place: Column, compare: Callable[[Column, Column], Column]) -> Column:
+        """Number of leading steps for which ``compare(step, place)`` holds, by binary search.
+
+        The upper part of the search is a tree of comparisons, which Spark compiles; only what is left between
+        two of its marks is searched in the array.
+        """
+        stride = 1
+        while len(self.steps) // stride > MAX_MARKS:
+            stride *= 2
+
+        def tree(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low * stride)
+            middle = (low + high) // 2
+            passed = compare(self._step((middle + 1) * stride - 1), place)
+            return F.when(passed, tree(middle + 1, high)).otherwise(tree(low, middle))
+
+        marks_passed = tree(0, len(self.steps) // stride)
+        if stride == 1:
+            return marks_passed
+        array = self.array()
+        strides = [1 << i for i in reversed(range(stride.bit_length() - 1))]
+
+        def search(here: Column) -> Column:
+            return F.aggregate(
+                F.lit(strides),
+                marks_passed,
+                lambda found, more: F.when(compare(F.get(array, found + more - 1), here), found + more).otherwise(
+                    found
+                ),
+            )
+
+        # the one-element array builds the place once per row instead of once per comparison
+        return F.get(F.transform(F.array(place), search), F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -72,10 +110,10 @@ class _Layout:
     rows: DataFrame
     order: list[Column]
     buckets: int
-    cuts: Column | None = None
+    cuts: _Ladder | None = None
 
     def spread(self) -> DataFrame:
-        return self.rows.repartitionById(self.buckets, F.col(_BUCKET)) if self.buckets > 1 else self.rows
+        return self.rows.repartitionById(self.buckets, F.col(_BUCKET))
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(_BUCKET).orderBy(*self.order)
@@ -98,10 +136,10 @@ def _lay_out(df: DataFrame, order: Sequence[Column], rows_per_bucket: int, label
     stored = materialize(df, label)
     rows = stored.df.select(
         "*",
-        F.xxhash64("_metadata.file_name").alias("__place_file"),
-        F.col("_metadata.row_index").alias("__place_row"),
+        F.xxhash64("_metadata.file_name").alias(_POSITION[0]),
+        F.col("_metadata.row_index").alias(_POSITION[1]),
     )
-    order = [*order, F.col("__place_file"), F.col("__place_row")]
+    order = [*order, *[F.col(c) for c in _POSITION]]
     whole = _Layout(rows.withColumn(_BUCKET, F.lit(0)), order, 1)
     buckets = min(MAX_BUCKETS, max(1, math.ceil(stored.rows / rows_per_bucket)))
     if buckets == 1:
@@ -113,19 +151,14 @@ def _lay_out(df: DataFrame, order: Sequence[Column], rows_per_bucket: int, label
     sample = rows.select(place.alias("place")).sample(fraction=fraction, seed=17)
     place_type = sample.schema["place"].dataType.simpleString()
     # a cut point has to be a row of the table, so only places that JSON gives back unchanged can be one
-    exact = F.from_json(F.to_json("place", _JSON), place_type, _JSON).eqNullSafe(F.col("place"))
-    cut_points = (
-        sample.filter(exact)
-        .agg(F.sort_array(F.collect_list("place")).alias("sampled"))
-        .select(F.to_json(F.filter("sampled", lambda _, i: i % every == every - 1), _JSON))
-        .first()[0]
-    )
-    size = len(json.loads(cut_points))
-    if size == 0:
+    exact = F.from_json(_as_json("place"), place_type, _JSON).eqNullSafe(F.col("place"))
+    sampled = sample.filter(exact).agg(F.sort_array(F.collect_list("place")).alias("sampled"))
+    chosen = F.filter("sampled", lambda _, i: i % every == every - 1)
+    cuts = _Ladder(sampled.select(F.transform(chosen, _as_json)).first()[0], place_type)
+    if not cuts.steps:
         return whole
-    cuts = F.from_json(F.lit(cut_points), f"array<{place_type}>", _JSON)
-    bucket = _count_reached(cuts, size, place, lambda cut, here: cut <= here)
-    return _Layout(rows.withColumn(_BUCKET, bucket), order, size + 1, cuts)
+    bucket = cuts.reached(place, lambda cut, here: cut <= here)
+    return _Layout(rows.withColumn(_BUCKET, bucket), order, len(cuts.steps) + 1, cuts)
 
 
 def surrogate_key(
@@ -133,7 +166,11 @@ def surrogate_key(
 ) -> DataFrame:
     """Prepend a dense key 1..n in ascending order of ``order_by``, NULLs last."""
     layout = _lay_out(df, _nulls_last([F.col(c) for c in order_by]), rows_per_bucket, name)
-    numbered = layout.spread().withColumn(name, F.row_number().over(layout.window()).cast("bigint"))
+    # one bucket per partition, so the place of a row in its sorted partition is its place in the bucket
+    placed = layout.spread().sortWithinPartitions(
+        *[F.asc_nulls_last(c) for c in order_by], *layout.order[-len(_POSITION) :]
+    )
+    numbered = placed.withColumn(name, F.monotonically_increasing_id().bitwiseAND(_ROW_IN_PARTITION) + 1)
     if layout.buckets > 1:
         offsets = layout.per_bucket(
             F.count(F.lit(1)), lambda size: F.sum(size).over(_earlier_buckets()), "__offset"
@@ -163,7 +200,7 @@ def version_end_date(
     following = layout.spread().withColumn("__next", F.lead(version).over(layout.window()))
     if layout.cuts is not None:
         # the last row of a bucket is followed by the first row of the next one
-        head = F.get(layout.cuts, F.col(_BUCKET))
+        head = F.get(layout.cuts.array(), F.col(_BUCKET))
         after = F.when(head.isNotNull(), F.struct(head["k0"].alias("key"), head["k1"].alias("start")))
         following = following.withColumn("__next", F.coalesce("__next", after))
     end = F.when(F.col("__next.key").eqNullSafe(F.col(key)), F.col("__next.start"))
@@ -195,21 +232,16 @@ def running_max_fill(
     if steps is None:
         filled = _running_max_by_range(df, usable, order_by, rows_per_bucket)
     else:
-        size, steps_json, step_type = steps
-        ladder = F.from_json(F.lit(steps_json), step_type, _JSON)
-        reached = _count_reached(ladder, size, place, lambda step, here: step["first"] < here)
-        filled = df.withColumn(
-            "__filled", F.greatest(usable, F.get(ladder, reached - 1)["value"]) if size else usable
-        )
+        reached = steps.reached(place, lambda step, here: step["first"] < here)
+        best = F.get(steps.array(), reached - 1)["value"]
+        filled = df.withColumn("__filled", F.greatest(usable, best) if steps.steps else usable)
     if default is not None:
         filled = filled.withColumn("__filled", F.coalesce("__filled", F.lit(default)))
     return filled.withColumn(value, F.col("__filled")).select(*df.columns)
 
 
-def _staircase(
-    df: DataFrame, usable: Column, place: Column, max_steps: int
-) -> tuple[int, str, str] | None:
-    """Steps of the running maximum as JSON with their type, or None when there are too many values."""
+def _staircase(df: DataFrame, usable: Column, place: Column, max_steps: int) -> _Ladder | None:
+    """Steps of the running maximum, or None when there are too many values."""
     first_seen = (
         df.select(usable.alias("value"), place.alias("place"))
         .filter(F.col("value").isNotNull())
@@ -228,15 +260,14 @@ def _staircase(
         F.max("distinct_values").alias("distinct_values"),
         F.sort_array(F.collect_list(F.struct("first", "value"))).alias("steps"),
     )
-    step_type = ladder.schema["steps"].dataType.simpleString()
-    as_json = F.to_json("steps", _JSON)
-    unchanged = F.from_json(as_json, step_type, _JSON).eqNullSafe(F.col("steps"))
-    distinct_values, size, steps_json, exact = ladder.select(
-        "distinct_values", F.size("steps"), as_json, unchanged
+    step_type = ladder.schema["steps"].dataType.elementType.simpleString()
+    same = F.forall("steps", lambda step: F.from_json(_as_json(step), step_type, _JSON).eqNullSafe(step))
+    distinct_values, steps, exact = ladder.select(
+        "distinct_values", F.transform("steps", _as_json), same
     ).first()
     if (distinct_values or 0) > max_steps or not exact:
         return None
-    return size, steps_json, step_type
+    return _Ladder(steps, step_type)
 
 
 def _running_max_by_range(df: DataFrame, usable: Column, order_by: str, rows_per_bucket: int) -> DataFrame:
