@@ -9,13 +9,13 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.STATEMENTS)
 
 
 def test_entry_returns_the_sales_fact(spark):
     assert entry.entry(spark).count() == 6000
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_matches_sql(spark, name):
     assert actual(entry.queries()[name](spark, SMALL)) == expected(duck(SMALL), entry.oracle_sql()[name])
