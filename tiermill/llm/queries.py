@@ -6,10 +6,10 @@ import importlib.util
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bitplanes, bpe_fst
+from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, line_crf, quality_gbt
 
 #: Folder of the public tokenizer files; a parameter of the environment, as they are not part of this repository.
 TOKENIZERS = os.environ.get("TIERMILL_TOKENIZERS") or "/opt/tokenizers"
@@ -50,9 +50,55 @@ def op6_bpe_fst(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_html_main(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_main.extract(table(spark, folder, "pages"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op5_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_windows.digests(chat_windows.format_windows(turns))
+
+
+def held_out(parts: int) -> Column:
+    """Documents that nothing is learned from: the crc32 of the id as text is divisible by ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == 0
+
+
+def taught(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").filter(~held_out(5))
+
+
+def op7_quality_gbt(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_gbt.learn(documents, taught(spark, folder))
+    scored = quality_gbt.score(documents, model).drop("text")
+    predicted = (F.col("score") >= quality_gbt.KEEP_FROM).cast("int")
+    return scored.select("doc_id", held_out(5).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op8_line_crf(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = line_crf.learn(documents, taught(spark, folder))
+    judged = line_crf.judge(documents, model)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", "n_lines", "n_content_lines", "n_content_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bitplanes": op2_bitplanes,
+    "op4_html_main": op4_html_main,
+    "op5_chat_windows": op5_chat_windows,
     "op6_bpe_fst": op6_bpe_fst,
+    "op7_quality_gbt": op7_quality_gbt,
+    "op8_line_crf": op8_line_crf,
 }
 
 STATEMENTS: dict[str, str] = {}
