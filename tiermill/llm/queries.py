@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, line_crf, quality_gbt
+from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, line_crf, ngram_join, quality_gbt, spaced_seeds
 
 #: Folder of the public tokenizer files; a parameter of the environment, as they are not part of this repository.
 TOKENIZERS = os.environ.get("TIERMILL_TOKENIZERS") or "/opt/tokenizers"
@@ -92,6 +92,14 @@ def op8_line_crf(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "n_lines", "n_content_lines", "n_content_words")
 
 
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link(table(spark, folder, "documents"))
+
+
+def op10_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return spaced_seeds.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bitplanes": op2_bitplanes,
     "op4_html_main": op4_html_main,
@@ -99,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe_fst": op6_bpe_fst,
     "op7_quality_gbt": op7_quality_gbt,
     "op8_line_crf": op8_line_crf,
+    "op9_ngram_join": op9_ngram_join,
+    "op10_spaced_seeds": op10_spaced_seeds,
 }
 
 STATEMENTS: dict[str, str] = {}
