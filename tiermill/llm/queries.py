@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, line_crf, ngram_join, quality_gbt, spaced_seeds
+from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, ngram_join, quality_gbt, spaced_seeds
 
 #: Folder of the public tokenizer files; a parameter of the environment, as they are not part of this repository.
 TOKENIZERS = os.environ.get("TIERMILL_TOKENIZERS") or "/opt/tokenizers"
@@ -25,6 +25,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = documents.withColumn("held_out", F.coalesce(held_out(10), F.lit(False)))
+    model = kneser_ney.fit(documents.filter(~F.col("held_out")))
+    scored = kneser_ney.score(documents, model).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_bitplanes(spark: SparkSession, folder: str) -> DataFrame:
     files = bitplanes.write_ids(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
     back = bitplanes.read_ids(files)
@@ -101,6 +109,7 @@ def op10_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op2_bitplanes": op2_bitplanes,
     "op4_html_main": op4_html_main,
     "op5_chat_windows": op5_chat_windows,
