@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, ngram_join, quality_gbt, spaced_seeds
+from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, ngram_join, quality_gbt, spaced_seeds, suffix_levels
 
 #: Folder of the public tokenizer files; a parameter of the environment, as they are not part of this repository.
 TOKENIZERS = os.environ.get("TIERMILL_TOKENIZERS") or "/opt/tokenizers"
@@ -58,6 +58,18 @@ def op6_bpe_fst(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_suffix_levels(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_levels.remove_repeated(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["until"] - s["from"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_html_main(spark: SparkSession, folder: str) -> DataFrame:
     pages = html_main.extract(table(spark, folder, "pages"))
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
@@ -111,6 +123,7 @@ def op10_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_bitplanes": op2_bitplanes,
+    "op3_suffix_levels": op3_suffix_levels,
     "op4_html_main": op4_html_main,
     "op5_chat_windows": op5_chat_windows,
     "op6_bpe_fst": op6_bpe_fst,
