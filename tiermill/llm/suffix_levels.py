@@ -19,7 +19,7 @@ Answers go back to the batch as a file of the scratch folder.
 
 Documents with equal ids are one document to each other; rows without an id come first and are also equal to each other; rows
 of one id are kept in one batch. NULL texts are empty: nothing is removed. Texts shorter than ``LENGTH`` bytes stay whole. Texts
-are bytes of UTF-8; a cut may fall inside a character. Columns to keep are named; others play no part.
+are bytes of UTF-8; a cut may fall inside a character, unless whole characters are asked for. Columns to keep are named; others play no part.
 """
 
 from __future__ import annotations
@@ -386,8 +386,13 @@ def _codes_before(batch: Batch, number: int, folders: list[str]) -> list[np.ndar
     return codes
 
 
-def remove_repeated(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``doc_id``, the columns ``keep``, ``n_bytes``, ``spans`` (removed ranges of bytes) and ``kept`` (the other bytes)."""
+def remove_repeated(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), whole_characters: bool = False
+) -> DataFrame:
+    """One row per document: ``doc_id``, the columns ``keep``, ``n_bytes``, ``spans`` (removed ranges of bytes) and ``kept`` (the other bytes).
+
+    With ``whole_characters`` a character goes only if all its bytes do, so that ``kept`` is UTF-8.
+    """
     spark = documents.sparkSession
     ship(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -429,6 +434,9 @@ def remove_repeated(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
             ends = _ask_ends(batch, codes)
             starts = np.concatenate([_settled(batch, codes), ends.places[ends.answers(codes[3]) & EARLIER > 0]])
             gone = batch.covered(starts)
+            if whole_characters and len(gone):
+                first = np.flatnonzero((batch.data & 0xC0) != 0x80)
+                gone = np.repeat(np.logical_and.reduceat(gone, first), np.diff(np.append(first, len(gone))))
             kept = np.concatenate([[0], np.cumsum(~gone)])[batch.offsets]
             inside = np.concatenate([[False], gone, [False]])
             begins, stops = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
