@@ -142,7 +142,7 @@ def _encoder(path: str) -> PieceCache:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def encode(pieces: list[str]) -> Iterator[bytes]:
+    def encode(pieces: list[str], _: PieceCache) -> Iterator[bytes]:
         for found in tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
             yield np.array(found.ids, "<u4").tobytes()
 

@@ -17,6 +17,7 @@ encoded alike. Other columns, whatever their names, stay; a column with the name
 from __future__ import annotations
 
 import base64
+import gc
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -29,21 +30,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from tiermill.llm.segments import LONGEST_CACHED, PieceCache
+from tiermill.llm.segments import PieceCache
 from tiermill.llm.workers import ship
 
 #: Fixed value: how texts are split before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-MOST_STATES = 150_000
-MOST_PAIRS = 500_000
-MOST_MATCHES = 300_000
+MOST_STATES = 120_000
+MOST_PAIRS = 300_000
 _NEVER = 1 << 60
 _SHIFT = 24
 _LOW = (1 << _SHIFT) - 1
 _LONG_PIECE = 1 << 14
 
 
+def _load_tokens(path: str) -> list[bytes]:
+    """Tokens by rank, from a file with a token in base64 and its rank on each line."""
+    system, place = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(place) as source:
+        lines = [line.split() for line in source.read().splitlines() if line]
+    tokens: list[bytes] = [b""] * (max(int(rank) for _, rank in lines) + 1)
+    for token, rank in lines:
+        tokens[int(rank)] = base64.b64decode(token)
+    return tokens
+
+
 class Vocabulary:
     """Tokens by rank, and the merges that make each of them."""
 
@@ -55,13 +66,7 @@ class Vocabulary:
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
-        system, place = fs.FileSystem.from_uri(path)
-        with system.open_input_stream(place) as source:
-            lines = [line.split() for line in source.read().splitlines() if line]
-        tokens: list[bytes] = [b""] * (max(int(rank) for _, rank in lines) + 1)
-        for token, rank in lines:
-            tokens[int(rank)] = base64.b64decode(token)
-        return cls(tokens)
+        return cls(_load_tokens(path))
 
     def merge(self, piece: bytes, below: int = _NEVER) -> list[int]:
         """Apply merges of rank under ``below`` in order of rank, leftmost first."""
@@ -137,7 +142,7 @@ class Transducer:
     def _reset(self) -> None:
         self._numbers = {(0,): 0}
         self._states: list[tuple[int, ...]] = [(0,)]
-        self._steps: list[dict[int, int]] = [{}]
+        self._steps: dict[int, int] = {}
         self._ended = [0]
 
     def _step(self, state: int, byte: int) -> int:
@@ -162,9 +167,8 @@ class Transducer:
         if number is None:
             number = self._numbers[key] = len(self._states)
             self._states.append(key)
-            self._steps.append({})
             self._ended.append(ended)
-        self._steps[state][byte] = number
+        self._steps[state << 8 | byte] = number
         return number
 
     def _chain(self, ends: list[int], until: int) -> list[int]:
@@ -199,7 +203,7 @@ class Transducer:
         depth = self._depths()
         ends, state = [0], 0
         for byte in data:
-            found = self._steps[state].get(byte)
+            found = self._steps.get(state << 8 | byte)
             state = self._step(state, byte) if found is None else found
             ends.append(self._ended[state])
             if len(ends) > block and (cut := self._decided(ends, state, depth)):
@@ -225,7 +229,7 @@ class Transducer:
             return list(self.stream(piece))
         ends, state, steps, ended = [0], 0, self._steps, self._ended
         for byte in piece:
-            found = steps[state].get(byte)
+            found = steps.get(state << 8 | byte)
             state = self._step(state, byte) if found is None else found
             ends.append(ended[state])
         sizes, at, out = self._sizes, len(piece), []
@@ -271,28 +275,29 @@ class StreamDecoder:
 @lru_cache(2)
 def _encoder(path: str) -> PieceCache:
     transducer, split = Transducer(Vocabulary.load(path)), regex.compile(PATTERN).findall
-    known: dict[str, bytes] = {}
+    gc.set_threshold(1_000_000, 50, 1000)  # the tables hold many objects and no cycles
 
-    def encode(pieces: list[str]) -> Iterator[bytes]:
-        if len(known) > MOST_MATCHES:
-            known.clear()
+    def encode(pieces: list[str], cache: PieceCache) -> Iterator[bytes]:
         for piece in pieces:
+            matches = split(piece)
+            if len(matches) == 1:
+                yield array("i", transducer.encode(piece.encode())).tobytes()
+                continue
             out = []
-            for match in split(piece):
-                ids = known.get(match)
+            for match in matches:
+                ids = cache.get(match)
                 if ids is None:
                     ids = array("i", transducer.encode(match.encode())).tobytes()
-                    if len(match) <= LONGEST_CACHED:
-                        known[match] = ids
+                    cache.put(match, ids)
                 out.append(ids)
-            yield b"".join(out) if len(out) > 1 else out[0]
+            yield b"".join(out)
 
     return PieceCache(encode)
 
 
 @lru_cache(2)
 def _token_bytes(path: str) -> pa.Array:
-    return pa.array(Vocabulary.load(path).tokens, pa.binary())
+    return pa.array(_load_tokens(path), pa.binary())
 
 
 _TEXTS_AT_ONCE = 1024
@@ -352,6 +357,20 @@ def decode_bpe(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "te
     return df.withColumn(text, decoded(F.col(ids)))
 
 
+def round_trip(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Add the ids of ``text`` and what they decode to, in one pass through the workers."""
+    ship(df.sparkSession)
+
+    @F.arrow_udf("struct<ids:array<int>,text:string>")
+    def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = _encode_column(texts, vocabulary)
+            yield pa.StructArray.from_arrays([found, _decode_column(found, vocabulary)], ["ids", "text"])
+
+    both = df.withColumn("__both", there_and_back(F.col(text)))
+    return both.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.text")}).drop("__both")
+
+
 def id_text(ids: Column) -> Column:
     """Decimal ids joined by one space."""
     return F.array_join(ids.cast("array<string>"), " ")

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, ngram_join, quality_gbt, spaced_seeds, suffix_levels
+from tiermill.llm.files import rows_per_batch
+from tiermill.sources.scratch import materialize
 
 #: Folder of the public tokenizer files; a parameter of the environment, as they are not part of this repository.
 TOKENIZERS = os.environ.get("TIERMILL_TOKENIZERS") or "/opt/tokenizers"
@@ -47,15 +49,15 @@ def op2_bitplanes(spark: SparkSession, folder: str) -> DataFrame:
 def op6_bpe_fst(spark: SparkSession, folder: str) -> DataFrame:
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = bpe_fst.encode_bpe(documents, ranks).drop("text")
-    digested = encoded.select(
+    both = bpe_fst.round_trip(documents, ranks)
+    digests = both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe_fst.id_text(F.col("ids")), 256).alias("ids_sha256"),
-        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe_fst.decode_bpe(digested, ranks, text="decoded")
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    with rows_per_batch(spark, 1000):
+        return materialize(digests, "bpe").df
 
 
 def op3_suffix_levels(spark: SparkSession, folder: str) -> DataFrame:

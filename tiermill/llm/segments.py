@@ -15,31 +15,45 @@ from itertools import chain
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PIECES = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]")
 
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 300_000
 LONGEST_CACHED = 64
 
 
 class PieceCache:
     """Ids of pieces as little-endian bytes, found once per distinct piece.
 
-    ``encode`` gets the pieces that are not known yet, in one list. The cache is emptied when it is full; that
-    costs time, never a different result.
+    ``encode`` gets the pieces that are not known yet, in one list, and this cache. There are two generations: a full one
+    becomes the older one, from which pieces that are still met come back; what is forgotten is encoded again.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], entries: int = CACHE_ENTRIES):
-        self._encode, self._entries, self._known = encode, entries, {}
+    def __init__(self, encode: Callable[[list[str], PieceCache], Iterable[bytes]], entries: int = CACHE_ENTRIES):
+        self._encode, self._entries = encode, entries
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def get(self, piece: str) -> bytes | None:
+        return self._young.get(piece) or self._old.get(piece)
+
+    def put(self, piece: str, ids: bytes) -> None:
+        if len(piece) <= LONGEST_CACHED:
+            self._young[piece] = ids
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as 32-bit little-endian numbers; NULL has none."""
         pieces = [_PIECES.findall(text) if text else [] for text in texts]
-        known = self._known
-        if len(known) > self._entries:
-            known.clear()
-        new = list(set(chain.from_iterable(pieces)).difference(known))
-        known.update(zip(new, self._encode(new), strict=True))
+        if len(self._young) > self._entries:
+            self._old, self._young = self._young, {}
+        known, old = self._young, self._old
+        missing = []
+        for piece in set(chain.from_iterable(pieces)).difference(known):
+            ids = old.get(piece)
+            if ids is None:
+                missing.append(piece)
+            else:
+                known[piece] = ids
+        known.update(zip(missing, self._encode(missing, self), strict=True))
         out = [b"".join(map(known.__getitem__, own)) for own in pieces]
-        for p in new:
-            if len(p) > LONGEST_CACHED:
-                del known[p]
+        for piece in missing:
+            if len(piece) > LONGEST_CACHED:
+                del known[piece]
         return out
-
