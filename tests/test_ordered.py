@@ -34,8 +34,15 @@ def same(left, right):
     assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10_000, 500])
-def test_surrogate_key_equals_global_row_number(spark, rows_per_bucket):
+@pytest.fixture(autouse=True, params=[8, 1, 23])
+def parts(request, spark):
+    """The same results over any number of ranges, more than rows included."""
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
+def test_surrogate_key_equals_global_row_number(spark):
     df = spark.range(0, 5000, 1, 6).select(
         F.when(F.col("id") % 9 == 0, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(40))).alias("a"),
         F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("ä"), F.col("id"))).alias("b"),
@@ -43,7 +50,7 @@ def test_surrogate_key_equals_global_row_number(spark, rows_per_bucket):
     )
     window = Window.orderBy(F.asc_nulls_last("a"), F.asc_nulls_last("b"), "id")
     expected = df.select(F.row_number().over(window).cast("bigint").alias("sk"), "*")
-    same(surrogate_key(df, ["a", "b", "id"], "sk", rows_per_bucket), expected)
+    same(surrogate_key(df, ["a", "b", "id"], "sk"), expected)
 
 
 @pytest.mark.parametrize(
@@ -63,36 +70,31 @@ def test_surrogate_key_order_types(spark, column):
     expected = df.select(
         F.row_number().over(Window.orderBy(F.asc_nulls_last("v"), "id")).cast("bigint").alias("sk"), "*"
     )
-    same(surrogate_key(df, ["v", "id"], "sk", 150), expected)
+    same(surrogate_key(df, ["v", "id"], "sk"), expected)
 
 
-@pytest.mark.parametrize("marks", [1, 2, 5, 511])
-@pytest.mark.parametrize("rows", [90, 700])
-def test_search_in_tree_and_array(spark, monkeypatch, marks, rows):
-    monkeypatch.setattr(ordered, "MAX_MARKS", marks)
-    df = spark.range(0, rows, 1, 4).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("h"), "id")
-    expected = df.select(F.row_number().over(Window.orderBy("h", "id")).cast("bigint").alias("sk"), "*")
-    same(surrogate_key(df, ["h", "id"], "sk", 23), expected)
-    steps = df.select("id", F.lpad(F.col("id").cast("string"), 4, "0").alias("v"))
-    same(running_max_fill(steps, "v", "id", "none"), running_max_expected(steps, "v", "id", "none"))
+def test_more_ranges_than_rows(spark):
+    df = spark.range(0, 5, 1, 2)
+    assert [tuple(r) for r in surrogate_key(df, ["id"], "sk").orderBy("sk").collect()] == [(i + 1, i) for i in range(5)]
+    ends = version_end_date(df.withColumn("k", F.lit(1)), "k", "id", "e").orderBy("id").collect()
+    assert [r["e"] for r in ends] == [1, 2, 3, 4, None]
 
 
-def test_no_cut_points(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "SAMPLE_PER_BUCKET", 0)
-    df = spark.range(0, 100, 1, 4)
-    assert [tuple(r) for r in surrogate_key(df, ["id"], "sk", 10).orderBy("sk").collect()] == [
-        (i + 1, i) for i in range(100)
-    ]
-    assert version_end_date(df.withColumn("k", F.lit(1)), "k", "id", "e", rows_per_bucket=10).count() == 100
+def test_ties_get_the_same_keys_on_every_call(spark):
+    df = spark.range(0, 4000, 1, 7).select(F.pmod(F.xxhash64("id"), F.lit(5)).alias("v"), F.concat(F.lit("x"), F.col("id")).alias("w"))
+    first = surrogate_key(df, ["v"], "sk")
+    same(surrogate_key(df.repartition(3), ["v"], "sk"), first)
+    keyed = df.withColumn("start", F.lit("2010"))
+    same(version_end_date(keyed.repartition(5), "v", "start", "e"), version_end_date(keyed, "v", "start", "e"))
 
 
-def test_exact_copies_are_spread_and_numbered_once(spark):
+def test_exact_copies_are_spread_and_numbered_once(spark, parts):
     copies = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("v"))
-    layout = ordered._lay_out(copies, ordered._nulls_last([F.col("v")]), 500, "test")
-    sizes = [r["count"] for r in layout.rows.groupBy("__bucket").count().collect()]
-    assert layout.buckets >= 15 and sum(sizes) == 9000
-    assert max(sizes) < 3 * 9000 / layout.buckets
-    keyed = surrogate_key(copies, ["v"], "sk", 500)
+    rows = ordered._lay_out(copies, [F.asc_nulls_last("v")], ["v"], "test")
+    sizes = [r["count"] for r in rows.groupBy("__part").count().collect()]
+    assert len(sizes) >= 0.8 * parts and sum(sizes) == 9000
+    assert max(sizes) < 3 * 9000 / parts
+    keyed = surrogate_key(copies, ["v"], "sk")
     stats = keyed.agg(F.countDistinct("sk"), F.min("sk"), F.max("sk"), F.count("*")).first()
     assert tuple(stats) == (9000, 1, 9000, 9000)
     assert keyed.filter("v = 1").agg(F.max("sk")).first()[0] == keyed.filter("v = 1").count() + keyed.filter(
@@ -109,11 +111,10 @@ def test_empty_and_single_row(spark):
     assert surrogate_key(one, ["v"], "sk").first() == (1, 5, "a")
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10_000, 400])
-def test_next_version_equals_lead(versions, rows_per_bucket):
+def test_next_version_equals_lead(versions):
     window = Window.partitionBy("key").orderBy(F.asc_nulls_last("start"), "tie")
     expected = versions.withColumn("end", F.lead("start").over(window))
-    same(version_end_date(versions, "key", "start", "end", ["tie"], rows_per_bucket), expected)
+    same(version_end_date(versions, "key", "start", "end", ["tie"]), expected)
 
 
 def test_next_version_of_texts_that_are_no_valid_unicode(spark):
@@ -123,12 +124,12 @@ def test_next_version_of_texts_that_are_no_valid_unicode(spark):
     )
     window = Window.partitionBy("key").orderBy("start")
     expected = df.withColumn("end", F.lead("start").over(window))
-    same(version_end_date(df, "key", "start", "end", rows_per_bucket=50), expected)
+    same(version_end_date(df, "key", "start", "end"), expected)
 
 
 def test_exactly_one_open_version_among_copies(spark):
     copies = spark.range(2000).select(F.lit("p").alias("key"), F.lit("2010").alias("start"))
-    ended = version_end_date(copies, "key", "start", "end", rows_per_bucket=100)
+    ended = version_end_date(copies, "key", "start", "end")
     assert ended.filter("end IS NULL").count() == 1
     assert ended.filter("end = '2010'").count() == 1999
 
@@ -140,8 +141,7 @@ def running_max_expected(df, value, key, default):
     return df.withColumn(value, F.coalesce(so_far, F.lit(default)))
 
 
-@pytest.mark.parametrize(("max_steps", "rows_per_bucket"), [(4096, 10_000), (5, 10_000), (5, 300)])
-def test_running_max_equals_global_window(spark, max_steps, rows_per_bucket):
+def test_running_max_equals_global_window(spark):
     noise = F.pmod(F.xxhash64("id"), F.lit(400))
     df = spark.range(0, 4000, 1, 6).select(
         # repeated and missing keys, one key holding a third of the rows
@@ -152,7 +152,7 @@ def test_running_max_equals_global_window(spark, max_steps, rows_per_bucket):
             F.lpad((F.col("id") / 20 + noise / 40).cast("int").cast("string"), 5, "0")
         ).alias("v"),
     )
-    got = running_max_fill(df, "v", "k", "none", max_steps=max_steps, rows_per_bucket=rows_per_bucket)
+    got = running_max_fill(df, "v", "k", "none")
     same(got, running_max_expected(df, "v", "k", "none"))
 
 

@@ -59,7 +59,7 @@ def test_cleaning_needs_no_shuffle(spark, name):
     assert not re.search(r"Exchange (hash|range|Single|RoundRobin)", text)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry.queries()[name](spark, SMALL))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|CartesianProduct|NestedLoop", text)
@@ -113,28 +113,22 @@ def big(spark):
 
 
 @pytest.mark.parametrize(
-    "build",
+    ("build", "moves"),
     [
-        lambda df: surrogate_key(df, ["v"], "sk", rows_per_bucket=300),
-        lambda df: version_end_date(df, "g", "v", "e", rows_per_bucket=300),
-        lambda df: running_max_fill(df, "v", "id", max_steps=10, rows_per_bucket=300),
+        (lambda df: surrogate_key(df, ["v"], "sk"), 0),
+        (lambda df: version_end_date(df, "g", "v", "e"), 1),
+        (lambda df: running_max_fill(df, "v", "id"), 1),
     ],
     ids=["surrogate key", "version end", "running max"],
 )
-def test_global_order_shuffles_rows_once_and_into_many_tasks(spark, build):
+def test_sorted_rows_move_once_at_most_and_into_many_tasks(spark, build, moves):
     text = plan(build(big(spark)))
-    assert text.count("REPARTITION_BY_NUM") == 1
+    assert text.count("REPARTITION_BY_NUM") == moves
     rows_side, *summary_side = text.split("BroadcastExchange")
     assert "SinglePartition" not in rows_side
-    # only the table with one row per bucket is brought together, where there is one
-    for summary in summary_side:
-        assert summary.index("SinglePartition") < re.search(r"Aggregate\(keys?=\[", summary).start()
-
-
-def test_running_max_with_few_values_does_not_move_rows(spark):
-    df = spark.range(0, 4000, 1, 6).select("id", (F.col("id") % 90).cast("string").alias("v"))
-    text = plan(running_max_fill(df, "v", "id", "x"))
-    assert "Exchange" not in text and "Sort" not in text
+    # only the table with one row per partition is brought together
+    assert len(summary_side) == 1
+    assert summary_side[0].index("SinglePartition") < re.search(r"Aggregate\(keys?=\[", summary_side[0]).start()
 
 
 def hot_sales(spark, lines):
@@ -187,7 +181,7 @@ def test_hot_customer_number_is_split_in_the_dimension(no_broadcast):
     places = keys.select("cid", F.lit("France").alias("cntry"))
     chained = lookup_join(lookup_join(customers, people, "cst_key", "cid"), places, "cst_key", "cid")
     assert "SortMergeJoin(skew=true)" in ran(chained)[1].split("Initial Plan")[0]
-    dimension = gold.dim_customers(customers, people, places, rows_per_bucket=4000)
+    dimension = gold.dim_customers(customers, people, places)
     rows = dimension.collect()
     assert sorted(r["customer_key"] for r in rows) == list(range(1, 30_001))
     assert all(r["customer_key"] == r["customer_id"] + 1 for r in rows)

@@ -27,7 +27,7 @@ def last(value):
 @given(st.lists(st.tuples(keys, starts), max_size=60))
 def test_surrogate_key(spark, data):
     df = spark.createDataFrame([(i, *row) for i, row in enumerate(data)], "i int, k string, s string")
-    got = sorted(tuple(r) for r in surrogate_key(df, ["k", "s", "i"], "sk", rows_per_bucket=7).collect())
+    got = sorted(tuple(r) for r in surrogate_key(df, ["k", "s", "i"], "sk").collect())
     ordered = sorted(enumerate(data), key=lambda r: (last(r[1][0]), last(r[1][1]), r[0]))
     assert got == [(n + 1, i, *row) for n, (i, row) in enumerate(ordered)]
 
@@ -36,7 +36,7 @@ def test_surrogate_key(spark, data):
 @given(st.lists(st.tuples(keys, starts), max_size=60))
 def test_version_end(spark, data):
     df = spark.createDataFrame([(i, *row) for i, row in enumerate(data)], "i int, k string, s string")
-    got = {r["i"]: r["e"] for r in version_end_date(df, "k", "s", "e", ["i"], rows_per_bucket=7).collect()}
+    got = {r["i"]: r["e"] for r in version_end_date(df, "k", "s", "e", ["i"]).collect()}
     expected = {}
     for key in {row[0] for row in data}:
         versions = sorted(((i, s) for i, (k, s) in enumerate(data) if k == key), key=lambda v: (last(v[1]), v[0]))
@@ -46,10 +46,10 @@ def test_version_end(spark, data):
 
 
 @few
-@given(st.lists(st.tuples(keys, starts), max_size=60), st.sampled_from([2, 4096]))
-def test_running_max(spark, data, max_steps):
+@given(st.lists(st.tuples(keys, starts), max_size=60))
+def test_running_max(spark, data):
     df = spark.createDataFrame([(i, *row) for i, row in enumerate(data)], "i int, k string, s string")
-    filled = running_max_fill(df, "s", "k", "none", max_steps=max_steps, rows_per_bucket=7)
+    filled = running_max_fill(df, "s", "k", "none")
     got = {r["i"]: r["s"] for r in filled.collect()}
     usable = [(i, k, None if s == "NaN" else s) for i, (k, s) in enumerate(data)]
     best, expected = None, {}

@@ -1,208 +1,104 @@
 """Operators that need one order over a whole table: row numbers, running maximum, next version.
 
-A window without partition columns (or with one hot partition) sends everything to one task. Here the table
-is cut into ranges of the order instead:
-
-1. The input is written once to scratch, so every later pass sees the same rows, and each row has a position
-   (file, row in file) that makes the order total even among exact copies.
-2. Some rows are sampled, evenly over the order, as cut points; a cut point is the first row of its range.
-3. ``bucket`` is the number of cut points at or before a row: a pure function of the row, so a recomputed task
-   agrees with the first attempt. One shuffle sends each bucket to its own partition.
-4. A window per bucket does the local work. What other buckets contribute comes from the cut points, or from a
-   table with one row per bucket: at most ``MAX_BUCKETS`` rows, hence its broadcast.
+A window without partition columns (or with one hot partition) sends everything to one task. Here Spark's own
+sort deals the rows over partitions by ranges of a total order:
+
+1. The input is written once to scratch, so that sampling, sorting and repeated tasks see the same rows.
+2. The rows are sorted by the order asked for, then by all remaining columns, then by their place in the stored input. Only
+   exact copies are told apart by the place, so which of them gets which key makes no difference, and they are
+   spread like any other rows.
+3. The sorted rows are written with the number of their partition and their number in it.
+4. What earlier or later partitions contribute comes from a table with one row per partition, hence its broadcast.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiermill.sources.scratch import materialize
 
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 8_192
-SAMPLE_PER_BUCKET = 20
-MAX_STEPS = 4_096
-MAX_MARKS = 511
-
-_BUCKET = "__bucket"
-_POSITION = ("__place_file", "__place_row")
+_PART = "__part"
+_ROW = "__row"
+_PLACE = "__place"
 
 # monotonically_increasing_id keeps the row's place within its partition in the lower 33 bits
 _ROW_IN_PARTITION = (1 << 33) - 1
 
-# Full precision in both directions, so that values survive the way into a literal unchanged.
-_JSON = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-
-
-def _as_json(value: Column | str) -> Column:
-    return F.to_json(value, _JSON)
-
-
-def _nulls_last(columns: Sequence[Column]) -> list[Column]:
-    """Struct fields that compare like the columns in ascending order with NULLs last."""
-    fields = []
-    for i, column in enumerate(columns):
-        fields += [column.isNull().alias(f"k{i}_null"), column.alias(f"k{i}")]
-    return fields
-
-
-@dataclass(frozen=True)
-class _Ladder:
-    """An ascending list of structs, each as JSON, that becomes part of the plan as literals."""
-
-    steps: list[str]
-    step_type: str
-
-    def array(self) -> Column:
-        return F.from_json(F.lit(f"[{','.join(self.steps)}]"), f"array<{self.step_type}>", _JSON)
-
-    def _step(self, i: int) -> Column:
-        return F.from_json(F.lit(self.steps[i]), self.step_type, _JSON)
-
-    def reached(self, place: Column, compare: Callable[[Column, Column], Column]) -> Column:
-        """Number of leading steps for which ``compare(step, place)`` holds, by binary search.
-
-        The upper part of the search is a tree of comparisons, which Spark compiles; only what is left between
-        two of its marks is searched in the array.
-        """
-        stride = 1
-        while len(self.steps) // stride > MAX_MARKS:
-            stride *= 2
-
-        def tree(low: int, high: int) -> Column:
-            if low == high:
-                return F.lit(low * stride)
-            middle = (low + high) // 2
-            passed = compare(self._step((middle + 1) * stride - 1), place)
-            return F.when(passed, tree(middle + 1, high)).otherwise(tree(low, middle))
-
-        marks_passed = tree(0, len(self.steps) // stride)
-        if stride == 1:
-            return marks_passed
-        array = self.array()
-        strides = [1 << i for i in reversed(range(stride.bit_length() - 1))]
-
-        def search(here: Column) -> Column:
-            return F.aggregate(
-                F.lit(strides),
-                marks_passed,
-                lambda found, more: F.when(compare(F.get(array, found + more - 1), here), found + more).otherwise(
-                    found
-                ),
-            )
-
-        # the one-element array builds the place once per row instead of once per comparison
-        return F.get(F.transform(F.array(place), search), F.lit(0))
+_UNORDERED = ("map", "variant", "interval")
 
 
-@dataclass(frozen=True)
-class _Layout:
-    """A stored table with the fields of its total order, its range bucket and the first rows of the ranges."""
+def _remaining(df: DataFrame, used: Sequence[str]) -> list[str]:
+    """Columns that can break ties."""
+    return [n for n, kind in df.dtypes if n not in used and not any(word in kind for word in _UNORDERED)]
 
-    rows: DataFrame
-    order: list[Column]
-    buckets: int
-    cuts: _Ladder | None = None
 
-    def spread(self) -> DataFrame:
-        return self.rows.repartitionById(self.buckets, F.col(_BUCKET))
+def _parts(df: DataFrame) -> int:
+    """Number of ranges: that of shuffle partitions, whatever the size of the table."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(_BUCKET).orderBy(*self.order)
 
-    def per_bucket(self, aggregate: Column, over: Callable[[Column], Column], name: str) -> DataFrame:
-        """One row per bucket: what ``over`` carries across buckets from one aggregate of each."""
-        summary = self.rows.groupBy(_BUCKET).agg(aggregate.alias("__summary"))
-        return summary.select(_BUCKET, over(F.col("__summary")).alias(name))
+def _lay_out(df: DataFrame, order: Sequence[Column], used: Sequence[str], label: str) -> DataFrame:
+    """The rows in scratch, with the number of their sorted partition and their number in it."""
+    stored = materialize(df, label).df.withColumn(_PLACE, F.monotonically_increasing_id())
+    ties = [F.asc_nulls_last(f"`{c}`") for c in _remaining(df, used)]
+    total = [*order, *ties, F.asc(_PLACE)]
+    ordered = stored.repartitionByRange(_parts(df), *total).sortWithinPartitions(*total).drop(_PLACE)
+    numbered = ordered.select(
+        "*",
+        F.spark_partition_id().alias(_PART),
+        F.monotonically_increasing_id().bitwiseAND(_ROW_IN_PARTITION).alias(_ROW),
+    )
+    return materialize(numbered, f"{label}-ordered").df
 
 
-def _earlier_buckets() -> WindowSpec:
-    return Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+def _per_part(rows: DataFrame, over: Callable[[], Column], name: str, **aggregates: Column) -> DataFrame:
+    """One row per partition: its number and what ``over`` makes of the aggregates of other partitions."""
+    summary = rows.groupBy(_PART).agg(*[column.alias(f"__{key}") for key, column in aggregates.items()])
+    return summary.select(_PART, over().alias(name))
 
 
-def _carry(rows: DataFrame, per_bucket: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(per_bucket), _BUCKET, "left")
+def _earlier_parts():
+    return Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _lay_out(df: DataFrame, order: Sequence[Column], rows_per_bucket: int, label: str) -> _Layout:
-    stored = materialize(df, label)
-    rows = stored.df.select(
-        "*",
-        F.xxhash64("_metadata.file_name").alias(_POSITION[0]),
-        F.col("_metadata.row_index").alias(_POSITION[1]),
-    )
-    order = [*order, *[F.col(c) for c in _POSITION]]
-    whole = _Layout(rows.withColumn(_BUCKET, F.lit(0)), order, 1)
-    buckets = min(MAX_BUCKETS, max(1, math.ceil(stored.rows / rows_per_bucket)))
-    if buckets == 1:
-        return whole
+def _within_part(rows: DataFrame):
+    """The rows of each partition in one task again, and their order."""
+    return rows.repartitionById(_parts(rows), F.col(_PART)), Window.partitionBy(_PART).orderBy(_ROW)
 
-    place = F.struct(*order)
-    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / stored.rows)
-    every = max(1, round(fraction * stored.rows / buckets))
-    sample = rows.select(place.alias("place")).sample(fraction=fraction, seed=17)
-    place_type = sample.schema["place"].dataType.simpleString()
-    # a cut point has to be a row of the table, so only places that JSON gives back unchanged can be one
-    exact = F.from_json(_as_json("place"), place_type, _JSON).eqNullSafe(F.col("place"))
-    sampled = sample.filter(exact).agg(F.sort_array(F.collect_list("place")).alias("sampled"))
-    chosen = F.filter("sampled", lambda _, i: i % every == every - 1)
-    cuts = _Ladder(sampled.select(F.transform(chosen, _as_json)).first()[0], place_type)
-    if not cuts.steps:
-        return whole
-    bucket = cuts.reached(place, lambda cut, here: cut <= here)
-    return _Layout(rows.withColumn(_BUCKET, bucket), order, len(cuts.steps) + 1, cuts)
 
-
-def surrogate_key(
-    df: DataFrame, order_by: Sequence[str], name: str, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """Prepend a dense key 1..n in ascending order of ``order_by``, NULLs last."""
-    layout = _lay_out(df, _nulls_last([F.col(c) for c in order_by]), rows_per_bucket, name)
-    # one bucket per partition, so the place of a row in its sorted partition is its place in the bucket
-    placed = layout.spread().sortWithinPartitions(
-        *[F.asc_nulls_last(c) for c in order_by], *layout.order[-len(_POSITION) :]
-    )
-    numbered = placed.withColumn(name, F.monotonically_increasing_id().bitwiseAND(_ROW_IN_PARTITION) + 1)
-    if layout.buckets > 1:
-        offsets = layout.per_bucket(
-            F.count(F.lit(1)), lambda size: F.sum(size).over(_earlier_buckets()), "__offset"
-        )
-        numbered = _carry(numbered, offsets).withColumn(
-            name, F.col(name) + F.coalesce("__offset", F.lit(0))
-        )
-    return numbered.select(name, *df.columns)
+def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+    """Prepend a dense key 1..n in ascending order of ``order_by``, NULLs last; all other columns break ties."""
+    rows = _lay_out(df, [F.asc_nulls_last(c) for c in order_by], order_by, name)
+    before = _per_part(rows, lambda: F.sum("__size").over(_earlier_parts()), "__before", size=F.count(F.lit(1)))
+    keyed = rows.join(F.broadcast(before), _PART)
+    key = F.col(_ROW) + 1 + F.coalesce("__before", F.lit(0))
+    return keyed.withColumn(name, key).select(name, *[c for c in df.columns if c != name])
 
 
 def version_end_date(
-    df: DataFrame,
-    key: str,
-    start: str,
-    name: str,
-    tiebreak: Sequence[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    df: DataFrame, key: str, start: str, name: str, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
     """Add the start of the next version of the same key; NULL for the last one.
 
-    Versions of one key are ordered by ``start`` (NULLs last), then ``tiebreak``. Ranges run across keys, so
-    the versions of one hot key are spread over many tasks.
+    Versions of one key are ordered by ``start`` (NULLs last), then ``tiebreak``, then all other columns. Sorted
+    partitions run across keys, so the versions of one hot key are spread over many tasks.
     """
-    order = _nulls_last([F.col(c) for c in (key, start, *tiebreak)])
-    layout = _lay_out(df, order, rows_per_bucket, name)
+    used = [key, start, *tiebreak]
+    rows = _lay_out(df, [F.asc_nulls_last(c) for c in used], used, name)
     version = F.struct(F.col(key).alias("key"), F.col(start).alias("start"))
-    following = layout.spread().withColumn("__next", F.lead(version).over(layout.window()))
-    if layout.cuts is not None:
-        # the last row of a bucket is followed by the first row of the next one
-        head = F.get(layout.cuts.array(), F.col(_BUCKET))
-        after = F.when(head.isNotNull(), F.struct(head["k0"].alias("key"), head["k1"].alias("start")))
-        following = following.withColumn("__next", F.coalesce("__next", after))
+    # the last row of a partition is followed by the first row of the next one
+    heads = _per_part(
+        rows,
+        lambda: F.lead("__head").over(Window.orderBy(_PART)),
+        "__after",
+        head=F.min_by(version, F.col(_ROW)),
+    )
+    spread, window = _within_part(rows)
+    following = spread.join(F.broadcast(heads), _PART).withColumn("__next", F.lead(version).over(window))
+    following = following.withColumn("__next", F.coalesce("__next", "__after"))
     end = F.when(F.col("__next.key").eqNullSafe(F.col(key)), F.col("__next.start"))
     return following.withColumn(name, end).select(*dict.fromkeys([*df.columns, name]))
 
@@ -213,75 +109,19 @@ def running_max_fill(
     order_by: str,
     default: str | None = None,
     invalid: Sequence[str] = ("NaN",),
-    max_steps: int = MAX_STEPS,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Replace ``value`` by the largest valid value seen so far in ascending order of ``order_by``.
 
     NULL and the ``invalid`` texts do not count; rows before the first valid value get ``default``. Rows equal
-    in ``order_by`` are taken in ascending order of the value, missing ones first.
-
-    The running maximum is a staircase that can only step at the first row of some distinct value. As long as
-    there are at most ``max_steps`` distinct values, one aggregation finds the steps and every row looks its
-    step up in place: the table itself is neither shuffled nor sorted. With more values the table is cut into
-    ranges of the order.
+    in ``order_by`` are taken in ascending order of the value, missing ones first, then by all other columns.
     """
     usable = F.when(F.col(value).isNotNull() & ~F.col(value).isin(list(invalid)), F.col(value))
-    place = F.struct(*_nulls_last([F.col(order_by)]))
-    steps = _staircase(df, usable, place, max_steps)
-    if steps is None:
-        filled = _running_max_by_range(df, usable, order_by, rows_per_bucket)
-    else:
-        reached = steps.reached(place, lambda step, here: step["first"] < here)
-        best = F.get(steps.array(), reached - 1)["value"]
-        filled = df.withColumn("__filled", F.greatest(usable, best) if steps.steps else usable)
+    order = [F.asc_nulls_last(order_by), usable.asc_nulls_first()]
+    rows = _lay_out(df, order, [order_by], "running-max")
+    carried = _per_part(rows, lambda: F.max("__best").over(_earlier_parts()), "__carried", best=F.max(usable))
+    spread, window = _within_part(rows)
+    so_far = F.max(usable).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    filled = spread.join(F.broadcast(carried), _PART).withColumn("__filled", F.greatest(so_far, F.col("__carried")))
     if default is not None:
         filled = filled.withColumn("__filled", F.coalesce("__filled", F.lit(default)))
     return filled.withColumn(value, F.col("__filled")).select(*df.columns)
-
-
-def _staircase(df: DataFrame, usable: Column, place: Column, max_steps: int) -> _Ladder | None:
-    """Steps of the running maximum, or None when there are too many values."""
-    first_seen = (
-        df.select(usable.alias("value"), place.alias("place"))
-        .filter(F.col("value").isNotNull())
-        .groupBy("value")
-        .agg(F.min("place").alias("first"))
-        .limit(max_steps + 1)
-    )
-    so_far = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = first_seen.select(
-        "first",
-        "value",
-        F.max("value").over(so_far).alias("best"),
-        F.count(F.lit(1)).over(Window.partitionBy()).alias("distinct_values"),
-    )
-    ladder = ranked.filter(F.col("value") == F.col("best")).agg(
-        F.max("distinct_values").alias("distinct_values"),
-        F.sort_array(F.collect_list(F.struct("first", "value"))).alias("steps"),
-    )
-    step_type = ladder.schema["steps"].dataType.elementType.simpleString()
-    same = F.forall("steps", lambda step: F.from_json(_as_json(step), step_type, _JSON).eqNullSafe(step))
-    distinct_values, steps, exact = ladder.select(
-        "distinct_values", F.transform("steps", _as_json), same
-    ).first()
-    if (distinct_values or 0) > max_steps or not exact:
-        return None
-    return _Ladder(steps, step_type)
-
-
-def _running_max_by_range(df: DataFrame, usable: Column, order_by: str, rows_per_bucket: int) -> DataFrame:
-    order = [
-        *_nulls_last([F.col(order_by)]),
-        usable.isNotNull().alias("value_present"),
-        usable.alias("value"),
-    ]
-    layout = _lay_out(df, order, rows_per_bucket, "running-max")
-    so_far = layout.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = layout.spread().withColumn("__filled", F.max(usable).over(so_far))
-    if layout.buckets > 1:
-        carried = layout.per_bucket(
-            F.max(usable), lambda best: F.max(best).over(_earlier_buckets()), "__carried"
-        )
-        filled = _carry(filled, carried).withColumn("__filled", F.greatest("__filled", "__carried"))
-    return filled

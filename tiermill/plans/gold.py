@@ -8,16 +8,11 @@ from pyspark.sql import functions as F
 from tiermill.functions.cleaning import prefer_master
 from tiermill.operators.conform import conform
 from tiermill.operators.lookup import lookup_join, lookup_key
-from tiermill.operators.ordered import ROWS_PER_BUCKET, surrogate_key
+from tiermill.operators.ordered import surrogate_key
 from tiermill.plans.schemas import GOLD, MEASURE, with_measures
 
 
-def dim_customers(
-    customers: DataFrame,
-    demographics: DataFrame,
-    locations: DataFrame,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
+def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
     """Customers with demographics and country, numbered by customer id."""
     people = demographics.select("cid", "bdate", "gen")
     places = locations.select("cid", "cntry")
@@ -33,16 +28,11 @@ def dim_customers(
         F.col("bdate").alias("birthdate"),
         F.col("cst_create_date").alias("create_date"),
     )
-    keyed = surrogate_key(renamed, ["customer_id", "customer_number"], "customer_key", rows_per_bucket)
+    keyed = surrogate_key(renamed, ["customer_id", "customer_number"], "customer_key")
     return conform(keyed, GOLD["dim_customers"])
 
 
-def dim_products(
-    products: DataFrame,
-    categories: DataFrame,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    measure: str = MEASURE,
-) -> DataFrame:
+def dim_products(products: DataFrame, categories: DataFrame, measure: str = MEASURE) -> DataFrame:
     """Current product versions with their category, numbered by start date and product number."""
     current = products.filter(F.col("prd_end_dt").isNull())
     groups = categories.select("id", "cat", "subcat", "maintenance")
@@ -59,7 +49,7 @@ def dim_products(
         F.col("prd_start_dt").alias("start_date"),
     )
     order = ["start_date", "product_number", "product_id"]
-    keyed = surrogate_key(renamed, order, "product_key", rows_per_bucket)
+    keyed = surrogate_key(renamed, order, "product_key")
     return conform(keyed, with_measures(GOLD["dim_products"], measure))
 
 

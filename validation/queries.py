@@ -327,8 +327,7 @@ def surrogate_key_customer(t: Tables) -> DataFrame:
 
 @query()
 def surrogate_key_part(t: Tables) -> DataFrame:
-    # ranges small enough that the test tables need several of them
-    return surrogate_key(t.table("part"), ["p_type", "p_partkey"], "part_key", rows_per_bucket=250)
+    return surrogate_key(t.table("part"), ["p_type", "p_partkey"], "part_key")
 
 
 @query()
