@@ -17,12 +17,16 @@ from tiermill.operators import (
     lookup_key,
     non_negative,
     orphan_keys,
+    repeated_keys,
     require_key,
     require_non_empty,
+    row_difference,
     stamp,
     unique_not_null,
+    unparsed,
     valid_date_int,
 )
+from tiermill.operators.quality import missing_or_negative, rows_where, values_outside
 
 
 def rows(df):
@@ -72,13 +76,16 @@ def test_conform(spark):
     assert got.dtypes == [("c", "date"), ("a", "bigint"), ("b", "double")]
     assert rows(got) == rows(spark.createDataFrame([(dt.date(2025, 1, 2), 1, 2.5), (None, 20101229, None)], "c date, a bigint, b double"))
     bad = spark.createDataFrame([("x",)], "a string")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="not a whole number: x"):
         conform(bad, {"a": "bigint"}).collect()
     assert conform(bad, {"a": "bigint"}, strict=False).first()[0] is None
-    fraction = spark.createDataFrame([("1.5",)], "a string")
-    with pytest.raises(Exception, match="not a whole number: 1.5"):
-        conform(fraction, {"a": "bigint"}).collect()
-    assert conform(fraction, {"a": "bigint"}, strict=False).first()[0] is None
+    for text in ("1.5", "20101229.0000004", "1.0000000000000000000000001", "99999999999999999999", "1e3"):
+        fraction = spark.createDataFrame([(text,)], "a string")
+        with pytest.raises(Exception, match="not a whole number: " + text):
+            conform(fraction, {"a": "bigint"}).collect()
+        assert conform(fraction, {"a": "bigint"}, strict=False).first()[0] is None
+    whole = spark.createDataFrame([(" -7. ",), ("+20101229.000",), (None,)], "a string")
+    assert rows(conform(whole, {"a": "int"})) == [(-7,), (20101229,), (None,)]
 
 
 def test_stamp_is_one_constant(spark):
@@ -133,6 +140,39 @@ def test_valid_date_int_reports(spark, number):
     assert valid_date_int(df, "d", (19000101, 20500101)).first()[0] == (number or None)
 
 
+@pytest.mark.parametrize("bounds", [(0, 20500101), (20500101, 19000101), (19000101, 205001011)])
+def test_date_bounds_have_eight_digits(spark, bounds):
+    with pytest.raises(ValueError, match="eight digits"):
+        valid_date_int(spark.createDataFrame([(1,)], "d bigint"), "d", bounds)
+
+
+def test_lookup_checks(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    assert rows(repeated_keys(df, "k")) == [("a", 2)]
+    assert row_difference(df, df).isEmpty()
+    assert rows(row_difference(df, df.limit(2))) == [(5, 2)]
+    dates = spark.createDataFrame([("2020-01-01",), ("x",), (None,)], "d string")
+    assert rows(unparsed(dates, "d", F.col("d").try_cast("date"))) == [("x",)]
+
+
+def test_checks_of_one_table_share_a_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", -1.0), ("z", None), (None, 2.0)], "k string, v double").write.parquet(path)
+    df = spark.read.parquet(path)
+    report = dq_report(
+        [
+            Check("domain", "t", rows=df, count=values_outside("k", ["a"])),
+            Check("positive", "t", rows=df, count=rows_where(missing_or_negative("v"))),
+            Check("unique", "t", unique_not_null(df, "k")),
+        ]
+    )
+    assert rows(report) == [("domain", "t", 2, False), ("positive", "t", 2, False), ("unique", "t", 1, False)]
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    empty = df.limit(0)
+    assert rows(dq_report([Check("domain", "t", rows=empty, count=values_outside("k", ["a"]))])) == [("domain", "t", 0, True)]
+
+
 def test_orphans(spark):
     customers = spark.createDataFrame([(1,), (2,)], "customer_key int")
     products = spark.createDataFrame([(7,), (8,), (8,)], "product_key int")

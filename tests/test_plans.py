@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.oracle_check import rows_of
 from tiermill.functions import codes
-from tiermill.operators import in_domain, lookup_join, non_negative, valid_date_int
+from tiermill.operators import orphan_keys, in_domain, lookup_join, non_negative, valid_date_int
 from tiermill.operators.ordered import running_max_fill, surrogate_key, version_end_date
 from tiermill.plans import gold, silver
 from tiermill.plans.schemas import BRONZE, SILVER
@@ -188,6 +188,23 @@ def test_hot_customer_number_is_split_in_the_dimension(no_broadcast):
     assert sum(r["country"] == "France" for r in rows) == 10_000
 
 
+def test_orphans_are_found_without_moving_the_fact(spark, tmp_path):
+    facts = spark.range(0, 50_000, 1, 4).select(F.col("id").alias("customer_key"), (F.col("id") % 700).alias("product_key"))
+    facts.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    dimensions = {
+        "customer_key": (spark.range(10, 60_000).withColumnRenamed("id", "customer_key"), "customer_key"),
+        "product_key": (spark.range(699).withColumnRenamed("id", "product_key"), "product_key"),
+    }
+    rows, text = ran(orphan_keys(fact, dimensions, strict=True))
+    assert len(rows) == 10 + 50_000 // 700
+    final = text.split("Initial Plan")[0]
+    # rows with a missing key are picked before the first exchange of the fact
+    fact_side = final[final.index("customer_key#") :]
+    assert "SortMergeJoin" not in fact_side[: fact_side.index("FileScan parquet")].split("BroadcastHashJoin [customer_key")[-1]
+    assert final.count("BroadcastHashJoin [customer_key") >= 1 and final.count("BroadcastHashJoin [product_key") >= 1
+
+
 def test_results_do_not_depend_on_partitions(spark):
     names = ("silver_customers", "silver_products", "gold_customers", "gold_products")
     before = spark.conf.get("spark.sql.shuffle.partitions")

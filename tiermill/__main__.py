@@ -21,6 +21,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--as-of", help="date that counts as today, YYYY-MM-DD")
     parser.add_argument("--measure", default=MEASURE, help="type of amounts, such as decimal(18,4)")
     parser.add_argument("--on-missing", choices=("error", "empty"), default="error")
+    parser.add_argument("--on-null-key", choices=("drop", "fail"), default="drop")
+    parser.add_argument("--on-invalid", choices=("null", "default", "error"), default="null", help="dates that are none")
+    parser.add_argument("--only-if-prefix", help="cut the prefix of ERP customer ids only if it is this text")
+    parser.add_argument("--run-ts", help="load time, YYYY-MM-DD HH:MM:SS")
     parser.add_argument("--enforce", action="store_true", help="fail when a quality check fails")
     chosen = parser.parse_args(arguments)
 
@@ -32,6 +36,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
         as_of=chosen.as_of,
         on_missing=chosen.on_missing,
         measure=chosen.measure,
+        on_null_key=chosen.on_null_key,
+        on_invalid=chosen.on_invalid,
+        only_if_prefix=chosen.only_if_prefix,
+        run_ts=chosen.run_ts,
     )
     result.report.to_df(spark).show(truncate=False)
     result.quality.show(truncate=False)

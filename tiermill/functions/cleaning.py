@@ -151,9 +151,19 @@ def strip_prefix(
     return F.when(applies, F.substr(text, F.lit(length + 1))).otherwise(text)
 
 
-def null_future_dates(value: Column | str, as_of: date | str | None = None) -> Column:
-    """Parse a date and blank it out when it lies after ``as_of`` (today when not given)."""
-    day = _column(value).try_cast("date")
+def null_future_dates(
+    value: Column | str, as_of: date | str | None = None, on_invalid: str = "null"
+) -> Column:
+    """Parse a date and blank it out when it lies after ``as_of`` (today when not given).
+
+    A text that is no date becomes NULL, or fails the job with ``on_invalid="error"``.
+    """
+    _check_choice("on_invalid", on_invalid, ("null", "error"))
+    text = _column(value)
+    day = text.try_cast("date")
+    if on_invalid == "error":
+        wrong = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")
+        day = F.when(text.isNotNull() & day.isNull(), wrong).otherwise(day)
     limit = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     return F.when(day <= limit, day)
 

@@ -11,7 +11,10 @@ from tiermill.operators.quality import (
     in_domain,
     non_negative,
     orphan_keys,
+    repeated_keys,
+    row_difference,
     unique_not_null,
+    unparsed,
     valid_date_int,
 )
 
@@ -27,11 +30,14 @@ __all__ = [
     "non_negative",
     "orphan_keys",
     "require_key",
+    "repeated_keys",
     "require_non_empty",
+    "row_difference",
     "running_max_fill",
     "stamp",
     "surrogate_key",
     "unique_not_null",
+    "unparsed",
     "valid_date_int",
     "version_end_date",
 ]

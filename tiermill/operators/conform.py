@@ -23,15 +23,16 @@ def _convert(name: str, source: str, target: str, strict: bool) -> Column:
 
 
 def _whole_number(text: Column, target: str, strict: bool) -> Column:
-    """Whole number from text that may carry a trailing ``.0``, as exports of nullable numbers do."""
-    number = text.cast("decimal(38,6)") if strict else text.try_cast("decimal(38,6)")
-    whole = number.cast(target) if strict else number.try_cast(target)
-    exact = F.when(number == whole, whole)
-    if strict:
-        exact = exact.when(
-            number.isNotNull(), F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(target)
-        )
-    return exact
+    """Whole number from text that may carry a trailing ``.0``, as exports of nullable numbers do.
+
+    The text decides, not a number made of it: any other fraction, however small, is no whole number.
+    """
+    digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)(?:\.0*)?\s*$", 1)
+    whole = F.when(digits != "", digits.try_cast(target))
+    if not strict:
+        return whole
+    wrong = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(target)
+    return F.when(text.isNotNull() & whole.isNull(), wrong).otherwise(whole)
 
 
 def conform(df: DataFrame, columns: Mapping[str, str], strict: bool = True) -> DataFrame:

@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiermill.sources.scratch import materialize
+
 
 def unique_not_null(df: DataFrame, key: str) -> DataFrame:
     """Keys held by more than one row, and NULL even when only one row has it."""
@@ -30,12 +32,35 @@ def non_negative(df: DataFrame, column: str, *show: str) -> DataFrame:
 def valid_date_int(df: DataFrame, column: str, bounds: tuple[int, int], *show: str) -> DataFrame:
     """Rows whose ``YYYYMMDD`` number lies outside ``bounds``; NULL passes.
 
-    Every number inside eight-digit bounds is positive and eight digits long, so the two comparisons cover
-    sign and length as well. Zero is shown as NULL.
+    Both bounds have eight digits, so every number between them is positive and eight digits long, and the two
+    comparisons cover sign and length as well. Zero is shown as NULL.
     """
+    return df.filter(_outside(column, bounds)).select(*show, F.nullif(F.col(column), F.lit(0)).alias(column))
+
+
+def _outside(column: str, bounds: tuple[int, int]) -> Column:
     low, high = bounds
-    wrong = (F.col(column) < low) | (F.col(column) > high)
-    return df.filter(wrong).select(*show, F.nullif(F.col(column), F.lit(0)).alias(column))
+    if not 10_000_000 <= low <= high <= 99_999_999:
+        raise ValueError(f"bounds must be ascending numbers of eight digits, not {bounds!r}")
+    return (F.col(column) < low) | (F.col(column) > high)
+
+
+def unparsed(df: DataFrame, column: str, parsed: Column, *show: str) -> DataFrame:
+    """Rows whose value is there but gives NULL when it is parsed, with the columns in ``show``."""
+    return df.filter(F.col(column).isNotNull() & parsed.isNull()).select(*show, column)
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that several rows have; NULL does not count. A lookup by such a key multiplies rows."""
+    copies = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+    return copies.filter("copies > 1")
+
+
+def row_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row with both sizes when ``left`` and ``right`` differ in their number of rows, else none."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    sizes = count(left, "left_rows").withColumn("one", F.lit(1)).join(count(right, "right_rows").withColumn("one", F.lit(1)), "one")
+    return sizes.filter("left_rows <> right_rows").drop("one")
 
 
 def orphan_keys(
@@ -44,47 +69,104 @@ def orphan_keys(
     """Key combinations of fact rows that miss a dimension, with the number of rows.
 
     ``dimensions`` maps a fact column to (dimension, key column). A combination is reported when a key is NULL
-    or it repeats; with ``strict`` also when it stands alone. The fact is counted per combination before any
-    join, so the joins see each combination once.
+    or it repeats; with ``strict`` also when it stands alone.
+
+    The keys that miss their dimension are found first, from the distinct keys of the fact, and stored: seldom more
+    than a few, so that Spark sees their size and need not move the fact to find its rows. Only rows with a missing
+    key are then counted per combination.
     """
     keys = list(dimensions)
-    pairs = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    orphans = fact.select(*keys)
+    unmatched = []
+    for i, (column, (dimension, key)) in enumerate(dimensions.items()):
+        known = dimension.select(F.col(key).alias("__known")).filter("__known is not null")
+        lost = fact.select(F.col(column).alias(f"__lost{i}")).filter(F.col(f"__lost{i}").isNotNull()).distinct()
+        lost = materialize(lost.join(known, F.col(f"__lost{i}") == F.col("__known"), "left_anti"), "unmatched").df
+        orphans = orphans.join(lost, F.col(column) == F.col(f"__lost{i}"), "left")
+        unmatched += [F.col(f"__lost{i}").isNotNull(), F.col(column).isNull()]
+    orphans = orphans.filter(reduce(lambda a, b: a | b, unmatched))
+    pairs = orphans.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     for i, (column, (dimension, key)) in enumerate(dimensions.items()):
         # matches, not rows: a repeated dimension key must not multiply the intermediate result
         found = dimension.groupBy(F.col(key).alias(f"__key{i}")).agg(F.count(F.lit(1)).alias(f"__rows{i}"))
-        pairs = pairs.join(found, pairs[column] == found[f"__key{i}"], "left")
-    missing = [F.col(f"__key{i}").isNull() for i in range(len(keys))]
+        pairs = pairs.join(found.filter(f"__rows{i} > 1"), pairs[column] == found[f"__key{i}"], "left")
     multiplied = reduce(
         lambda n, i: n * F.coalesce(F.col(f"__rows{i}"), F.lit(1)), range(len(keys)), F.col("copies")
     )
-    orphans = pairs.filter(reduce(lambda a, b: a | b, missing)).select(*keys, multiplied.alias("copies"))
+    pairs = pairs.select(*keys, multiplied.alias("copies"))
     if strict:
-        return orphans
+        return pairs
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return orphans.filter((F.col("copies") > 1) | null_key)
+    return pairs.filter((F.col("copies") > 1) | null_key)
 
 
 @dataclass(frozen=True)
 class Check:
-    """A named check on one table."""
+    """A named check on one table.
+
+    A check of single rows or values also tells how to count its violations in one aggregate over ``rows``; all such
+    checks of one table share a scan.
+    """
 
     name: str
     table: str
-    violations: DataFrame
+    violations: DataFrame | None = None
+    rows: DataFrame | None = None
+    count: Column | None = None
+
+
+def rows_where(condition: Column) -> Column:
+    """Number of rows for which the condition holds."""
+    return F.count_if(F.coalesce(condition, F.lit(False)))
+
+
+def values_outside(column: str, domain: Sequence[str]) -> Column:
+    """Number of distinct values outside ``domain``; NULL counts as one."""
+    value = F.col(column)
+    outside = F.when(~value.isin(list(domain)), value)
+    return F.count_distinct(outside) + F.max(F.when(value.isNull(), 1).otherwise(0))
+
+
+def missing_or_negative(column: str) -> Column:
+    return F.col(column).isNull() | (F.col(column) < 0)
+
+
+def outside_dates(column: str, bounds: tuple[int, int]) -> Column:
+    return _outside(column, bounds)
 
 
 def dq_report(checks: Sequence[Check]) -> DataFrame:
     """One row per check: (check, table, violations, passed). All checks run, none stops the others."""
-    rows = [
-        c.violations.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(c.name).alias("check"),
-            F.lit(c.table).alias("table"),
-            "violations",
-            (F.col("violations") == 0).alias("passed"),
+    reports = []
+    shared: dict[int, list[Check]] = {}
+    for check in checks:
+        if check.count is not None:
+            shared.setdefault(id(check.rows), []).append(check)
+        else:
+            reports.append(_verdict(check, check.violations.agg(F.count(F.lit(1)).alias("violations"))))
+    for own in shared.values():
+        counted = own[0].rows.agg(*[c.count.cast("long").alias(f"n{i}") for i, c in enumerate(own)])
+        listed = F.array(
+            *[
+                F.struct(
+                    F.lit(c.name).alias("check"),
+                    F.lit(c.table).alias("table"),
+                    F.coalesce(f"n{i}", F.lit(0)).alias("violations"),
+                )
+                for i, c in enumerate(own)
+            ]
         )
-        for c in checks
-    ]
-    return reduce(DataFrame.unionByName, rows)
+        reports.append(counted.select(F.inline(listed)).withColumn("passed", F.col("violations") == 0))
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _verdict(check: Check, counted: DataFrame) -> DataFrame:
+    return counted.select(
+        F.lit(check.name).alias("check"),
+        F.lit(check.table).alias("table"),
+        "violations",
+        (F.col("violations") == 0).alias("passed"),
+    )
 
 
 def enforce(report: DataFrame) -> None:

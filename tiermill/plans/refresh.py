@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tiermill.operators.conform import AUDIT_COLUMN, conform, stamp
 from tiermill.operators.dedup import keep_first, require_key
@@ -19,7 +20,7 @@ from tiermill.plans import gold, silver
 from tiermill.plans.checks import store_checks
 from tiermill.plans.schemas import GOLD, MEASURE, SILVER, with_measures
 from tiermill.plans.together import together
-from tiermill.settings import apply_settings
+from tiermill.settings import settings
 from tiermill.sources.extracts import INGEST_ORDER, SOURCES, Source, read_all
 from tiermill.sources.scratch import materialize, scratch_scope
 from tiermill.sources.warehouse import RunReport, Warehouse
@@ -41,10 +42,22 @@ class TableSpec:
 
 
 TABLES = (
-    TableSpec("silver", "crm_cust_info", (("bronze", "crm_cust_info"),), silver.silver_customers),
+    TableSpec("silver", "crm_cust_info", (("bronze", "crm_cust_info"),), silver.silver_customers, ("on_invalid",)),
     TableSpec("silver", "crm_prd_info", (("bronze", "crm_prd_info"),), silver.silver_products, ("measure",)),
-    TableSpec("silver", "crm_sales_details", (("bronze", "crm_sales_details"),), silver.silver_sales, ("measure",)),
-    TableSpec("silver", "erp_cust_az12", (("bronze", "erp_cust_az12"),), silver.silver_erp_customers, ("as_of",)),
+    TableSpec(
+        "silver",
+        "crm_sales_details",
+        (("bronze", "crm_sales_details"),),
+        silver.silver_sales,
+        ("measure", "on_invalid"),
+    ),
+    TableSpec(
+        "silver",
+        "erp_cust_az12",
+        (("bronze", "erp_cust_az12"),),
+        silver.silver_erp_customers,
+        ("as_of", "only_if_prefix", "on_invalid"),
+    ),
     TableSpec("silver", "erp_loc_a101", (("bronze", "erp_loc_a101"),), silver.silver_locations),
     TableSpec("silver", "erp_px_cat_g1v2", (("bronze", "erp_px_cat_g1v2"),), silver.silver_categories),
     TableSpec(
@@ -67,6 +80,21 @@ TABLES = (
         gold.fact_sales,
         ("measure",),
     ),
+    TableSpec(
+        "gold",
+        "flat_sales",
+        (("gold", "fact_sales"), ("gold", "dim_products"), ("gold", "dim_customers")),
+        gold.flat_sales,
+    ),
+    TableSpec(
+        "gold", "sales_by_category", (("gold", "fact_sales"), ("gold", "dim_products")), gold.sales_by_category
+    ),
+    TableSpec(
+        "gold",
+        "sales_by_country_month",
+        (("gold", "fact_sales"), ("gold", "dim_customers")),
+        gold.sales_by_country_month,
+    ),
 )
 
 
@@ -96,7 +124,7 @@ def bronze_rows(
 def run_named(warehouse: Warehouse, layer: str, name: str, **options) -> DataFrame:
     """Build one derived table from the stored tables it reads, without writing it.
 
-    ``options`` are those of a run: ``as_of`` and ``measure``.
+    ``options`` are those of a run: ``as_of``, ``measure``, ``only_if_prefix`` and ``on_invalid``.
     """
     spec = next((t for t in TABLES if (t.layer, t.name) == (layer, name)), None)
     if spec is None:
@@ -135,6 +163,11 @@ class RunResult:
     quality: DataFrame
 
 
+def _keyless(source: Source, extract: DataFrame, rows: Observation) -> DataFrame:
+    """The extract, with a count of its rows that have no key as it passes."""
+    return extract.observe(rows, F.count_if(F.col(source.key).isNull()).alias("keyless"))
+
+
 def run_refresh(
     spark: SparkSession,
     folder: str,
@@ -146,37 +179,52 @@ def run_refresh(
     on_null_key: str = "drop",
     measure: str = MEASURE,
     enforce_quality: bool = False,
+    on_invalid: str = "null",
+    only_if_prefix: str | None = None,
+    keep_versions: int = 1,
 ) -> RunResult:
     """Run everything. An empty derived table stops the run and leaves its previous content in place.
 
-    With ``enforce_quality`` a failed check raises after all checks have run. A missing extract raises here
-    (``on_missing="empty"`` lands an empty table instead). ``measure`` is the type of costs, amounts, quantities
-    and prices: ``decimal(18,4)``, say, keeps them exact.
+    With ``enforce_quality`` a failed check raises after all checks have run, and before earlier contents are deleted;
+    the last ``keep_versions`` of these stay anyway. A missing extract raises here (``on_missing="empty"`` lands an
+    empty table instead). ``measure`` is the type of costs, amounts, quantities and prices: ``decimal(18,4)``, say,
+    keeps them exact. Dates that are none become NULL and are reported; ``on_invalid`` is passed on to the builders.
+    Rows of a keyed extract without a key are left out and reported (``on_null_key="fail"`` stops the run instead).
     """
-    apply_settings(spark)
     run_ts = run_ts or datetime.now()
     report = RunReport()
-    warehouse.init()
+    options = {"as_of": as_of, "measure": measure, "on_invalid": on_invalid, "only_if_prefix": only_if_prefix}
+    without_key: dict[str, int] = {}
 
     def land(item: tuple[str, DataFrame]) -> None:
-        source = sources[item[0]]
-        rows = bronze_rows(source, item[1], on_null_key, measure)
+        source, extract = sources[item[0]], item[1]
+        seen = Observation()
+        if source.key is not None:
+            extract = _keyless(source, extract, seen)
+        rows = bronze_rows(source, extract, on_null_key, measure)
         warehouse.full_refresh(rows, "bronze", source.table, report=report)
+        if source.key is not None:
+            without_key[source.table] = seen.get["keyless"]
 
     def derive(spec: TableSpec) -> None:
-        rows = _build(spec, warehouse.read, {"as_of": as_of, "measure": measure})
+        rows = _build(spec, warehouse.read, options)
         if spec.layer == "silver":
             rows = stamp(rows, run_ts)
         warehouse.full_refresh(rows, spec.layer, spec.name, require_rows=True, report=report)
 
-    with scratch_scope(spark):
-        extracts = read_all(spark, folder, sources, measure, on_missing=on_missing)
-        together(spark, land, extracts.items())
-        for wave in _waves():
-            together(spark, derive, wave)
-    quality = materialize(dq_report(store_checks(warehouse.read)), "quality").df
-    written = [("bronze", s.table) for s in sources.values()] + [(t.layer, t.name) for t in TABLES]
-    together(spark, lambda table: warehouse.drop_superseded(*table), written)
-    if enforce_quality:
-        enforce(quality)
+    with settings(spark):
+        warehouse.init()
+        with scratch_scope(spark):
+            extracts = read_all(spark, folder, sources, measure, on_missing=on_missing)
+            together(spark, land, extracts.items())
+            for wave in _waves():
+                together(spark, derive, wave)
+            found = dq_report(store_checks(warehouse.read))
+            verdicts = [tuple(row) for row in found.collect()]  # one row per check
+        verdicts += [("rows_have_keys", f"bronze.{t}", n, n == 0) for t, n in sorted(without_key.items())]
+        quality = spark.createDataFrame(verdicts, found.schema)
+        if enforce_quality:
+            enforce(quality)
+        written = [("bronze", s.table) for s in sources.values()] + [(t.layer, t.name) for t in TABLES]
+        together(spark, lambda table: warehouse.drop_superseded(*table, keep=keep_versions), written)
     return RunResult(report, quality)

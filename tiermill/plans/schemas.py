@@ -1,4 +1,4 @@
-"""Columns of the fifteen tables, in order.
+"""Columns of the eighteen tables, in order.
 
 Fixed values: names, order and types of the stored tables. Whole-number identifiers and YYYYMMDD numbers are
 bigint, measures are double unless ``with_measures`` says otherwise, timestamps carry no zone.
@@ -119,6 +119,40 @@ GOLD = {
         "quantity": "double",
         "price": "double",
     },
+    "flat_sales": {
+        "order_number": "string",
+        "product_key": "bigint",
+        "customer_key": "bigint",
+        "order_date": "date",
+        "shipping_date": "date",
+        "due_date": "date",
+        "sales_amount": "double",
+        "quantity": "double",
+        "price": "double",
+        "product_number": "string",
+        "product_name": "string",
+        "category": "string",
+        "subcategory": "string",
+        "product_line": "string",
+        "customer_number": "string",
+        "first_name": "string",
+        "last_name": "string",
+        "country": "string",
+        "gender": "string",
+    },
+    "sales_by_category": {
+        "category": "string",
+        "order_lines": "bigint",
+        "quantity": "double",
+        "sales_amount": "double",
+    },
+    "sales_by_country_month": {
+        "country": "string",
+        "order_month": "date",
+        "order_lines": "bigint",
+        "quantity": "double",
+        "sales_amount": "double",
+    },
 }
 
 

@@ -26,14 +26,22 @@ from tiermill.operators.ordered import running_max_fill, version_end_date
 from tiermill.plans.schemas import MEASURE, SILVER, with_measures
 
 
-def silver_customers(customers: DataFrame) -> DataFrame:
-    """One row per customer id: the one with the earliest create date, in text order."""
+def _date_text(on_invalid: str) -> str:
+    """Dates written as text have no default of their own for values that are none."""
+    return "error" if on_invalid == "error" else "null"
+
+
+def silver_customers(customers: DataFrame, on_invalid: str = "null") -> DataFrame:
+    """One row per customer id: the one with the earliest create date, in text order.
+
+    A create date that is none becomes NULL, or fails the job with ``on_invalid="error"``.
+    """
     unique = keep_first(require_key(customers, "cst_id"), "cst_id", ["cst_create_date"])
     cleaned = trim_columns(unique, "cst_firstname", "cst_lastname").withColumns(
         {
             "cst_marital_status": standardize_codes("cst_marital_status", codes.MARITAL_STATUS),
             "cst_gndr": standardize_codes("cst_gndr", codes.GENDER),
-            "cst_create_date": sentinel_timestamp("cst_create_date", codes.CREATE_DATE_DEFAULT),
+            "cst_create_date": sentinel_timestamp("cst_create_date", codes.CREATE_DATE_DEFAULT, on_invalid=_date_text(on_invalid)),
         }
     )
     return conform(cleaned, SILVER["crm_cust_info"])
@@ -78,12 +86,15 @@ def silver_sales(sales: DataFrame, on_invalid: str = "null", measure: str = MEAS
 
 
 def silver_erp_customers(
-    demographics: DataFrame, as_of: date | str | None = None, only_if_prefix: str | None = None
+    demographics: DataFrame,
+    as_of: date | str | None = None,
+    only_if_prefix: str | None = None,
+    on_invalid: str = "null",
 ) -> DataFrame:
     """Birth date and gender per customer key, the key without its three-character prefix."""
     cleaned = demographics.select(
         strip_prefix("cid", only_if_prefix=only_if_prefix).alias("cid"),
-        null_future_dates("bdate", as_of).alias("bdate"),
+        null_future_dates("bdate", as_of, _date_text(on_invalid)).alias("bdate"),
         standardize_codes("gen", codes.GENDER_WORDS).alias("gen"),
     )
     return conform(cleaned, SILVER["erp_cust_az12"])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # A value that does not convert has to fail the job, not turn into NULL.
@@ -29,3 +32,19 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     for name, value in {**CONVERSION, **ADAPTIVE, **CODE}.items():
         spark.conf.set(name, value)
     return spark
+
+
+@contextmanager
+def settings(spark: SparkSession) -> Iterator[SparkSession]:
+    """Apply all of the above inside the block and put the caller's values back after it."""
+    names = [*CONVERSION, *ADAPTIVE, *CODE]
+    before = {name: spark.conf.get(name, None) for name in names}
+    apply_settings(spark)
+    try:
+        yield spark
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

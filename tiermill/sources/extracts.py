@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.operators.conform import conform
@@ -85,7 +85,7 @@ def read_source(
     cells than columns, or a cell that does not convert, fails the job unless ``strict`` is off. A wrong
     extension or an absent path gives an empty table and a warning, or raises with ``on_missing="error"``.
 
-    ``with_order`` adds ``INGEST_ORDER``: file, start of the block within it, and a number that grows within
+    ``with_order`` adds ``INGEST_ORDER``: file (by the number of the part), start of the block within it, and a number that grows within
     the block. Together they sort rows as they stand in the files. ``multiline`` allows line breaks inside
     quotes, at the price of one task per file.
     """
@@ -107,7 +107,7 @@ def read_source(
     if with_order:
         raw = raw.select(
             "*",
-            F.col("_metadata.file_path").alias("__file"),
+            _file_rank().alias("__file"),
             F.col("_metadata.file_block_start").alias("__block"),
             F.monotonically_increasing_id().alias("__line"),
         )
@@ -115,6 +115,12 @@ def read_source(
     return conform(raw.withColumns(cells), kept, strict)
 
 
+def _file_rank() -> Column:
+    """Text that sorts files by the number of the part, as a number, and then by their path."""
+    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
+    return F.concat(F.lpad(number, 20, "0"), F.lit(" "), F.col("_metadata.file_path"))
+
+
 def _scan(
     spark: SparkSession, path: str, columns: Sequence[str], multiline: bool
 ) -> DataFrame | None:

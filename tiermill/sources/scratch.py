@@ -44,7 +44,7 @@ def _folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/tiermill-{context.getLocalProperty(_SCOPE) or context.applicationId}"
 
 
-def _delete(spark: SparkSession, folder: str) -> bool:
+def delete_folder(spark: SparkSession, folder: str) -> bool:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
 
@@ -73,10 +73,10 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _delete(spark, folder)
+        delete_folder(spark, folder)
         context.setLocalProperty(_SCOPE, outer)
 
 
 def release(spark: SparkSession) -> bool:
     """Delete what this application wrote outside a scope; call it once results are stored elsewhere."""
-    return _delete(spark, _folder(spark))
+    return delete_folder(spark, _folder(spark))

@@ -8,8 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tiermill.sources.scratch import delete_folder
+
 LAYERS = ("bronze", "silver", "gold")
 
+# Table property with the folders of a table's contents, oldest first.
+_VERSIONS = "tiermill.versions"
+
 
 @dataclass
 class RunReport:
@@ -49,6 +54,10 @@ class Warehouse:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.table_name(layer, table))
 
+    def location(self, layer: str, table: str) -> str:
+        """The folder with the table's content."""
+        return self._versions(layer, table)[-1]
+
     def preview(self, layer: str, table: str, rows: int = 3) -> DataFrame:
         return self.read(layer, table).limit(rows)
 
@@ -67,7 +76,7 @@ class Warehouse:
         """Replace the table's content by ``df`` and return the stored table.
 
         The rows go to a new folder; only a complete write is switched in, so a failed or (with
-        ``require_rows``) empty result leaves the previous content in place.
+        ``require_rows``) empty result leaves the previous content in place, and readers always find a table.
         """
         path = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
         seen = Observation()
@@ -75,24 +84,57 @@ class Warehouse:
         rows = seen.get["rows"]
         if require_rows and rows == 0:
             raise ValueError(f"{layer}.{table} would have no rows")
-        name = self.table_name(layer, table)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
-        if not self.exists(layer, table):
-            raise RuntimeError(f"table {layer}.{table} was not created")
+        self._switch(layer, table, path, df)
         if report is not None:
             report.add(f"{layer}.{table}", rows)
         return self.read(layer, table)
 
-    def drop_superseded(self, layer: str, table: str) -> int:
-        """Delete the folders of earlier contents; call it when nothing reads them any more."""
-        described = self.spark.sql(f"DESCRIBE FORMATTED {self.table_name(layer, table)}")
-        current = described.filter(F.col("col_name") == "Location").first()["data_type"].rstrip("/")
-        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
-        files = folder.getFileSystem(hadoop)
-        removed = 0
-        for status in files.listStatus(folder):
-            if status.getPath().getName() != current.rsplit("/", 1)[-1]:
-                removed += bool(files.delete(status.getPath(), True))
+    def _switch(self, layer: str, table: str, path: str, df: DataFrame) -> None:
+        """Let the table show the folder ``path``; until then, and after any failure, it shows what it did before.
+
+        With the columns unchanged only the location moves. Otherwise a table with the new columns is made first and
+        takes over the name.
+        """
+        name, earlier = self.table_name(layer, table), self._versions(layer, table)
+        if not self.exists(layer, table):
+            self.spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
+        elif self.read(layer, table).dtypes == df.dtypes:
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            self.spark.catalog.refreshTable(name)
+        else:
+            following, before = (self.table_name(layer, f"{table}__{part}") for part in ("next", "before"))
+            for left in (following, before):  # of a run that was cut off
+                self.spark.sql(f"DROP TABLE IF EXISTS {left}")
+            self.spark.catalog.createTable(following, path=path, source="parquet", schema=df.schema)
+            self.spark.sql(f"ALTER TABLE {name} RENAME TO {before}")
+            try:
+                self.spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+            except Exception:
+                self.spark.sql(f"ALTER TABLE {before} RENAME TO {name}")
+                raise
+            self.spark.sql(f"DROP TABLE {before}")
+        self._note_versions(layer, table, [*earlier, path])
+
+    def _versions(self, layer: str, table: str) -> list[str]:
+        """Folders of the table's contents so far, oldest first."""
+        if not self.exists(layer, table):
+            return []
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.table_name(layer, table)}").filter(F.col("key") == _VERSIONS)
+        row = shown.first()
+        return row["value"].split(" ") if row and row["value"] else []
+
+    def _note_versions(self, layer: str, table: str, folders: list[str]) -> None:
+        value = " ".join(folders)
+        self.spark.sql(f"ALTER TABLE {self.table_name(layer, table)} SET TBLPROPERTIES ('{_VERSIONS}' = '{value}')")
+
+    def drop_superseded(self, layer: str, table: str, keep: int = 1) -> int:
+        """Delete the folders of earlier contents, but for the last ``keep`` of them, so that readers of those can finish.
+
+        Only folders that were this table's content are deleted, never one that another run is writing.
+        """
+        folders = self._versions(layer, table)
+        old = folders[: max(0, len(folders) - 1 - keep)]
+        removed = sum(delete_folder(self.spark, folder) for folder in old)
+        if old:
+            self._note_versions(layer, table, folders[len(old) :])
         return removed

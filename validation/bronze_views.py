@@ -15,18 +15,21 @@ SELECT CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE c_custkey END AS cst_id,
  'AW' || lpad(cast(c_custkey as string),8,'0') AS cst_key, '  ' || c_mktsegment || ' ' AS cst_firstname, ' ' || c_name AS cst_lastname,
  CASE c_custkey % 5 WHEN 0 THEN 'S' WHEN 1 THEN 'm ' WHEN 2 THEN ' M' WHEN 3 THEN 'x' END AS cst_marital_status,
  CASE c_nationkey % 4 WHEN 0 THEN 'F' WHEN 1 THEN ' m' WHEN 2 THEN '' END AS cst_gndr,
- CASE WHEN c_custkey % 13 = 0 THEN 'NaN' ELSE '2025-01-' || lpad(cast(c_custkey % 28 + 1 as string),2,'0') || ' 00:00:00' END AS cst_create_date
+ CASE WHEN c_custkey % 13 = 0 THEN 'NaN' WHEN c_custkey % 29 = 0 THEN 'soon' WHEN c_custkey % 31 = 0 THEN '2025-03-05' WHEN c_custkey % 37 = 0 THEN NULL
+  ELSE '2025-01-' || lpad(cast(c_custkey % 28 + 1 as string),2,'0') || ' 00:00:00' END AS cst_create_date
 FROM {customer}
 UNION ALL
 SELECT c_custkey, 'AW' || lpad(cast(c_custkey as string),8,'0'), 'LATE', c_name, 'M', 'F', '2025-11-01 00:00:00' FROM {customer} WHERE c_custkey % 10 = 3
 """
 
 B_AZ = """
-SELECT CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END || 'AW' || lpad(cast(c_custkey as string),8,'0') AS cid,
- cast(1940 + c_custkey % 100 as string) || '-06-15' AS bdate,
+SELECT CASE WHEN c_custkey < 10 THEN 'A' || cast(c_custkey as string) WHEN c_custkey % 2 = 0 THEN 'NASAW' || lpad(cast(c_custkey as string),8,'0')
+  ELSE 'AW' || lpad(cast(c_custkey as string),8,'0') END AS cid,
+ CASE WHEN c_custkey % 43 = 0 THEN 'unknown' ELSE cast(1940 + c_custkey % 100 as string) || '-06-15' END AS bdate,
  CASE c_custkey % 6 WHEN 0 THEN 'F' WHEN 1 THEN 'Female ' WHEN 2 THEN 'male' WHEN 3 THEN 'M' WHEN 4 THEN '' END AS gen, 0 AS ord FROM {customer}
 UNION ALL
-SELECT CASE WHEN c_custkey % 2 = 0 THEN 'NAS' ELSE '' END || 'AW' || lpad(cast(c_custkey as string),8,'0'), '1900-01-01', 'M', 1 FROM {customer} WHERE c_custkey % 7 = 0
+SELECT CASE WHEN c_custkey < 10 THEN 'A' || cast(c_custkey as string) WHEN c_custkey % 2 = 0 THEN 'NASAW' || lpad(cast(c_custkey as string),8,'0')
+  ELSE 'AW' || lpad(cast(c_custkey as string),8,'0') END, '1900-01-01', 'M', 1 FROM {customer} WHERE c_custkey % 7 = 0
 """
 
 B_LOC = """
@@ -38,7 +41,7 @@ FROM {customer} WHERE c_custkey % 11 <> 0
 B_PRD = """
 SELECT cast(p_partkey as string) AS prd_id,
  substr(p_type,1,2) || '-B' || cast(p_partkey % 5 as string) || '-' || 'P' || lpad(cast(p_partkey - p_partkey % 2 as string),6,'0') AS prd_key,
- p_name AS prd_nm, CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 17 = 0 THEN cast('NaN' as double) ELSE p_retailprice END AS prd_cost,
+ p_name AS prd_nm, CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 17 = 0 THEN cast('NaN' as double) WHEN p_partkey % 23 = 0 THEN -p_retailprice ELSE p_retailprice END AS prd_cost,
  CASE p_size % 6 WHEN 0 THEN 'M' WHEN 1 THEN 'r ' WHEN 2 THEN ' S' WHEN 3 THEN 't' WHEN 4 THEN 'Z' END AS prd_line,
  CASE WHEN p_partkey % 19 = 0 THEN 'NaN' ELSE cast(2003 + p_partkey % 11 as string) || '-07-01 00:00:00' END AS prd_start_dt,
  CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '2014-06-30 00:00:00' END AS prd_end_dt FROM {part}

@@ -64,9 +64,10 @@ PARTS = {
         SELECT cst_id, cst_key, trim(cst_firstname) AS cst_firstname, trim(cst_lastname) AS cst_lastname,
           coalesce(m.label, 'n/a') AS cst_marital_status, coalesce(g.label, 'n/a') AS cst_gndr,
           CASE WHEN cst_create_date IN ('NaN', 'NaT') THEN TIMESTAMP '2025-10-07 00:00:00'
-               ELSE strptime(cst_create_date, '%Y-%m-%d %H:%M:%S') END AS cst_create_date
+               ELSE coalesce(try_strptime(cst_create_date, '%Y-%m-%d %H:%M:%S'), try_strptime(cst_create_date, '%Y-%m-%d'))
+          END AS cst_create_date
         FROM (SELECT DISTINCT ON (cst_id) * FROM b_cust WHERE cst_id IS NOT NULL
-              ORDER BY cst_id, cst_create_date, cst_key, cst_firstname, cst_lastname) AS firsts
+              ORDER BY cst_id, cst_create_date NULLS LAST, cst_key, cst_firstname, cst_lastname) AS firsts
         LEFT JOIN c_marital m ON m.code = upper(trim(cst_marital_status))
         LEFT JOIN c_gender g ON g.code = upper(trim(cst_gndr))""",
     "prd_filled": """
@@ -88,7 +89,7 @@ PARTS = {
     + f", {_AMOUNT} AS sls_sales, sls_quantity, {_PRICE} AS sls_price FROM b_sales",
     "s_az": f"""
         SELECT CASE WHEN length(cid) > 4 THEN right(cid, -3) ELSE cid END AS cid,
-          CASE WHEN CAST(bdate AS DATE) <= DATE '{AS_OF}' THEN CAST(bdate AS DATE) END AS bdate,
+          CASE WHEN TRY_CAST(bdate AS DATE) <= DATE '{AS_OF}' THEN TRY_CAST(bdate AS DATE) END AS bdate,
           coalesce(w.label, 'n/a') AS gen
         FROM az_first LEFT JOIN c_gender_words w ON w.code = upper(trim(gen))""",
     "s_loc": """
@@ -117,6 +118,13 @@ PARTS = {
         SELECT cid, CASE right(cid, 1) WHEN '0' THEN 'NA' WHEN '1' THEN 'n/a' WHEN '2' THEN 'null'
           WHEN '3' THEN ' NA' WHEN '4' THEN '#N/A' WHEN '5' THEN 'so "called", NaN' ELSE cntry END AS cntry
         FROM b_loc""",
+    "kept_cust": "SELECT customer_key FROM g_cust WHERE customer_id % 10 <> 4",
+    "kept_prd": "SELECT product_key FROM g_prd WHERE product_id % 10 <> 4",
+    "lost_pairs": """
+        SELECT f.customer_key, f.product_key, count(*) AS copies FROM g_sales f
+        LEFT JOIN kept_cust c ON c.customer_key = f.customer_key
+        LEFT JOIN kept_prd p ON p.product_key = f.product_key
+        WHERE c.customer_key IS NULL OR p.product_key IS NULL GROUP BY f.customer_key, f.product_key""",
     "orphan_pairs": """
         SELECT f.customer_key, f.product_key, count(*) AS copies FROM g_sales f
         LEFT JOIN g_cust c ON c.customer_key = f.customer_key
@@ -170,6 +178,32 @@ _TOTALS = (
     "count(*) AS order_lines, round(sum(quantity), 2) AS quantity, round(sum(sales_amount), 2) AS sales_amount"
 )
 
+_PARSED = (
+    *[("b_sales", "sls_ord_num", column, _date_from_int(column, default)) for column, default in _DATES.items()],
+    (
+        "b_cust",
+        "cst_key",
+        "cst_create_date",
+        "CASE WHEN cst_create_date IN ('NaN', 'NaT') THEN TIMESTAMP '2025-10-07 00:00:00' "
+        "ELSE try_strptime(cst_create_date, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d']) END",
+    ),
+    ("az_first", "cid", "bdate", "TRY_CAST(bdate AS DATE)"),
+)
+_PARSE_CHECKS = {
+    "sls_order_dt": ("order_date_parses", "bronze.crm_sales_details"),
+    "sls_ship_dt": ("ship_date_parses", "bronze.crm_sales_details"),
+    "sls_due_dt": ("due_date_parses", "bronze.crm_sales_details"),
+    "cst_create_date": ("create_date_parses", "bronze.crm_cust_info"),
+    "bdate": ("birth_date_parses", "bronze.erp_cust_az12"),
+}
+_LOOKUPS = (
+    ("demographics_lookup_unique", "silver.erp_cust_az12", "s_az", "cid"),
+    ("location_lookup_unique", "silver.erp_loc_a101", "s_loc", "cid"),
+    ("category_lookup_unique", "silver.erp_px_cat_g1v2", "b_px", "id"),
+    ("customer_lookup_unique", "gold.dim_customers", "g_cust", "customer_id"),
+    ("product_lookup_unique", "gold.dim_products", "g_prd", "product_number"),
+)
+
 STATEMENTS = {
     "scan_csv_na": """
         SELECT 'loc' AS source, cid AS record_key,
@@ -179,8 +213,16 @@ STATEMENTS = {
         SELECT CAST(prd_id AS BIGINT) AS prd_id, prd_nm, prd_cost,
           TRY_CAST(prd_start_dt AS TIMESTAMP) AS prd_start_dt,
           CAST(TRY_CAST(prd_end_dt AS TIMESTAMP) AS DATE) AS prd_end_dt FROM b_prd""",
-    "erp_first_wins": "SELECT cid, bdate, gen FROM az_first",
+    "erp_first_wins": "SELECT cid, bdate, nullif(gen, '') AS gen FROM az_first",
     "audit_stamp": f"SELECT *, TIMESTAMP '{RUN_TS}' AS dwh_create_date FROM b_px",
+    "store_steps": """
+        SELECT 'bronze.erp_loc_a101' AS step, count(*) AS rows FROM b_loc UNION ALL
+        SELECT 'bronze.erp_px_cat_g1v2 from a missing extract', 0 UNION ALL
+        SELECT 'bronze.erp_loc_a101 refreshed with nothing', 0 UNION ALL
+        SELECT 'bronze.erp_loc_a101 refused as empty', count(*) FROM b_loc UNION ALL
+        SELECT 'bronze.erp_loc_a101 previewed', least(count(*), 3) FROM b_loc UNION ALL
+        SELECT 'silver.erp_loc_a101 by name', count(*) FROM s_loc UNION ALL
+        SELECT 'silver.erp_loc_a101 by statement, ' || cntry, count(*) FROM s_loc GROUP BY cntry""",
     "step_counts": " UNION ALL ".join(
         f"SELECT 'bronze.{name}' AS step, count(*) AS rows FROM {part}"
         for name, part in (
@@ -208,8 +250,8 @@ STATEMENTS = {
         FROM b_loc LEFT JOIN c_country ON code = trim(cntry)""",
     "clean_location_key": "SELECT cid AS raw, translate(cid, '-', '') AS cid FROM b_loc",
     "sentinel_timestamp": """
-        SELECT cst_key, cst_create_date AS raw, coalesce(try_strptime(cst_create_date, '%Y-%m-%d %H:%M:%S'),
-          TIMESTAMP '2025-10-07 00:00:00') AS created FROM b_cust""",
+        SELECT cst_key, cst_create_date AS raw, CASE cst_create_date WHEN 'NaN' THEN TIMESTAMP '2025-10-07 00:00:00'
+          ELSE try_strptime(cst_create_date, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d']) END AS created FROM b_cust""",
     "split_product_key": """
         SELECT prd_id, translate(left(prd_key, 5), '-', '_') AS cat_id, right(prd_key, -6) AS prd_key FROM b_prd""",
     "numeric_default": """
@@ -224,7 +266,7 @@ STATEMENTS = {
     + " FROM b_sales",
     "reconcile_amounts": f"SELECT sls_ord_num, {_AMOUNT} AS sls_sales, sls_quantity, {_PRICE} AS sls_price FROM b_sales",
     "strip_prefix": """
-        SELECT cid AS raw, right(cid, -3) AS cid,
+        SELECT cid AS raw, CASE WHEN length(cid) > 4 THEN right(cid, -3) ELSE cid END AS cid,
           CASE WHEN starts_with(cid, 'NAS') THEN right(cid, -3) ELSE cid END AS cid_if_prefixed FROM b_az""",
     "null_future_dates": f"""
         SELECT cid, CASE WHEN bdate <= '{AS_OF}' THEN CAST(bdate AS DATE) END AS bdate FROM b_az""",
@@ -290,10 +332,18 @@ STATEMENTS = {
         "SELECT 'silver', CAST(prd_id AS VARCHAR), prd_cost FROM s_prd WHERE prd_cost IS NULL OR prd_cost < 0"
     ),
     "dq_date_int_range": f"{_bad_date('sls_order_dt')} UNION ALL {_bad_date('sls_due_dt')}",
-    "dq_orphans": (
-        "SELECT * FROM orphan_pairs WHERE copies > 1 OR customer_key IS NULL OR product_key IS NULL"
+    "dq_orphans": "SELECT * FROM lost_pairs WHERE copies > 1 OR customer_key IS NULL OR product_key IS NULL",
+    "dq_orphans_strict": "SELECT * FROM lost_pairs",
+    "dq_unparsed_dates": " UNION ALL ".join(
+        f"SELECT '{column}' AS date_column, CAST({key} AS VARCHAR) AS record_key, CAST({column} AS VARCHAR) AS value "
+        f"FROM {part} WHERE {column} IS NOT NULL AND {parsed} IS NULL"
+        for part, key, column, parsed in _PARSED
     ),
-    "dq_orphans_strict": "SELECT * FROM orphan_pairs",
+    "dq_lookup_fanout": """
+        SELECT cid, count(*) AS copies FROM (SELECT CASE WHEN length(cid) > 4 THEN right(cid, -3) ELSE cid END AS cid
+          FROM (SELECT cid FROM az_first UNION ALL SELECT 'XYZAW' || lpad(CAST(c_custkey AS VARCHAR), 8, '0')
+                FROM customer WHERE c_custkey % 100 = 50) AS ids) AS stripped
+        GROUP BY cid HAVING count(*) > 1""",
     "dq_report": " UNION ALL ".join(
         (
             _verdict("customer_id_unique", "silver.crm_cust_info", _repeated("s_cust", "cst_id", "s")),
@@ -320,6 +370,21 @@ STATEMENTS = {
                 "gold.fact_sales",
                 "SELECT * FROM orphan_pairs WHERE copies > 1 OR customer_key IS NULL OR product_key IS NULL",
             ),
+            *[
+                _verdict(*_PARSE_CHECKS[column], f"SELECT 1 FROM {part} WHERE {column} IS NOT NULL AND {parsed} IS NULL")
+                for part, _, column, parsed in _PARSED
+            ],
+            *[
+                _verdict(
+                    check, table, f"SELECT 1 FROM {part} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1"
+                )
+                for check, table, part, key in _LOOKUPS
+            ],
+            _verdict(
+                "fact_rows_as_sales",
+                "gold.fact_sales",
+                "SELECT 1 WHERE (SELECT count(*) FROM g_sales) <> (SELECT count(*) FROM s_sales)",
+            ),
         )
     ),
 }
@@ -340,6 +405,12 @@ _STORED = {
     "gold.dim_customers": "g_cust",
     "gold.dim_products": "g_prd",
     "gold.fact_sales": "g_sales",
+    "gold.flat_sales": "g_sales",
+    "gold.sales_by_category": "(SELECT DISTINCT category FROM g_sales f LEFT JOIN g_prd p ON p.product_key = f.product_key)",
+    "gold.sales_by_country_month": (
+        "(SELECT DISTINCT country, date_trunc('month', order_date) FROM g_sales f "
+        "LEFT JOIN g_cust c ON c.customer_key = f.customer_key)"
+    ),
 }
 STATEMENTS["refresh_fact_sales"] = "SELECT * FROM g_sales"
 STATEMENTS["refresh_step_counts"] = " UNION ALL ".join(

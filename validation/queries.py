@@ -31,23 +31,26 @@ from tiermill.operators import (
     lookup_key,
     non_negative,
     orphan_keys,
+    repeated_keys,
     require_key,
+    require_non_empty,
     running_max_fill,
     stamp,
     surrogate_key,
     unique_not_null,
+    unparsed,
     valid_date_int,
     version_end_date,
 )
 from tiermill.plans import gold, silver
-from tiermill.plans.checks import store_checks
-from tiermill.plans.refresh import RunResult, build_layers, run_refresh
+from tiermill.plans.checks import parsed_dates, store_checks
+from tiermill.plans.refresh import RunResult, bronze_rows, build_layers, run_named, run_refresh
 from tiermill.plans.schemas import BRONZE
 from tiermill.plans.together import together
 from tiermill.settings import apply_settings
-from tiermill.sources.extracts import SOURCES, Source, read_source
+from tiermill.sources.extracts import SOURCES, read_source
 from tiermill.sources.scratch import materialize, scratch_path
-from tiermill.sources.warehouse import Warehouse
+from tiermill.sources.warehouse import LAYERS, RunReport, Warehouse
 from validation.bronze_views import BronzeViews
 
 AS_OF = "2025-10-07"
@@ -166,9 +169,22 @@ def conform_types(t: Tables) -> DataFrame:
     return conform(t.prd, target, strict=False)
 
 
+def _write_csv(df: DataFrame, path: str) -> None:
+    writer = df.write.option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def _az_in_file_order(t: Tables) -> DataFrame:
+    """The parts of a sorted table follow one another, as the lines of one file would."""
+    return t.az.orderBy("ord", "cid").drop("ord")
+
+
 @query()
 def erp_first_wins(t: Tables) -> DataFrame:
-    return t.az_first
+    path = scratch_path(t.spark, "az") + ".csv"
+    _write_csv(_az_in_file_order(t), path)
+    read = read_source(t.spark, path, BRONZE["erp_cust_az12"], on_missing="error", with_order=True)
+    return bronze_rows(SOURCES["cust_az1"], read)
 
 
 @query()
@@ -176,22 +192,46 @@ def audit_stamp(t: Tables) -> DataFrame:
     return stamp(t.px, RUN_TS)
 
 
+def _own_store(t: Tables) -> Warehouse:
+    store = scratch_path(t.spark, "store")
+    return Warehouse(t.spark, store, prefix=f"run_{store[-8:]}_").init()
+
+
+def _leave(t: Tables, warehouse: Warehouse) -> None:
+    """Drop the databases of a store with their files."""
+    for layer in LAYERS:
+        t.spark.sql(f"DROP DATABASE IF EXISTS `{warehouse.prefix}{layer}` CASCADE")
+
+
 @query()
 def step_counts(t: Tables) -> DataFrame:
-    steps = {
-        "bronze.crm_cust_info": t.cust,
-        "bronze.crm_prd_info": t.prd,
-        "bronze.crm_sales_details": t.sales,
-        "bronze.erp_cust_az12": t.az,
-        "bronze.erp_loc_a101": t.loc,
-        "bronze.erp_px_cat_g1v2": t.px,
-    }
-    return _union(
-        *[
-            df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("step"), "rows")
-            for name, df in steps.items()
-        ]
-    )
+    warehouse, report = _own_store(t), RunReport()
+    frames = _bronze(t) | {"erp_cust_az12": t.az.drop("ord")}
+    together(t.spark, lambda item: warehouse.full_refresh(item[1], "bronze", item[0], report=report), frames.items())
+    _leave(t, warehouse)
+    return report.to_df(t.spark)
+
+
+@query()
+def store_steps(t: Tables) -> DataFrame:
+    warehouse, steps = _own_store(t), RunReport()
+    steps.add("bronze.erp_loc_a101", warehouse.full_refresh(require_non_empty(t.loc, "loc"), "bronze", "erp_loc_a101").count())
+    missing = read_source(t.spark, f"{warehouse.root}/nowhere.csv", BRONZE["erp_px_cat_g1v2"])
+    steps.add("bronze.erp_px_cat_g1v2 from a missing extract", missing.count())
+    steps.add("bronze.erp_loc_a101 previewed", warehouse.preview("bronze", "erp_loc_a101").count())
+    try:
+        warehouse.full_refresh(t.loc.limit(0), "bronze", "erp_loc_a101", require_rows=True)
+    except ValueError:
+        steps.add("bronze.erp_loc_a101 refused as empty", warehouse.read("bronze", "erp_loc_a101").count())
+    built = run_named(warehouse, "silver", "erp_loc_a101")
+    steps.add("silver.erp_loc_a101 by name", warehouse.full_refresh(built, "silver", "erp_loc_a101").count())
+    name = warehouse.table_name("silver", "erp_loc_a101")
+    for row in warehouse.query(f"SELECT cntry, count(*) AS n FROM {name} GROUP BY cntry").collect():
+        steps.add(f"silver.erp_loc_a101 by statement, {row['cntry']}", row["n"])
+    empty = warehouse.full_refresh(t.loc.limit(0), "bronze", "erp_loc_a101")
+    steps.add("bronze.erp_loc_a101 refreshed with nothing", empty.count())
+    _leave(t, warehouse)
+    return steps.to_df(t.spark)
 
 
 # --- one row per key
@@ -494,9 +534,10 @@ def dq_date_int_range(t: Tables) -> DataFrame:
 
 
 def _orphans(t: Tables, strict: bool) -> DataFrame:
+    # a fact that is older than its dimensions: some rows of these are gone
     dimensions = {
-        "customer_key": (t.dim_customers, "customer_key"),
-        "product_key": (t.dim_products, "product_key"),
+        "customer_key": (t.dim_customers.filter("customer_id % 10 <> 4"), "customer_key"),
+        "product_key": (t.dim_products.filter("product_id % 10 <> 4"), "product_key"),
     }
     return orphan_keys(t.fact, dimensions, strict)
 
@@ -511,6 +552,27 @@ def dq_orphans_strict(t: Tables) -> DataFrame:
     return _orphans(t, strict=True)
 
 
+@query()
+def dq_unparsed_dates(t: Tables) -> DataFrame:
+    tables = {"crm_sales_details": (t.sales, "sls_ord_num"), "crm_cust_info": (t.cust, "cst_key"), "erp_cust_az12": (t.az_first, "cid")}
+    parts = []
+    for table, column, parsed in parsed_dates().values():
+        df, key = tables[table]
+        found = unparsed(df, column, parsed, key)
+        record, value = F.col(key).cast("string"), F.col(column).cast("string")
+        parts.append(found.select(F.lit(column).alias("date_column"), record.alias("record_key"), value.alias("value")))
+    return _union(*parts)
+
+
+@query()
+def dq_lookup_fanout(t: Tables) -> DataFrame:
+    """Two ids of the extract that are one after the prefix is cut."""
+    twins = t.table("customer").filter("c_custkey % 100 = 50")
+    twins = twins.select(F.concat(F.lit("XYZAW"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("cid"))
+    twins = twins.select("cid", F.lit("1970-01-01").alias("bdate"), F.lit("F").alias("gen"))
+    return repeated_keys(silver.silver_erp_customers(t.az_first.unionByName(twins), AS_OF), "cid")
+
+
 def _bronze(t: Tables) -> dict[str, DataFrame]:
     return {
         "crm_cust_info": t.cust,
@@ -533,25 +595,22 @@ def _quality_report(t: Tables) -> DataFrame:
 
 def _refreshed(t: Tables) -> tuple[Warehouse, RunResult]:
     folder = scratch_path(t.spark, "extracts")
-    # one file, as the order of its lines decides which of two rows with one key stays
-    frames = _bronze(t) | {"erp_cust_az12": t.az.coalesce(1).sortWithinPartitions("ord").drop("ord")}
-
-    def extract(source: Source) -> None:
-        writer = frames[source.table].write.option("header", True)
-        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        writer.csv(f"{folder}/{source.path}")
-
-    together(t.spark, extract, SOURCES.values())
-    store = scratch_path(t.spark, "store")
-    warehouse = Warehouse(t.spark, store, prefix=f"run_{store[-8:]}_")
+    frames = _bronze(t) | {"erp_cust_az12": _az_in_file_order(t)}
+    together(t.spark, lambda s: _write_csv(frames[s.table], f"{folder}/{s.path}"), SOURCES.values())
+    warehouse = _own_store(t)
     return warehouse, run_refresh(t.spark, folder, warehouse, as_of=AS_OF, run_ts=RUN_TS)
 
 
 @query()
 def refresh_fact_sales(t: Tables) -> DataFrame:
-    return _refreshed(t)[0].read("gold", "fact_sales")
+    warehouse, _ = _refreshed(t)
+    fact = materialize(warehouse.read("gold", "fact_sales"), "fact").df
+    _leave(t, warehouse)
+    return fact
 
 
 @query()
 def refresh_step_counts(t: Tables) -> DataFrame:
-    return _refreshed(t)[1].report.to_df(t.spark)
+    warehouse, result = _refreshed(t)
+    _leave(t, warehouse)
+    return result.report.to_df(t.spark)
