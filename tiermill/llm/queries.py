@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, ngram_join, quality_gbt, spaced_seeds, suffix_levels
 from tiermill.llm.files import rows_per_batch
+from tiermill.llm.statements import STATEMENTS
 from tiermill.sources.scratch import materialize
 
 #: Folder of the public tokenizer files; a parameter of the environment, as they are not part of this repository.
@@ -135,4 +136,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_spaced_seeds": op10_spaced_seeds,
 }
 
-STATEMENTS: dict[str, str] = {}
+__all__ = ["QUERIES", "STATEMENTS"]
