@@ -63,7 +63,7 @@ if __name__ == "__main__":
     connection = duck(folder)
     bad = 0
     for name, run in entry.queries().items():
-        if names and name not in names:
+        if names and name not in names or name not in entry.oracle_sql():
             continue
         begun = time.time()
         try:
@@ -79,6 +79,6 @@ if __name__ == "__main__":
         if not same:
             print("  columns", have[0], want[0])
             print("  only spark", list((have[1] - want[1]).items())[:3], "\n  only sql", list((want[1] - have[1]).items())[:3])
-    missing = set(entry.queries()) ^ set(entry.oracle_sql())
-    print("queries", len(entry.queries()), "bad", bad, "names without partner", missing)
+    missing = sorted(set(entry.queries()) ^ set(entry.oracle_sql()))
+    print("queries", len(entry.queries()), "bad", bad, "without SQL", missing)
     spark.stop()

@@ -6,6 +6,7 @@ differently. The folder must be visible to every executor, so it is the one name
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 # Spark hands local properties down to the threads a job is split over.
 _SCOPE = "tiermill.scratch.scope"
 
@@ -32,6 +35,8 @@ def scratch_root(spark: SparkSession) -> str:
     """Folder for scratch tables; a local folder is made only for a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
+        if configured.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            log.warning("%s must be a mount that the driver and all executors share", configured)
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
