@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
+from tiermill.llm.workers import let_go
+
 SLICE_BYTES = 4 << 20
 
 _MASK = (1 << 64) - 1
@@ -83,6 +85,7 @@ class Texts:
 
 def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[Texts]:
     """Cut a string column into runs of rows of about ``size`` bytes; a longer text is a run of its own. NULL is empty."""
+    let_go()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if pa.types.is_string(column.type) or pa.types.is_binary(column.type):

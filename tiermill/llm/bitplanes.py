@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.files import new_file, reading, rows_per_batch, writing
 from tiermill.llm.segments import PieceCache
-from tiermill.llm.workers import ship
+from tiermill.llm.workers import keep, ship
 from tiermill.sources.scratch import materialize, scratch_path
 
 MAGIC = b"TMBP1"
@@ -146,6 +146,7 @@ def _encoder(path: str) -> PieceCache:
         for found in tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
             yield np.array(found.ids, "<u4").tobytes()
 
+    keep(_encoder.cache_clear)
     return PieceCache(encode)
 
 

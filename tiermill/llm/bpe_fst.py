@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from tiermill.llm.segments import PieceCache
-from tiermill.llm.workers import ship
+from tiermill.llm.workers import keep, ship
 
 #: Fixed value: how texts are split before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-MOST_STATES = 120_000
-MOST_PAIRS = 300_000
+MOST_STATES = 180_000
+MOST_PAIRS = 400_000
 _NEVER = 1 << 60
 _SHIFT = 24
 _LOW = (1 << _SHIFT) - 1
@@ -292,6 +292,7 @@ def _encoder(path: str) -> PieceCache:
                 out.append(ids)
             yield b"".join(out)
 
+    keep(_encoder.cache_clear)
     return PieceCache(encode)
 
 

@@ -5,10 +5,25 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_kept: list[Callable[[], None]] = []
+
+
+def keep(drop: Callable[[], None]) -> None:
+    """Remember how to drop a cache of this worker, which lasts from task to task."""
+    _kept.append(drop)
+
+
+def let_go() -> None:
+    """Drop the caches of earlier work; called where other work begins in the same worker."""
+    while _kept:
+        _kept.pop()()
+
+
 _shipped: set[str] = set()
 
 
