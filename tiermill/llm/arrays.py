@@ -16,7 +16,7 @@ import zstandard
 
 from tiermill.llm.workers import let_go
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1

@@ -12,9 +12,10 @@ that fills no more fragments than it may differ in is matched by each single shi
 Counting. For each pair found, the overlap is counted in each of ``PARTS`` fragments of the order separately, and the
 counts are summed per pair and compared with the sizes, without any estimate.
 
-Linking. Documents that share a fingerprint are first compared with the smallest of them; linked documents are merged into
-components, and where a fingerprint still spans several components, all pairs across them are compared too. So no link
-between components is missed, while the pairs of a large group need not all be counted.
+Linking. Documents that share a fingerprint are first compared with the smallest of them, their hub, and linked documents
+are merged into components. Then pairs of one hub but of different components are compared, except those that cannot be
+linked: the differences of both from the hub, and the shingles that no other document has, bound what they differ in
+from below. So no link between components is missed, while the pairs of a large group need not all be counted.
 
 A document with fewer words than a shingle has its whole sequence as one shingle; one without words, or with a NULL
 text, has none and is linked with nothing, itself its component. A NULL id stays NULL and is linked with nothing. Repeated rows
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.arrays import Texts, mix, pack, pack_counts, text_slices, unpack, unpack_counts, word_hashes
@@ -39,7 +40,7 @@ from tiermill.sources.scratch import materialize
 
 SHINGLE = 3
 PERCENT = 90
-PARTS = 4
+PARTS = 16
 SHARDS_PER_PARTITION = 4
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -151,59 +152,145 @@ def _describe(documents: DataFrame, shards: int, shingle: int, percent: int) ->
     return documents.mapInArrow(describe, "doc_id long, n long, set binary, shard int, keys binary, ids binary")
 
 
-def _shared(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted blocks, fingerprints that several documents have, with these."""
+def _by_shard(blocks: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and documents of one shard after the other, ordered by key; blocks come sorted by shard."""
 
-    def flush(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    def whole(held: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
         keys = np.concatenate([unpack(k) for k, _ in held])
-        ids = np.concatenate([unpack_counts(i) for _, i in held])
+        ids = np.concatenate([unpack_counts(i) for _, i in held]).view(np.int64)
         order = np.argsort(keys, kind="stable")
-        keys, ids = keys[order], ids[order]
-        same = keys[1:] == keys[:-1]
-        use = np.zeros(len(keys), bool)
-        use[1:] |= same
-        use[:-1] |= same
-        return pa.RecordBatch.from_arrays([pa.array(keys[use].view(np.int64)), pa.array(ids[use].view(np.int64))], ["print", "doc_id"])
+        return keys[order], ids[order]
 
     shard, held = None, []
     for batch in blocks:
         for now, keys, ids in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if now != shard and held:
-                yield flush(held)
+                yield whole(held)
                 held = []
             shard = now
             held.append((keys, ids))
     if held:
-        yield flush(held)
+        yield whole(held)
+
+
+def _shared(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fingerprints that several documents have, with these."""
+    for keys, ids in _by_shard(blocks):
+        same = keys[1:] == keys[:-1]
+        use = np.zeros(len(keys), bool)
+        use[1:] |= same
+        use[:-1] |= same
+        yield pa.RecordBatch.from_arrays([pa.array(keys[use].view(np.int64)), pa.array(ids[use])], ["print", "doc_id"])
 
 
 def _sets(documents: DataFrame, shingle: int) -> DataFrame:
-    """Fragments of the sets: ``doc_id``, ``part`` and its shingles."""
+    """The sets, cut into ``PARTS`` fragments: ``doc_id`` and ``parts``."""
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch.column(1)):
                 keys, offsets = shingle_sets(piece, shingle)
-                cut = (keys >> np.uint64(32)) * np.uint64(PARTS) >> np.uint64(32)
-                owner = np.repeat(np.arange(len(piece)), np.diff(offsets)) * PARTS + cut.astype(np.int64)
+                owner = np.repeat(np.arange(len(piece)), np.diff(offsets)) * PARTS + _part(keys)
                 bounds = np.searchsorted(owner, np.arange(len(piece) * PARTS + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys.view(np.int64)))
-                ids = batch.column(0).slice(piece.first, len(piece)).take(pa.array(np.repeat(np.arange(len(piece)), PARTS)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.tile(np.arange(PARTS, dtype=np.int32), len(piece))), lists], ["doc_id", "part", "keys"])
+                inner = pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys.view(np.int64)))
+                outer = pa.ListArray.from_arrays(pa.array(np.arange(len(piece) + 1, dtype=np.int32) * PARTS), inner)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(piece.first, len(piece)), outer], ["doc_id", "parts"])
+
+    return documents.mapInArrow(fragments, "doc_id long, parts array<array<long>>")
 
-    return documents.mapInArrow(fragments, "doc_id long, part int, keys array<long>")
 
+def _part(keys: np.ndarray) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(PARTS) >> np.uint64(32)).astype(np.int64)
 
-def _linked(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (``u`` < ``v``) that overlap enough: partial overlaps, summed per pair."""
-    of = lambda side: sizes.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"))
-    sized = pairs.join(of("u"), "u").join(of("v"), "v")
-    sized = sized.filter(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
-    part = lambda side: sets.select(F.col("doc_id").alias(side), "part", F.col("keys").alias(f"keys_{side}"))
-    both = sized.join(part("u"), "u").join(part("v"), ["v", "part"])
-    partial = both.select("u", "v", "n_u", "n_v", F.size(F.array_intersect("keys_u", "keys_v")).alias("shared"))
-    summed = partial.groupBy("u", "v", "n_u", "n_v").agg(F.sum("shared").alias("shared"))
-    return summed.filter(100 * F.col("shared") >= percent * (F.col("n_u") + F.col("n_v") - F.col("shared"))).select("u", "v")
+
+def _private(sets: DataFrame, shards: int) -> DataFrame:
+    """How many shingles of each document no other document of ``sets`` has, per fragment: ``doc_id``, ``private``."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inner = batch.column(1).flatten()
+            keys = inner.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            sizes = np.diff(np.asarray(inner.offsets)).reshape(-1, PARTS).sum(1)
+            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
+            order = np.argsort(keys, kind="stable")
+            keys, ids = keys[order], ids[order]
+            cuts = np.searchsorted((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1))
+            for shard in np.flatnonzero(np.diff(cuts)):
+                own = slice(cuts[shard], cuts[shard + 1])
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([pack(keys[own])]), pa.array([pack_counts(ids[own])])], ["shard", "keys", "ids"])
+
+    def alone(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, ids in _by_shard(blocks):
+            same = keys[1:] == keys[:-1]
+            single = np.ones(len(keys), bool)
+            single[1:] &= ~same
+            single[:-1] &= ~same
+            cells, counts = np.unique(np.column_stack([ids[single], _part(keys[single])]), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cells[:, 0]), pa.array(cells[:, 1]), pa.array(counts)], ["doc_id", "part", "n"])
+
+    dealt = sets.select("doc_id", "parts").mapInArrow(deal, "shard int, keys binary, ids binary")
+    counted = dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(alone, "doc_id long, part long, n long")
+    of_part = [F.sum(F.when(F.col("part") == i, F.col("n")).otherwise(0)) for i in range(PARTS)]
+    return counted.groupBy("doc_id").agg(F.array(*of_part).alias("private"))
+
+
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda n, x: n + x)
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (``u``, ``v``) with sizes and partial overlaps per fragment (``parts_*``, ``parts``) and their sums (``n_*``, ``shared``)."""
+    side = lambda name: sets.select(F.col("doc_id").alias(name), F.col("parts").alias(f"keys_{name}"))
+    both = pairs.join(side("u"), "u").join(side("v"), "v")
+    sizes = lambda keys: F.transform(keys, lambda part: F.size(part).cast("long"))
+    counted = both.select(
+        "u",
+        "v",
+        sizes("keys_u").alias("parts_u"),
+        sizes("keys_v").alias("parts_v"),
+        F.zip_with("keys_u", "keys_v", lambda a, b: F.size(F.array_intersect(a, b)).cast("long")).alias("parts"),
+    )
+    sums = {"n_u": _total(F.col("parts_u")), "n_v": _total(F.col("parts_v")), "shared": _total(F.col("parts"))}
+    return counted.withColumns(sums)
+
+
+def _enough(percent: int):
+    return 100 * F.col("shared") >= percent * (F.col("n_u") + F.col("n_v") - F.col("shared"))
+
+
+def _across(stars: DataFrame, labels: DataFrame, private: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components that share a hub and may be linked, as far as their differences from the hub tell.
+
+    Two sets differ by what one differs from the hub and the other does not. Within each fragment that is all private
+    shingles of both, and of the shingles of the hub that are missing, and of the others that are added, at least as many as
+    their numbers are apart.
+    """
+    of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+    own = private.select(F.col("doc_id").alias("v"), "private")
+    known = stars.join(of("u"), "u", "left").join(of("v"), "v", "left").join(own, "v", "left")
+    known = known.withColumn("private", F.coalesce("private", F.array_repeat(F.lit(0).cast("long"), PARTS)))
+    missing = F.zip_with("parts_u", "parts", lambda n, shared: n - shared)
+    more = F.zip_with(F.zip_with("parts_v", "parts", lambda n, shared: n - shared), "private", lambda n, alone: n - alone)
+    known = known.select(
+        "u",
+        "v",
+        F.coalesce("c_u", "u").alias("c_u"),
+        F.coalesce("c_v", "v").alias("c"),
+        _total(F.col("private")).alias("p"),
+        (F.col("n_u") - F.col("shared")).alias("gone"),
+        F.concat(missing, more).alias("counts"),
+        F.floor(F.col("n_v") * (100 - percent) / percent).alias("most"),
+    ).filter("p <= most")
+    columns = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("v", "c", "p", "gone", "counts", "most")]
+    left = known.filter("c <> c_u").select("u", *columns("a"))
+    right = known.select("u", *columns("b"))
+    may = (F.col("v_a") != F.col("v_b")) & (F.col("c_a") != F.col("c_b"))
+    alone, most = F.col("p_a") + F.col("p_b"), F.least("most_a", "most_b")
+    may = may & (alone + F.abs(F.col("gone_a") - F.col("gone_b")) <= most)
+    apart = _total(F.zip_with("counts_a", "counts_b", lambda a, b: F.abs(a - b)))
+    found = left.join(right, (left["u"] == right["u"]) & may & (alone + apart <= most))
+    pairs = found.select(F.least("v_a", "v_b").alias("u"), F.greatest("v_a", "v_b").alias("v")).distinct()
+    return pairs.join(stars.select("u", "v"), ["u", "v"], "left_anti")
 
 
 def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -218,7 +305,6 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
     known = own.filter("doc_id is not null and n > 0")
     classes = known.groupBy("set", "n").agg(F.min("doc_id").alias("first"))
     members = materialize(known.join(classes, ["set", "n"]).select("doc_id", "n", "first").distinct(), "classes").df
-    firsts = members.filter("doc_id = first").select("doc_id", "n")
 
     blocks = described.filter("shard is not null").select("shard", "keys", "ids")
     with rows_per_batch(spark, 200):
@@ -226,23 +312,19 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
         shared = dealt.mapInArrow(_shared, "print long, doc_id long").join(members.select("doc_id", "first"), "doc_id")
         entries = materialize(shared.select("print", F.col("first").alias("doc_id")).distinct(), "prints").df
     groups = entries.groupBy("print").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).filter("u <> last")
-    stars = entries.join(groups, "print").filter("u <> doc_id").select("print", "u", F.col("doc_id").alias("v"))
-    stars = materialize(stars, "stars").df
-    pairs = stars.select("u", "v").distinct()
-    wanted = stars.select(F.col("v").alias("doc_id")).union(stars.select(F.col("u").alias("doc_id"))).distinct()
-    needed = texts.join(wanted, "doc_id", "left_semi")
-    sets = materialize(_sets(needed, shingle), "sets").df.dropDuplicates(["doc_id", "part"])
-    links = materialize(_linked(pairs, sets, firsts, percent), "links").df
-
+    pairs = entries.join(groups, "print").filter("u <> doc_id").select("u", F.col("doc_id").alias("v")).distinct()
+    pairs = materialize(pairs, "stars").df
+    wanted = pairs.select(F.col("v").alias("doc_id")).union(pairs.select(F.col("u").alias("doc_id"))).distinct()
+    # the ids grow with the input: one plan at every size
+    needed = texts.join(wanted.hint("merge"), "doc_id", "left_semi")
+    sets = materialize(_sets(needed.dropDuplicates(["doc_id"]), shingle), "sets").df
+    stars = materialize(_overlaps(pairs, sets), "stars").df
+    links = stars.filter(_enough(percent)).select("u", "v")
     labels = materialize(components(links), "labels").df
-    inside = stars.select("print", F.col("v").alias("doc_id")).union(stars.select("print", F.col("u").alias("doc_id"))).distinct()
-    inside = inside.join(labels, F.col("doc_id") == F.col("node"), "left").select("print", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = inside.groupBy("print").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    open_ = materialize(inside.join(mixed.select("print"), "print", "left_semi"), "open").df
-    left = open_.select("print", F.col("doc_id").alias("u"), F.col("component").alias("c_u"))
-    right = open_.select("print", F.col("doc_id").alias("v"), F.col("component").alias("c_v"))
-    across = left.join(right, "print").filter("u < v and c_u <> c_v").select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti")
-    more = materialize(_linked(across, sets, firsts, percent), "links")
+    with rows_per_batch(spark, 2000):
+        private = materialize(_private(sets, shards), "private").df
+    across = materialize(_across(stars, labels, private, percent), "across").df
+    more = materialize(_overlaps(across, sets).filter(_enough(percent)).select("u", "v"), "links")
     if more.rows:
         labels = components(links.union(more.df))
     found = members.join(labels, F.col("first") == F.col("node"), "left").select(
