@@ -58,9 +58,10 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
 
 def row_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row with both sizes when ``left`` and ``right`` differ in their number of rows, else none."""
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    sizes = count(left, "left_rows").withColumn("one", F.lit(1)).join(count(right, "right_rows").withColumn("one", F.lit(1)), "one")
-    return sizes.filter("left_rows <> right_rows").drop("one")
+    one, none = F.lit(1), F.lit(0)
+    rows = left.select(one.alias("l"), none.alias("r")).unionAll(right.select(none.alias("l"), one.alias("r")))
+    size = lambda side: F.coalesce(F.sum(side), F.lit(0).cast("long"))
+    return rows.agg(size("l").alias("left_rows"), size("r").alias("right_rows")).filter("left_rows <> right_rows")
 
 
 def orphan_keys(
