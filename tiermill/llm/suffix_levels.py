@@ -15,7 +15,7 @@ its anchor; equal windows have equal anchors. Four rounds narrow the search down
   2. windows that start at remaining anchors: they settle the inside of repeated passages;
   3. anchors that have windows left open, at the ends of passages: whoever has the same string is told;
   4. all windows of these anchors: they settle the ends, byte by byte.
-Answers go back to the batch as a file of the scratch folder.
+Answers go back to the batch as a file of the scratch folder, beside what the batch keeps from round to round.
 
 Documents with equal ids are one document to each other; rows without an id come first and are also equal to each other; rows
 of one id are kept in one batch. NULL texts are empty: nothing is removed. Texts shorter than ``LENGTH`` bytes stay whole. Texts
@@ -24,8 +24,9 @@ are bytes of UTF-8; a cut may fall inside a character, unless whole characters a
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.arrays import RollingHash, pack, text_slices, unpack
+from tiermill.llm.arrays import RollingHash, pack, pack_counts, text_slices, unpack, unpack_counts
 from tiermill.llm.files import new_file, reading, rows_per_batch, writing
 from tiermill.llm.workers import ship
-from tiermill.sources.scratch import materialize, scratch_path
+from tiermill.sources.scratch import delete_folder, materialize, scratch_path
 
 LENGTH = 50
 GRAM = 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 TILE = 1 << 18
+SHARDS_PER_PARTITION = 2
 EARLIER, OTHER, ASKED = 1, 2, 4
 
 
@@ -65,13 +67,6 @@ class Batch:
     data: np.ndarray
     offsets: np.ndarray
     document: np.ndarray
-    memo: dict = field(default_factory=dict)
-
-    def once(self, name: str, find: Callable[[], object]):
-        """What a round found, kept for the rounds after it."""
-        if name not in self.memo:
-            self.memo[name] = find()
-        return self.memo[name]
 
     def tiles(self) -> Iterator[tuple[int, np.ndarray, RollingHash]]:
         """Overlapping pieces: first byte, bytes and their hashes."""
@@ -110,14 +105,14 @@ class Batch:
         where, first = np.unique(np.concatenate(places), return_index=True)
         return where, np.concatenate(grams)[first]
 
-    def windows_at(self, places: np.ndarray) -> np.ndarray:
-        """Fingerprints of the windows that start at ``places`` (ascending)."""
+    def strings_at(self, places: np.ndarray, length: int = LENGTH) -> np.ndarray:
+        """Fingerprints of the strings of ``length`` bytes that start at ``places`` (ascending)."""
         out = np.zeros(len(places), np.uint64)
-        for at, part, rolling in self.tiles():
-            a, b = np.searchsorted(places, [at, at + TILE])
-            if a < b:
-                own = places[a:b] - at
-                out[a:b] = rolling.spans(own, own + LENGTH)
+        cuts = np.searchsorted(places, np.arange(0, len(self.data) + TILE, TILE))
+        for tile in np.flatnonzero(np.diff(cuts)):
+            at, own = tile * TILE, slice(cuts[tile], cuts[tile + 1])
+            begins = places[own] - at
+            out[own] = RollingHash(self.data[at : at + TILE + length]).spans(begins, begins + length)
         return out
 
     def fits(self, places: np.ndarray) -> np.ndarray:
@@ -150,72 +145,73 @@ def _first_owner(which: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray
 
 
 class Asked:
-    """Keys of a batch, one for each of ``places``; answers are found for the distinct ones."""
+    """Keys of a batch, one for each of ``places``; answers are found for the distinct ones.
+
+    ``which`` tells the distinct key of each place; it is all that has to be kept until the answers are there.
+    """
 
     def __init__(self, batch: Batch, places: np.ndarray, keys: np.ndarray, flags: np.ndarray | None = None):
-        self.places, self.keys = places, keys
-        self.distinct, self._which = np.unique(keys, return_inverse=True)
+        self.distinct, self.which = np.unique(keys, return_inverse=True)
         self.flags = np.zeros(len(self.distinct), bool)
         if flags is not None:
-            self.flags[self._which[flags]] = True
-        self._owner = batch.document[batch.owner(places)]
+            self.flags[self.which[flags]] = True
 
-    def answers(self, codes: np.ndarray) -> np.ndarray:
-        """Answers for every place; documents of the batch itself count too."""
-        first = _first_owner(self._which, self._owner, len(self.distinct))
-        last = -_first_owner(self._which, -self._owner, len(self.distinct))
-        out = codes[self._which] | np.where(self._owner > first[self._which], EARLIER, 0).astype(np.uint8)
-        return out | np.where((first < last)[self._which], OTHER, 0).astype(np.uint8)
 
+def _answers(batch: Batch, places: np.ndarray, which: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Answers for every place; documents of the batch itself count too."""
+    owner = batch.document[batch.owner(places)]
+    first = _first_owner(which, owner, len(codes))
+    last = -_first_owner(which, -owner, len(codes))
+    out = codes[which] | np.where(owner > first[which], EARLIER, 0).astype(np.uint8)
+    return out | np.where((first < last)[which], OTHER, 0).astype(np.uint8)
 
-# Rounds: what a batch asks in each, given the answers to the rounds before.
 
+State = dict[str, np.ndarray]
 
-def _ask_anchors(batch: Batch, _: list[np.ndarray]) -> Asked:
-    return batch.once("anchors", lambda: Asked(batch, *batch.anchors()))
+# Rounds: what a batch asks, and what it keeps for the next round; ``state`` and ``codes`` are those of the round before.
 
 
-def _ask_starts(batch: Batch, codes: list[np.ndarray]) -> Asked:
-    def find() -> Asked:
-        asked = _ask_anchors(batch, codes)
-        places = asked.places[asked.answers(codes[0]) & OTHER > 0]
-        places = places[batch.fits(places)]
-        return Asked(batch, places, batch.windows_at(places))
+def _ask_anchors(batch: Batch, state: State, codes: np.ndarray) -> tuple[Asked, State]:
+    return Asked(batch, *batch.anchors()), {}
 
-    return batch.once("starts", find)
 
+def _ask_starts(batch: Batch, state: State, codes: np.ndarray) -> tuple[Asked, State]:
+    places, keys = batch.anchors()
+    answers = _answers(batch, places, Asked(batch, places, keys).which, codes)
+    shared = answers & OTHER > 0
+    places = places[shared]
+    starts = places[batch.fits(places)]
+    asked = Asked(batch, starts, batch.strings_at(starts))
+    return asked, {"places": places, "earlier": (answers & EARLIER > 0)[shared], "which": asked.which}
 
-def _settled(batch: Batch, codes: list[np.ndarray]) -> np.ndarray:
-    """Starts of windows that the second round found in an earlier document."""
-    starts = _ask_starts(batch, codes)
-    return starts.places[starts.answers(codes[1]) & EARLIER > 0]
 
+def _ask_open(batch: Batch, state: State, codes: np.ndarray) -> tuple[Asked, State]:
+    places = state["places"]
+    starts = places[batch.fits(places)]
+    settled = starts[_answers(batch, starts, state["which"], codes) & EARLIER > 0]
+    row = batch.owner(places)
+    left = np.concatenate([[0], np.cumsum(~batch.covered(settled))])
+    low = np.maximum(places - (LENGTH - GRAM), batch.offsets[row])
+    high = np.minimum(places + LENGTH, batch.offsets[row + 1])
+    open_ = (state["earlier"] > 0) & (left[high] > left[low])
+    asked = Asked(batch, places, batch.strings_at(places, GRAM), open_)
+    return asked, {"places": places, "which": asked.which, "settled": settled}
 
-def _ask_open(batch: Batch, codes: list[np.ndarray]) -> Asked:
-    def find() -> Asked:
-        asked = _ask_anchors(batch, codes)
-        answers = asked.answers(codes[0])
-        shared = answers & OTHER > 0
-        places, keys, earlier = asked.places[shared], asked.keys[shared], (answers & EARLIER > 0)[shared]
-        row = batch.owner(places)
-        left = np.concatenate([[0], np.cumsum(~batch.covered(_settled(batch, codes)))])
-        low = np.maximum(places - (LENGTH - GRAM), batch.offsets[row])
-        high = np.minimum(places + LENGTH, batch.offsets[row + 1])
-        return Asked(batch, places, keys, earlier & (left[high] > left[low]))
 
-    return batch.once("open", find)
+def _ask_ends(batch: Batch, state: State, codes: np.ndarray) -> tuple[Asked, State]:
+    wanted = _answers(batch, state["places"], state["which"], codes) & ASKED > 0
+    places = batch.around(state["places"][wanted])
+    asked = Asked(batch, places, batch.strings_at(places))
+    return asked, {"places": places, "which": asked.which, "settled": state["settled"]}
 
 
-def _ask_ends(batch: Batch, codes: list[np.ndarray]) -> Asked:
-    def find() -> Asked:
-        asked = _ask_open(batch, codes)
-        places = batch.around(asked.places[asked.answers(codes[2]) & ASKED > 0])
-        return Asked(batch, places, batch.windows_at(places))
+def _found(batch: Batch, state: State, codes: np.ndarray) -> np.ndarray:
+    """Starts of windows that an earlier document holds, enough to cover all that goes."""
+    ends = state["places"][_answers(batch, state["places"], state["which"], codes) & EARLIER > 0]
+    return np.concatenate([state["settled"], ends])
 
-    return batch.once("ends", find)
 
-
-ROUNDS: tuple[Callable[[Batch, list[np.ndarray]], Asked], ...] = (_ask_anchors, _ask_starts, _ask_open, _ask_ends)
+ROUNDS: tuple[Callable[[Batch, State, np.ndarray], tuple[Asked, State]], ...] = (_ask_anchors, _ask_starts, _ask_open, _ask_ends)
 
 
 class Levels:
@@ -279,43 +275,57 @@ def _answer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush(held, shard)
 
 
-def _answer_file(folder: str, batch: int) -> str:
-    return f"{folder}/{batch}.codes"
+def _put(folder: str, name: str, data: bytes) -> None:
+    """Write a file under its final name in one step; a repeated task writes the same again."""
+    path = new_file(folder, "new")
+    with writing(path) as out:
+        out.write(zstandard.compress(data, 1))
+    system, place = fs.FileSystem.from_uri(path)
+    system.move(place, fs.FileSystem.from_uri(f"{folder}/{name}")[1])
 
 
-def _store(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Write the answers of each batch, shard after shard, to its file; a repeated task writes the same again."""
+def _get(folder: str, name: str) -> bytes:
+    with reading(f"{folder}/{name}") as source:
+        return zstandard.decompress(source.read())
 
-    def put(batch: int, codes: list[bytes]) -> None:
-        path = new_file(folder, "answer")
-        with writing(path) as out:
-            out.write(zstandard.compress(b"".join(zstandard.decompress(c) for c in codes), 1))
-        system, place = fs.FileSystem.from_uri(path)
-        system.move(place, fs.FileSystem.from_uri(_answer_file(folder, batch))[1])
+
+def _store(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Write the answers of each batch, shard after shard, to its file."""
 
     def store(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch, held, done = None, [], []
         for part in rows:
             for number, codes in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True):
                 if number != batch and held:
-                    put(batch, held)
+                    _put(folder, f"{batch}.codes", b"".join(held))
                     done.append(batch)
                     held = []
                 batch = number
-                held.append(codes)
+                held.append(zstandard.decompress(codes))
         if held:
-            put(batch, held)
+            _put(folder, f"{batch}.codes", b"".join(held))
             done.append(batch)
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], ["batch"])
 
     return store
 
 
-def _read_codes(folder: str, batch: int, count: int) -> np.ndarray:
-    if not count:
-        return np.zeros(0, np.uint8)
-    with reading(_answer_file(folder, batch)) as source:
-        return np.frombuffer(zstandard.decompress(source.read()), np.uint8)
+#: Arrays of a state that ascend; they are kept as differences.
+_ASCENDING = ("places", "settled")
+
+
+def _before(folder: str | None, batch: int) -> tuple[State, np.ndarray]:
+    """What the batch kept in the round before, and the answers to what it asked then."""
+    if folder is None:
+        return {}, np.zeros(0, np.uint8)
+    held, asked = pickle.loads(_get(folder, f"{batch}.state"))
+    state = {name: (unpack if name in _ASCENDING else unpack_counts)(blob).view(np.int64) for name, blob in held.items()}
+    return state, np.frombuffer(_get(folder, f"{batch}.codes") if asked else b"", np.uint8)
+
+
+def _keep(folder: str, batch: int, state: State, asked: int) -> None:
+    held = {name: (pack if name in _ASCENDING else pack_counts)(array.astype(np.uint64)) for name, array in state.items()}
+    _put(folder, f"{batch}.state", pickle.dumps((held, asked)))
 
 
 _BATCHES = "batch long, ids binary, offsets binary, texts binary, rest binary"
@@ -379,13 +389,6 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
 
 
-def _codes_before(batch: Batch, number: int, folders: list[str]) -> list[np.ndarray]:
-    codes: list[np.ndarray] = []
-    for round_, folder in enumerate(folders):
-        codes.append(_read_codes(folder, number, len(ROUNDS[round_](batch, codes).distinct)))
-    return codes
-
-
 def remove_repeated(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), whole_characters: bool = False
 ) -> DataFrame:
@@ -395,34 +398,36 @@ def remove_repeated(
     """
     spark = documents.sparkSession
     ship(spark)
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = SHARDS_PER_PARTITION * partitions
     rest = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
     ordered = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *rest)
     ordered = ordered.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
     with rows_per_batch(spark, 1000):
         batches = materialize(ordered.mapInArrow(_pack_batches, _BATCHES), "batches").df
 
-    folders: list[str] = []
+    before: str | None = None
     for round_, ask in enumerate(ROUNDS):
-        before = list(folders)
+        folder = scratch_path(spark, f"answers-{round_}")
 
-        def send(rows: Iterator[pa.RecordBatch], ask=ask, before=before) -> Iterator[pa.RecordBatch]:
+        def send(rows: Iterator[pa.RecordBatch], ask=ask, before=before, folder=folder) -> Iterator[pa.RecordBatch]:
             for row in _rows(rows):
-                batch = _unpacked(row)[2]
-                asked = ask(batch, _codes_before(batch, row["batch"], before))
+                asked, state = ask(_unpacked(row)[2], *_before(before, row["batch"]))
                 keys, flags = asked.distinct, asked.flags
+                _keep(folder, row["batch"], state, len(keys))
                 cuts = np.searchsorted((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1))
                 for shard in np.flatnonzero(np.diff(cuts)):
                     own = slice(cuts[shard], cuts[shard + 1])
                     columns = [pa.array([shard], pa.int32()), pa.array([row["batch"]], pa.int64()), pa.array([pack(keys[own])]), pa.array([np.packbits(flags[own]).tobytes()])]
                     yield pa.RecordBatch.from_arrays(columns, ["shard", "batch", "keys", "flags"])
 
-        folder = scratch_path(spark, f"answers-{round_}")
         with rows_per_batch(spark, 4):
-            sent = batches.mapInArrow(send, _DEALT).repartition(shards, "shard").sortWithinPartitions("shard", "batch")
-            answered = sent.mapInArrow(_answer, _CODES).repartition(shards, "batch").sortWithinPartitions("batch", "shard")
+            sent = batches.mapInArrow(send, _DEALT).repartition(partitions, "shard").sortWithinPartitions("shard", "batch")
+            answered = sent.mapInArrow(_answer, _CODES).repartition(partitions, "batch").sortWithinPartitions("batch", "shard")
             materialize(answered.mapInArrow(_store(folder), "batch long"), "stored")
-        folders.append(folder)
+        if before:
+            delete_folder(spark, before)
+        before = folder
 
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema.fields[2:]]
     schema = ", ".join(["doc_id long", *kinds, "n_bytes long", "spans array<struct<from:long,until:long>>", "kept binary"])
@@ -430,10 +435,7 @@ def remove_repeated(
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(rows):
             ids, rest, batch = _unpacked(row)
-            codes = _codes_before(batch, row["batch"], folders)
-            ends = _ask_ends(batch, codes)
-            starts = np.concatenate([_settled(batch, codes), ends.places[ends.answers(codes[3]) & EARLIER > 0]])
-            gone = batch.covered(starts)
+            gone = batch.covered(_found(batch, *_before(before, row["batch"])))
             if whole_characters and len(gone):
                 first = np.flatnonzero((batch.data & 0xC0) != 0x80)
                 gone = np.repeat(np.logical_and.reduceat(gone, first), np.diff(np.append(first, len(gone))))
