@@ -32,6 +32,7 @@ from tiermill.sources.scratch import materialize, scratch_path
 MAGIC = b"TMBP1"
 BLOCK = 1 << 16
 FILE_IDS = 64 << 20
+CACHED_PIECES = 600_000
 _TEXTS_AT_ONCE = 1024
 
 
@@ -147,7 +148,7 @@ def _encoder(path: str) -> PieceCache:
             yield np.array(found.ids, "<u4").tobytes()
 
     keep(_encoder.cache_clear)
-    return PieceCache(encode)
+    return PieceCache(encode, CACHED_PIECES)
 
 
 def write_ids(
