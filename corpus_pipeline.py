@@ -19,6 +19,10 @@ from tiermill.sources.scratch import materialize
 #: No SQL: the stages learn, search and encode; tests hold ``run`` against a brute-force version.
 ORACLE_SQL = None
 
+#: Near copies are documents whose sets of five words in a row are equal to 80 % or more.
+SHINGLE = 5
+PERCENT = 80
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the quality trees accept, learned from the labels that are not held out."""
@@ -29,7 +33,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id; documents without words or without an id all stay."""
-    groups = ngram_join.link(docs).select(F.col("doc_id").alias("__id"), "component_id").distinct()
+    groups = ngram_join.link(docs, shingle=SHINGLE, percent=PERCENT).select(F.col("doc_id").alias("__id"), "component_id").distinct()
     later = groups.filter("component_id <> __id").select("__id")
     kept = docs.join(later, docs["doc_id"] == F.col("__id"), "left_anti")
     # repeated rows of one id are copies, too
