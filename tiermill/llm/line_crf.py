@@ -2,7 +2,8 @@
 
 Every line with a word is a step of a chain; its observations are some yes/no statements about it. Weights of the
 observations and of the four transitions are learned by conditional likelihood (forward and backward sums), from
-at most ``SAMPLE`` documents: lines of documents labelled good count as content, lines of bad ones as boilerplate.
+at most ``SAMPLE`` documents: lines of documents labelled good count as content, lines of bad ones as boilerplate. All lines
+of these documents are taken; a document that would bring the sample above ``SAMPLED_LINES`` is left out whole.
 Viterbi decoding labels all lines of a document together, and a document is kept when lines marked as
 content hold at least ``CONTENT_SHARE`` of its words.
 
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from tiermill.llm.arrays import RollingHash, Texts, text_slices, words
 from tiermill.llm.textstats import CLASSES, SIGNS, class_counts, equal_to_earlier, lines, per_range, repeated_words
 from tiermill.llm.workers import ship
+from tiermill.sources.scratch import materialize
 
 SAMPLE = 6_000
-LONGEST_SAMPLED = 48
+SAMPLED_LINES = 400_000
 STEPS = 80
 CONTENT_SHARE = 0.5
 REPEATED_RUN = 5
@@ -172,7 +174,7 @@ def fit(seen: np.ndarray, owner: np.ndarray, labels: np.ndarray, steps: int = ST
 
 
 def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", sample: int = SAMPLE) -> Chain:
-    """Weights from the lines of labelled documents (at most about ``sample``, and of each its first lines)."""
+    """Weights from all lines of labelled documents (at most about ``sample``, and ``SAMPLED_LINES`` lines of whole documents)."""
     ship(documents.sparkSession)
     usable = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
     usable = usable.groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
@@ -183,25 +185,33 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", doc_i
     usable = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per document; the observations of a line are the bits of a number."""
+        bits = 1 << np.arange(len(OBSERVATIONS), dtype=np.int64)
         for batch in batches:
             for part in text_slices(batch.column(2)):
                 found = line_rows(part)
-                place = np.arange(len(found.owner)) - np.searchsorted(found.owner, found.owner)
-                use = place < LONGEST_SAMPLED
-                owner = found.owner[use] + part.first
-                seen = found.seen[use]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(seen) + 1, dtype=np.int32) * len(OBSERVATIONS)), pa.array(seen.ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(place[use]), lists],
-                    ["doc_id", "label", "place", "seen"],
-                )
+                starts = np.searchsorted(found.owner, np.arange(len(part) + 1)).astype(np.int32)
+                seen = pa.ListArray.from_arrays(pa.array(starts), pa.array((found.seen.astype(np.int64) @ bits).astype(np.int32)))
+                own = [batch.column(i).slice(part.first, len(part)) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(starts)), seen], ["doc_id", "label", "n", "seen"])
 
     known = documents.select(F.col(doc_id).alias("doc_id"), "text").join(F.broadcast(usable), "doc_id").dropDuplicates(["doc_id"])
-    taught = known.select("doc_id", "label", "text").mapInArrow(rows, "doc_id long, label int, place long, seen array<double>")
-    pdf = taught.toPandas().sort_values(["doc_id", "place"], kind="stable")
-    seen = np.array(pdf["seen"].tolist(), float).reshape(len(pdf), len(OBSERVATIONS))
-    _, owner = np.unique(pdf["doc_id"].to_numpy(), return_inverse=True)
-    return fit(seen, owner, pdf["label"].to_numpy(np.int64))
+    taught = known.select("doc_id", "label", "text").mapInArrow(rows, "doc_id long, label int, n int, seen array<int>")
+    taught = materialize(taught.filter("n > 0"), "lines").df
+    order = F.xxhash64("doc_id", F.lit(1))
+    sizes = taught.select("doc_id", "n").orderBy(order, "doc_id").toPandas()
+    chosen, left = [], SAMPLED_LINES
+    for doc, n in zip(sizes["doc_id"].tolist(), sizes["n"].tolist(), strict=True):
+        if n <= left:
+            chosen.append((doc,))
+            left -= n
+    if len(chosen) < len(sizes):
+        taught = taught.join(F.broadcast(documents.sparkSession.createDataFrame(chosen, "doc_id long")), "doc_id", "left_semi")
+    pdf = taught.select("doc_id", "label", "n", "seen").toPandas().sort_values("doc_id", kind="stable")
+    marks = np.concatenate([np.zeros(0, np.int64), *pdf["seen"]]).astype(np.int64)
+    seen = (marks[:, None] >> np.arange(len(OBSERVATIONS)) & 1).astype(float)
+    n = pdf["n"].to_numpy(np.int64)
+    return fit(seen, np.repeat(np.arange(len(n)), n), np.repeat(pdf["label"].to_numpy(np.int64), n))
 
 
 #: What ``judge`` adds; ``n_content_words`` counts words of lines marked as content.
