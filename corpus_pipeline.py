@@ -31,14 +31,28 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
     return scored.filter(F.col("__score") >= quality_gbt.KEEP_FROM).select(*docs.columns)
 
 
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """The rows with a number each (``__row``), stored, so that it is the same at every reading."""
+    return materialize(docs.withColumn("__row", F.monotonically_increasing_id()), label).df
+
+
+def _own_texts(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("__row").alias("doc_id"), "text")
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; documents without words or without an id all stay."""
-    groups = ngram_join.link(docs, shingle=SHINGLE, percent=PERCENT).select(F.col("doc_id").alias("__id"), "component_id").distinct()
-    later = groups.filter("component_id <> __id").select("__id")
-    kept = docs.join(later, docs["doc_id"] == F.col("__id"), "left_anti")
-    # repeated rows of one id are copies, too
-    own = kept.withColumn("__text", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return own.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+    """Of each group of near copies the row with the smallest id, one without an id last; each row is judged by its own text.
+    Rows without words all stay, except repeated ones of one id."""
+    rows = _numbered(docs, "copies")
+    linked = ngram_join.link(_own_texts(rows), shingle=SHINGLE, percent=PERCENT)
+    own = rows.select("__row", F.col("doc_id").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__text"))
+    known = linked.select(F.col("doc_id").alias("__row"), "n_shingles", "component_id").join(own, "__row")
+    bare = (F.col("n_shingles") == 0) & F.col("__id").isNotNull()
+    groups = known.groupBy(
+        bare.alias("bare"), F.when(bare, F.col("__id")).otherwise(F.col("component_id")).alias("group"), F.when(bare, F.col("__text")).alias("same")
+    )
+    first = groups.agg(F.min(F.struct(F.col("__id").isNull(), "__id", "__row")).alias("first"))
+    return rows.join(first.select("first.__row"), "__row", "left_semi").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -53,10 +67,11 @@ def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    found = spaced_seeds.contaminated(docs, table(spark, folder, "benchmark")).select("doc_id").distinct()
-    known = found.filter("doc_id is not null")
-    return docs.join(known, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that hold no passage of the benchmark, each judged by its own text, whatever its id."""
+    rows = _numbered(docs, "searched")
+    found = spaced_seeds.contaminated(_own_texts(rows), table(spark, folder, "benchmark"))
+    found = found.select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(found, "__row", "left_anti").select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
