@@ -69,7 +69,6 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.I) for name in RAW}
 
 LONG_ENOUGH = 25
-DEEPEST = 256
 
 
 class Node:
@@ -170,7 +169,7 @@ def parse(html: str) -> Node:
         if name in RAW:
             end = _RAW_END[name].search(html, at)
             at = size if end is None else html.find(">", end.start()) + 1 or size
-        elif name not in VOID and not attributes.endswith("/") and node.depth < DEEPEST:
+        elif name not in VOID and not attributes.endswith("/"):
             here = node
     return root
 
