@@ -39,3 +39,22 @@ def test_copies_equal_plain_comparison(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, folder).collect()}
     assert kept == kept_ids([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_later_stages_on_what_is_left(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, small).cache()
+        kept[name] = {r.doc_id: r.text for r in docs.collect()}
+    single, cut, clean = list(kept.values())[1:]
+    assert set(single) == kept_ids(list(kept["quality classifier"].items()))
+    assert set(cut) == set(single)
+    for doc, n_bytes, n_removed, n_spans, _ in brute.repeats(list(single.items())):
+        left = n_bytes - n_removed
+        assert left <= len(cut[doc].encode()) <= left + 6 * n_spans
+        assert n_spans or cut[doc] == single[doc]
+    items = [f" {' '.join(brute.WORD.findall(brute.lower(r.text)))} " for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    for doc, text in clean.items():
+        words = f" {' '.join(brute.WORD.findall(brute.lower(text)))} "
+        assert text == cut[doc] and not any(item in words for item in items)
