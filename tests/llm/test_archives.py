@@ -1,0 +1,139 @@
+"""ARC files and their conversion to WARC."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiermill.llm import arc_files, arc_to_warc
+
+ABOUT = b"1 0 Crawler\nURL IP-address Archive-date Content-type Archive-length\n"
+V1 = b"filedesc://a.arc 0.0.0.0 20010203040506 text/plain %d\n%s\n" % (len(ABOUT), ABOUT)
+
+
+def converted(df):
+    archived = arc_to_warc.index(arc_to_warc.write_arc(df))
+    page_id = F.col("key").cast("long")
+    return arc_to_warc.read_warc(arc_to_warc.convert(arc_to_warc.choose_types(archived, order=[page_id.isNull(), page_id])))
+
+
+def outcome(records):
+    return sorted(((r.key, r.payload_bytes, r.payload_digest, r.kind, r.refers_to_key, r.intact) for r in records if r.kind != "warcinfo"), key=str)
+
+
+def plain(rows):
+    """The same by definition: the first of equal payloads of 100 bytes or more stays."""
+    sha = [hashlib.sha256((html or "").encode()).hexdigest() for _, html in rows]
+    size = [len((html or "").encode()) for _, html in rows]
+    first = {}
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0)):
+        first.setdefault(sha[i], i)
+    out = []
+    for i, (page, _) in enumerate(rows):
+        again = size[i] >= 100 and first[sha[i]] != i
+        other = rows[first[sha[i]]][0] if again else None
+        text = [None if v is None else str(v) for v in (page, other)]
+        out.append((text[0], size[i], sha[i], "revisit" if again else "response", text[1], True))
+    return sorted(out, key=str)
+
+
+def table(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    extra = {c: F.lit("z") for c in ("arc", "kind", "file", "key", "n", "first", "__payload", "__found", "at", "html2")}
+    return df.withColumn("url", F.concat(F.lit("http://h/a b\n"), F.col("page_id").cast("string"))).withColumns(extra).repartition(4)
+
+
+def test_copies_of_a_payload_become_revisits(spark):
+    rnd = random.Random(3)
+    pool = ["é" * rnd.randint(30, 70) + "x" * rnd.randint(0, 9) + str(i) for i in range(12)]
+    rows = [(i * 7 % 401, rnd.choice(pool) if rnd.random() < 0.6 else f"own {i} " * rnd.randint(1, 40)) for i in range(400)]
+    rows += [(1000 + i, pool[0] + "z" * 100) for i in range(2500)]  # one payload holds most rows
+    found = arc_to_warc.resolve(converted(table(spark, rows))).collect()
+    assert outcome(found) == plain(rows)
+
+
+def test_odd_rows(spark):
+    long = "wide page \r\n\r\n" * 80_000
+    rows = [(1, None), (2, ""), (3, "x" * 99), (4, "x" * 99), (5, "x" * 100), (6, "x" * 100), (6, "x" * 100), (None, "x" * 100), (None, None)]
+    rows += [(7, long), (8, long), (9, "HTTP/1.1 200 OK\r\n\r\nWARC/1.1\r\n\r\n" * 9), (10, "\n\n漢字\x00 🙂" * 20), (-4, "x" * 100), (11, "y" * 200), (12, "y" * 200)]
+    found = arc_to_warc.resolve(converted(table(spark, rows))).collect()
+    want = plain(rows)
+    assert outcome(found) == want
+    assert [r.kind for r in found].count("revisit") == 6
+    assert {r.uri for r in found if r.key == "1"} == {"http://h/a%20b%0A1"} and {r.uri for r in found if r.key is None and r.kind == "response"} == {"about:blank"}
+
+
+def test_no_rows_no_files(spark):
+    assert converted(table(spark, [(1, "x")]).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("level", [None, 6])
+@pytest.mark.parametrize("version", [1, 2])
+def test_both_versions_plain_and_packed(spark, tmp_path, version, level):
+    path = tmp_path / "a.arc"
+    with path.open("wb") as out:
+        writer = arc_files.ArcWriter(out, "a.arc", version, "19991231235959", level)
+        writer.add("http://h/1", "20010203040506", "text/html", arc_files.http_response(b"hello", "text/html", 1))
+        writer.add("dns:h", "200102", "text/dns", b"20010203 h. 1.2.3.4\n")
+        writer.add("http://h/a b?c d", "2001", "text/html odd type", b"no response\n\nhttp://h/x 1.2.3.4 20010101000000 text/html 3\n")
+        writer.add("http://h/2", "99999999999999", "text/html", arc_files.http_response(b"", "text/html", None))
+    rows = arc_to_warc.index(spark.createDataFrame([(str(path),)], "file string"))
+    found = rows.orderBy("at").collect()
+    assert [r.kind for r in found] == ["warcinfo", "response", "resource", "resource", "response"]
+    assert [r.date[:10] for r in found] == ["1999-12-31", "2001-02-03", "2001-02-01", "2001-01-01", "1999-12-31"]
+    assert [r.uri for r in found][1:] == ["http://h/1", "dns:h", "http://h/a b?c d", "http://h/2"]
+    assert found[3].content_type == "text/html odd type" and found[1].key == "1" and found[1].payload_bytes == 5
+    assert len({r.record_id for r in found}) == 5 and not any(r.error for r in found)
+    again = arc_to_warc.index(spark.createDataFrame([(str(path),)], "file string"))
+    assert sorted(r.record_id for r in again.collect()) == sorted(r.record_id for r in found)
+    back = arc_to_warc.read_warc(arc_to_warc.convert(arc_to_warc.choose_types(rows))).collect()
+    assert {r.kind: r.intact for r in back} == {"warcinfo": True, "response": True, "resource": True}
+    assert {(r.record_id, r.payload_digest) for r in back if r.kind != "warcinfo"} == {(r.record_id, r.payload_digest) for r in found[1:]}
+
+
+def records(data, tmp_path):
+    path = tmp_path / "x.arc"
+    path.write_bytes(data)
+    with path.open("rb", buffering=0) as source:
+        return [(r.uri, r.body, r.error) for r in arc_files.ArcReader(source)]
+
+
+def test_damaged_plain_file_goes_on_at_the_next_header(tmp_path):
+    good = b"http://h/%d 1.2.3.4 20010101000000 text/html 5\nabcde\n"
+    wrong = b"http://h/w 1.2.3.4 20010101000000 text/html 9\nabcde\n"
+    found = records(V1 + good % 1 + wrong + good % 2 + b"junk\n" + good % 3 + b"http://h/4 1.2.3.4 20010101000000 text/html 50\nabc", tmp_path)
+    assert [f[0] for f in found if not f[2]] == ["filedesc://a.arc", "http://h/1", "http://h/2", "http://h/3"]
+    assert [f[2] for f in found if f[2]] == [arc_files._LOST, arc_files._LOST, "50 bytes declared, 3 found"]
+
+
+def test_damaged_packed_file_goes_on_at_the_next_member(tmp_path):
+    good = b"http://h/%d 1.2.3.4 20010101000000 text/html 5\nabcde\n"
+    members = [gzip.compress(m) for m in (V1, good % 1, b"no header", good % 2, good[:-2] % 5, good % 3 + b"more")]
+    found = records(b"".join(members[:3]) + b"\x00garbage" + b"".join(members[3:]) + gzip.compress(good % 4)[:-9], tmp_path)
+    assert [f[0] for f in found if not f[2]] == ["filedesc://a.arc", "http://h/1", "http://h/2"]
+    assert [f[2] for f in found if f[2]][0] == "no header line" and len([f for f in found if f[2]]) == 5
+
+
+def test_wrong_checksum_is_damage(tmp_path):
+    path = tmp_path / "b.arc"
+    with path.open("wb") as out:
+        arc_files.ArcWriter(out, "b", 2, "2001", None).add("http://h/1", "2001", "text/html", b"abcde")
+    data = path.read_bytes().replace(b"\nabcde\n", b"\nabcdf\n")
+    assert [f[2] for f in records(data, tmp_path)] == [None, "checksum differs"]
+
+
+def test_dates():
+    dates = ["2001", "200102", "20010230", "20010203040506", "20010203040506789", "0099", "x", None, "20011", ""]
+    assert [arc_files.iso_date(d) for d in dates] == [
+        "2001-01-01T00:00:00Z", "2001-02-01T00:00:00Z", None, "2001-02-03T04:05:06Z", "2001-02-03T04:05:06Z", "0099-01-01T00:00:00Z", None, None, None, None,
+    ]
+
+
+def test_revisit_without_its_response_is_not_intact(spark):
+    rows = converted(table(spark, [(1, "x" * 200), (2, "x" * 200)]))
+    found = arc_to_warc.resolve(rows.filter("kind = 'revisit'")).collect()
+    assert [(r.kind, r.payload_bytes, r.refers_to_key, r.intact) for r in found] == [("revisit", None, None, False)]

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, ngram_join, quality_gbt, spaced_seeds, suffix_levels
+from tiermill.llm import arc_to_warc, bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, ngram_join, quality_gbt, spaced_seeds, suffix_levels
 from tiermill.llm.files import rows_per_batch
 from tiermill.llm.statements import STATEMENTS
 from tiermill.sources.scratch import materialize
@@ -123,6 +123,20 @@ def op10_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return spaced_seeds.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archived = arc_to_warc.index(arc_to_warc.write_arc(table(spark, folder, "pages")))
+    page_id = F.col("key").cast("long")
+    chosen = arc_to_warc.choose_types(archived, order=[page_id.isNull(), page_id])
+    records = arc_to_warc.resolve(arc_to_warc.read_warc(arc_to_warc.convert(chosen)))
+    return records.filter("kind IN ('response', 'revisit')").select(
+        page_id.alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("kind").alias("record_type"),
+        F.col("refers_to_key").cast("long").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_bitplanes": op2_bitplanes,
@@ -134,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_crf": op8_line_crf,
     "op9_ngram_join": op9_ngram_join,
     "op10_spaced_seeds": op10_spaced_seeds,
+    "op11_arc_to_warc": op11_arc_to_warc,
 }
 
 __all__ = ["QUERIES", "STATEMENTS"]

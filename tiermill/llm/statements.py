@@ -81,4 +81,19 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents
 LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) AS least USING (doc_id)
 """
 
-STATEMENTS: dict[str, str] = {"op3_suffix_levels": REMOVED, "op5_chat_windows": CHATS, "op9_ngram_join": LINKED}
+ARCHIVED = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+sized AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest, min(page_id) OVER (PARTITION BY html) AS first_page
+  FROM payloads)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first_page END AS refers_to
+FROM (SELECT *, payload_bytes >= 100 AND first_page < page_id AS again FROM sized)
+"""
+
+STATEMENTS: dict[str, str] = {
+    "op3_suffix_levels": REMOVED,
+    "op5_chat_windows": CHATS,
+    "op9_ngram_join": LINKED,
+    "op11_arc_to_warc": ARCHIVED,
+}
