@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import importlib.util
 import os
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import arc_to_warc, bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, ngram_join, quality_gbt, spaced_seeds, suffix_levels
+from tiermill.llm import arc_to_warc, bitplanes, bpe_fst, chat_windows, html_main, kneser_ney, line_crf, merkle, ngram_join, quality_gbt, spaced_seeds, spelling, suffix_levels
 from tiermill.llm.files import rows_per_batch
 from tiermill.llm.statements import STATEMENTS
 from tiermill.sources.scratch import materialize
@@ -137,6 +138,23 @@ def op11_arc_to_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = merkle.digest(*[merkle.cell(lowered if c == "text" else F.col(c)) for c in columns])
+    carry = {"tampered": F.when(held_out(3), tampered)}
+    rows = merkle.manifest(table(spark, folder, "documents"), "lang", "doc_id", columns, carry)
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    proof = F.sha2(merkle.siblings(F.col("path")), 256)
+    proved = rows.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root"))
+    return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.count_words(table(spark, folder, "documents"), slip=199)
+    return spelling.forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
     "op2_bitplanes": op2_bitplanes,
@@ -149,6 +167,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_spaced_seeds": op10_spaced_seeds,
     "op11_arc_to_warc": op11_arc_to_warc,
+    "op12_merkle": op12_merkle,
+    "op13_spelling": op13_spelling,
 }
 
 __all__ = ["QUERIES", "STATEMENTS"]
