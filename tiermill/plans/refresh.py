@@ -1,7 +1,8 @@
 """The full run: extracts to bronze, bronze to silver, silver to gold, then the quality checks.
 
 Every table is named with its inputs and builder, and each layer is written before the next one reads it, so
-a lost executor is repaired from stored tables. Dimensions are written before the fact that looks them up.
+a lost executor is repaired from stored tables. Dimensions are written before the fact that looks them up. The run is
+published when all tables are written, all at once, so readers see tables of one run only.
 """
 
 from __future__ import annotations
@@ -182,11 +183,12 @@ def run_refresh(
     on_invalid: str = "null",
     only_if_prefix: str | None = None,
     keep_versions: int = 1,
+    hold_back: bool = False,
 ) -> RunResult:
-    """Run everything. An empty derived table stops the run and leaves its previous content in place.
+    """Run everything. An empty derived table, or any other failure, stops the run and leaves the run before in place.
 
-    With ``enforce_quality`` a failed check raises after all checks have run, and before earlier contents are deleted;
-    the last ``keep_versions`` of these stay anyway. A missing extract raises here (``on_missing="empty"`` lands an
+    With ``enforce_quality`` a failed check raises after all checks have run, and before earlier runs are deleted; the
+    last ``keep_versions`` of these stay anyway. ``hold_back`` also keeps a run that fails its checks from being published. A missing extract raises here (``on_missing="empty"`` lands an
     empty table instead). ``measure`` is the type of costs, amounts, quantities and prices: ``decimal(18,4)``, say,
     keeps them exact. Dates that are none become NULL and are reported; ``on_invalid`` is passed on to the builders.
     Rows of a keyed extract without a key are left out and reported (``on_null_key="fail"`` stops the run instead).
@@ -202,29 +204,31 @@ def run_refresh(
         if source.key is not None:
             extract = _keyless(source, extract, seen)
         rows = bronze_rows(source, extract, on_null_key, measure)
-        warehouse.full_refresh(rows, "bronze", source.table, report=report)
+        staged.write(rows, "bronze", source.table, report=report)
         if source.key is not None:
             without_key[source.table] = seen.get["keyless"]
 
     def derive(spec: TableSpec) -> None:
-        rows = _build(spec, warehouse.read, options)
+        rows = _build(spec, staged.read, options)
         if spec.layer == "silver":
             rows = stamp(rows, run_ts)
-        warehouse.full_refresh(rows, spec.layer, spec.name, require_rows=True, report=report)
+        staged.write(rows, spec.layer, spec.name, require_rows=True, report=report)
 
     with settings(spark):
-        warehouse.init()
+        staged = warehouse.init().begin()
         with scratch_scope(spark):
             extracts = read_all(spark, folder, sources, measure, on_missing=on_missing)
             together(spark, land, extracts.items())
             for wave in _waves():
                 together(spark, derive, wave)
-            found = dq_report(store_checks(warehouse.read))
+            found = dq_report(store_checks(staged.read))
             verdicts = [tuple(row) for row in found.collect()]  # one row per check
         verdicts += [("rows_have_keys", f"bronze.{t}", n, n == 0) for t, n in sorted(without_key.items())]
         quality = spark.createDataFrame(verdicts, found.schema)
+        if hold_back and enforce_quality:
+            enforce(quality)
+        staged.publish()
         if enforce_quality:
             enforce(quality)
-        written = [("bronze", s.table) for s in sources.values()] + [(t.layer, t.name) for t in TABLES]
-        together(spark, lambda table: warehouse.drop_superseded(*table, keep=keep_versions), written)
+        warehouse.drop_old_runs(keep_versions)
     return RunResult(report, quality)

@@ -416,6 +416,14 @@ STATEMENTS["refresh_fact_sales"] = "SELECT * FROM g_sales"
 STATEMENTS["refresh_step_counts"] = " UNION ALL ".join(
     f"SELECT '{step}' AS step, count(*) AS rows FROM {part}" for step, part in _STORED.items()
 )
+STATEMENTS["refresh_manifest"] = " UNION ALL ".join(
+    "SELECT '{}' AS layer, '{}' AS name, count(*) AS rows FROM {}".format(*step.split("."), part) for step, part in _STORED.items()
+)
+STATEMENTS["run_snapshots"] = " UNION ALL ".join(
+    f"SELECT '{stage}' AS stage, o_orderstatus, c_nationkey, count(*) AS order_lines "
+    f"FROM orders LEFT JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = '{status}' GROUP BY ALL"
+    for stage, status in (("kept", "F"), ("current", "O"), ("before", "F"))
+)
 
 
 def _needed(text: str) -> list[str]:

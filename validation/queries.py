@@ -50,7 +50,7 @@ from tiermill.plans.together import together
 from tiermill.settings import apply_settings
 from tiermill.sources.extracts import SOURCES, read_source
 from tiermill.sources.scratch import materialize, scratch_path
-from tiermill.sources.warehouse import LAYERS, RunReport, Warehouse
+from tiermill.sources.warehouse import LAYERS, MANIFEST, RunReport, Warehouse
 from validation.bronze_views import BronzeViews
 
 AS_OF = "2025-10-07"
@@ -234,6 +234,24 @@ def store_steps(t: Tables) -> DataFrame:
     return steps.to_df(t.spark)
 
 
+@query()
+def run_snapshots(t: Tables) -> DataFrame:
+    """Two runs of two tables that fit together only within a run; a reader keeps the first while the second is published."""
+    warehouse, readers = _own_store(t), []
+    customers, orders = t.table("customer").select("c_custkey", "c_nationkey"), t.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for status in ("F", "O"):
+        staged = warehouse.begin()
+        fact = staged.write(orders.filter(F.col("o_orderstatus") == status), "gold", "lines")
+        staged.write(customers.join(fact, F.col("c_custkey") == F.col("o_custkey"), "left_semi"), "gold", "buyers")
+        readers.append(staged.publish())
+    text = """SELECT '{stage}' AS stage, o_orderstatus, c_nationkey, count(*) AS order_lines
+        FROM {gold_lines} LEFT JOIN {gold_buyers} ON c_custkey = o_custkey GROUP BY ALL"""
+    found = [run.query(text.replace("{stage}", stage)) for stage, run in (("kept", readers[0]), ("current", warehouse.run()), ("before", warehouse.run(1)))]
+    stored = materialize(_union(*found), "snapshots").df
+    _leave(t, warehouse)
+    return stored
+
+
 # --- one row per key
 
 
@@ -614,3 +632,12 @@ def refresh_step_counts(t: Tables) -> DataFrame:
     warehouse, result = _refreshed(t)
     _leave(t, warehouse)
     return result.report.to_df(t.spark)
+
+
+@query()
+def refresh_manifest(t: Tables) -> DataFrame:
+    warehouse, _ = _refreshed(t)
+    manifest = t.spark.table(warehouse.table_name("gold", MANIFEST)).filter("age = 0").select("layer", "name", "rows")
+    stored = materialize(manifest, "manifest").df
+    _leave(t, warehouse)
+    return stored
