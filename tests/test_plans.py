@@ -112,23 +112,42 @@ def big(spark):
     )
 
 
+def exchanges(text):
+    """What rows are dealt by, but for tables with one row per partition, which are broadcast."""
+    return re.findall(r"Exchange (\w+)\(?", text.split("BroadcastExchange")[0])
+
+
 @pytest.mark.parametrize(
-    ("build", "moves"),
-    [
-        (lambda df: surrogate_key(df, ["v"], "sk"), 0),
-        (lambda df: version_end_date(df, "g", "v", "e"), 1),
-        (lambda df: running_max_fill(df, "v", "id"), 1),
-    ],
-    ids=["surrogate key", "version end", "running max"],
+    "build",
+    [lambda df: surrogate_key(df, ["v"], "sk"), lambda df: running_max_fill(df, "v", "id")],
+    ids=["surrogate key", "running max"],
 )
-def test_sorted_rows_move_once_at_most_and_into_many_tasks(spark, build, moves):
+def test_sorted_rows_are_not_moved_again_and_lie_in_many_tasks(spark, build):
     text = plan(build(big(spark)))
-    assert text.count("REPARTITION_BY_NUM") == moves
+    assert exchanges(text) == []
     rows_side, *summary_side = text.split("BroadcastExchange")
-    assert "SinglePartition" not in rows_side
     # only the table with one row per partition is brought together
     assert len(summary_side) == 1
     assert summary_side[0].index("SinglePartition") < re.search(r"Aggregate\(keys?=\[", summary_side[0]).start()
+    if "Window" in rows_side:
+        assert "Bucketed: true" in rows_side and "SelectedBucketsCount: 8 out of 8" in rows_side
+
+
+def test_versions_meet_by_one_exchange_on_their_key(spark):
+    text = plan(version_end_date(big(spark), "g", "v", "e"))
+    assert re.findall(r"Exchange (\S+?)\(", text) == ["hashpartitioning"] and "REPARTITION" not in text
+    assert "FileScan" not in text  # nothing was written before
+
+
+def test_only_rows_of_hot_keys_are_sorted_by_ranges(spark):
+    hot = big(spark).withColumn("g", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
+    ended = version_end_date(hot, "g", "v", "e")
+    text = plan(ended)
+    assert re.findall(r"Exchange (\S+?)\(", text.split("BroadcastExchange")[0]) == ["hashpartitioning"]
+    assert text.count("Bucketed: true") == 1
+    stored = spark.read.parquet(*[f for f in ended.inputFiles()])
+    assert stored.count() == hot.filter("g = -1").count()
+    assert len({r["__part"] for r in stored.select("__part").distinct().collect()}) == 8
 
 
 def hot_sales(spark, lines):

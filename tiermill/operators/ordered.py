@@ -9,20 +9,29 @@ sort deals the rows over partitions by ranges of a total order:
    spread like any other rows.
 3. The sorted rows are written with the number of their partition and their number in it.
 4. What earlier or later partitions contribute comes from a table with one row per partition, hence its broadcast.
+
+Where rows of a partition are looked at together again (running maximum), each partition is written as one bucket of a bucketed
+table, so that Spark knows it when it reads the files: the window runs on them as they lie, without another exchange.
+
+Versions of one key need no order over the table. They meet by an exchange on the key; only keys with more rows than a
+task's fair share, marked by a sketch beforehand, are dealt by ranges as above.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiermill.sources.scratch import materialize
+from tiermill.sources.scratch import materialize, scratch_path
 
 _PART = "__part"
 _ROW = "__row"
 _PLACE = "__place"
+_BUCKET = "__bucket"
 
 # monotonically_increasing_id keeps the row's place within its partition in the lower 33 bits
 _ROW_IN_PARTITION = (1 << 33) - 1
@@ -40,18 +49,52 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _lay_out(df: DataFrame, order: Sequence[Column], used: Sequence[str], label: str) -> DataFrame:
-    """The rows in scratch, with the number of their sorted partition and their number in it."""
+def _sorted_rows(df: DataFrame, order: Sequence[Column], used: Sequence[str], label: str) -> DataFrame:
+    """The rows sorted by ranges, not yet stored, with the number of their partition and their number in it."""
     stored = materialize(df, label).df.withColumn(_PLACE, F.monotonically_increasing_id())
     ties = [F.asc_nulls_last(f"`{c}`") for c in _remaining(df, used)]
     total = [*order, *ties, F.asc(_PLACE)]
     ordered = stored.repartitionByRange(_parts(df), *total).sortWithinPartitions(*total).drop(_PLACE)
-    numbered = ordered.select(
+    return ordered.select(
         "*",
         F.spark_partition_id().alias(_PART),
         F.monotonically_increasing_id().bitwiseAND(_ROW_IN_PARTITION).alias(_ROW),
     )
-    return materialize(numbered, f"{label}-ordered").df
+
+
+def _lay_out(df: DataFrame, order: Sequence[Column], used: Sequence[str], label: str) -> DataFrame:
+    """The rows in scratch, with the number of their sorted partition and their number in it."""
+    return materialize(_sorted_rows(df, order, used, label), f"{label}-ordered").df
+
+
+@lru_cache(8)
+def _bucket_values(spark: SparkSession, buckets: int) -> tuple[int, ...]:
+    """For each bucket a number that Spark puts into it."""
+    found: dict[int, int] = {}
+    tried = 0
+    while len(found) < buckets:
+        some = spark.range(tried, tried + 16 * buckets, 1, 1).select(F.col("id").cast("int").alias("value"))
+        placed = some.select("value", F.pmod(F.hash("value"), F.lit(buckets)).alias("bucket"))
+        found = {r["bucket"]: r["least"] for r in placed.groupBy("bucket").agg(F.min("value").alias("least")).collect()} | found
+        tried += 16 * buckets
+    return tuple(found[i] for i in range(buckets))
+
+
+def _lay_out_in_buckets(df: DataFrame, order: Sequence[Column], used: Sequence[str], label: str) -> DataFrame:
+    """As ``_lay_out``, each sorted partition as one bucket by ``_BUCKET``, which a window over it reads where it lies.
+
+    A bucketed table is only known by name, so it has one in the current database until it is resolved.
+    """
+    spark, buckets = df.sparkSession, _parts(df)
+    values = F.array(*[F.lit(v) for v in _bucket_values(spark, buckets)])
+    rows = _sorted_rows(df, order, used, label)
+    placed = rows.withColumn(_BUCKET, F.element_at(values, F.col(_PART) + 1))
+    path, name = scratch_path(spark, f"{label}-buckets"), f"tiermill_{uuid.uuid4().hex}"
+    try:
+        placed.write.bucketBy(buckets, _BUCKET).sortBy(_ROW).option("path", path).saveAsTable(name)
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files stay: they are scratch
 
 
 def _per_part(rows: DataFrame, over: Callable[[], Column], name: str, **aggregates: Column) -> DataFrame:
@@ -60,13 +103,13 @@ def _per_part(rows: DataFrame, over: Callable[[], Column], name: str, **aggregat
     return summary.select(_PART, over().alias(name))
 
 
-def _earlier_parts():
-    return Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+def _within_part():
+    """The rows of one sorted partition, which are those of one bucket, in their order."""
+    return Window.partitionBy(_BUCKET).orderBy(_ROW)
 
 
-def _within_part(rows: DataFrame):
-    """The rows of each partition in one task again, and their order."""
-    return rows.repartitionById(_parts(rows), F.col(_PART)), Window.partitionBy(_PART).orderBy(_ROW)
+def _earlier_parts():
+    return Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
@@ -83,11 +126,36 @@ def version_end_date(
 ) -> DataFrame:
     """Add the start of the next version of the same key; NULL for the last one.
 
-    Versions of one key are ordered by ``start`` (NULLs last), then ``tiebreak``, then all other columns. Sorted
-    partitions run across keys, so the versions of one hot key are spread over many tasks.
+    Versions of one key are ordered by ``start`` (NULLs last), then ``tiebreak``, then all other columns. A key with
+    more rows than a task's fair share is spread over many tasks.
     """
     used = [key, start, *tiebreak]
-    rows = _lay_out(df, [F.asc_nulls_last(c) for c in used], used, name)
+    order = [F.asc_nulls_last(f"`{c}`") for c in [*used[1:], *_remaining(df, used)]]
+    window = Window.partitionBy(key).orderBy(*order)
+    columns = list(dict.fromkeys([*df.columns, name]))
+    follow = lambda rows: rows.withColumn(name, F.lead(start).over(window)).select(*columns)
+    heavy = _heavy_keys(df, key)
+    if not heavy:
+        return follow(df)
+    marked = F.xxhash64(key).isin(heavy)
+    return follow(df.filter(~marked)).unionByName(_ranged_versions(df.filter(marked), key, start, name, used))
+
+
+def _heavy_keys(df: DataFrame, key: str) -> list[int]:
+    """Hashes of the keys with more rows than a fair share of a task; there are fewer of them than tasks.
+
+    Estimates: a key marked or left out wrongly is treated the other way, with the same result.
+    """
+    parts = _parts(df)
+    hashed = df.select(F.xxhash64(key).alias("key"))
+    most = min(parts, 50_000)
+    seen = hashed.agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(key, {most}, {max(1024, 16 * most)})").alias("top")).first()
+    return [item["item"] for item in seen["top"] or [] if item["count"] * parts > seen["rows"]]
+
+
+def _ranged_versions(df: DataFrame, key: str, start: str, name: str, used: Sequence[str]) -> DataFrame:
+    """Sorted partitions run across keys, so the versions of one hot key are spread over many tasks."""
+    rows = _lay_out_in_buckets(df, [F.asc_nulls_last(c) for c in used], used, name)
     version = F.struct(F.col(key).alias("key"), F.col(start).alias("start"))
     # the last row of a partition is followed by the first row of the next one
     heads = _per_part(
@@ -96,8 +164,7 @@ def version_end_date(
         "__after",
         head=F.min_by(version, F.col(_ROW)),
     )
-    spread, window = _within_part(rows)
-    following = spread.join(F.broadcast(heads), _PART).withColumn("__next", F.lead(version).over(window))
+    following = rows.join(F.broadcast(heads), _PART).withColumn("__next", F.lead(version).over(_within_part()))
     following = following.withColumn("__next", F.coalesce("__next", "__after"))
     end = F.when(F.col("__next.key").eqNullSafe(F.col(key)), F.col("__next.start"))
     return following.withColumn(name, end).select(*dict.fromkeys([*df.columns, name]))
@@ -117,11 +184,10 @@ def running_max_fill(
     """
     usable = F.when(F.col(value).isNotNull() & ~F.col(value).isin(list(invalid)), F.col(value))
     order = [F.asc_nulls_last(order_by), usable.asc_nulls_first()]
-    rows = _lay_out(df, order, [order_by], "running-max")
+    rows = _lay_out_in_buckets(df, order, [order_by], "running-max")
     carried = _per_part(rows, lambda: F.max("__best").over(_earlier_parts()), "__carried", best=F.max(usable))
-    spread, window = _within_part(rows)
-    so_far = F.max(usable).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = spread.join(F.broadcast(carried), _PART).withColumn("__filled", F.greatest(so_far, F.col("__carried")))
+    so_far = F.max(usable).over(_within_part().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    filled = rows.join(F.broadcast(carried), _PART).withColumn("__filled", F.greatest(so_far, F.col("__carried")))
     if default is not None:
         filled = filled.withColumn("__filled", F.coalesce("__filled", F.lit(default)))
     return filled.withColumn(value, F.col("__filled")).select(*df.columns)
