@@ -14,10 +14,7 @@ from tiermill.operators.quality import (
     missing_or_negative,
     orphan_keys,
     outside_dates,
-    repeated_keys,
-    row_difference,
     rows_where,
-    unique_not_null,
     values_outside,
 )
 
@@ -62,8 +59,8 @@ def store_checks(read: Callable[[str, str], DataFrame]) -> list[Check]:
     def rows(check: str, layer: str, name: str, count: Column) -> Check:
         return Check(check, f"{layer}.{name}", rows=table(layer, name), count=count)
 
-    def keys(check: str, layer: str, name: str, violations: Callable[[DataFrame], DataFrame]) -> Check:
-        return Check(check, f"{layer}.{name}", violations(table(layer, name)))
+    def key(check: str, layer: str, name: str, column: str, not_null: bool = False) -> Check:
+        return Check(check, f"{layer}.{name}", rows=table(layer, name), key=column, not_null=not_null)
 
     dimensions = {
         "customer_key": (table("gold", "dim_customers"), "customer_key"),
@@ -71,8 +68,8 @@ def store_checks(read: Callable[[str, str], DataFrame]) -> list[Check]:
     }
     sales = table("silver", "crm_sales_details")
     return [
-        keys("customer_id_unique", "silver", "crm_cust_info", lambda df: unique_not_null(df, "cst_id")),
-        keys("product_id_unique", "silver", "crm_prd_info", lambda df: unique_not_null(df, "prd_id")),
+        key("customer_id_unique", "silver", "crm_cust_info", "cst_id", not_null=True),
+        key("product_id_unique", "silver", "crm_prd_info", "prd_id", not_null=True),
         rows(
             "marital_status_domain",
             "silver",
@@ -88,16 +85,16 @@ def store_checks(read: Callable[[str, str], DataFrame]) -> list[Check]:
             rows_where(outside_dates("sls_due_dt", codes.DATE_INT_RANGE)),
         ),
         rows("country_domain", "silver", "erp_loc_a101", values_outside("cntry", codes.COUNTRY_DOMAIN)),
-        keys("customer_key_unique", "gold", "dim_customers", lambda df: unique_not_null(df, "customer_key")),
-        keys("product_key_unique", "gold", "dim_products", lambda df: unique_not_null(df, "product_key")),
-        keys("sales_orphans", "gold", "fact_sales", lambda df: orphan_keys(df, dimensions)),
+        key("customer_key_unique", "gold", "dim_customers", "customer_key", not_null=True),
+        key("product_key_unique", "gold", "dim_products", "product_key", not_null=True),
+        Check("sales_orphans", "gold.fact_sales", orphan_keys(table("gold", "fact_sales"), dimensions)),
         *[
             rows(check, "bronze", name, rows_where(F.col(column).isNotNull() & parsed.isNull()))
             for check, (name, column, parsed) in parsed_dates().items()
         ],
         *[
-            keys(check, layer, name, lambda df, column=column: repeated_keys(df, column))
+            key(check, layer, name, column)
             for check, (layer, name, column) in lookup_keys().items()
         ],
-        keys("fact_rows_as_sales", "gold", "fact_sales", lambda df: row_difference(df, sales)),
+        Check("fact_rows_as_sales", "gold.fact_sales", rows=table("gold", "fact_sales"), same_rows=sales),
     ]

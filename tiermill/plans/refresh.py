@@ -7,7 +7,7 @@ published when all tables are written, all at once, so readers see tables of one
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -99,9 +99,13 @@ TABLES = (
 )
 
 
-def _waves() -> Iterator[list[TableSpec]]:
-    """Derived tables in groups that read only from earlier groups."""
-    waiting = list(TABLES)
+def _waves(wanted: Collection[tuple[str, str]] | None = None) -> Iterator[list[TableSpec]]:
+    """Derived tables in groups that read only from earlier groups; with ``wanted``, only these and what they read."""
+    needed = set(wanted or ())
+    for spec in reversed(TABLES):
+        if (spec.layer, spec.name) in needed:
+            needed.update(spec.inputs)
+    waiting = [t for t in TABLES if wanted is None or (t.layer, t.name) in needed]
     while waiting:
         pending = {(t.layer, t.name) for t in waiting}
         wave = [t for t in waiting if not pending.intersection(t.inputs)]
@@ -141,9 +145,9 @@ def _build(
 
 
 def build_layers(
-    bronze: Mapping[str, DataFrame], as_of: date | str | None = None
+    bronze: Mapping[str, DataFrame], as_of: date | str | None = None, wanted: Collection[tuple[str, str]] | None = None
 ) -> dict[tuple[str, str], DataFrame]:
-    """All tables from bronze frames, each derived one kept in scratch, without a warehouse."""
+    """All tables, or those ``wanted`` and what they read, from bronze frames, each derived one kept in scratch, without a warehouse."""
     tables = {("bronze", name): df for name, df in bronze.items()}
     spark = next(iter(bronze.values())).sparkSession
 
@@ -151,7 +155,7 @@ def build_layers(
         built = _build(spec, lambda layer, table: tables[layer, table], {"as_of": as_of})
         tables[spec.layer, spec.name] = materialize(built, spec.name).df
 
-    for wave in _waves():
+    for wave in _waves(wanted):
         together(spark, store, wave)
     return tables
 

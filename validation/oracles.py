@@ -334,6 +334,19 @@ STATEMENTS = {
     "dq_date_int_range": f"{_bad_date('sls_order_dt')} UNION ALL {_bad_date('sls_due_dt')}",
     "dq_orphans": "SELECT * FROM lost_pairs WHERE copies > 1 OR customer_key IS NULL OR product_key IS NULL",
     "dq_orphans_strict": "SELECT * FROM lost_pairs",
+    "dq_bitmap_keys": " UNION ALL ".join(
+        _verdict(f"{key}_unique", table, f"SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1 {more}")
+        for table, key, more in (
+            ("orders", "o_orderkey", "OR o_orderkey IS NULL"),
+            ("customer", "c_custkey", "OR c_custkey IS NULL"),
+            ("part", "p_partkey", "OR p_partkey IS NULL"),
+            ("lineitem", "l_orderkey", "AND l_orderkey IS NOT NULL"),
+        )
+    ),
+    "dq_bitmap_orphans": """
+        SELECT l_orderkey, l_partkey, count(*) AS copies FROM lineitem
+        LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') AS known ON o_orderkey = l_orderkey
+        LEFT JOIN part ON p_partkey = l_partkey WHERE o_orderkey IS NULL OR p_partkey IS NULL GROUP BY l_orderkey, l_partkey""",
     "dq_unparsed_dates": " UNION ALL ".join(
         f"SELECT '{column}' AS date_column, CAST({key} AS VARCHAR) AS record_key, CAST({column} AS VARCHAR) AS value "
         f"FROM {part} WHERE {column} IS NOT NULL AND {parsed} IS NULL"

@@ -42,10 +42,11 @@ from tiermill.operators import (
     valid_date_int,
     version_end_date,
 )
+from tiermill.operators.quality import Check
 from tiermill.plans import gold, silver
 from tiermill.plans.checks import parsed_dates, store_checks
 from tiermill.plans.refresh import RunResult, bronze_rows, build_layers, run_named, run_refresh
-from tiermill.plans.schemas import BRONZE
+from tiermill.plans.schemas import BRONZE, SILVER
 from tiermill.plans.together import together
 from tiermill.settings import apply_settings
 from tiermill.sources.extracts import SOURCES, read_source
@@ -570,6 +571,23 @@ def dq_orphans_strict(t: Tables) -> DataFrame:
     return _orphans(t, strict=True)
 
 
+@query()
+def dq_bitmap_keys(t: Tables) -> DataFrame:
+    """Keys that fill their range: unique ones, and one that repeats."""
+    keys = {"orders": ("o_orderkey", True), "customer": ("c_custkey", True), "part": ("p_partkey", True), "lineitem": ("l_orderkey", False)}
+    return dq_report([Check(f"{column}_unique", name, rows=t.table(name), key=column, not_null=known) for name, (column, known) in keys.items()])
+
+
+@query()
+def dq_bitmap_orphans(t: Tables) -> DataFrame:
+    """Order lines against dimensions of whole numbers, one of them without the pending orders."""
+    dimensions = {
+        "l_orderkey": (t.table("orders").filter("o_orderstatus <> 'P'"), "o_orderkey"),
+        "l_partkey": (t.table("part"), "p_partkey"),
+    }
+    return orphan_keys(t.table("lineitem"), dimensions, strict=True)
+
+
 @query()
 def dq_unparsed_dates(t: Tables) -> DataFrame:
     tables = {"crm_sales_details": (t.sales, "sls_ord_num"), "crm_cust_info": (t.cust, "cst_key"), "erp_cust_az12": (t.az_first, "cid")}
@@ -604,7 +622,8 @@ def _bronze(t: Tables) -> dict[str, DataFrame]:
 
 @query("dq_report")
 def _quality_report(t: Tables) -> DataFrame:
-    tables = build_layers(_bronze(t), AS_OF)
+    # the checks read the layers up to the star schema, not the reports made from it
+    tables = build_layers(_bronze(t), AS_OF, [*[("silver", name) for name in SILVER], ("gold", "fact_sales")])
     return dq_report(store_checks(lambda layer, table: tables[layer, table]))
 
 
