@@ -130,9 +130,12 @@ def test_nothing(spark, nothing, documents):
 def test_filters_pass_all_their_keys_and_few_others(size):
     rng = np.random.default_rng(size)
     keys, others = rng.integers(0, 1 << 64, (2, size), np.uint64, endpoint=False) if size else np.zeros((2, 0), np.uint64)
-    made = spelling.BlockedBloom.of(keys)
-    assert made.passed(keys).tolist() == list(range(size))
-    assert len(made.passed(others)) <= max(2, size // 100)
+    part = keys.view(np.int64) % 3
+    rows = [(7, p, 3, spelling.blocked_bloom(keys[part == p]).tobytes()) for p in range(3)]
+    made, some = spelling.Shards(rows), spelling.Shards(rows[1:])
+    assert made.passed(keys, 7).tolist() == list(range(size))
+    assert some.passed(keys, 7).tolist() == np.flatnonzero(part != 0).tolist()
+    assert len(made.passed(others, 7)) <= max(2, size // 100) and 8 not in made
 
 
 def test_hash_of_an_edit_is_that_of_the_new_word(spark):

@@ -1,7 +1,7 @@
 """Group spelling variants: words one edit apart, found by Bloom filters over the vocabulary.
 
 1. ``count_words`` counts words of whole texts: tasks add up what they meet in tables of bounded size, Spark sums by word.
-2. The vocabulary is cut into shards by length (and, above ``SHARD_WORDS``, by hash). Each shard becomes a blocked Bloom
+2. The vocabulary is cut into shards by length and, above ``SHARD_WORDS``, by hash. Each shard becomes a blocked Bloom
    filter: a word sets eight bits of one block of 256.
 3. Filters are broadcast in rounds of at most ``ROUND_BYTES``, whatever the size of the vocabulary; a vocabulary of up to
    32 million words takes one round. In a round every word whose edits could lie in a shard at hand generates them and
@@ -36,7 +36,7 @@ from tiermill.llm.files import rows_per_batch
 from tiermill.llm.workers import let_go, ship
 from tiermill.sources.scratch import materialize
 
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 13
 ROUND_BYTES = 64 << 20
 KEYS_PER_BLOCK = 16  # of 256 bits
 _HELD_WORDS = 400_000
@@ -123,57 +123,54 @@ def hashes(codes: np.ndarray) -> np.ndarray:
     return _finish(_cells(np.arange(codes.shape[1]), codes).sum(axis=1, dtype=np.uint64), codes.shape[1])
 
 
-class BlockedBloom:
-    """Blocks of four 64-bit lanes; a key has two bits in each lane of one block."""
+def _bits(keys: np.ndarray, lane: int) -> np.ndarray:
+    """The two bits of each key in a lane."""
+    spread = (keys * _LANES) >> np.uint64(12 * lane + 12)
+    return (np.uint64(1) << (spread & np.uint64(63))) | (np.uint64(1) << ((spread >> np.uint64(6)) & np.uint64(63)))
 
-    def __init__(self, lanes: np.ndarray):
-        self.lanes = lanes.reshape(-1, 4)
 
-    @classmethod
-    def of(cls, keys: np.ndarray) -> BlockedBloom:
-        made = cls(np.zeros(4 * max(1, -(-len(keys) // KEYS_PER_BLOCK)), np.uint64))
-        block = made._block(keys)
-        for lane in range(4):
-            np.bitwise_or.at(made.lanes[:, lane], block, made._bits(keys, lane))
-        return made
-
-    def _block(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys >> np.uint64(32)) * np.uint64(len(self.lanes)) >> np.uint64(32)).astype(np.int64)
+def _block(keys: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """The block of each key among so many, by its upper bits."""
+    return ((keys >> np.uint64(32)) * blocks >> np.uint64(32)).astype(np.int64)
 
-    @staticmethod
-    def _bits(keys: np.ndarray, lane: int) -> np.ndarray:
-        spread = (keys * _LANES) >> np.uint64(12 * lane + 12)
-        return (np.uint64(1) << (spread & np.uint64(63))) | (np.uint64(1) << ((spread >> np.uint64(6)) & np.uint64(63)))
 
-    def passed(self, keys: np.ndarray) -> np.ndarray:
-        """Places of the keys that may be in the set; later lanes are read for those only that passed the earlier ones."""
-        block, left = self._block(keys), np.arange(len(keys))
-        for lane in range(4):
-            bits = self._bits(keys[left], lane)
-            left = left[(self.lanes[block[left], lane] & bits) == bits]
-        return left
+def blocked_bloom(keys: np.ndarray) -> np.ndarray:
+    """Blocks of four 64-bit lanes; a key sets two bits in each lane of one block."""
+    lanes = np.zeros((max(1, -(-len(keys) // KEYS_PER_BLOCK)), 4), np.uint64)
+    block = _block(keys, np.uint64(len(lanes)))
+    for lane in range(4):
+        np.bitwise_or.at(lanes[:, lane], block, _bits(keys, lane))
+    return lanes
 
 
 class Shards:
-    """The filters at hand: by length, some or all parts of the words of that length."""
+    """The filters at hand: by length, some or all parts of the words of that length, one behind the other."""
 
     def __init__(self, rows: list[tuple[int, int, int, bytes]]):
-        self._parts: dict[int, int] = {}
-        self._filters: dict[int, dict[int, BlockedBloom]] = {}
+        self._lanes = np.frombuffer(b"".join(r[3] for r in rows), "<u8").reshape(-1, 4)
+        self._first: dict[int, np.ndarray] = {}
+        self._blocks: dict[int, np.ndarray] = {}
+        at = 0
         for length, part, parts, lanes in rows:
-            self._parts[length] = parts
-            self._filters.setdefault(length, {})[part] = BlockedBloom(np.frombuffer(lanes, "<u8"))
+            self._first.setdefault(length, np.zeros(parts, np.int64))[part] = at
+            self._blocks.setdefault(length, np.zeros(parts, np.uint64))[part] = len(lanes) // 32
+            at += len(lanes) // 32
 
     def __contains__(self, length: int) -> bool:
-        return length in self._parts
+        return length in self._first
 
     def passed(self, keys: np.ndarray, length: int) -> np.ndarray:
-        parts, filters = self._parts[length], self._filters[length]
-        if parts == 1:
-            return filters[0].passed(keys)
-        part = keys.view(np.int64) % parts
-        found = [own[one.passed(keys[own])] for number, one in filters.items() if len(own := np.flatnonzero(part == number))]
-        return np.concatenate(found) if found else np.zeros(0, np.int64)
+        """Places of the keys that may be in the parts at hand; later lanes are read for those only that passed the earlier ones."""
+        blocks = self._blocks[length]
+        part = keys.view(np.int64) % len(blocks)
+        left = np.flatnonzero(blocks[part])
+        keys, part = keys[left], part[left]
+        block = self._first[length][part] + _block(keys, blocks[part])
+        for lane in range(4):
+            bits = _bits(keys, lane)
+            hit = np.flatnonzero((self._lanes[block, lane] & bits) == bits)
+            left, keys, block = left[hit], keys[hit], block[hit]
+        return left
 
 
 def near_candidates(words: list[str], shards: Shards, alphabet: np.ndarray) -> Iterator[tuple[int, str]]:
@@ -249,9 +246,10 @@ def _filters(words: DataFrame) -> DataFrame:
     def build(key: tuple, group: pa.Table) -> pa.Table:
         keys = group.column("hash").to_numpy().view(np.uint64)
         shard = [pa.array([value.as_py()], pa.int32()) for value in key]
-        return pa.table([*shard, pa.array([BlockedBloom.of(keys).lanes.astype("<u8").tobytes()])], ["length", "part", "parts", "lanes"])
+        return pa.table([*shard, pa.array([blocked_bloom(keys).astype("<u8").tobytes()])], ["length", "part", "parts", "lanes"])
 
-    groups = placed.groupBy("length", "part", "parts").applyInArrow(build, "length int, part int, parts int, lanes binary")
+    # dealt by part as well: the join before leaves all parts of a length in one task
+    groups = placed.repartition("length", "part").groupBy("length", "part", "parts").applyInArrow(build, "length int, part int, parts int, lanes binary")
     return materialize(groups.withColumn("bytes", F.octet_length("lanes")), "word-filters").df
 
 
