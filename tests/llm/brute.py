@@ -90,12 +90,12 @@ def line_counts(text):
     return [len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), again, len(repeated)]
 
 
-def near_copies(rows):
+def near_copies(rows, shingle=3, percent=90):
     """Per document: shingles and the smallest document reachable by links."""
     sets = {}
     for doc, text in rows:
         words = WORD.findall(lower(text))
-        sets[doc] = {tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+        sets[doc] = {tuple(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))} if words else set()
     parent = {doc: doc for doc in sets}
 
     def root(doc):
@@ -109,7 +109,7 @@ def near_copies(rows):
             holders[shingle].append(doc)
     shared = Counter(pair for docs in holders.values() for pair in itertools.combinations(sorted(docs), 2))
     for (a, b), count in shared.items():
-        if 100 * count >= 90 * (len(sets[a]) + len(sets[b]) - count):
+        if 100 * count >= percent * (len(sets[a]) + len(sets[b]) - count):
             x, y = root(a), root(b)
             parent[max(x, y)] = min(x, y)
     return {doc: (len(own), root(doc)) for doc, own in sets.items()}

@@ -112,6 +112,33 @@ def near_rows(seed):
     return rows
 
 
+def test_rows_of_one_id_stay_as_many_as_they_are(spark):
+    rows = [(1, "a b c d"), (1, "x y"), (2, "a b c d"), (1, "a b c d")]
+    found = ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1)]
+
+
+@pytest.mark.parametrize(("shingle", "percent"), [(3, 90), (5, 80)])
+def test_members_far_from_their_hub_are_linked_with_each_other(spark, shingle, percent):
+    """Copies of one text with many words replaced, in families: links lie within families, not with the hub."""
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(90)]
+    rows = [(0, " ".join(base))]
+    for family in range(12):
+        words = list(base)
+        for at in rnd.sample(range(90), rnd.randint(3, 9)):
+            words[at] = f"f{family}x{at}"
+        for _ in range(8):
+            own = list(words)
+            for at in rnd.sample(range(90), rnd.randint(0, 2)):
+                own[at] = f"o{len(rows)}x{at}"
+            rows.append((len(rows), " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link(df, shingle=shingle, percent=percent).collect()}
+    assert found == brute.near_copies([(r.doc_id, r.text) for r in df.collect()], shingle, percent)
+    assert 3 < len({c for _, c in found.values()}) < len(rows) / 2
+
+
 def test_near_copies_equal_plain_links(spark):
     odd = [(6000, None), (6001, ""), (6002, "a"), (6003, "A"), (6004, "a b"), (6005, "a  B\n"), (6006, " \t")]
     check_components(spark.createDataFrame([*near_rows(4), *odd], "doc_id long, text string").repartition(5))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from tiermill.llm.segments import PieceCache
+from tiermill.llm.segments import CACHE_ENTRIES, PieceCache
 from tiermill.llm.workers import keep, ship
 
 #: Fixed value: how texts are split before the merges.
@@ -273,8 +273,8 @@ class StreamDecoder:
 
 
 @lru_cache(2)
-def _encoder(path: str) -> PieceCache:
-    transducer, split = Transducer(Vocabulary.load(path)), regex.compile(PATTERN).findall
+def _encoder(path: str, pieces: int = CACHE_ENTRIES, states: int = MOST_STATES) -> PieceCache:
+    transducer, split = Transducer(Vocabulary.load(path), states), regex.compile(PATTERN).findall
     gc.set_threshold(1_000_000, 50, 1000)  # the tables hold many objects and no cycles
 
     def encode(pieces: list[str], cache: PieceCache) -> Iterator[bytes]:
@@ -293,7 +293,7 @@ def _encoder(path: str) -> PieceCache:
             yield b"".join(out)
 
     keep(_encoder.cache_clear)
-    return PieceCache(encode)
+    return PieceCache(encode, pieces)
 
 
 @lru_cache(2)
@@ -305,8 +305,8 @@ _TEXTS_AT_ONCE = 1024
 _IDS_AT_ONCE = 1 << 16
 
 
-def _encode_column(texts: pa.Array, path: str) -> pa.Array:
-    cache, sizes, data = _encoder(path), [], []
+def _encode_column(texts: pa.Array, path: str, *kept: int) -> pa.Array:
+    cache, sizes, data = _encoder(path, *kept), [], []
     for at in range(0, len(texts), _TEXTS_AT_ONCE):
         found = cache.ids(texts.slice(at, _TEXTS_AT_ONCE).to_pylist())
         sizes += [len(x) // 4 for x in found]
@@ -358,14 +358,19 @@ def decode_bpe(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "te
     return df.withColumn(text, decoded(F.col(ids)))
 
 
-def round_trip(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Add the ids of ``text`` and what they decode to, in one pass through the workers."""
+def round_trip(
+    df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", pieces: int = CACHE_ENTRIES, states: int = MOST_STATES
+) -> DataFrame:
+    """Add the ids of ``text`` and what they decode to, in one pass through the workers.
+
+    A worker remembers the ids of up to twice ``pieces`` pieces and as many ``states``; with fewer it works more and holds less.
+    """
     ship(df.sparkSession)
 
     @F.arrow_udf("struct<ids:array<int>,text:string>")
     def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = _encode_column(texts, vocabulary)
+            found = _encode_column(texts, vocabulary, pieces, states)
             yield pa.StructArray.from_arrays([found, _decode_column(found, vocabulary)], ["ids", "text"])
 
     both = df.withColumn("__both", there_and_back(F.col(text)))

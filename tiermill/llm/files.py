@@ -64,3 +64,15 @@ def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of each job at its end; for jobs that store what they make and are not run again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

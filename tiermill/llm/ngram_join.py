@@ -25,6 +25,7 @@ stay repeated. Other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +34,16 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.arrays import Texts, mix, pack, pack_counts, text_slices, unpack, unpack_counts, word_hashes
 from tiermill.llm.components import components
-from tiermill.llm.files import rows_per_batch
+from tiermill.llm.files import rows_per_batch, shuffles_deleted
 from tiermill.llm.textstats import grams
 from tiermill.llm.workers import ship
-from tiermill.sources.scratch import materialize
+from tiermill.sources.scratch import delete_folder, materialize, scratch_path, scratch_scope
 
 SHINGLE = 3
 PERCENT = 90
 PARTS = 16
+LANES = 4
+ROUND_KEYS = 1 << 25
 SHARDS_PER_PARTITION = 4
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -234,6 +237,15 @@ def _private(sets: DataFrame, shards: int) -> DataFrame:
     return counted.groupBy("doc_id").agg(F.array(*of_part).alias("private"))
 
 
+def _sketch(keys: str, name: str) -> list[Column]:
+    """Whether an odd number of ``keys`` falls into each of ``64 * LANES`` buckets, as ``LANES`` numbers.
+
+    Two sets whose sketches differ in k bits differ in k keys at least.
+    """
+    lane = "aggregate(filter({keys}, k -> shiftrightunsigned(k, 6) & {last} = {i}), 0L, (odd, k) -> odd ^ shiftleft(1L, int(k & 63)))"
+    return [F.expr(lane.format(keys=keys, last=LANES - 1, i=i)).alias(f"{name}_{i}") for i in range(LANES)]
+
+
 def _total(counts: Column) -> Column:
     return F.aggregate(counts, F.lit(0).cast("long"), lambda n, x: n + x)
 
@@ -249,11 +261,26 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         sizes("keys_u").alias("parts_u"),
         sizes("keys_v").alias("parts_v"),
         F.zip_with("keys_u", "keys_v", lambda a, b: F.size(F.array_intersect(a, b)).cast("long")).alias("parts"),
+        *_sketch("array_except(flatten(keys_u), flatten(keys_v))", "missing"),
+        *_sketch("array_except(flatten(keys_v), flatten(keys_u))", "added"),
     )
     sums = {"n_u": _total(F.col("parts_u")), "n_v": _total(F.col("parts_v")), "shared": _total(F.col("parts"))}
     return counted.withColumns(sums)
 
 
+def _in_rounds(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``_overlaps`` of stored pairs, stored. A pair moves a whole set, and a set may be in many pairs, so pairs are taken in as many
+    rounds as they outweigh the sets, and ``ROUND_KEYS``: no round moves much more than the larger of both, and its shuffle files
+    go with it."""
+    sized = sets.select("doc_id", _total(F.transform("parts", lambda part: F.size(part).cast("long"))).alias("n"))
+    whole = sized.agg(F.sum("n")).first()[0] or 1
+    moved = pairs.join(sized, F.col("u") == F.col("doc_id")).agg(F.sum("n")).first()[0] or 0
+    rounds = -(-moved // max(whole, ROUND_KEYS)) or 1
+    mine = F.pmod(F.xxhash64("u", "v"), F.lit(rounds))
+    parts = [materialize(_overlaps(pairs.filter(mine == i), sets), "overlaps").df for i in range(rounds)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _enough(percent: int):
     return 100 * F.col("shared") >= percent * (F.col("n_u") + F.col("n_v") - F.col("shared"))
 
@@ -263,12 +290,14 @@ def _across(stars: DataFrame, labels: DataFrame, private: DataFrame, percent: in
 
     Two sets differ by what one differs from the hub and the other does not. Within each fragment that is all private
     shingles of both, and of the shingles of the hub that are missing, and of the others that are added, at least as many as
-    their numbers are apart.
+    their numbers are apart. Over all fragments it is also at least as many as the sketches of the missing and of the added
+    shingles are apart, which tells members of one group from each other that lie equally far from their hub.
     """
     of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
     own = private.select(F.col("doc_id").alias("v"), "private")
     known = stars.join(of("u"), "u", "left").join(of("v"), "v", "left").join(own, "v", "left")
     known = known.withColumn("private", F.coalesce("private", F.array_repeat(F.lit(0).cast("long"), PARTS)))
+    sketches = [f"{kind}_{i}" for kind in ("missing", "added") for i in range(LANES)]
     missing = F.zip_with("parts_u", "parts", lambda n, shared: n - shared)
     more = F.zip_with(F.zip_with("parts_v", "parts", lambda n, shared: n - shared), "private", lambda n, alone: n - alone)
     known = known.select(
@@ -280,13 +309,16 @@ def _across(stars: DataFrame, labels: DataFrame, private: DataFrame, percent: in
         (F.col("n_u") - F.col("shared")).alias("gone"),
         F.concat(missing, more).alias("counts"),
         F.floor(F.col("n_v") * (100 - percent) / percent).alias("most"),
+        *sketches,
     ).filter("p <= most")
-    columns = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("v", "c", "p", "gone", "counts", "most")]
+    columns = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("v", "c", "p", "gone", "counts", "most", *sketches)]
     left = known.filter("c <> c_u").select("u", *columns("a"))
     right = known.select("u", *columns("b"))
     may = (F.col("v_a") != F.col("v_b")) & (F.col("c_a") != F.col("c_b"))
     alone, most = F.col("p_a") + F.col("p_b"), F.least("most_a", "most_b")
     may = may & (alone + F.abs(F.col("gone_a") - F.col("gone_b")) <= most)
+    bits = lambda kind: sum(F.bit_count(F.col(f"{kind}_{i}_a").bitwiseXOR(F.col(f"{kind}_{i}_b"))) for i in range(LANES))
+    may = may & (bits("missing") + F.greatest(bits("added"), alone) <= most)
     apart = _total(F.zip_with("counts_a", "counts_b", lambda a, b: F.abs(a - b)))
     found = left.join(right, (left["u"] == right["u"]) & may & (alone + apart <= most))
     pairs = found.select(F.least("v_a", "v_b").alias("u"), F.greatest("v_a", "v_b").alias("v")).distinct()
@@ -299,18 +331,30 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
     ship(spark)
     texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     shards = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    result = scratch_path(spark, "linked")
+    with scratch_scope(spark), shuffles_deleted(spark):
+        linked = _link(texts, shards, shingle, percent)
+        linked.write.parquet(result)
+    return spark.read.schema(linked.schema).parquet(result)
+
+
+def _link(texts: DataFrame, shards: int, shingle: int, percent: int) -> DataFrame:
+    spark = texts.sparkSession
     with rows_per_batch(spark, 4000):
-        described = materialize(_describe(texts, shards, shingle, percent), "shingles").df
-    own = described.filter("shard is null").select("doc_id", "n", "set")
+        stored = materialize(_describe(texts, shards, shingle, percent), "shingles")
+    described = stored.df
+    own = materialize(described.filter("shard is null").select("doc_id", "n", "set"), "documents").df
     known = own.filter("doc_id is not null and n > 0")
     classes = known.groupBy("set", "n").agg(F.min("doc_id").alias("first"))
-    members = materialize(known.join(classes, ["set", "n"]).select("doc_id", "n", "first").distinct(), "classes").df
+    members = materialize(known.join(classes, ["set", "n"]).select("doc_id", "n", "set", "first").distinct(), "classes").df
 
     blocks = described.filter("shard is not null").select("shard", "keys", "ids")
     with rows_per_batch(spark, 200):
         dealt = blocks.repartition(shards, "shard").sortWithinPartitions("shard")
-        shared = dealt.mapInArrow(_shared, "print long, doc_id long").join(members.select("doc_id", "first"), "doc_id")
+        firsts = members.select("doc_id", "first").distinct()
+        shared = dealt.mapInArrow(_shared, "print long, doc_id long").join(firsts, "doc_id")
         entries = materialize(shared.select("print", F.col("first").alias("doc_id")).distinct(), "prints").df
+    delete_folder(spark, stored.path)  # the fingerprints, which are as large as the texts, have been read
     groups = entries.groupBy("print").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).filter("u <> last")
     pairs = entries.join(groups, "print").filter("u <> doc_id").select("u", F.col("doc_id").alias("v")).distinct()
     pairs = materialize(pairs, "stars").df
@@ -318,17 +362,17 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
     # the ids grow with the input: one plan at every size
     needed = texts.join(wanted.hint("merge"), "doc_id", "left_semi")
     sets = materialize(_sets(needed.dropDuplicates(["doc_id"]), shingle), "sets").df
-    stars = materialize(_overlaps(pairs, sets), "stars").df
+    stars = _in_rounds(pairs, sets)
     links = stars.filter(_enough(percent)).select("u", "v")
     labels = materialize(components(links), "labels").df
     with rows_per_batch(spark, 2000):
         private = materialize(_private(sets, shards), "private").df
     across = materialize(_across(stars, labels, private, percent), "across").df
-    more = materialize(_overlaps(across, sets).filter(_enough(percent)).select("u", "v"), "links")
-    if more.rows:
-        labels = components(links.union(more.df))
+    more = _in_rounds(across, sets).filter(_enough(percent)).select("u", "v")
+    if not more.isEmpty():
+        labels = components(links.union(more))
     found = members.join(labels, F.col("first") == F.col("node"), "left").select(
-        F.col("doc_id").alias("member"), F.coalesce("component", "first").alias("component_id")
+        F.col("doc_id").alias("member"), F.col("set").alias("members_set"), F.coalesce("component", "first").alias("component_id")
     )
-    joined = own.join(found, F.col("doc_id") == F.col("member"), "left")
+    joined = own.join(found, (F.col("doc_id") == F.col("member")) & (F.col("set") == F.col("members_set")), "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
