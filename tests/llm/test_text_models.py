@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tiermill.llm import kneser_ney, line_crf, quality_gbt, queries
-from tiermill.llm.arrays import RollingHash, pack, pack_counts, text_slices, unpack, unpack_counts
+from tiermill.llm.arrays import HASH_BLOCK, RollingHash, pack, pack_counts, text_slices, unpack, unpack_counts
 from tiermill.llm.textstats import FEATURES, document_features
 
 
@@ -29,6 +29,46 @@ def test_equal_strings_have_equal_hashes_wherever_they_lie():
     assert (RollingHash(data).spans(places, places + 6) == windows).all()
 
 
+def alternating(turns):
+    out = "ab"
+    for _ in range(turns):
+        out += out.translate(str.maketrans("ab", "ba"))
+    return out
+
+
+@pytest.mark.parametrize("turns", [6, 9, 11, 15])
+def test_alternating_strings_have_different_hashes(turns):
+    first = alternating(turns)
+    second = first.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer(f"{first} {second}  {first}".encode(), np.uint8)
+    size = len(first)
+    starts = np.array([0, size + 1, 2 * size + 3])
+    a, b, c = RollingHash(data).spans(starts, starts + size).tolist()
+    assert a == c != b
+
+
+def test_hashes_of_all_lengths_differ_and_match_windows():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 5000).astype(np.uint8)
+    rolling, sizes = RollingHash(data), np.arange(1, 400)
+    found = rolling.spans(np.zeros(len(sizes), np.int64), sizes)
+    assert len(set(found.tolist())) == len(sizes)
+    at = np.arange(5000 - HASH_BLOCK + 1)
+    assert (rolling.windows(HASH_BLOCK) == rolling.spans(at, at + HASH_BLOCK)).all()
+    same = RollingHash(np.concatenate([data[:777], data])).spans(np.zeros(len(sizes), np.int64) + 777, sizes + 777)
+    assert (same == found).all()
+
+
+def test_learning_takes_one_text_per_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_gbt, "grow", lambda features, labels: seen.append((features.tolist(), labels.tolist())))
+    rows = [(1, "short"), *((1, f"a longer text with number {i}") for i in range(50)), (2, None), (2, "b"), (3, "c"), (None, "d")]
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1)], "doc_id long, quality int")
+    for order in (rows, rows[::-1]):
+        quality_gbt.learn(spark.createDataFrame(order, "doc_id long, text string").repartition(3), labels)
+    assert seen[0] == seen[1] and seen[0][1] == [1.0, 0.0]
+
+
 def test_slices_hold_all_texts_in_order():
     texts = ["", None, "abc", "é" * 50, "x", None]
     parts = list(text_slices(pa.array(texts), 10))

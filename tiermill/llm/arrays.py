@@ -17,6 +17,8 @@ import zstandard
 from tiermill.llm.workers import let_go
 
 SLICE_BYTES = 1 << 20
+#: Longer strings are hashed in blocks of so many bytes: the polynomial alone is equal for certain long strings.
+HASH_BLOCK = 64
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -51,7 +53,7 @@ def _power_tables(size: int) -> list[np.ndarray]:
 
 
 class RollingHash:
-    """64-bit hashes of arbitrary substrings of one buffer, each in constant time."""
+    """64-bit hashes of arbitrary substrings of one buffer, each in constant time up to ``HASH_BLOCK`` bytes, else in time per block."""
 
     def __init__(self, data: np.ndarray):
         powers, self._inverse = _power_tables(len(data) + 1)
@@ -59,11 +61,26 @@ class RollingHash:
         np.cumsum(_byte_values()[data] * powers[: len(data)], out=self._sums[1:])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out = self._blocks(starts, np.minimum(ends, starts + HASH_BLOCK))
+        long = np.flatnonzero(ends - starts > HASH_BLOCK)
+        if not len(long):
+            return out
+        sizes = (ends - starts)[long]
+        counts = -(-sizes // HASH_BLOCK)
+        first = np.cumsum(counts) - counts
+        place = np.arange(counts.sum()) - np.repeat(first, counts)
+        begins = np.repeat(starts[long], counts) + place * HASH_BLOCK
+        parts = self._blocks(begins, np.minimum(begins + HASH_BLOCK, np.repeat(ends[long], counts)))
+        parts = mix(parts + (place + 1).astype(np.uint64) * np.uint64(_BASE))
+        out[long] = mix(np.add.reduceat(parts, first) ^ sizes.astype(np.uint64))
+        return out
+
+    def _blocks(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         raw = (self._sums[ends] - self._sums[starts]) * self._inverse[starts]
         return mix(raw ^ ((ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
 
     def windows(self, width: int) -> np.ndarray:
-        """Hashes of all substrings of ``width`` bytes, by their start."""
+        """Hashes of all substrings of ``width`` bytes, by their start; at most a block."""
         count = max(0, len(self._sums) - width)
         if not count:
             return np.zeros(0, np.uint64)

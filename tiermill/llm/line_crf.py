@@ -195,7 +195,8 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", doc_i
                 own = [batch.column(i).slice(part.first, len(part)) for i in range(2)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(starts)), seen], ["doc_id", "label", "n", "seen"])
 
-    known = documents.select(F.col(doc_id).alias("doc_id"), "text").join(F.broadcast(usable), "doc_id").dropDuplicates(["doc_id"])
+    known = documents.select(F.col(doc_id).alias("doc_id"), "text").join(F.broadcast(usable), "doc_id")
+    known = known.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # of several texts with one id the smallest
     taught = known.select("doc_id", "label", "text").mapInArrow(rows, "doc_id long, label int, n int, seen array<int>")
     taught = materialize(taught.filter("n > 0"), "lines").df
     order = F.xxhash64("doc_id", F.lit(1))

@@ -126,8 +126,9 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", doc_i
     if there > sample:
         part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(sample / there * (1 << 20))
         usable = usable.filter(part)
-    # no more than about ``sample`` short rows
+    # no more than about ``sample`` short rows; of several texts with one id the smallest counts
     known = documents.select(F.col(doc_id).alias("doc_id"), "text").join(F.broadcast(usable), "doc_id")
+    known = known.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     rows = feature_table(known, keep=("doc_id", "label")).orderBy("doc_id").toPandas()
     features = np.array(rows["features"].tolist(), float).reshape(len(rows), len(FEATURES))
     return grow(features, rows["label"].to_numpy(float))
