@@ -74,13 +74,15 @@ LONG_ENOUGH = 25
 class Node:
     """An element; ``parts`` are texts and elements in page order."""
 
-    __slots__ = ("name", "label", "parent", "parts", "points", "out", "depth")
+    __slots__ = ("name", "label", "parent", "parts", "points", "out", "depth", "in_article", "size", "links")
 
     def __init__(self, name: str, label: str, parent: Node | None, out: bool):
         self.name, self.label, self.parent, self.out = name, label, parent, out
         self.parts: list[Node | str] = []
         self.points = 0.0
         self.depth = 0 if parent is None else parent.depth + 1
+        self.in_article = name == "article" or parent is not None and parent.in_article
+        self.size = self.links = 0  # characters below, and those in links
 
 
 def _label(attributes: str) -> tuple[str, bool]:
@@ -101,20 +103,12 @@ def _is_out(name: str, label: str, hidden: bool, parent: Node) -> bool:
     if hidden or name in DROPPED:
         return True
     if name == "header":  # of the page; an article's own header holds its title
-        return not _inside(parent, "article")
+        return not parent.in_article
     if not label or name in ("html", "body", "article", "main"):
         return name == "article" and bool(re.search(r"comment|reply|teaser|related|promo", label, re.I))
     return bool(PARTS.search(label)) and not (MAIN.search(label) and name in ("div", "section") and not re.search(r"comment|sidebar|related|share|footer|nav|\bad", label, re.I))
 
 
-def _inside(node: Node | None, name: str) -> bool:
-    while node is not None:
-        if node.name == name:
-            return True
-        node = node.parent
-    return False
-
-
 def parse(html: str) -> Node:
     """The element tree of a page; wrong nesting is repaired the usual way."""
     root = Node("root", "", None, False)
@@ -174,25 +168,24 @@ def parse(html: str) -> Node:
     return root
 
 
-def _texts(node: Node) -> Iterator[tuple[str, bool]]:
-    """Texts below a node in page order, and whether each lies in a link; ``None``-like marks part blocks."""
-    stack: list[tuple[object, bool]] = [(node, False)]
+def _texts(node: Node) -> Iterator[str]:
+    """Texts below a node in page order; ``None``-like marks part blocks."""
+    stack: list[Node | str] = [node]
     while stack:
-        part, link = stack.pop()
+        part = stack.pop()
         if isinstance(part, str):
-            yield part, link
+            yield part
         elif not part.out:
-            link = link or part.name == "a"
             if part.name in BLOCKS:
-                yield "\0", False
-                stack.append(("\0", False))
-            stack += [(x, link) for x in reversed(part.parts)]
+                yield "\0"
+                stack.append("\0")
+            stack += reversed(part.parts)
 
 
 def blocks(node: Node) -> list[str]:
     """Texts of the blocks below a node, with single spaces."""
     found, own = [], []
-    for text, _ in _texts(node):
+    for text in _texts(node):
         if text == "\0":
             if own:
                 found.append(" ".join("".join(own).split()))
@@ -203,19 +196,21 @@ def blocks(node: Node) -> list[str]:
     return [text for text in found if text]
 
 
-def _sizes(node: Node) -> tuple[int, int]:
-    """Characters below a node, and those in links."""
-    total = links = 0
-    for text, link in _texts(node):
-        size = len("".join(text.split())) if text != "\0" else 0
-        total += size
-        links += size * link
-    return total, links
+def _measure(root: Node) -> None:
+    """Count the characters below each element, and those in links, from the leaves up; elements that are out have none."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if not node.out:
+            order.append(node)
+            stack += [part for part in node.parts if not isinstance(part, str)]
+    for node in reversed(order):  # all below a node come before it
+        node.size = sum(len("".join(part.split())) if isinstance(part, str) else part.size for part in node.parts)
+        node.links = node.size if node.name == "a" else sum(part.links for part in node.parts if not isinstance(part, str))
 
 
 def _link_share(node: Node) -> float:
-    total, links = _sizes(node)
-    return links / total if total else 0.0
+    return node.links / node.size if node.size else 0.0
 
 
 def _own_text(node: Node) -> str:
@@ -266,6 +261,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    _measure(root)
     scored = _score(root)
     if not scored:
         tops = [node for node in _named(root, "article") or _named(root, "main") if not node.out] or [root]
@@ -303,7 +299,7 @@ def _good(node: Node, best: Node) -> bool:
         return False
     if node.points >= max(10.0, 0.2 * best.points):
         return True
-    total, links = _sizes(node)
+    total, links = node.size, node.links
     if node.name in ("h1", "h2", "h3"):
         return total > 0 and not links
     if node.name in ("p", "blockquote", "pre"):
