@@ -131,7 +131,6 @@ def check_files(found, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.tokenizer_file("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     start = 0
     rows = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""))
     for mine, row in zip(sorted(found, key=lambda r: r.start), rows, strict=True):
@@ -154,3 +153,27 @@ def test_token_files_of_odd_tables(odd, nothing):
     row = files.orderBy("part").first()
     assert len(bitplanes.read_slice(odd.sparkSession, row.file, 0, 1)) == 1
     assert bitplanes.read_ids(bitplanes.write_ids(nothing, queries.tokenizer_file("byte_bpe_50k.json"), 0)).count() == 0
+
+
+def test_files_are_read_in_as_many_tasks_as_there_are_partitions(spark, small):
+    documents = spark.read.parquet(f"{small}/documents.parquet").repartitionByRange(4, "doc_id")
+    files = bitplanes.write_ids(documents, queries.tokenizer_file("byte_bpe_50k.json"), 0)
+    back = bitplanes.read_ids(files)
+    assert back.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_rows_of_one_id_are_dealt_over_files_in_order_of_their_texts(spark):
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        check_one_id(spark)
+    finally:
+        spark.conf.unset(merge)
+
+
+def check_one_id(spark):
+    rows = spark.range(2000).selectExpr("cast(null as bigint) doc_id", "concat('text ', id) text")
+    files = bitplanes.write_ids(rows, queries.tokenizer_file("byte_bpe_50k.json"), 0)
+    found = bitplanes.read_ids(files)
+    assert files.count() > 1
+    check_files(found.selectExpr("doc_id", "start", "octet_length(ids) div 4 n_tokens", "crc32(ids) ids_crc32").collect(), rows.collect())

@@ -7,9 +7,10 @@ planes and first id of each block), the document index (ids and lengths) and the
 
     "TMBP1" | planes of block 0 | planes of block 1 | ... | index as JSON | document index | two 64-bit lengths
 
-Documents are dealt over files by ranges of the document id, so files follow one another in that order; within a file
-documents with equal ids are ordered by text, and a NULL id comes first. A NULL text is an empty one: it has no ids
-of its own. Other columns play no part. An empty table gives no file and no rows.
+Documents are dealt over files by ranges of the document id, so files follow one another in that order;
+documents with equal ids are ordered by text, ranges cut them by its first characters, and a NULL id comes first. A NULL text is
+an empty one: it has no ids of its own. A special string of the tokenizer inside a text gets its own id, as the library
+gives it. Other columns play no part. An empty table gives no file and no rows.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ MAGIC = b"TMBP1"
 BLOCK = 1 << 16
 FILE_IDS = 64 << 20
 CACHED_PIECES = 600_000
+ORDER_CHARS = 32
 _TEXTS_AT_ONCE = 1024
 
 
@@ -136,19 +138,33 @@ class PlaneReader:
         return found[start - first * self.block : end - first * self.block]
 
 
-@lru_cache(2)
-def _encoder(path: str) -> PieceCache:
-    from tokenizers import Tokenizer
+class _Encoder:
+    """Ids of whole texts as the library gives them; pieces of texts without special strings are remembered."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer = Tokenizer.from_file(path)
+        self._special = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._pieces = PieceCache(self._encode, CACHED_PIECES)
 
-    def encode(pieces: list[str], _: PieceCache) -> Iterator[bytes]:
-        for found in tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
+    def _encode(self, texts: list[str], _: PieceCache | None = None) -> Iterator[bytes]:
+        for found in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             yield np.array(found.ids, "<u4").tobytes()
 
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        marked = [i for i, text in enumerate(texts) if text and any(special in text for special in self._special)]
+        if not marked:
+            return self._pieces.ids(texts)
+        whole = dict(zip(marked, self._encode([texts[i] for i in marked]), strict=True))
+        plain = self._pieces.ids([None if i in whole else text for i, text in enumerate(texts)])
+        return [whole.get(i, ids) for i, ids in enumerate(plain)]
+
+
+@lru_cache(2)
+def _encoder(path: str) -> _Encoder:
     keep(_encoder.cache_clear)
-    return PieceCache(encode, CACHED_PIECES)
+    return _Encoder(path)
 
 
 def write_ids(
@@ -187,7 +203,7 @@ def write_ids(
                 yield d, np.frombuffer(ids, "<u4")
 
     placed = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    placed = placed.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    placed = placed.repartitionByRange(F.asc_nulls_first("doc_id"), F.substring("text", 1, ORDER_CHARS)).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     numbered = placed.mapInArrow(write, "file string, first_doc long, n_ids long").withColumn("part", F.monotonically_increasing_id())
     with rows_per_batch(spark, 2000):
         files = materialize(numbered, "id-files").df
@@ -218,7 +234,8 @@ def read_ids(files: DataFrame) -> DataFrame:
                         )
                         at = until
 
-    spread = files.select("file", "first_id").repartition(F.col("file"))
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = files.select("file", "first_id").repartition(tasks, "file")  # a given number is not merged
     return spread.mapInArrow(read, "doc_id long, start long, ids binary")
 
 
