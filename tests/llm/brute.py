@@ -127,3 +127,39 @@ def turn_digests(rows):
         whole = "".join(f"{role}\n{text}\n" for *_, role, text in turns)
         out[conv] = (len(turns), sha(whole), len(learned), sha(learned))
     return out
+
+
+def overlap(document, item, rules):
+    """Equal words, words and first word of the largest overlap of a document and an item, both lists of words; ``rules`` has the constants."""
+    masks = list(rules.MASKS) if len(item) >= 8 else []
+    masks += rules.whole_masks(len(item)) if 0 < len(item) < rules.FEWEST else []
+
+    def reach(same):
+        score = best = top = 0
+        for i, equal in enumerate(same, 1):
+            score += 1 if equal else -rules.MISMATCH
+            if best - score >= rules.DROP:
+                break
+            if score > best:
+                best, top = score, i
+        return top
+
+    found = []
+    for start in range(1 - len(item), len(document)):
+        low, high = max(0, start), min(len(document), start + len(item))
+        same = [document[k] == item[k - start] for k in range(low, high)]
+        hits = {k for mask in masks for k in range(len(same) - len(mask) + 1) if all(same[k + i] for i, c in enumerate(mask) if c == "1")}
+        done = -1
+        for hit in sorted(hits):
+            if done > hit:
+                continue
+            first, done = hit - reach(same[:hit][::-1]), hit + reach(same[hit:])
+            last = done
+            if len(same) == len(item) and 100 * sum(same) >= rules.EQUAL_PERCENT * len(item):
+                first, last, done = 0, len(item), len(item)
+            if last - first >= min(rules.FEWEST, len(item)) and 100 * sum(same[first:last]) >= rules.EQUAL_PERCENT * (last - first):
+                found.append((sum(same[first:last]), -(low + first), last - first))
+    if not found:
+        return None
+    equal, first, size = max(found, key=lambda x: x[:2])
+    return equal, size, -first

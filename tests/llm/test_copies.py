@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -247,3 +248,46 @@ def test_seeds_skip_unmarked_places():
     found, hashes = word_hashes(part)
     first, second = (spaced_seeds.seeds(hashes[a:b], "11010011") for a, b in zip(found.offsets[:-1], found.offsets[1:], strict=True))
     assert first[0] == second[0]
+
+
+def test_shards_of_anchors_are_even(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").select("text").toArrow()["text"]
+    part = next(text_slices(documents, 1 << 30))
+    batch = suffix_levels.Batch(part.data, part.offsets, np.arange(len(part)))
+    keys = suffix_levels.Asked(batch, *batch.anchors()).distinct
+    assert (keys[1:] > keys[:-1]).all()
+    sizes = np.bincount(((keys >> np.uint64(32)) * np.uint64(16) >> np.uint64(32)).astype(int), minlength=16)
+    assert sizes.max() < 1.5 * sizes.mean() and sizes.min() > sizes.mean() / 1.5
+
+
+def test_overlaps_equal_plain_ones(spark):
+    rng = random.Random(5)
+    word = lambda: f"v{int(rng.paretovariate(0.4))}"
+    texts = [[word() for _ in range(size)] for size in (*range(1, 20), 25, 40)]
+    rows = []
+    for own in texts:
+        for _ in range(6):
+            changed = [w if rng.random() > 0.12 else word() for w in own]
+            a, b = sorted((rng.randint(0, len(own)), rng.randint(0, len(own))))
+            rows.append([word() for _ in range(rng.randint(0, 6))] + rng.choice([changed, own, own[a:b]]) + [word() for _ in range(rng.randint(0, 6))])
+    as_table = lambda lists, name: spark.createDataFrame([(i, " ".join(own)) for i, own in enumerate(lists)], f"{name} long, text string")
+    found = spaced_seeds.contaminated(as_table(rows, "doc_id"), as_table(texts, "item_id")).collect()
+    plain = {(d, i): one for d, own in enumerate(rows) for i, item in enumerate(texts) if (one := brute.overlap(own, item, spaced_seeds))}
+    assert len(plain) > 60
+    assert {(r.doc_id, r.item_id): (r.n_equal, r.n_words, r.first_word) for r in found} == plain
+
+
+@pytest.mark.parametrize("size", [5, 7, 8, 9, 12, 13, 14, 15, 30])
+def test_an_item_with_one_replaced_word_is_found_wherever_it_is(spark, size):
+    item = [f"w{i}" for i in range(size)]
+    rows = [(k, " ".join(["before", *item[:k], "other", *item[k + 1 :], "behind"])) for k in range(size)]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = spaced_seeds.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.n_equal, r.n_words, r.first_word) for r in found} == {(k, size - 1, size, 1) for k in range(size)}
+
+
+def test_short_items_are_found_however_their_words_are_replaced():
+    for size in range(1, spaced_seeds.FEWEST):
+        masks = spaced_seeds.whole_masks(size)
+        for changed in itertools.combinations(range(size), size // 5):
+            assert any(all(mask[i] == "0" for i in changed) for mask in masks)

@@ -5,10 +5,12 @@ marked places is a seed, so words at the other places may differ. Seeds of the b
 place of every document; a hit fixes how item and document lie against each other. There the overlap is grown
 from the hit in both directions, one point for an equal word, ``MISMATCH`` off for another, until the score is ``DROP``
 below its best. An overlap counts when it has at least ``FEWEST`` words, or the whole item if that is shorter, and at
-least ``EQUAL_PERCENT`` of its words are equal.
+least ``EQUAL_PERCENT`` of its words are equal. Where the item lies wholly within the document, all of it is compared as
+well, so that words replaced at its ends do not hide it.
 
 The benchmark is sent to the workers in blocks of at most ``BLOCK_BYTES`` of text (one item more at most); every block is held
-against all documents. Items shorter than the masks are looked up as a whole. NULL and empty texts match nothing;
+against all documents and its overlaps are stored before the next one is sent. Items shorter than ``FEWEST`` words have masks of
+their own (``whole_masks``), which miss none of their whole occurrences. NULL and empty texts match nothing;
 rows without an id are held against the benchmark like others and reported with a NULL id. Repeated rows are reported once per
 pair of ids, with the largest overlap (ties: the first place). Other columns play no part.
 """
@@ -18,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.arrays import Texts, Words, mix, text_slices, word_hashes
 from tiermill.llm.workers import ship
+from tiermill.sources.scratch import materialize
 
 MASKS = ("11010011", "10110101", "11100111")
 BLOCK_BYTES = 16 << 20
@@ -46,6 +50,19 @@ def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mix(out)
 
 
+def whole_masks(size: int) -> list[str]:
+    """Masks over a whole short item, one of which fits however its words are replaced, as long as enough stay equal.
+
+    An item of which ``k`` words may differ is cut into ``k + 2`` parts; at least two parts stay, and each mask marks two.
+    """
+    changes = size - -(-size * EQUAL_PERCENT // 100)
+    if not changes:
+        return ["1" * size]
+    cuts = [size * i // (changes + 2) for i in range(changes + 3)]
+    parts = [range(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return ["".join("1" if i in x or i in y else "0" for i in range(size)) for x, y in combinations(parts, 2)]
+
+
 @dataclass
 class Benchmark:
     """Seeds of some items: per mask the sorted seeds, their item and their place in it."""
@@ -60,10 +77,11 @@ class Benchmark:
         for part in text_slices(texts):
             found, hashes = word_hashes(part)
             own += [hashes[a:b] for a, b in zip(found.offsets[:-1], found.offsets[1:], strict=True)]
-        shortest = max(map(len, masks))
-        plans = [(mask, [i for i, w in enumerate(own) if len(w) >= shortest]) for mask in masks]
-        for size in sorted({len(w) for w in own if 0 < len(w) < shortest}):
-            plans.append(("1" * size, [i for i, w in enumerate(own) if len(w) == size]))
+        longest = max(map(len, masks))
+        plans = [(mask, [i for i, w in enumerate(own) if len(w) >= longest]) for mask in masks]
+        for size in sorted({len(w) for w in own if 0 < len(w) < FEWEST}):
+            items = [i for i, w in enumerate(own) if len(w) == size]
+            plans += [(mask, items) for mask in whole_masks(size)]
         tables = []
         for mask, items in plans:
             if not items:
@@ -122,6 +140,9 @@ def overlaps(texts: Texts, found: Words, hashes: np.ndarray, benchmark: Benchmar
         x, y = _grow(same, at - a)
         done[item, start] = a + y
         equal, size = int(same[x:y].sum()), y - x
+        if b - a == len(words) and 100 * int(same.sum()) >= EQUAL_PERCENT * len(words):  # the whole item, changes at its ends included
+            x, y, equal, size = 0, len(words), int(same.sum()), len(words)
+            done[item, start] = b
         if size >= min(FEWEST, len(words)) and 100 * equal >= EQUAL_PERCENT * size:
             old = best.get((text, item))
             if old is None or (equal, -(a + x)) > (old[0], -old[2]):
@@ -173,7 +194,11 @@ def contaminated(
 
         return texts.mapInArrow(look, schema)
 
-    found = [against(spark.sparkContext.broadcast(block)) for block in _blocks(benchmark, block_bytes)]
+    found = []
+    for block in _blocks(benchmark, block_bytes):
+        shared = spark.sparkContext.broadcast(block)
+        found.append(materialize(against(shared), "overlaps").df)
+        shared.destroy()  # executors hold one block at a time
     if not found:
         return spark.createDataFrame([], schema)
     pairs = reduce(DataFrame.unionAll, found)

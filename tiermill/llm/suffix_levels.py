@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.arrays import RollingHash, pack, pack_counts, text_slices, unpack, unpack_counts
+from tiermill.llm.arrays import RollingHash, mix, pack, pack_counts, text_slices, unpack, unpack_counts
 from tiermill.llm.files import new_file, reading, rows_per_batch, writing
 from tiermill.llm.workers import ship
 from tiermill.sources.scratch import delete_folder, materialize, scratch_path
@@ -145,13 +145,14 @@ def _first_owner(which: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray
 
 
 class Asked:
-    """Keys of a batch, one for each of ``places``; answers are found for the distinct ones.
+    """Keys of a batch, one for each of ``places``; answers are found for the distinct ones, in the order of their mixed values:
+    anchors are least hashes, so shards cut by the hash itself would be uneven.
 
     ``which`` tells the distinct key of each place; it is all that has to be kept until the answers are there.
     """
 
     def __init__(self, batch: Batch, places: np.ndarray, keys: np.ndarray, flags: np.ndarray | None = None):
-        self.distinct, self.which = np.unique(keys, return_inverse=True)
+        self.distinct, self.which = np.unique(mix(keys), return_inverse=True)
         self.flags = np.zeros(len(self.distinct), bool)
         if flags is not None:
             self.flags[self.which[flags]] = True
@@ -339,7 +340,10 @@ def _pack_batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         nonlocal number
-        whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        chunks = pa.Table.from_batches(parts).combine_chunks().to_batches()
+        if len(chunks) != 1:
+            raise ValueError("the rows of one id are too large for one batch")
+        whole = chunks[0]
         texts = list(text_slices(whole.column(1), 1 << 62))[0]
         rest = whole.select(whole.schema.names[2:])
         sink = pa.BufferOutputStream()
