@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from tiermill.llm.segments import CACHE_ENTRIES, PieceCache
-from tiermill.llm.workers import keep, ship
+from tiermill.llm.workers import keep, ship, trim
 
 #: Fixed value: how texts are split before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -274,6 +274,7 @@ class StreamDecoder:
 
 @lru_cache(2)
 def _encoder(path: str, pieces: int = CACHE_ENTRIES, states: int = MOST_STATES) -> PieceCache:
+    trim()
     transducer, split = Transducer(Vocabulary.load(path), states), regex.compile(PATTERN).findall
     gc.set_threshold(1_000_000, 50, 1000)  # the tables hold many objects and no cycles
 

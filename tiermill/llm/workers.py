@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 _kept: list[Callable[[], None]] = []
@@ -20,8 +22,18 @@ def keep(drop: Callable[[], None]) -> None:
 
 def let_go() -> None:
     """Drop the caches of earlier work; called where other work begins in the same worker."""
-    while _kept:
-        _kept.pop()()
+    if _kept:
+        while _kept:
+            _kept.pop()()
+        trim()
+
+
+def trim() -> None:
+    """Give memory that earlier work of this worker has freed back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
 
 
 _shipped: set[str] = set()
