@@ -292,10 +292,14 @@ def _across(stars: DataFrame, labels: DataFrame, private: DataFrame, percent: in
     shingles of both, and of the shingles of the hub that are missing, and of the others that are added, at least as many as
     their numbers are apart. Over all fragments it is also at least as many as the sketches of the missing and of the added
     shingles are apart, which tells members of one group from each other that lie equally far from their hub.
+
+    These bounds hold at every hub that two sets share, so a pair is taken at the smallest of them only, once, and not at all if
+    one set is a hub of the other: then it has been counted.
     """
     of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
     own = private.select(F.col("doc_id").alias("v"), "private")
-    known = stars.join(of("u"), "u", "left").join(of("v"), "v", "left").join(own, "v", "left")
+    hubs = stars.groupBy("v").agg(F.collect_set("u").alias("hubs"))  # no more than a set has fragments
+    known = stars.join(of("u"), "u", "left").join(of("v"), "v", "left").join(own, "v", "left").join(hubs, "v")
     known = known.withColumn("private", F.coalesce("private", F.array_repeat(F.lit(0).cast("long"), PARTS)))
     sketches = [f"{kind}_{i}" for kind in ("missing", "added") for i in range(LANES)]
     missing = F.zip_with("parts_u", "parts", lambda n, shared: n - shared)
@@ -309,20 +313,22 @@ def _across(stars: DataFrame, labels: DataFrame, private: DataFrame, percent: in
         (F.col("n_u") - F.col("shared")).alias("gone"),
         F.concat(missing, more).alias("counts"),
         F.floor(F.col("n_v") * (100 - percent) / percent).alias("most"),
+        "hubs",
         *sketches,
     ).filter("p <= most")
-    columns = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("v", "c", "p", "gone", "counts", "most", *sketches)]
+    columns = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("v", "c", "p", "gone", "counts", "most", "hubs", *sketches)]
     left = known.filter("c <> c_u").select("u", *columns("a"))
-    right = known.select("u", *columns("b"))
-    may = (F.col("v_a") != F.col("v_b")) & (F.col("c_a") != F.col("c_b"))
+    right = known.select("u", (F.col("c") == F.col("c_u")).alias("with_hub"), *columns("b"))
+    may = (F.col("v_a") != F.col("v_b")) & (F.col("c_a") != F.col("c_b")) & (F.col("with_hub") | (F.col("v_a") < F.col("v_b")))
     alone, most = F.col("p_a") + F.col("p_b"), F.least("most_a", "most_b")
     may = may & (alone + F.abs(F.col("gone_a") - F.col("gone_b")) <= most)
     bits = lambda kind: sum(F.bit_count(F.col(f"{kind}_{i}_a").bitwiseXOR(F.col(f"{kind}_{i}_b"))) for i in range(LANES))
     may = may & (bits("missing") + F.greatest(bits("added"), alone) <= most)
     apart = _total(F.zip_with("counts_a", "counts_b", lambda a, b: F.abs(a - b)))
-    found = left.join(right, (left["u"] == right["u"]) & may & (alone + apart <= most))
-    pairs = found.select(F.least("v_a", "v_b").alias("u"), F.greatest("v_a", "v_b").alias("v")).distinct()
-    return pairs.join(stars.select("u", "v"), ["u", "v"], "left_anti")
+    may = may & (alone + apart <= most) & ~F.array_contains("hubs_a", F.col("v_b")) & ~F.array_contains("hubs_b", F.col("v_a"))
+    once = F.array_min(F.array_intersect("hubs_a", "hubs_b")) == left["u"]
+    found = left.join(right, (left["u"] == right["u"]) & may & once)
+    return found.select(F.least("v_a", "v_b").alias("u"), F.greatest("v_a", "v_b").alias("v"))
 
 
 def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
