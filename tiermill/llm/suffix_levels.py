@@ -7,7 +7,8 @@ suffix matter, so suffixes are ordered by a 64-bit fingerprint of these bytes; e
 fingerprints is dealt over shards, and each shard keeps a family of levels: the array of a new batch is
 scanned against all levels, which hold the batches before it, and is then added; levels of about equal size
 merge, so there are only logarithmically many and each suffix is merged logarithmically often. A batch sends each
-suffix once however often it holds it, so a passage that very many documents share loads no shard.
+suffix once however often it holds it, so a passage that very many documents share loads no shard. There are no more shards than
+batches' worth of text: small tables in many batches would else be dealt in tiny blocks, one per batch and shard.
 
 Not all suffixes are sent. Of the strings of ``GRAM`` bytes within each window of ``LENGTH`` bytes the one with the smallest hash is
 its anchor; equal windows have equal anchors. Four rounds narrow the search down, each a scan as above:
@@ -329,7 +330,7 @@ def _keep(folder: str, batch: int, state: State, asked: int) -> None:
     _put(folder, f"{batch}.state", pickle.dumps((held, asked)))
 
 
-_BATCHES = "batch long, ids binary, offsets binary, texts binary, rest binary"
+_BATCHES = "batch long, size long, ids binary, offsets binary, texts binary, rest binary"
 
 
 def _pack_batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +356,7 @@ def _pack_batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number += 1
         z = zstandard.ZstdCompressor(level=1)
         columns = [ids.getvalue().to_pybytes(), texts.offsets.tobytes(), texts.data.tobytes(), sink.getvalue().to_pybytes()]
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([z.compress(c)], pa.binary()) for c in columns)], ["batch", "ids", "offsets", "texts", "rest"])
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([len(texts.data)], pa.int64()), *(pa.array([z.compress(c)], pa.binary()) for c in columns)], ["batch", "size", "ids", "offsets", "texts", "rest"])
 
     last = None
     for batch in rows:
@@ -403,12 +404,13 @@ def remove_repeated(
     spark = documents.sparkSession
     ship(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = SHARDS_PER_PARTITION * partitions
     rest = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
     ordered = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *rest)
     ordered = ordered.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
     with rows_per_batch(spark, 1000):
         batches = materialize(ordered.mapInArrow(_pack_batches, _BATCHES), "batches").df
+    size = batches.agg(F.sum("size")).first()[0] or 0
+    shards = max(1, min(SHARDS_PER_PARTITION * partitions, size // BATCH_BYTES))
 
     before: str | None = None
     for round_, ask in enumerate(ROUNDS):
