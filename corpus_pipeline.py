@@ -77,7 +77,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of each text, with the check that they decode to it."""
     # the stages before leave the executor's heap grown, so the workers remember less than they do on their own
-    both = bpe_fst.round_trip(docs.select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"), pieces=150_000, states=90_000)
+    both = bpe_fst.round_trip(docs.select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"), pieces=100_000, states=70_000)
     exact = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
     rows = both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), exact.alias("round_trip"))
     with rows_per_batch(spark, 1000):
