@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.files import new_file, reading, rows_per_batch, writing
 from tiermill.llm.segments import PieceCache
-from tiermill.llm.workers import keep, ship
+from tiermill.llm.workers import keep, let_go, ship
 from tiermill.sources.scratch import materialize, scratch_path
 
 MAGIC = b"TMBP1"
 BLOCK = 1 << 16
 FILE_IDS = 64 << 20
-CACHED_PIECES = 600_000
+CACHED_PIECES = 400_000
 ORDER_CHARS = 32
 _TEXTS_AT_ONCE = 1024
 
@@ -144,23 +144,25 @@ class _Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._special = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
-        self._pieces = PieceCache(self._encode, CACHED_PIECES)
-
-    def _encode(self, texts: list[str], _: PieceCache | None = None) -> Iterator[bytes]:
-        for found in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, "<u4").tobytes()
+        self._whole, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        plain.encode_special_tokens = True  # pieces hold no special strings, so none are looked for
+        self._special = [token.content for token in self._whole.get_added_tokens_decoder().values()]
+        self._pieces = PieceCache(lambda pieces, _: _encode(plain, pieces), CACHED_PIECES)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         marked = [i for i, text in enumerate(texts) if text and any(special in text for special in self._special)]
         if not marked:
             return self._pieces.ids(texts)
-        whole = dict(zip(marked, self._encode([texts[i] for i in marked]), strict=True))
+        whole = dict(zip(marked, _encode(self._whole, [texts[i] for i in marked]), strict=True))
         plain = self._pieces.ids([None if i in whole else text for i, text in enumerate(texts)])
         return [whole.get(i, ids) for i, ids in enumerate(plain)]
 
 
+def _encode(tokenizer, texts: list[str]) -> Iterator[bytes]:
+    for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+        yield np.array(found.ids, "<u4").tobytes()
+
+
 @lru_cache(2)
 def _encoder(path: str) -> _Encoder:
     keep(_encoder.cache_clear)
@@ -216,6 +218,7 @@ def read_ids(files: DataFrame) -> DataFrame:
     """Read files back: ``doc_id``, ``start`` (ids of all documents before it) and ``ids``, little-endian 32-bit numbers."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # the files were written in the same workers
         for batch in batches:
             for path, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with reading(path) as source:
