@@ -19,41 +19,41 @@ def sha(data):
     return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
 
 
-def kneser_ney(train, texts, discounts):
+def kneser_ney(train, texts, discounts, order=3):
     """Per text: tokens, known tokens, base score, score."""
     tokens = lambda text: [*WORD.findall(lower(text)), "</s>"]
-    words, pairs = Counter(), Counter()
+
+    def runs(own):
+        padded = ["<s>"] * (order - 1) + own
+        return [tuple(padded[i : i + order]) for i in range(len(own))]
+
+    words, counts = Counter(), {m: Counter() for m in range(1, order + 1)}
     for text in train:
-        own = tokens(text)
-        words.update(own)
-        pairs.update(zip(["<s>", *own], own, strict=False))
+        words.update(tokens(text))
+        counts[order].update(runs(tokens(text)))
+    for m in range(order, 1, -1):
+        counts[m - 1].update(run[1:] for run in counts[m])
     total, kinds = sum(words.values()), len(words)
-    after, before = defaultdict(lambda: [0, 0, 0, 0]), Counter()
-    for (a, b), count in pairs.items():
-        after[a][0] += count
-        after[a][min(count, 3)] += 1
-        before[b] += 1
-    seen = lambda counts, n: sum(v == n for v in counts.values())
-    d2 = discounts(tuple(seen(pairs, i) for i in range(1, 5)))
-    d1 = discounts(tuple(seen(before, i) for i in range(1, 5)))
-    off = lambda count, d: d[min(count, 3) - 1] if count else 0
-    spread = d1[0] * seen(before, 1) + d1[1] * seen(before, 2) + d1[2] * sum(v > 2 for v in before.values())
-
-    def single(word):
-        return max(before[word] - off(before[word], d1), 0) / len(pairs) + spread / len(pairs) / (kinds + 1)
+    d = {m: discounts(tuple(sum(v == i for v in own.values()) for i in range(1, 5))) for m, own in counts.items()}
+    after = defaultdict(lambda: [0, 0, 0, 0])
+    for own in counts.values():
+        for run, count in own.items():
+            after[run[:-1]][0] += count
+            after[run[:-1]][min(count, 3)] += 1
+
+    def chance(run):
+        shorter = chance(run[1:]) if len(run) > 1 else 1 / (kinds + 1)
+        if run[:-1] not in after:
+            return shorter
+        off, (n, *seen), count = d[len(run)], after[run[:-1]], counts[len(run)][run]
+        left = max(count - off[min(count, 3) - 1], 0) if count else 0
+        return left / n + sum(x * y for x, y in zip(off, seen, strict=True)) / n * shorter
 
     out = []
     for text in texts:
-        own, score = tokens(text), 0.0
-        for a, b in zip(["<s>", *own], own, strict=False):
-            chance = single(b)
-            if a in after:
-                n, once, twice, more = after[a]
-                count = pairs[a, b]
-                chance = max(count - off(count, d2), 0) / n + (d2[0] * once + d2[1] * twice + d2[2] * more) / n * chance
-            score += math.log10(chance)
+        own = tokens(text)
         base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in own)
-        out.append((len(own), sum(words[w] > 0 for w in own), base, score))
+        out.append((len(own), sum(words[w] > 0 for w in own), base, sum(math.log10(chance(run)) for run in runs(own))))
     return out
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -77,14 +78,15 @@ def test_slices_hold_all_texts_in_order():
     assert [p.first for p in parts] == list(np.cumsum([0, *[len(p) for p in parts[:-1]]]))
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
 @pytest.mark.parametrize("table", ["documents", "odd"])
-def test_scores_equal_plain_kneser_ney(request, table):
+def test_scores_equal_plain_kneser_ney(request, table, order):
     df = request.getfixturevalue(table).select("doc_id", "text")
     rows = df.collect()
     texts = [row.text for row in rows]
-    model = kneser_ney.fit(df)
+    model = kneser_ney.fit(df, order=order)
     found = sorted(tuple(r) for r in kneser_ney.score(df, model).select(*kneser_ney.RESULTS).collect())
-    for mine, plain in zip(found, sorted(brute.kneser_ney(texts, texts, kneser_ney._discounts)), strict=True):
+    for mine, plain in zip(found, sorted(brute.kneser_ney(texts, texts, kneser_ney._discounts, order)), strict=True):
         assert mine == pytest.approx(plain, rel=1e-9)
 
 
@@ -101,6 +103,49 @@ def test_language_model_query(spark, small, documents):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("words", [1, 2, 3, 4])
+def test_runs_dealt_and_stored_in_small_pieces_are_summed(tmp_path, monkeypatch, words):
+    monkeypatch.setattr(kneser_ney, "BLOCK", 64)
+    monkeypatch.setattr(kneser_ney, "TOKENS_AT_ONCE", 100)
+    rng = np.random.default_rng(words)
+    plain, dealt = Counter(), []
+    for _ in range(20):
+        columns = [rng.integers(0, 7, 300).astype(np.uint64) for _ in range(words)]
+        plain.update(zip(*(c.tolist() for c in columns), strict=True))
+        key, *parts = kneser_ney._merged(columns, [np.ones(300, np.int64)])
+        dealt += kneser_ney._deal(*parts, (parts[0][0] % np.uint64(3)).astype(np.int64), 3)
+    found = Counter()
+    for shard, _, columns, fields in kneser_ney._by_shard(iter(sorted(dealt, key=lambda b: b.column(0)[0].as_py())), words):
+        row = kneser_ney._counted(f"{tmp_path}/runs", shard, columns, fields).to_pylist()[0]
+        for own, (counts,) in kneser_ney._blocks(row["path"], row["sizes"], words, 1):
+            assert (own[0] % 3 == shard).all() and len(counts) <= 64
+            found.update(dict(zip(zip(*(c.tolist() for c in own), strict=True), counts.tolist(), strict=True)))
+    assert found == plain
+
+
+def test_longer_runs_predict_held_out_texts_better(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").withColumn("held", queries.held_out(10))
+    totals = [kneser_ney.score(df.filter("held"), kneser_ney.fit(df.filter("not held"), order=n)).agg(F.sum("score")).first()[0] for n in (2, 3)]
+    assert totals[1] > totals[0]
+
+
+def test_chances_after_any_words_add_up_to_one(documents):
+    df = documents.select("text").limit(200)
+    model = kneser_ney.fit(df)
+    for start in ([model.n_words] * 2, [model.n_words, 5], [7, 3], [0xFFFFFFFF, 4], [0xFFFFFFFF] * 2):
+        last = np.append(np.arange(model.n_words), 0xFFFFFFFF).astype(np.uint64)
+        columns = [*(np.full(len(last), number, np.uint64) for number in start), last]
+        chance = model._alone(last)
+        for words in (2, 3):
+            chance = model._after(columns[3 - words :], chance)
+        assert chance.sum() == pytest.approx(1, abs=1e-6)
+
+
+def test_order_below_two_is_refused(documents):
+    with pytest.raises(ValueError, match="order"):
+        kneser_ney.fit(documents, order=1)
+
+
 def test_a_model_of_nothing_knows_nothing(nothing, odd):
     model = kneser_ney.fit(nothing)
     assert {r.score for r in kneser_ney.score(odd, model).collect()} == {0.0}

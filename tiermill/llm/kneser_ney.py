@@ -1,25 +1,30 @@
 """Interpolated modified Kneser-Ney language model over words, counted in Spark and mapped into memory for scoring.
 
-Words are runs of bytes other than space and 0x09-0x0D, A-Z in lower case; each text ends with one end token. The model
-has pairs of words over single words over a uniform share for unknown ones.
+Words are runs of bytes other than space and 0x09-0x0D, A-Z in lower case; each text ends with one end token. ``order`` is the
+length of the longest runs of words counted, two or more, three unless stated; a text begins with order - 1 start marks.
 
 Counting. Tasks count the distinct words of some texts and deal them over shards by ranges of the word hash; a shard adds
-the counts up and writes a sorted array of hashes and one of counts. The place of a hash in all shards is the number of
-its word. Pairs of numbers are counted alike, in shards by a hash of the pair. What a pair adds to the statistics of its
-first word (tokens that follow it, and how many different ones were seen once, twice, more often) and of its
-second (different words before it) is summed per shard first, so no word is too frequent.
+the counts up and writes sorted hashes with counts. The place of a hash in all shards is the number of its word. The longest
+runs, as numbers, are counted alike, in shards by ranges of a hash of the run. Each level then gives the one below: a run adds to the
+statistics of its context, the run without its last word (what follows it, and how many different words do so once, twice, more
+often), and one to the count of its suffix, the run without its first word (different words before it). A shard sums this
+before it is dealt, so no run, context or word is too frequent, and none has a shard of its own.
 
-Scoring. Workers map the arrays into memory and look up the distinct words and pairs of a slice of texts in ascending order, so
-a page of a file is touched once per slice. Nothing goes through the driver but one row per shard.
+Files. Counted runs are kept packed until the level below is counted and they are written as sorted hashes; runs that
+have the plainest record (seen once) are a sorted array without records, records of others are as wide as a shard needs.
+
+Scoring. Workers map the arrays into memory and look up the distinct words and runs of a slice of texts in ascending order, so
+a page of a file is touched once per slice. Nothing goes through the driver but one row per shard and level.
 
 A NULL or empty text is a text of one end token. Repeated rows count each time. With nothing to learn from, every token
-is unknown and has probability 1. Other columns stay; columns with the names of results are replaced.
+is unknown and has probability 1. Other columns stay; columns with the names of results are replaced. Counts have 64 bits; equality of
+runs of three or more words rests on a hash of 64 bits, of words likewise, of pairs on their numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -28,14 +33,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.arrays import Texts, mix, pack, pack_counts, text_slices, unpack, unpack_counts, word_hashes
-from tiermill.llm.files import local_view, new_file, rows_per_batch, writing
+from tiermill.llm.files import local_view, new_file, reading, rows_per_batch, shuffles_deleted, writing
 from tiermill.llm.workers import ship
-from tiermill.sources.scratch import materialize, scratch_path
+from tiermill.sources.scratch import delete_folder, materialize, scratch_path
 
+ORDER = 3
 END = np.uint64(0x5851F42D4C957F2D)
 TOKENS_AT_ONCE = 3 << 20
-_CONTEXT = np.dtype([("total", "<i8"), ("once", "<i4"), ("twice", "<i4"), ("more", "<i4"), ("before", "<i4")])
-_UNKNOWN = np.int64(-1)
+BLOCK = 1 << 20
+_UNKNOWN = 0xFFFFFFFF
+_HALF = np.uint64(32)
+#: What is known of a run: different words before it, tokens after it, and different words after it once, twice, more often.
+_FIELDS = ("count", "total", "once", "twice", "more")
+#: The commonest record: one word before, one token after.
+_PLAIN = (1, 1, 1, 0, 0)
+
+Columns = list[np.ndarray]
 
 
 def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -50,125 +63,200 @@ def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+    return ((keys >> _HALF) * np.uint64(shards) >> _HALF).astype(np.int64)
+
+
+def _key(columns: Columns) -> np.ndarray:
+    """One column is its own key; of a run of numbers it is a hash, one to one for pairs."""
+    key = columns[0]
+    for column in columns[1:]:
+        key = mix((key << _HALF | key >> _HALF) ^ column)
+    return key
+
+
+def _merged(columns: Columns, fields: Columns) -> tuple[np.ndarray, Columns, Columns]:
+    """Sum the fields of equal runs: keys (ascending), columns, fields."""
+    key = _key(columns)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    sums = [np.add.reduceat(f[order], first) if len(first) else f for f in fields]
+    return key[first], [c[order[first]] for c in columns], sums
+
 
+def _lead(columns: Columns) -> np.ndarray:
+    return columns[0] if len(columns) == 1 else columns[0] << _HALF | columns[1]
 
-def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sum the counts of equal keys."""
-    keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
+def _packed(columns: Columns, fields: Columns) -> list[bytes]:
+    """Runs in ascending order of their first two words."""
+    return [pack(_lead(columns)), *(pack_counts(c) for c in columns[2:]), *(pack_counts(f) for f in fields)]
 
-def _deal(keys: np.ndarray, counts: np.ndarray, place: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
-    """Rows of packed keys and counts, one per shard; keys are ascending."""
-    order = np.argsort(place, kind="stable")
+
+def _unpacked(parts: list[bytes], words: int) -> tuple[Columns, Columns]:
+    lead = unpack(parts[0])
+    columns = [lead] if words == 1 else [lead >> _HALF, lead & np.uint64(_UNKNOWN)]
+    rest = [unpack_counts(part) for part in parts[1:]]
+    more = max(0, words - 2)
+    return columns + rest[:more], [f.astype(np.int64) for f in rest[more:]]
+
+
+_DEALT = "shard int, parts array<binary>"
+
+
+def _deal(columns: Columns, fields: Columns, place: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """Rows of packed runs, one per shard."""
+    order = np.argsort(_lead(columns))
+    order = order[np.argsort(place[order].astype(np.min_scalar_type(shards)), kind="stable")]
     cuts = np.searchsorted(place[order], np.arange(shards + 1))
     for shard in np.flatnonzero(np.diff(cuts)):
         own = order[cuts[shard] : cuts[shard + 1]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int32()), pa.array([pack(keys[own])]), pa.array([pack_counts(counts[own])])], ["shard", "keys", "counts"]
-        )
+        parts = _packed([c[own] for c in columns], [f[own] for f in fields])
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([parts], pa.list_(pa.binary()))], ["shard", "parts"])
 
 
-_DEALT = "shard int, keys binary, counts binary"
+def _by_shard(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[int, np.ndarray, Columns, Columns]]:
+    """Rows that come sorted by shard, a shard at a time; fields are added up as they come."""
+    shard, held, size, limit = None, [], 0, TOKENS_AT_ONCE
 
+    def joined() -> tuple[np.ndarray, Columns, Columns]:
+        columns, fields = ([np.concatenate(c) for c in zip(*side, strict=True)] for side in zip(*held, strict=True))
+        held.clear()
+        return _merged(columns, fields)
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
-    """Rows that come sorted by shard, a shard at a time; counts are added up as they come."""
-    shard, held, size = None, [], 0
     for batch in batches:
-        for now, keys, counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        for now, parts in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
             if now != shard and held:
-                yield shard, held
-                held, size = [], 0
+                yield shard, *joined()
+                size, limit = 0, TOKENS_AT_ONCE
             shard = now
-            held.append((unpack(keys), unpack_counts(counts).astype(np.int64)))
-            size += len(held[-1][0])
-            if size > 2 * TOKENS_AT_ONCE and len(held) > 1:
-                held = [_merge(held)]
-                size = len(held[0][0])
+            held.append(_unpacked(parts, words))
+            size += len(held[-1][0][0])
+            if size > limit and len(held) > 1:
+                key, *rest = joined()
+                held.append(tuple(rest))
+                size = len(key)
+                limit = max(TOKENS_AT_ONCE, 2 * size)
     if held:
-        yield shard, held
+        yield shard, *joined()
 
 
 def _write(folder: str, label: str, values: np.ndarray) -> str:
+    if not len(values):
+        return ""
     path = new_file(folder, label)
     with writing(path) as out:
         out.write(np.ascontiguousarray(values).tobytes())
     return path
 
 
-_FILES = "shard int, keys string, counts string, n long, total long, n1 long, n2 long, n3 long, n4 long"
+def _write_records(folder: str, fields: Columns) -> str:
+    """Records side by side, each value as wide as the largest one needs."""
+    widest = max((int(f.max()) for f in fields if len(f)), default=0)
+    return _write(folder, "records", np.stack(fields, axis=1).astype(np.min_scalar_type(widest).newbyteorder("<")))
 
 
-def _file_row(shard: int, keys: str, counts: str, values: np.ndarray) -> pa.RecordBatch:
-    row = [len(values), int(values.sum()), *(int((values == i).sum()) for i in range(1, 5))]
-    columns = [pa.array([shard], pa.int32()), pa.array([keys]), pa.array([counts]), *(pa.array([x], pa.int64()) for x in row)]
-    return pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in _FILES.split(", ")])
+def _row(names: str, values: list) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+    columns = [pa.array([v], kinds[name.split()[1]]) for name, v in zip(names.split(", "), values, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, [name.split()[0] for name in names.split(", ")])
 
 
-def _flushed(batches: Iterator[pa.RecordBatch], keys_of: Callable[[Texts], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct keys and their counts, for some texts at a time."""
-    held, size = [], 0
-    for batch in batches:
-        for part in text_slices(batch.column(0)):
-            held.append(keys_of(part))
-            size += len(held[-1])
-            if size >= TOKENS_AT_ONCE:
-                yield np.unique(np.concatenate(held), return_counts=True)
-                held, size = [], 0
-    if size:
-        yield np.unique(np.concatenate(held), return_counts=True)
+_COUNTED = "shard int, path string, sizes array<long>, total long, n long, n1 long, n2 long, n3 long, n4 long"
 
 
-@dataclass
-class Files:
-    """Paths of the shards of one sorted array, and where each shard begins in the whole."""
+def _kinds(counts: np.ndarray) -> list[int]:
+    """Sum of counts, how many there are, and how many are one to four."""
+    return [int(counts.sum()), int((counts > 0).sum()), *(int((counts == i).sum()) for i in range(1, 5))]
 
-    keys: list[str]
-    counts: list[str]
-    starts: list[int]
-    shards: int
 
-    @classmethod
-    def of(cls, rows: list, shards: int) -> Files:
-        by = {row.shard: row for row in rows}
-        sizes = [by[s].n if s in by else 0 for s in range(shards)]
-        starts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-        return cls([by[s].keys if s in by else "" for s in range(shards)], [by[s].counts if s in by else "" for s in range(shards)], starts, shards)
-
-    def find(self, queries: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For queries (ascending within a shard) their place in the whole array, or -1, and their count."""
-        order = np.argsort(place, kind="stable")
-        cuts = np.searchsorted(place[order], np.arange(self.shards + 1))
-        where, counts = np.full(len(queries), _UNKNOWN), np.zeros(len(queries), np.int64)
-        for shard in np.flatnonzero(np.diff(cuts)):
-            if not self.keys[shard]:
-                continue
-            own = order[cuts[shard] : cuts[shard + 1]]
-            keys = _mapped(self.keys[shard], "<u8")
-            at = np.minimum(np.searchsorted(keys, queries[own]), len(keys) - 1)
-            hit = keys[at] == queries[own]
-            where[own[hit]] = self.starts[shard] + at[hit]
-            counts[own[hit]] = _mapped(self.counts[shard], "<u4")[at[hit]]
-        return where, counts
-
-
-@lru_cache(4096)
+def _counted(folder: str, shard: int, columns: Columns, fields: Columns) -> pa.RecordBatch:
+    """Write the runs of a shard, which come in ascending order of their keys, packed in blocks."""
+    path, sizes = new_file(folder, "counted"), []
+    with writing(path) as out:
+        for at in range(0, len(fields[0]), BLOCK):
+            own = np.argsort(_lead([c[at : at + BLOCK] for c in columns])) + at
+            for part in _packed([c[own] for c in columns], [f[own] for f in fields]):
+                out.write(part)
+                sizes.append(len(part))
+    return _row(_COUNTED, [shard, path, sizes, *_kinds(fields[0])])
+
+
+def _blocks(path: str, sizes: list[int], words: int, fields: int) -> Iterator[tuple[Columns, Columns]]:
+    parts = 1 + max(0, words - 2) + fields
+    with reading(path) as source:
+        for at in range(0, len(sizes), parts):
+            yield _unpacked([source.read(size) for size in sizes[at : at + parts]], words)
+
+
+_FILES = "shard int, once string, keys string, records string, n_once long, n_more long, total long"
+
+
+def _indexed(folder: str, shard: int, blocks: Iterator[tuple[np.ndarray, Columns]], plain: tuple[int, ...]) -> pa.RecordBatch:
+    """Write sorted keys, those with the plainest record apart; keys ascend within and across blocks."""
+    once, keys, records, total = [], [], [], 0
+    for key, fields in blocks:
+        same = np.logical_and.reduce([f == v for f, v in zip(fields, plain, strict=True)])
+        once.append(key[same])
+        keys.append(key[~same])
+        records.append([f[~same] for f in fields])
+        total += int(fields[0].sum())
+    once, keys = np.concatenate(once).astype("<u8"), np.concatenate(keys).astype("<u8")
+    fields = [np.concatenate(f) for f in zip(*records, strict=True)]
+    paths = [_write(folder, "once", once), _write(folder, "keys", keys), _write_records(folder, fields) if len(keys) else ""]
+    return _row(_FILES, [shard, *paths, len(once), len(keys), total])
+
+
+@lru_cache(1 << 14)
 def _mapped(path: str, kind: str) -> np.ndarray:
     return local_view(path, np.dtype(kind))
 
 
-@lru_cache(1024)
-def _mapped_contexts(path: str) -> np.ndarray:
-    return local_view(path, _CONTEXT)
+def _records(path: str, rows: int, fields: int) -> np.ndarray:
+    raw = _mapped(path, "u1")
+    return raw.view(f"<u{len(raw) // (rows * fields)}").reshape(rows, fields)
+
+
+@dataclass
+class Level:
+    """Paths of the shards of sorted arrays, their sizes, and where each shard begins in the whole."""
+
+    shards: int
+    plain: tuple[int, ...]
+    files: list[tuple[str, str, str, int, int]]
+    starts: list[int]
+
+    @classmethod
+    def of(cls, rows: list, shards: int, plain: tuple[int, ...]) -> Level:
+        files = [("", "", "", 0, 0)] * shards
+        for row in rows:
+            files[row.shard] = (row.once, row.keys, row.records, row.n_once, row.n_more)
+        return cls(shards, plain, files, np.concatenate([[0], np.cumsum([f[3] + f[4] for f in files])]).astype(int).tolist())
+
+    def __len__(self) -> int:
+        return self.starts[-1]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For ascending keys their place in the whole, or -1, and their records (fields by keys), zeros for unknown ones."""
+        where, out = np.full(len(keys), -1), np.zeros((len(self.plain), len(keys)), np.int64)
+        cuts = np.searchsorted(_shard(keys, self.shards), np.arange(self.shards + 1))
+        for shard in np.flatnonzero(np.diff(cuts)):
+            asked = keys[cuts[shard] : cuts[shard + 1]]
+            once, more, records, n_once, n_more = self.files[shard]
+            for path, start, recorded in ((once, 0, False), (more, n_once, True)):
+                if not path:
+                    continue
+                held = _mapped(path, "<u8")
+                at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
+                hit = np.flatnonzero(held[at] == asked)
+                at, to = at[hit], hit + cuts[shard]
+                where[to] = self.starts[shard] + start + at
+                out[:, to] = _records(records, n_more, len(self.plain))[at].T if recorded else np.array(self.plain)[:, None]
+        return where, out
 
 
 def _discounts(n: tuple[int, int, int, int]) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts from the numbers of keys seen once to four times."""
+    """Modified Kneser-Ney discounts from the numbers of runs seen once to four times."""
     if min(n) <= 0:
         return 0.5, 0.75, 0.9
     y = n[0] / (n[0] + 2 * n[1])
@@ -184,178 +272,207 @@ def _discount(counts: np.ndarray, by: tuple[float, float, float]) -> np.ndarray:
 class Model:
     """Where the arrays lie, and the totals that every score needs."""
 
-    words: Files
-    pairs: Files
-    contexts: list[str]
+    order: int
+    words: Level
     tokens: int
-    pair_discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
-    pair_kinds: int
-    spread: float
+    singles: list[str] = field(default_factory=list)
+    levels: dict[int, Level] = field(default_factory=dict)
+    discounts: dict[int, tuple[float, float, float]] = field(default_factory=dict)
+    pair_kinds: int = 0
+    spread: float = 1.0
 
     @property
     def n_words(self) -> int:
-        return self.words.starts[-1]
-
-    def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of words by their hashes (ascending), -1 for unknown ones, and their counts."""
-        return self.words.find(hashes, _shard(hashes, self.words.shards))
+        return len(self.words)
+
+    def columns(self, numbers: np.ndarray, offsets: np.ndarray) -> Columns:
+        """The runs that end at each token, word by word; start marks have the number after the last word."""
+        place = np.arange(len(numbers)) - np.repeat(offsets[:-1], np.diff(offsets))
+        own = numbers.astype(np.uint64) & np.uint64(_UNKNOWN)
+        out = [own]
+        for back in range(1, self.order):
+            before = np.full(len(own), self.n_words, np.uint64)
+            before[back:] = np.where(place[back:] >= back, own[: len(own) - back], np.uint64(self.n_words))
+            out.insert(0, before)
+        return out
 
-    def context(self, numbers: np.ndarray) -> np.ndarray:
-        """Statistics of words by their numbers (ascending); those of unknown ones are zero."""
-        out = np.zeros(len(numbers), _CONTEXT)
-        width = _context_width(self.n_words, len(self.contexts))
-        cuts = np.searchsorted(numbers, np.arange(len(self.contexts) + 1) * width)
+    def single(self, numbers: np.ndarray) -> np.ndarray:
+        """Records of words by their numbers (ascending); those of unknown ones are zero."""
+        out = np.zeros((len(_FIELDS), len(numbers)), np.int64)
+        width = _width(self.n_words, len(self.singles))
+        cuts = np.searchsorted(numbers.astype(np.int64), np.arange(len(self.singles) + 1) * width)
         for shard in np.flatnonzero(np.diff(cuts)):
-            if self.contexts[shard]:
+            if self.singles[shard]:
                 own = slice(cuts[shard], cuts[shard + 1])
-                out[own] = _mapped_contexts(self.contexts[shard])[numbers[own] - shard * width]
+                out[:, own] = _records(self.singles[shard], width, len(_FIELDS))[numbers[own].astype(np.int64) - shard * width].T
         return out
 
     def scores(self, texts: Texts) -> list[np.ndarray]:
         """Per text: tokens, known tokens, base score and model score."""
         hashes, offsets = tokens(texts)
         distinct, which = np.unique(hashes, return_inverse=True)
-        number, count = self.numbers(distinct)
+        number, (count,) = self.words.find(distinct)
         base = np.log10((count + 0.1) / (self.tokens + 0.1 * (self.n_words + 1)))
-        single = self._single(number)
-        first = np.empty(len(hashes), np.int64)
-        own = number[which]
-        first[1:] = own[:-1]
-        first[offsets[:-1]] = self.n_words  # the start of a text
-        chance = self._pairs(first, own, single[which])
+        if self.pair_kinds:
+            columns = self.columns(number[which], offsets)
+            chance = self._alone(columns[-1])
+            for words in range(2, self.order + 1):
+                chance = self._after(columns[self.order - words :], chance)
+        else:
+            chance = np.ones(len(hashes))
         total = lambda values: np.add.reduceat(values, offsets[:-1])
         return [np.diff(offsets), total((count > 0)[which].astype(np.int64)), total(base[which]), total(np.log10(chance))]
 
-    def _single(self, number: np.ndarray) -> np.ndarray:
+    def _alone(self, numbers: np.ndarray) -> np.ndarray:
         """Probability of words alone: by the different words before them."""
-        if not self.pair_kinds:
-            return np.ones(len(number))
-        order = np.argsort(number, kind="stable")
-        before = np.empty(len(number), np.int64)
-        before[order] = self.context(number[order])["before"]
-        left = before - _discount(before, self.word_discounts)
-        return np.maximum(left, 0) / self.pair_kinds + self.spread / (self.n_words + 1)
-
-    def _pairs(self, first: np.ndarray, second: np.ndarray, single: np.ndarray) -> np.ndarray:
-        if not self.pair_kinds:
-            return single
-        keys, which = np.unique(_pair(first, second), return_inverse=True)
-        _, count = self.pairs.find(keys, _shard(mix(keys), self.pairs.shards))
-        count = count[which] * ((first >= 0) & (second >= 0))
-        contexts, of = np.unique(first, return_inverse=True)
-        own = self.context(contexts)
-        d = self.pair_discounts
-        total = own["total"]
-        rest = np.where(total > 0, (d[0] * own["once"] + d[1] * own["twice"] + d[2] * own["more"]) / np.maximum(total, 1), 1.0)
+        distinct, which = np.unique(numbers, return_inverse=True)
+        count = self.single(distinct)[0]
+        left = np.maximum(count - _discount(count, self.discounts[1]), 0)
+        return (left / self.pair_kinds + self.spread / (self.n_words + 1))[which]
+
+    def _after(self, columns: Columns, shorter: np.ndarray) -> np.ndarray:
+        """Probability of the last word of runs after the others, from that after one word less."""
+        d = self.discounts[len(columns)]
+        keys, which = np.unique(_key(columns), return_inverse=True)
+        count = self.levels[len(columns)].find(keys)[1][0][which]
+        contexts, of = np.unique(_key(columns[:-1]), return_inverse=True)
+        own = self.single(contexts) if len(columns) == 2 else self.levels[len(columns) - 1].find(contexts)[1]
+        total = own[1]
+        rest = np.where(total > 0, (d[0] * own[2] + d[1] * own[3] + d[2] * own[4]) / np.maximum(total, 1), 1.0)
         seen = np.maximum(count - _discount(count, d), 0) / np.maximum(total[of], 1)
-        return seen + rest[of] * single
+        return seen + rest[of] * shorter
 
 
-def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return first.astype(np.uint64) << np.uint64(32) | second.astype(np.uint64) & np.uint64(0xFFFFFFFF)
+def _width(n_words: int, shards: int) -> int:
+    return -(-(n_words + 1) // max(1, shards))
 
 
-def _context_width(n_words: int, shards: int) -> int:
-    return -(-(n_words + 1) // max(1, shards))
+def _flushed(batches: Iterator[pa.RecordBatch], runs_of: Callable[[Texts], Columns]) -> Iterator[tuple[np.ndarray, Columns, Columns]]:
+    """Distinct runs and their counts, for some texts at a time."""
+    held, size = [], 0
+
+    def joined() -> tuple[np.ndarray, Columns, Columns]:
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        held.clear()
+        return _merged(columns, [np.ones(len(columns[0]), np.int64)])
+
+    for batch in batches:
+        for part in text_slices(batch.column(0)):
+            held.append(runs_of(part))
+            size += len(held[-1][0])
+            if size >= TOKENS_AT_ONCE:
+                yield joined()
+                size = 0
+    if size:
+        yield joined()
 
 
-def fit(documents: DataFrame, text: str = "text") -> Model:
-    """Count the words and pairs of all texts; the model lies in files of the scratch folder."""
+def fit(documents: DataFrame, text: str = "text", order: int = ORDER) -> Model:
+    """Count the words and runs of all texts; the model lies in files of the scratch folder."""
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = documents.sparkSession
     ship(spark)
     folder = scratch_path(spark, "model")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select(F.col(text).alias("text"))
 
+    def stored(rows: DataFrame, add: Callable, schema: str, label: str) -> DataFrame:
+        """Rows added up per shard."""
+        return materialize(rows.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(add, schema), label).df
+
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, counts in _flushed(batches, lambda part: tokens(part)[0]):
-            yield from _deal(keys, counts, _shard(keys, shards), shards)
+        for key, columns, fields in _flushed(batches, lambda part: [tokens(part)[0]]):
+            yield from _deal(columns, fields, _shard(key, shards), shards)
 
     def add_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, held in _by_shard(batches):
-            keys, counts = _merge(held)
-            yield _file_row(shard, _write(folder, "words", keys), _write(folder, "counts", counts.astype("<u4")), counts)
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition(shards, "shard").sortWithinPartitions("shard")
-
-    with rows_per_batch(spark, 200):
-        counted = dealt(texts.mapInArrow(count_words, _DEALT)).mapInArrow(add_words, _FILES)
-        rows = materialize(counted, "words").df.collect()  # one row per shard
-    words = Files.of(rows, shards)
-    n_words, n_tokens = words.starts[-1], sum(row.total for row in rows)
-    if n_words >= 1 << 32:
-        raise ValueError("more than 2^32 distinct words")
-    model = Model(words, Files.of([], 0), [], n_tokens, _discounts((0,) * 4), _discounts((0,) * 4), 0, 1.0)
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(part: Texts) -> np.ndarray:
+        for shard, key, _, fields in _by_shard(batches, 1):
+            yield _indexed(folder, shard, iter([(key, fields)]), (1,))
+
+    with rows_per_batch(spark, 200), shuffles_deleted(spark):
+        rows = stored(texts.mapInArrow(count_words, _DEALT), add_words, _FILES, "words").collect()  # one row per shard
+    model = Model(order, Level.of(rows, shards, (1,)), sum(row.total for row in rows))
+    n_words = model.n_words
+    if n_words + shards >= _UNKNOWN:
+        raise ValueError("too many distinct words for numbers of 32 bits")
+    width = _width(n_words, shards)
+
+    def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def runs(part: Texts) -> Columns:
             hashes, offsets = tokens(part)
             distinct, which = np.unique(hashes, return_inverse=True)
-            own = model.numbers(distinct)[0][which]
-            first = np.empty(len(own), np.int64)
-            first[1:] = own[:-1]
-            first[offsets[:-1]] = n_words
-            return _pair(first, own)
-
-        for keys, counts in _flushed(batches, pairs):
-            yield from _deal(keys, counts, _shard(mix(keys), shards), shards)
-
-    def add_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, held in _by_shard(batches):
-            keys, counts = _merge(held)
-            yield _file_row(shard, _write(folder, "pairs", keys), _write(folder, "counts", counts.astype("<u4")), counts)
-
-    with rows_per_batch(spark, 200):
-        counted = dealt(texts.mapInArrow(count_pairs, _DEALT)).mapInArrow(add_pairs, _FILES)
-        files = materialize(counted, "pairs").df
-    rows = files.collect()  # one row per shard
-    model.pairs = Files.of(rows, shards)
-    model.pair_kinds = model.pairs.starts[-1]
-    model.pair_discounts = _discounts(tuple(sum(getattr(row, f"n{i}") for row in rows) for i in range(1, 5)))
-    width = _context_width(n_words, shards)
-
-    def split_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What the pairs of a shard add to their words; a statistic is told by the two lowest bits of its key."""
-        for batch in batches:
-            for path, counted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                keys, counts = local_view(path, np.dtype("<u8")), local_view(counted, np.dtype("<u4")).astype(np.int64)
-                if not len(keys):
-                    continue
-                first = np.flatnonzero(np.append(True, keys[1:] >> np.uint64(32) != keys[:-1] >> np.uint64(32)))
-                number = (keys[first] >> np.uint64(32)).astype(np.int64)
-                parts = [(number, np.add.reduceat(counts, first))]
-                for wanted in (counts == 1, counts == 2):
-                    parts.append((number, np.add.reduceat(wanted.astype(np.int64), first)))
-                kinds = np.diff(np.append(first, len(keys)))
-                parts.append((number, kinds - parts[1][1] - parts[2][1]))
-                parts.append(np.unique((keys & np.uint64(0xFFFFFFFF)).astype(np.int64), return_counts=True))
-                key = np.concatenate([n * 8 + i for i, (n, _) in enumerate(parts)]).astype(np.uint64)
-                value = np.concatenate([v for _, v in parts])
-                use = np.flatnonzero(value)
-                use = use[np.argsort(key[use])]
-                yield from _deal(key[use], value[use], (key[use] >> np.uint64(3)).astype(np.int64) // width, shards)
-
-    def add_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, held in _by_shard(batches):
-            keys, values = _merge(held)
-            out = np.zeros(width, _CONTEXT)
-            place, kind = (keys >> np.uint64(3)).astype(np.int64) - shard * width, keys & np.uint64(7)
-            for i, name in enumerate(_CONTEXT.names):
-                out[name][place[kind == i]] = values[kind == i]
-            yield _file_row(shard, _write(folder, "contexts", out), "", out["before"].astype(np.int64))
-
-    with rows_per_batch(spark, 200):
-        spread = files.select("keys", "counts").repartition(shards, "keys")
-        summed = dealt(spread.mapInArrow(split_pairs, _DEALT)).mapInArrow(add_contexts, _FILES)
-        rows = materialize(summed, "contexts").df.collect()  # one row per shard
-    model.contexts = Files.of(rows, shards).keys
-    n = [sum(getattr(row, f"n{i}") for row in rows) for i in range(1, 5)]
-    d = model.word_discounts = _discounts(tuple(n))
+            return model.columns(model.words.find(distinct)[0][which], offsets)
+
+        for key, columns, fields in _flushed(batches, runs):
+            yield from _deal(columns, fields, _shard(key, shards), shards)
+
+    def adder(words: int, place: str) -> Callable:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for shard, _, columns, fields in _by_shard(batches, words):
+                yield _counted(place, shard, columns, fields)
+
+        return add
+
+    def splitter(words: int) -> Callable:
+        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """What runs add to their contexts and suffixes."""
+            fields = 1 if words == order else len(_FIELDS)
+            for batch in batches:
+                for path, sizes in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                    for columns, (count, *_) in _blocks(path, sizes, words, fields):
+                        use = count > 0  # runs of start marks alone are contexts only
+                        columns, count = [c[use] for c in columns], count[use]
+                        none = np.zeros(len(count), np.int64)
+                        context = [none, count, *(x.astype(np.int64) for x in (count == 1, count == 2, count > 2))]
+                        suffix = [none + 1, none, none, none, none]
+                        both = [np.concatenate(x) for x in zip(columns[:-1], columns[1:], strict=True)]
+                        key, *parts = _merged(both, [np.concatenate(x) for x in zip(context, suffix, strict=True)])
+                        yield from _deal(*parts, key.astype(np.int64) // width if words == 2 else _shard(key, shards), shards)
+
+        return split
+
+    def indexer(words: int) -> Callable:
+        def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            plain = (1,) if words == order else _PLAIN
+            for batch in batches:
+                for path, sizes, shard in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                    blocks = (_merged(*block) for block in _blocks(path, sizes, words, len(plain)))
+                    yield _indexed(folder, shard, ((key, fields) for key, _, fields in blocks), plain)
+
+        return index
+
+    def add_singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, key, _, fields in _by_shard(batches, 1):
+            whole = [np.zeros(width, np.int64) for _ in fields]
+            for values, own in zip(whole, fields, strict=True):
+                values[key.astype(np.int64) - shard * width] = own
+            yield _row(_COUNTED, [shard, _write_records(folder, whole), [], *_kinds(whole[0])])
+
+    def learned(words: int, rows: list) -> None:
+        model.discounts[words] = _discounts(tuple(sum(getattr(row, f"n{i}") for row in rows) for i in range(1, 5)))
+
+    with rows_per_batch(spark, 200), shuffles_deleted(spark):
+        place = scratch_path(spark, "runs")
+        counted = stored(texts.mapInArrow(count_runs, _DEALT), adder(order, place), _COUNTED, "runs")
+        for words in range(order, 1, -1):
+            learned(words, counted.collect())  # one row per shard
+            own = counted.select("path", "sizes", "shard").repartition(shards, "path")
+            parts = own.mapInArrow(splitter(words), _DEALT)
+            below = scratch_path(spark, "runs")
+            shorter = stored(parts, add_singles if words == 2 else adder(words - 1, below), _COUNTED, "runs")
+            files = materialize(own.mapInArrow(indexer(words), _FILES), "files").df.collect()  # one row per shard
+            model.levels[words] = Level.of(files, shards, (1,) if words == order else _PLAIN)
+            delete_folder(spark, place)
+            counted, place = shorter, below
+        rows = counted.collect()  # one row per shard
+    learned(1, rows)
+    model.singles = [""] * shards
+    for row in rows:
+        model.singles[row.shard] = row.path
+    model.pair_kinds = sum(row.total for row in rows)
     if model.pair_kinds:
-        seen = n_words
-        model.spread = (d[0] * n[0] + d[1] * n[1] + d[2] * (seen - n[0] - n[1])) / model.pair_kinds
+        d, n = model.discounts[1], [sum(getattr(row, name) for row in rows) for name in ("n", "n1", "n2")]
+        model.spread = (d[0] * n[1] + d[1] * n[2] + d[2] * (n[0] - n[1] - n[2])) / model.pair_kinds
     return model
 
 
