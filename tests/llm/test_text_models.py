@@ -132,13 +132,12 @@ def test_longer_runs_predict_held_out_texts_better(spark):
 def test_chances_after_any_words_add_up_to_one(documents):
     df = documents.select("text").limit(200)
     model = kneser_ney.fit(df)
-    for start in ([model.n_words] * 2, [model.n_words, 5], [7, 3], [0xFFFFFFFF, 4], [0xFFFFFFFF] * 2):
-        last = np.append(np.arange(model.n_words), 0xFFFFFFFF).astype(np.uint64)
-        columns = [*(np.full(len(last), number, np.uint64) for number in start), last]
-        chance = model._alone(last)
-        for words in (2, 3):
-            chance = model._after(columns[3 - words :], chance)
-        assert chance.sum() == pytest.approx(1, abs=1e-6)
+    last = np.append(np.arange(model.n_words), 0xFFFFFFFF).astype(np.uint64)
+    for start in ([], [5], [7, 3], [0xFFFFFFFF, 4], [4, 0xFFFFFFFF], [0xFFFFFFFF] * 2):
+        texts = np.stack([*(np.full(len(last), number, np.uint64) for number in start), last], axis=1)
+        offsets = np.arange(len(last) + 1) * texts.shape[1]
+        chances = model.chances(model.columns(texts.ravel(), offsets), offsets)
+        assert chances.reshape(texts.shape)[:, -1].sum() == pytest.approx(1, abs=1e-6)
 
 
 def test_order_below_two_is_refused(documents):

@@ -209,7 +209,7 @@ def _indexed(folder: str, shard: int, blocks: Iterator[tuple[np.ndarray, Columns
 
 @lru_cache(1 << 14)
 def _mapped(path: str, kind: str) -> np.ndarray:
-    return local_view(path, np.dtype(kind))
+    return local_view(path, np.dtype(kind)).view(np.ndarray)  # without a memmap's cost per slice
 
 
 def _records(path: str, rows: int, fields: int) -> np.ndarray:
@@ -241,17 +241,21 @@ class Level:
         where, out = np.full(len(keys), -1), np.zeros((len(self.plain), len(keys)), np.int64)
         cuts = np.searchsorted(_shard(keys, self.shards), np.arange(self.shards + 1))
         for shard in np.flatnonzero(np.diff(cuts)):
-            asked = keys[cuts[shard] : cuts[shard + 1]]
+            asked, left = keys[cuts[shard] : cuts[shard + 1]], None
             once, more, records, n_once, n_more = self.files[shard]
-            for path, start, recorded in ((once, 0, False), (more, n_once, True)):
-                if not path:
+            parts = [(once, n_once, 0, False), (more, n_more, n_once, True)]
+            for path, rows, start, recorded in sorted(parts, key=lambda part: -part[1]):  # most are found in the longer one
+                if not rows or left is not None and not len(left):
                     continue
                 held = _mapped(path, "<u8")
-                at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
-                hit = np.flatnonzero(held[at] == asked)
-                at, to = at[hit], hit + cuts[shard]
+                sought = asked if left is None else asked[left]
+                at = np.minimum(np.searchsorted(held, sought), rows - 1)
+                same = held[at] == sought
+                own = np.flatnonzero(same)
+                at, to = at[own], (own if left is None else left[own]) + cuts[shard]
+                left = np.flatnonzero(~same) if left is None else left[~same]
                 where[to] = self.starts[shard] + start + at
-                out[:, to] = _records(records, n_more, len(self.plain))[at].T if recorded else np.array(self.plain)[:, None]
+                out[:, to] = _records(records, rows, len(self.plain))[at].T if recorded else np.array(self.plain)[:, None]
         return where, out
 
 
@@ -313,34 +317,40 @@ class Model:
         distinct, which = np.unique(hashes, return_inverse=True)
         number, (count,) = self.words.find(distinct)
         base = np.log10((count + 0.1) / (self.tokens + 0.1 * (self.n_words + 1)))
-        if self.pair_kinds:
-            columns = self.columns(number[which], offsets)
-            chance = self._alone(columns[-1])
-            for words in range(2, self.order + 1):
-                chance = self._after(columns[self.order - words :], chance)
-        else:
-            chance = np.ones(len(hashes))
+        chance = self.chances(self.columns(number[which], offsets), offsets) if self.pair_kinds else np.ones(len(hashes))
         total = lambda values: np.add.reduceat(values, offsets[:-1])
         return [np.diff(offsets), total((count > 0)[which].astype(np.int64)), total(base[which]), total(np.log10(chance))]
 
-    def _alone(self, numbers: np.ndarray) -> np.ndarray:
-        """Probability of words alone: by the different words before them."""
-        distinct, which = np.unique(numbers, return_inverse=True)
-        count = self.single(distinct)[0]
-        left = np.maximum(count - _discount(count, self.discounts[1]), 0)
-        return (left / self.pair_kinds + self.spread / (self.n_words + 1))[which]
-
-    def _after(self, columns: Columns, shorter: np.ndarray) -> np.ndarray:
-        """Probability of the last word of runs after the others, from that after one word less."""
-        d = self.discounts[len(columns)]
-        keys, which = np.unique(_key(columns), return_inverse=True)
-        count = self.levels[len(columns)].find(keys)[1][0][which]
-        contexts, of = np.unique(_key(columns[:-1]), return_inverse=True)
-        own = self.single(contexts) if len(columns) == 2 else self.levels[len(columns) - 1].find(contexts)[1]
-        total = own[1]
-        rest = np.where(total > 0, (d[0] * own[2] + d[1] * own[3] + d[2] * own[4]) / np.maximum(total, 1), 1.0)
-        seen = np.maximum(count - _discount(count, d), 0) / np.maximum(total[of], 1)
-        return seen + rest[of] * shorter
+    def chances(self, columns: Columns, offsets: np.ndarray) -> np.ndarray:
+        """Probability of each token of some texts, from words alone to the longest runs.
+
+        The context of a token is the run that ends at the token before, so each run is looked up once, and one of start marks.
+        """
+        size, d = len(columns[-1]), self.discounts[1]
+        records, which = self.records(columns[-1:])
+        left = np.maximum(records[0] - _discount(records[0], d), 0)
+        chance = (left / self.pair_kinds + self.spread / (self.n_words + 1))[which[:-1]]
+        for words in range(2, self.order + 1):
+            d, total = self.discounts[words], records[1]
+            rest = np.where(total > 0, (d[0] * records[2] + d[1] * records[3] + d[2] * records[4]) / np.maximum(total, 1), 1.0)
+            context = np.empty(size, np.int64)
+            context[1:] = which[: size - 1]
+            context[offsets[:-1]] = which[-1]
+            records, which = self.records(columns[self.order - words :])
+            seen = np.maximum(records[0] - _discount(records[0], d), 0)[which[:-1]] / np.maximum(total, 1)[context]
+            chance = seen + rest[context] * chance
+        return chance
+
+    def records(self, columns: Columns) -> tuple[np.ndarray, np.ndarray]:
+        """Records of distinct runs, and for each run, and for one of start marks at the end, which of them is its own."""
+        keys = _key([np.append(c, np.uint64(self.n_words)) for c in columns])
+        if len(columns) < self.order:
+            distinct, which = np.unique(keys, return_inverse=True)
+            return self.single(distinct) if len(columns) == 1 else self.levels[len(columns)].find(distinct)[1], which
+        order = np.argsort(keys)  # the longest runs are mostly different ones
+        which = np.empty(len(keys), np.int64)
+        which[order] = np.arange(len(keys))
+        return self.levels[self.order].find(keys[order])[1], which
 
 
 def _width(n_words: int, shards: int) -> int:
