@@ -123,6 +123,22 @@ def test_runs_dealt_and_stored_in_small_pieces_are_summed(tmp_path, monkeypatch,
     assert found == plain
 
 
+@pytest.mark.parametrize("size", [1, 2, 63, 64, 65, 128, 129, 1000])
+def test_search_finds_every_stored_key(tmp_path, size):
+    keys = np.unique(np.random.default_rng(size).integers(1, 1 << 63, size).astype(np.uint64))
+    path = kneser_ney._write(f"{tmp_path}/keys", "keys", keys)
+    assert (kneser_ney._last_up_to(path, keys) == np.arange(len(keys))).all()
+    assert (kneser_ney._last_up_to(path, keys + np.uint64(1)) == np.arange(len(keys))).all()
+    assert (kneser_ney._last_up_to(path, np.array([0, (1 << 64) - 1], np.uint64)) == [0, len(keys) - 1]).all()
+
+
+def test_values_of_any_width_come_back():
+    for top in (0, 1, 255, 256, 65536, 1 << 32, 1 << 62):
+        values = np.append(np.arange(5), top).astype(np.uint64)
+        assert (kneser_ney._expand(kneser_ney._squeeze(values)) == values).all()
+    assert len(kneser_ney._expand(kneser_ney._squeeze(values[:0]))) == 0
+
+
 def test_longer_runs_predict_held_out_texts_better(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").withColumn("held", queries.held_out(10))
     totals = [kneser_ney.score(df.filter("held"), kneser_ney.fit(df.filter("not held"), order=n)).agg(F.sum("score")).first()[0] for n in (2, 3)]

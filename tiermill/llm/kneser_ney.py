@@ -29,10 +29,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.arrays import Texts, mix, pack, pack_counts, text_slices, unpack, unpack_counts, word_hashes
+from tiermill.llm.arrays import Texts, mix, pack, text_slices, unpack, word_hashes
 from tiermill.llm.files import local_view, new_file, reading, rows_per_batch, shuffles_deleted, writing
 from tiermill.llm.workers import ship
 from tiermill.sources.scratch import delete_folder, materialize, scratch_path
@@ -40,6 +41,8 @@ from tiermill.sources.scratch import delete_folder, materialize, scratch_path
 ORDER = 3
 END = np.uint64(0x5851F42D4C957F2D)
 TOKENS_AT_ONCE = 3 << 20
+STRIDE = 64
+SCORED_BYTES = 2 << 20
 BLOCK = 1 << 20
 _UNKNOWN = 0xFFFFFFFF
 _HALF = np.uint64(32)
@@ -88,17 +91,34 @@ def _lead(columns: Columns) -> np.ndarray:
     return columns[0] if len(columns) == 1 else columns[0] << _HALF | columns[1]
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same values, each as wide as the largest one needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<"))
+
+
+def _squeeze(values: np.ndarray) -> bytes:
+    """Whole numbers, their width first, then byte plane by byte plane, compressed."""
+    values = _narrow(values)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return bytes([values.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _expand(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), np.uint8).reshape(blob[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{blob[0]}").ravel()
+
+
 def _packed(columns: Columns, fields: Columns) -> list[bytes]:
     """Runs in ascending order of their first two words."""
-    return [pack(_lead(columns)), *(pack_counts(c) for c in columns[2:]), *(pack_counts(f) for f in fields)]
+    return [pack(_lead(columns)), *(_squeeze(c) for c in columns[2:]), *(_squeeze(f) for f in fields)]
 
 
 def _unpacked(parts: list[bytes], words: int) -> tuple[Columns, Columns]:
     lead = unpack(parts[0])
     columns = [lead] if words == 1 else [lead >> _HALF, lead & np.uint64(_UNKNOWN)]
-    rest = [unpack_counts(part) for part in parts[1:]]
+    rest = [_expand(part) for part in parts[1:]]
     more = max(0, words - 2)
-    return columns + rest[:more], [f.astype(np.int64) for f in rest[more:]]
+    return columns + [c.astype(np.uint64) for c in rest[:more]], [f.astype(np.int64) for f in rest[more:]]
 
 
 _DEALT = "shard int, parts array<binary>"
@@ -152,8 +172,7 @@ def _write(folder: str, label: str, values: np.ndarray) -> str:
 
 def _write_records(folder: str, fields: Columns) -> str:
     """Records side by side, each value as wide as the largest one needs."""
-    widest = max((int(f.max()) for f in fields if len(f)), default=0)
-    return _write(folder, "records", np.stack(fields, axis=1).astype(np.min_scalar_type(widest).newbyteorder("<")))
+    return _write(folder, "records", _narrow(np.stack(fields, axis=1)))
 
 
 def _row(names: str, values: list) -> pa.RecordBatch:
@@ -212,6 +231,25 @@ def _mapped(path: str, kind: str) -> np.ndarray:
     return local_view(path, np.dtype(kind)).view(np.ndarray)  # without a memmap's cost per slice
 
 
+@lru_cache(1 << 14)
+def _guide(path: str) -> np.ndarray:
+    """Every 64th key, in memory."""
+    return _mapped(path, "<u8")[::STRIDE].copy()
+
+
+def _last_up_to(path: str, sought: np.ndarray) -> np.ndarray:
+    """For each key sought the place of the last stored one up to it, else the first: by the guide, then by halving the stride
+    for all at once, so that reads of memory overlap."""
+    held = _mapped(path, "<u8")
+    at = np.maximum(np.searchsorted(_guide(path), sought, "right") - 1, 0) * STRIDE
+    step = STRIDE // 2
+    while step:
+        probe = np.minimum(at + step, len(held) - 1)
+        at = np.where(held[probe] <= sought, probe, at)
+        step //= 2
+    return at
+
+
 def _records(path: str, rows: int, fields: int) -> np.ndarray:
     raw = _mapped(path, "u1")
     return raw.view(f"<u{len(raw) // (rows * fields)}").reshape(rows, fields)
@@ -247,10 +285,9 @@ class Level:
             for path, rows, start, recorded in sorted(parts, key=lambda part: -part[1]):  # most are found in the longer one
                 if not rows or left is not None and not len(left):
                     continue
-                held = _mapped(path, "<u8")
                 sought = asked if left is None else asked[left]
-                at = np.minimum(np.searchsorted(held, sought), rows - 1)
-                same = held[at] == sought
+                at = _last_up_to(path, sought)
+                same = _mapped(path, "<u8")[at] == sought
                 own = np.flatnonzero(same)
                 at, to = at[own], (own if left is None else left[own]) + cuts[shard]
                 left = np.flatnonzero(~same) if left is None else left[~same]
@@ -496,7 +533,7 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     @F.arrow_udf("struct<n_tokens:long,n_known:long,base_score:double,score:double>")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            parts = [model.scores(part) for part in text_slices(texts)]
+            parts = [model.scores(part) for part in text_slices(texts, SCORED_BYTES)]
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             columns = [pa.array(np.concatenate([p[i] for p in parts]) if parts else [], k) for i, k in enumerate(kinds)]
             yield pa.StructArray.from_arrays(columns, list(RESULTS))
