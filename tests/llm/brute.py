@@ -90,6 +90,45 @@ def line_counts(text):
     return [len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), again, len(repeated)]
 
 
+def line_observations(text):
+    """Per line with a word: yes/no statements and number of words."""
+    groups = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "sign": "#*$%&<>", "bar": "|", "quote": "\"'()[]{}", "link": "@/\\_=+-"}
+    seen, out = set(), []
+    for line in (text or "").split("\n"):
+        words = WORD.findall(line)
+        if not words:
+            continue
+        n = len(words)
+        of = {name: sum(line.count(c) for c in members) for name, members in groups.items()}
+        letters = sum("a" <= c.lower() <= "z" and c.isascii() or ord(c) > 127 for c in line)
+        last, begins = words[-1][-1], words[0][0]
+        mean = sum(c not in " \t\r\x0b\x0c" for c in line) / n
+        told = (
+            True, n == 1, n <= 3, n <= 8, n > 40, last in ".?", last == ",", last in "#*$%&|<>!", of["sign"] > 0, of["sign"] > 0.05 * len(line),
+            of["bar"] > 0, of["bar"] > 0.2 * n, line.count("!") > 0.1 * n, of["upper"] > 0.6 * letters and letters > 3,
+            "A" <= begins <= "Z" or ord(begins) > 127, of["digit"] > 0, of["digit"] > 0.1 * len(line), of["quote"] > 0.5 * n,
+            of["link"] > 0.2 * n, line in seen, mean > 9, mean < 3,
+        )
+        seen.add(line)
+        out.append((told, n))
+    return out
+
+
+def content_lines(text, model):
+    """Lines, and what the best paths through all lines give: lines marked as content and their words. Paths that differ by rounding are equal."""
+    told, paths = line_observations(text), {}
+    for i, (marks, n) in enumerate(told):
+        own = [sum(model.seen[k][label] for k, mark in enumerate(marks) if mark) for label in (0, 1)]
+        now = {}
+        for b in (0, 1):
+            steps = [(paths[a][0] + model.move[a][b], paths[a][1]) for a in (0, 1)] if i else [(model.first[b], {(0, 0)})]
+            top = max(value for value, _ in steps)
+            now[b] = top + own[b], {(c + b, w + b * n) for value, found in steps if value > top - 1e-9 for c, w in found}
+        paths = now
+    top = max((value for value, _ in paths.values()), default=0)
+    return len(told), set().union(*(found for value, found in paths.values() if value > top - 1e-9)) or {(0, 0)}
+
+
 def near_copies(rows, shingle=3, percent=90):
     """Per document: shingles and the smallest document reachable by links."""
     sets = {}

@@ -227,6 +227,15 @@ def test_viterbi_finds_the_best_labels():
         assert tuple(found[rows]) == max(itertools.product((0, 1), repeat=len(rows)), key=value)
 
 
+def test_equal_lines_have_equal_scores_in_any_slice():
+    rng = np.random.default_rng(6)
+    model = line_crf.Chain(rng.normal(size=(len(line_crf.OBSERVATIONS), 2)), np.zeros((2, 2)), np.zeros(2))
+    seen = rng.integers(0, 2, (1001, len(line_crf.OBSERVATIONS))).astype(float)
+    whole = line_crf.line_scores(seen, model)
+    assert all((line_crf.line_scores(seen[i : i + 1], model) == whole[i]).all() for i in range(len(seen)))
+    assert np.allclose(whole, seen @ model.seen)
+
+
 def test_fitting_follows_the_slope_of_the_likelihood():
     rng = np.random.default_rng(5)
     owner = np.repeat(np.arange(200), rng.integers(1, 9, 200))
@@ -249,6 +258,21 @@ def test_line_counts_equal_plain_ones(request, table):
         assert row.kept == (not row.base_failed)
 
 
+@pytest.mark.parametrize("table", ["documents", "odd"])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_labels_and_verdicts_equal_plain_ones(request, table, seed):
+    df = request.getfixturevalue(table).select("doc_id", "text")
+    rng = np.random.default_rng(seed)
+    model = line_crf.Chain(rng.normal(size=(len(line_crf.OBSERVATIONS), 2)), rng.normal(size=(2, 2)), rng.normal(size=2))
+    verdicts = set()
+    for row in line_crf.judge(df, model).collect():
+        n_lines, best = brute.content_lines(row.text, model)
+        assert row.n_lines == n_lines and (row.n_content_lines, row.n_content_words) in best
+        assert row.kept == (not row.base_failed and row.n_content_words >= line_crf.CONTENT_SHARE * row.n_words)
+        verdicts.add((row.base_failed, row.kept))
+    assert table == "odd" or {(False, True), (False, False)} <= verdicts
+
+
 def test_line_rules_keep_good_documents(spark):
     folder = "/root/testdata/sf0.01"
     found = queries.op8_line_crf(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")

@@ -8,7 +8,8 @@ Viterbi decoding labels all lines of a document together, and a document is kept
 content hold at least ``CONTENT_SHARE`` of its words.
 
 Before that come fixed rules: too few words, or too many words in repeated runs of five. A NULL text is an empty one;
-it has no words and is not kept. Repeated rows get equal results. Without labels all weights are zero and every line
+it has no words and is not kept. Repeated rows get equal results. Of equally probable label sequences the one that has the larger sum
+in floating point is taken, then boilerplate; equal texts are always labelled alike. Without labels all weights are zero and every line
 counts as content. Other columns stay; columns named like results are replaced.
 """
 
@@ -103,6 +104,14 @@ class Batch:
         self.steps = [self.first[:n] + t for t, n in enumerate(reach)]
 
 
+def line_scores(seen: np.ndarray, model: Chain) -> np.ndarray:
+    """Weights of each line, added in one order, so that equal lines have equal sums wherever they lie in a slice."""
+    out = np.zeros((len(seen), 2))
+    for marks, weights in zip(seen.T, model.seen, strict=True):
+        out += marks[:, None] * weights
+    return out
+
+
 def viterbi(scores: np.ndarray, model: Chain, owner: np.ndarray) -> np.ndarray:
     """The most probable labels of all lines; ``owner`` is ascending."""
     batch = Batch(owner)
@@ -233,7 +242,7 @@ def _judge(texts: Texts, model: Chain) -> list[np.ndarray]:
     in_words = np.cumsum(inside[:-1]) > 0
     hashes = RollingHash(texts.data).spans(found.starts, found.ends)
     repeated = np.bincount(found.owners(), repeated_words(found, hashes, REPEATED_RUN), n).astype(np.int64)
-    content = viterbi(own.seen @ model.seen, model, own.owner) == 1 if model.seen.any() else np.ones(len(own.owner), bool)
+    content = viterbi(line_scores(own.seen, model), model, own.owner) == 1 if model.seen.any() else np.ones(len(own.owner), bool)
     per_text = lambda values: np.bincount(own.owner, values, n).astype(np.int64)
     content_words = per_text(own.n_words * content)
     failed = (n_words < FEWEST_WORDS) | (100 * repeated > MOST_REPEATED_PERCENT * n_words)
