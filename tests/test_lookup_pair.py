@@ -1,0 +1,117 @@
+"""Two large lookups move the table once, with the rows that two joins in a row give."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiermill.operators import lookup, lookup_join, lookup_pair
+from tiermill.plans import gold
+from tiermill.settings import ADAPTIVE, apply_settings
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture
+def large(spark, monkeypatch):
+    """No lookup is small."""
+    monkeypatch.setattr(lookup, "SMALL", 0)
+    before = {name: spark.conf.get(name, None) for name in {**NO_BROADCAST, **ADAPTIVE}}
+    apply_settings(spark)
+    for name, value in NO_BROADCAST.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def lines(spark):
+    """A hot key in each column, and NULL in each and in both."""
+    row = F.col("id")
+    return spark.range(0, 6000, 1, 4).select(
+        row.alias("line"),
+        F.when(row % 3 == 0, "P7").when(row % 5 != 0, F.concat(F.lit("P"), row % 211)).alias("product"),
+        F.when(row % 4 == 0, 11).when(row % 7 != 0, row % 307).alias("customer"),
+    )
+
+
+def lookups(spark):
+    """Each with a repeated key, a NULL key and keys that no line has; some lines find none."""
+    goods = spark.range(5, 400).select(F.concat(F.lit("P"), F.col("id")).alias("number"), F.concat(F.lit("good "), "id").alias("good"))
+    goods = goods.unionByName(spark.createDataFrame([("P7", "again"), (None, "none")], "number string, good string"))
+    buyers = spark.range(3, 500).select("id", F.concat(F.lit("buyer "), "id").alias("buyer"))
+    return goods, buyers.unionByName(spark.createDataFrame([(11, "again"), (None, "none")], "id bigint, buyer string"))
+
+
+def exchanges(df) -> int:
+    return len(re.findall(r"Exchange hashpartitioning", df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]))
+
+
+def test_same_rows_as_two_joins(large):
+    goods, buyers = lookups(large)
+    chain = lookup_join(lookup_join(lines(large), goods, "product", "number"), buyers, "customer", "id")
+    pair = lookup_pair(lines(large), (goods, "product", "number"), (buyers, "customer", "id"))
+    assert pair.columns == chain.columns
+    rows = Counter(map(tuple, pair.collect()))
+    assert rows == Counter(map(tuple, chain.collect()))
+    assert sum(rows.values()) > 6000
+    # the lines and the two lookups, each once; two joins move the lines twice
+    assert exchanges(pair) == 3 and exchanges(chain) == 4
+
+
+def test_hot_and_missing_keys_lie_in_many_partitions(large):
+    """The hot product over the cells of its row, rows without any key over all."""
+    goods, buyers = lookups(large)
+    df = lines(large).withColumn("product", F.when(F.col("line") % 2 == 0, "P7")).withColumn("customer", F.when(F.col("line") % 2 == 0, F.col("line")))
+    held = lookup_pair(df, (goods, "product", "number"), (buyers, "customer", "id")).select("product", F.spark_partition_id().alias("at")).distinct().collect()
+    assert sum(r["product"] == "P7" for r in held) >= 2
+    assert sum(r["product"] is None for r in held) >= 4
+
+
+def test_flat_sales_and_fact_move_their_lines_once(large):
+    spark = large
+    stamp = F.lit("2010-12-29 00:00:00").cast("timestamp_ntz")
+    sales = spark.range(0, 2000, 1, 4).select(
+        F.concat(F.lit("SO"), "id").alias("sls_ord_num"), F.concat(F.lit("P"), F.col("id") % 90).alias("sls_prd_key"), (F.col("id") % 70).alias("sls_cust_id"),
+        *[stamp.alias(c) for c in ("sls_order_dt", "sls_ship_dt", "sls_due_dt")],
+        *[F.lit(1.5).alias(c) for c in ("sls_sales", "sls_quantity", "sls_price")],
+    )
+    text = lambda *names: [F.concat(F.lit(n), "id").alias(n) for n in names]
+    products = spark.range(80).select(
+        F.col("id").alias("product_key"), F.concat(F.lit("P"), "id").alias("product_number"), *text("product_name", "category", "subcategory", "product_line")
+    )
+    customers = spark.range(60).select(F.col("id").alias("customer_key"), F.col("id").alias("customer_id"), *text("customer_number", "first_name", "last_name", "country", "gender"))
+    fact = gold.fact_sales(sales, products, customers)
+    assert exchanges(fact) == 3
+    flat = gold.flat_sales(fact, products, customers)
+    assert exchanges(flat) == 6
+    rows = flat.collect()
+    assert len(rows) == 2000
+    for r in rows:
+        line = int(r["order_number"][2:])
+        assert r["product_name"] == (f"product_name{line % 90}" if line % 90 < 80 else None)
+        assert r["last_name"] == (f"last_name{line % 70}" if line % 70 < 60 else None)
+
+
+def test_small_lookups_are_joined_as_before(spark):
+    goods = spark.range(300).select(F.concat(F.lit("P"), "id").alias("number"), F.concat(F.lit("good "), "id").alias("good"))
+    buyers = spark.range(400).select("id", F.concat(F.lit("buyer "), "id").alias("buyer"))
+    small = lookup_pair(lines(spark), (goods, "product", "number"), (buyers, "customer", "id"))
+    assert "__cell" not in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_types_of_a_key(large):
+    goods, buyers = lookups(large)
+    narrow = buyers.withColumn("id", F.col("id").cast("int"))
+    pair = lookup_pair(lines(large), (goods, "product", "number"), (narrow, "customer", "id"))
+    wide = lookup_pair(lines(large), (goods, "product", "number"), (buyers, "customer", "id"))
+    assert Counter(map(tuple, pair.collect())) == Counter(map(tuple, wide.collect()))
+
+
+def test_a_repeated_key_raises_if_asked(large):
+    goods, buyers = lookups(large)
+    with pytest.raises(ValueError, match="not unique"):
+        lookup_pair(lines(large), (goods, "product", "number"), (buyers, "customer", "id"), assert_unique=True)

@@ -2,7 +2,7 @@
 
 from tiermill.operators.conform import conform, require_non_empty, stamp
 from tiermill.operators.dedup import keep_first, require_key
-from tiermill.operators.lookup import lookup_join, lookup_key
+from tiermill.operators.lookup import lookup_join, lookup_key, lookup_pair
 from tiermill.operators.ordered import running_max_fill, surrogate_key, version_end_date
 from tiermill.operators.quality import (
     Check,
@@ -27,6 +27,7 @@ __all__ = [
     "keep_first",
     "lookup_join",
     "lookup_key",
+    "lookup_pair",
     "non_negative",
     "orphan_keys",
     "require_key",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tiermill.functions.cleaning import prefer_master
 from tiermill.operators.conform import conform
-from tiermill.operators.lookup import lookup_join, lookup_key
+from tiermill.operators.lookup import lookup_join, lookup_pair
 from tiermill.operators.ordered import surrogate_key
 from tiermill.plans.schemas import GOLD, MEASURE, with_measures
 
@@ -64,14 +64,12 @@ def fact_sales(
 
     ``products`` and ``customers`` are the dimensions of the same run.
     """
-    with_product = lookup_key(sales, products, "sls_prd_key", "product_number", "product_key", assert_unique)
-    with_customer = lookup_key(
-        with_product, customers, "sls_cust_id", "customer_id", "customer_key", assert_unique
-    )
-    renamed = with_customer.select(
+    columns = with_measures(GOLD["fact_sales"], measure)
+    # in the types of the fact, which are narrower, before rows are moved
+    renamed = sales.select(
+        F.col("sls_prd_key").alias("__product"),
+        F.col("sls_cust_id").alias("__customer"),
         F.col("sls_ord_num").alias("order_number"),
-        "product_key",
-        "customer_key",
         F.col("sls_order_dt").alias("order_date"),
         F.col("sls_ship_dt").alias("shipping_date"),
         F.col("sls_due_dt").alias("due_date"),
@@ -79,7 +77,14 @@ def fact_sales(
         F.col("sls_quantity").alias("quantity"),
         F.col("sls_price").alias("price"),
     )
-    return conform(renamed, with_measures(GOLD["fact_sales"], measure))
+    own = dict(renamed.dtypes) | {n: t for n, t in columns.items() if n in renamed.columns}
+    keyed = lookup_pair(
+        conform(renamed, own),
+        (products.select("product_number", "product_key"), "__product", "product_number"),
+        (customers.select("customer_id", "customer_key"), "__customer", "customer_id"),
+        assert_unique,
+    )
+    return conform(keyed, columns)
 
 
 def flat_sales(fact: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
@@ -100,8 +105,9 @@ def flat_sales(fact: DataFrame, products: DataFrame, customers: DataFrame) -> Da
         "country",
         "gender",
     )
-    wide = lookup_join(fact, goods, "product_key", "product_key")
-    return lookup_join(wide, buyers, "customer_key", "customer_key")
+    return lookup_pair(
+        fact, (goods, "product_key", "product_key"), (buyers, "customer_key", "customer_key")
+    )
 
 
 def _totals(df: DataFrame, *by: str) -> DataFrame:

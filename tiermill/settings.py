@@ -13,8 +13,10 @@ CONVERSION = {"spark.sql.ansi.enabled": "true"}
 # Joins and aggregations are re-planned from measured sizes: a small side is broadcast, a hot join key is
 # split over several tasks (also where that costs one more shuffle), small partitions are merged. Before
 # anything is measured a scan counts as four times its compressed files, so that only tables that are small
-# even unpacked are broadcast on the estimate.
+# even unpacked are broadcast on the estimate. Two tables dealt by one column stay where they are when they are
+# joined on that column and others (the grid of ``lookup_pair``).
 ADAPTIVE = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
