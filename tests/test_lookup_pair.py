@@ -115,3 +115,15 @@ def test_a_repeated_key_raises_if_asked(large):
     goods, buyers = lookups(large)
     with pytest.raises(ValueError, match="not unique"):
         lookup_pair(lines(large), (goods, "product", "number"), (buyers, "customer", "id"), assert_unique=True)
+
+
+def test_rows_are_moved_before_a_small_lookup_makes_them_wide(large, monkeypatch):
+    goods = large.range(300).select(F.concat(F.lit("P"), "id").alias("number"), F.concat(F.lit("good "), "id").alias("good"))
+    buyers = large.range(9000).select("id", F.concat(F.lit("buyer "), "id").alias("buyer"))
+    monkeypatch.setattr(lookup, "SMALL", 50_000)
+    pair = lookup_pair(lines(large), (goods, "product", "number"), (buyers, "customer", "id"))
+    assert pair.columns == ["line", "product", "customer", "good", "buyer"]
+    joins = re.findall(r"Join \[(\w+)#", pair._jdf.queryExecution().executedPlan().toString())
+    assert joins == ["product", "customer"]  # the outermost, which is the last, first
+    chain = lookup_join(lookup_join(lines(large), goods, "product", "number"), buyers, "customer", "id")
+    assert Counter(map(tuple, pair.collect())) == Counter(map(tuple, chain.collect()))

@@ -74,9 +74,14 @@ def lookup_pair(
     kinds = dict(left.dtypes)
     alike = all(kinds[on] in _HASHED and kinds[on] == dict(right.dtypes)[key] for right, on, key in lookups)
     sizes = [_estimated_bytes(right) for right, _, _ in lookups]
-    if not alike or min(sizes) <= max(_broadcast_bytes(left), SMALL):
-        return lookup_join(lookup_join(left, *first), *second)
-    return _over_grid(left, lookups, sizes)
+    small = max(_broadcast_bytes(left), SMALL)
+    if alike and min(sizes) > small:
+        return _over_grid(left, lookups, sizes)
+    if sizes[0] <= small < sizes[1]:
+        # rows are moved before the columns of the small one make them wide
+        joined = lookup_join(lookup_join(left, *second), *first)
+        return joined.select(*left.columns, *[c for right, _, key in lookups for c in right.columns if c != key])
+    return lookup_join(lookup_join(left, *first), *second)
 
 
 def _estimated_bytes(df: DataFrame) -> int:

@@ -25,6 +25,9 @@ from tiermill.sources.scratch import delete_folder
 
 LAYERS = ("bronze", "silver", "gold")
 
+# Stored tables are written once and read by every later layer: a codec that packs denser than Spark's default (snappy).
+CODEC = "zstd"
+
 # The table that names the contents of the runs, in the database of the last layer.
 MANIFEST = "run_manifest"
 _MANIFEST_COLUMNS = "age int, run string, layer string, name string, folder string, columns string, rows bigint"
@@ -167,7 +170,7 @@ class Warehouse:
         """Write ``df`` to a new folder, which nothing shows yet; an empty result raises with ``require_rows``."""
         folder = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", CODEC).parquet(folder)
         rows = seen.get["rows"]
         if require_rows and rows == 0:
             raise ValueError(f"{layer}.{table} would have no rows")
