@@ -59,12 +59,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "stage") -> Stored:
-    """Write ``df`` once and return it as a plain Parquet scan, with its row count from the same pass."""
+def materialize(df: DataFrame, label: str = "stage", codec: str | None = None) -> Stored:
+    """Write ``df`` once and return it as a plain Parquet scan, with its row count from the same pass.
+
+    ``codec`` compresses the files, by default that of the session.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path, compression=codec)
     return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"], path)
 
 
