@@ -36,7 +36,7 @@ from tiermill.llm.arrays import Texts, mix, pack, pack_counts, text_slices, unpa
 from tiermill.llm.components import components
 from tiermill.llm.files import rows_per_batch, shuffles_deleted
 from tiermill.llm.textstats import grams
-from tiermill.llm.workers import ship
+from tiermill.llm.workers import ship, tidy
 from tiermill.sources.scratch import delete_folder, materialize, scratch_path, scratch_scope
 
 SHINGLE = 3
@@ -152,7 +152,7 @@ def _describe(documents: DataFrame, shards: int, shingle: int, percent: int) ->
                     ["doc_id", "n", "set", "shard", "keys", "ids"],
                 )
 
-    return documents.mapInArrow(describe, "doc_id long, n long, set binary, shard int, keys binary, ids binary")
+    return documents.mapInArrow(tidy(describe), "doc_id long, n long, set binary, shard int, keys binary, ids binary")
 
 
 def _by_shard(blocks: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -199,7 +199,7 @@ def _sets(documents: DataFrame, shingle: int) -> DataFrame:
                 outer = pa.ListArray.from_arrays(pa.array(np.arange(len(piece) + 1, dtype=np.int32) * PARTS), inner)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(piece.first, len(piece)), outer], ["doc_id", "parts"])
 
-    return documents.mapInArrow(fragments, "doc_id long, parts array<array<long>>")
+    return documents.mapInArrow(tidy(fragments), "doc_id long, parts array<array<long>>")
 
 
 def _part(keys: np.ndarray) -> np.ndarray:
@@ -231,8 +231,8 @@ def _private(sets: DataFrame, shards: int) -> DataFrame:
             cells, counts = np.unique(np.column_stack([ids[single], _part(keys[single])]), axis=0, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cells[:, 0]), pa.array(cells[:, 1]), pa.array(counts)], ["doc_id", "part", "n"])
 
-    dealt = sets.select("doc_id", "parts").mapInArrow(deal, "shard int, keys binary, ids binary")
-    counted = dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(alone, "doc_id long, part long, n long")
+    dealt = sets.select("doc_id", "parts").mapInArrow(tidy(deal), "shard int, keys binary, ids binary")
+    counted = dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(tidy(alone), "doc_id long, part long, n long")
     of_part = [F.sum(F.when(F.col("part") == i, F.col("n")).otherwise(0)) for i in range(PARTS)]
     return counted.groupBy("doc_id").agg(F.array(*of_part).alias("private"))
 
@@ -358,7 +358,7 @@ def _link(texts: DataFrame, shards: int, shingle: int, percent: int) -> DataFram
     with rows_per_batch(spark, 200):
         dealt = blocks.repartition(shards, "shard").sortWithinPartitions("shard")
         firsts = members.select("doc_id", "first").distinct()
-        shared = dealt.mapInArrow(_shared, "print long, doc_id long").join(firsts, "doc_id")
+        shared = dealt.mapInArrow(tidy(_shared), "print long, doc_id long").join(firsts, "doc_id")
         entries = materialize(shared.select("print", F.col("first").alias("doc_id")).distinct(), "prints").df
     delete_folder(spark, stored.path)  # the fingerprints, which are as large as the texts, have been read
     groups = entries.groupBy("print").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).filter("u <> last")

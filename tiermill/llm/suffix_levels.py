@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.arrays import RollingHash, mix, pack, pack_counts, text_slices, unpack, unpack_counts
 from tiermill.llm.files import new_file, reading, rows_per_batch, writing
-from tiermill.llm.workers import ship
+from tiermill.llm.workers import ship, tidy
 from tiermill.sources.scratch import delete_folder, materialize, scratch_path
 
 LENGTH = 50
@@ -408,7 +408,7 @@ def remove_repeated(
     ordered = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *rest)
     ordered = ordered.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
     with rows_per_batch(spark, 1000):
-        batches = materialize(ordered.mapInArrow(_pack_batches, _BATCHES), "batches").df
+        batches = materialize(ordered.mapInArrow(tidy(_pack_batches), _BATCHES), "batches").df
     size = batches.agg(F.sum("size")).first()[0] or 0
     shards = max(1, min(SHARDS_PER_PARTITION * partitions, size // BATCH_BYTES))
 
@@ -428,9 +428,9 @@ def remove_repeated(
                     yield pa.RecordBatch.from_arrays(columns, ["shard", "batch", "keys", "flags"])
 
         with rows_per_batch(spark, 4):
-            sent = batches.mapInArrow(send, _DEALT).repartition(partitions, "shard").sortWithinPartitions("shard", "batch")
-            answered = sent.mapInArrow(_answer, _CODES).repartition(partitions, "batch").sortWithinPartitions("batch", "shard")
-            materialize(answered.mapInArrow(_store(folder), "batch long"), "stored")
+            sent = batches.mapInArrow(tidy(send), _DEALT).repartition(partitions, "shard").sortWithinPartitions("shard", "batch")
+            answered = sent.mapInArrow(tidy(_answer), _CODES).repartition(partitions, "batch").sortWithinPartitions("batch", "shard")
+            materialize(answered.mapInArrow(tidy(_store(folder)), "batch long"), "stored")
         if before:
             delete_folder(spark, before)
         before = folder
@@ -460,5 +460,5 @@ def remove_repeated(
             columns = [ids, *rest.columns, pa.array(np.diff(batch.offsets)), pa.ListArray.from_arrays(pa.array(per_text), spans), left]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *rest.schema.names, "n_bytes", "spans", "kept"])
 
-    out = batches.mapInArrow(cut, schema)
+    out = batches.mapInArrow(tidy(cut), schema)
     return out.withColumnsRenamed({f"keep_{i}": c for i, c in enumerate(keep)})
