@@ -6,6 +6,7 @@ import base64
 import io
 import random
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from tiermill.llm import bitplanes, bpe_fst, queries
+from tiermill.llm import bitplanes, bpe_fst, queries, segments
 from tiermill.llm.segments import PieceCache, pieces_of
 
 RANKS = queries.tokenizer_file("byte_bpe_50k.tiktoken")
@@ -177,3 +178,22 @@ def check_one_id(spark):
     found = bitplanes.read_ids(files)
     assert files.count() > 1
     check_files(found.selectExpr("doc_id", "start", "octet_length(ids) div 4 n_tokens", "crc32(ids) ids_crc32").collect(), rows.collect())
+
+
+def test_pieces_of_many_texts_are_cut_and_looked_up_as_arrays(monkeypatch):
+    """As one by one, also where texts are cut into slices; each distinct piece is asked for once, no text is cut by itself."""
+    letters = ["ab1 \n\t\r.,-\x1c\x00é\xa0\x85üɏ\xb2\xd7 ", "ab '_.\n é"]
+    draw = random.Random(5)
+    texts = [None, "", "x" * 70] + ["".join(draw.choices(letters[i % 2], k=draw.randint(1, 30))) for i in range(600)]
+    want = list(chain.from_iterable(pieces_of(text or "") for text in texts))
+    monkeypatch.setattr(segments, "pieces_of", None)
+    for at_once in (segments.CHARS_AT_ONCE, 40):
+        monkeypatch.setattr(segments, "CHARS_AT_ONCE", at_once)
+        asked = []
+
+        def encode(pieces, _, asked=asked):
+            asked.extend(pieces)
+            return [p.encode("utf-32-le") for p in pieces]
+
+        assert PieceCache(encode).ids(texts) == [(text or "").encode("utf-32-le") for text in texts]
+        assert sorted(asked) == sorted(set(want))
