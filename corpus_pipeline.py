@@ -80,7 +80,7 @@ def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     both = bpe_fst.round_trip(docs.select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"), pieces=100_000, states=70_000)
     exact = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
     rows = both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), exact.alias("round_trip"))
-    with rows_per_batch(spark, 1000):
+    with rows_per_batch(spark, 300):
         return materialize(rows, "tokens").df
 
 

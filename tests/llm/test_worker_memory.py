@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tiermill.llm import ngram_join, suffix_levels, workers
+from tests.llm.test_tokens import RANKS, noise
+from tiermill.llm import bpe_fst, ngram_join, suffix_levels, workers
 
 
 def test_memory_goes_back_before_and_after(monkeypatch):
@@ -47,3 +48,17 @@ def test_stages_that_hold_arrays_are_tidied():
         with open(module.__file__) as f:
             text = f.read()
         assert text.count("mapInArrow(") == text.count("mapInArrow(tidy(") > 0
+
+
+def test_encoding_gives_memory_back_after_each_batch(spark, monkeypatch):
+    rows = [(i, text) for i, text in enumerate(noise(3, 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    work, seen = [], []
+    monkeypatch.setattr(bpe_fst.F, "arrow_udf", lambda kind: lambda f: work.append(f) or (lambda column: bpe_fst.F.struct(column.alias("ids"), column.alias("text"))))
+    bpe_fst.round_trip(df, RANKS)
+    batches = [pa.array([text for _, text in rows[at : at + 20]]) for at in (0, 20, 40)]
+    bpe_fst._encoder(RANKS, bpe_fst.CACHE_ENTRIES, bpe_fst.MOST_STATES)
+    monkeypatch.setattr(bpe_fst, "trim", lambda: seen.append("trim"))
+    for done in work[0](iter(batches)):
+        seen.append(len(done))
+    assert seen == [20, "trim", 20, "trim", 20, "trim"]

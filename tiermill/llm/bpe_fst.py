@@ -331,6 +331,11 @@ def _decode_column(ids: pa.Array, path: str) -> pa.Array:
     return pa.array(out, pa.string())
 
 
+def _both_ways(texts: pa.Array, path: str, *kept: int) -> pa.Array:
+    ids = _encode_column(texts, path, *kept)
+    return pa.StructArray.from_arrays([ids, _decode_column(ids, path)], ["ids", "text"])
+
+
 def _spelled_size(spelled: pa.Array) -> int:
     return int(np.frombuffer(spelled.buffers()[1], np.int32)[len(spelled)])
 
@@ -371,8 +376,8 @@ def round_trip(
     @F.arrow_udf("struct<ids:array<int>,text:string>")
     def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = _encode_column(texts, vocabulary, pieces, states)
-            yield pa.StructArray.from_arrays([found, _decode_column(found, vocabulary)], ["ids", "text"])
+            yield _both_ways(texts, vocabulary, pieces, states)
+            trim()  # a batch leaves more freed memory behind than all tables hold
 
     both = df.withColumn("__both", there_and_back(F.col(text)))
     return both.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.text")}).drop("__both")
