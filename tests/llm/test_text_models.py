@@ -285,3 +285,18 @@ def test_rules_of_empty_tables(spark, odd, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     model = line_crf.learn(odd, labels)
     assert line_crf.judge(nothing, model).count() == 0 and line_crf.judge(odd, model).count() == odd.count()
+
+
+def test_places_sorted_with_keys_are_those_of_a_stable_sort():
+    draw = np.random.default_rng(11)
+    hashes = draw.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    near = (hashes[0] & ~np.uint64(0xFFFF)) + draw.integers(0, 1 << 16, 5000, dtype=np.uint64)  # differ in the lowest bits only
+    for keys in (hashes, near, hashes % np.uint64(50), hashes >> np.uint64(30), np.concatenate([near, hashes, near]), hashes[:1], hashes[:0], hashes * np.uint64(0)):
+        assert (kneser_ney._order(keys) == np.argsort(keys, kind="stable")).all()
+        distinct, place = kneser_ney._distinct(keys)
+        want = np.unique(keys, return_inverse=True)
+        assert (distinct == want[0]).all() and (place == want[1]).all() and len(place) == len(keys)
+    for top in (40, 1 << 20, 1 << 32):
+        columns = [draw.integers(0, top, 4000, dtype=np.uint64) for _ in range(3)]
+        assert (kneser_ney._lead_order(columns) == np.lexsort((columns[1], columns[0]))).all()
+        assert (kneser_ney._lead_order(columns[:1]) == np.argsort(columns[0], kind="stable")).all()

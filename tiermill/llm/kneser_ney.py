@@ -65,6 +65,39 @@ def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Places of the keys in ascending order, equal ones as they come.
+
+    Whole numbers are sorted faster than their places are, so each key is sorted with its place in its lowest bits; keys that
+    then differ in those bits only, few among hashes, are put in order afterwards.
+    """
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    keys = keys.astype(np.uint64, copy=False)
+    bits = len(keys).bit_length()
+    low = np.uint64((1 << bits) - 1)
+    free = np.uint64(64 - int(keys.max()).bit_length())
+    placed = keys << free if free < 64 else keys
+    placed = (placed & ~low) | np.arange(len(keys), dtype=np.uint64)
+    placed.sort()
+    order = (placed & low).astype(np.int64)
+    if free < bits:
+        found = keys[order]
+        if (found[1:] < found[:-1]).any():
+            order = order[np.argsort(found, kind="stable")]  # nearly sorted
+    return order
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order, and for each key its place among them."""
+    order = _order(keys)
+    ascending = keys[order]
+    first = np.append(True, ascending[1:] != ascending[:-1]) if len(keys) else np.zeros(0, bool)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(first) - 1
+    return ascending[first], place
+
+
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> _HALF) * np.uint64(shards) >> _HALF).astype(np.int64)
 
@@ -80,7 +113,7 @@ def _key(columns: Columns) -> np.ndarray:
 def _merged(columns: Columns, fields: Columns) -> tuple[np.ndarray, Columns, Columns]:
     """Sum the fields of equal runs: keys (ascending), columns, fields."""
     key = _key(columns)
-    order = np.argsort(key)
+    order = _order(key)
     key = key[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
     sums = [np.add.reduceat(f[order], first) if len(first) else f for f in fields]
@@ -91,6 +124,15 @@ def _lead(columns: Columns) -> np.ndarray:
     return columns[0] if len(columns) == 1 else columns[0] << _HALF | columns[1]
 
 
+def _lead_order(columns: Columns) -> np.ndarray:
+    """Places of runs in ascending order of their first two words."""
+    if len(columns) == 1 or not len(columns[0]):
+        return _order(columns[0])
+    most = int(columns[1].max()) + 1
+    narrow = int(columns[0].max()) * most + most < 1 << 64
+    return _order(columns[0] * np.uint64(most) + columns[1] if narrow else _lead(columns))
+
+
 def _narrow(values: np.ndarray) -> np.ndarray:
     """The same values, each as wide as the largest one needs."""
     return values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<"))
@@ -126,7 +168,7 @@ _DEALT = "shard int, parts array<binary>"
 
 def _deal(columns: Columns, fields: Columns, place: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
     """Rows of packed runs, one per shard."""
-    order = np.argsort(_lead(columns))
+    order = _lead_order(columns)
     order = order[np.argsort(place[order].astype(np.min_scalar_type(shards)), kind="stable")]
     cuts = np.searchsorted(place[order], np.arange(shards + 1))
     for shard in np.flatnonzero(np.diff(cuts)):
@@ -194,7 +236,7 @@ def _counted(folder: str, shard: int, columns: Columns, fields: Columns) -> pa.R
     path, sizes = new_file(folder, "counted"), []
     with writing(path) as out:
         for at in range(0, len(fields[0]), BLOCK):
-            own = np.argsort(_lead([c[at : at + BLOCK] for c in columns])) + at
+            own = _lead_order([c[at : at + BLOCK] for c in columns]) + at
             for part in _packed([c[own] for c in columns], [f[own] for f in fields]):
                 out.write(part)
                 sizes.append(len(part))
@@ -351,7 +393,7 @@ class Model:
     def scores(self, texts: Texts) -> list[np.ndarray]:
         """Per text: tokens, known tokens, base score and model score."""
         hashes, offsets = tokens(texts)
-        distinct, which = np.unique(hashes, return_inverse=True)
+        distinct, which = _distinct(hashes)
         number, (count,) = self.words.find(distinct)
         base = np.log10((count + 0.1) / (self.tokens + 0.1 * (self.n_words + 1)))
         chance = self.chances(self.columns(number[which], offsets), offsets) if self.pair_kinds else np.ones(len(hashes))
@@ -382,9 +424,9 @@ class Model:
         """Records of distinct runs, and for each run, and for one of start marks at the end, which of them is its own."""
         keys = _key([np.append(c, np.uint64(self.n_words)) for c in columns])
         if len(columns) < self.order:
-            distinct, which = np.unique(keys, return_inverse=True)
+            distinct, which = _distinct(keys)
             return self.single(distinct) if len(columns) == 1 else self.levels[len(columns)].find(distinct)[1], which
-        order = np.argsort(keys)  # the longest runs are mostly different ones
+        order = _order(keys)  # the longest runs are mostly different ones
         which = np.empty(len(keys), np.int64)
         which[order] = np.arange(len(keys))
         return self.levels[self.order].find(keys[order])[1], which
@@ -447,7 +489,7 @@ def fit(documents: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs(part: Texts) -> Columns:
             hashes, offsets = tokens(part)
-            distinct, which = np.unique(hashes, return_inverse=True)
+            distinct, which = _distinct(hashes)
             return model.columns(model.words.find(distinct)[0][which], offsets)
 
         for key, columns, fields in _flushed(batches, runs):
