@@ -291,3 +291,14 @@ def test_short_items_are_found_however_their_words_are_replaced():
         masks = spaced_seeds.whole_masks(size)
         for changed in itertools.combinations(range(size), size // 5):
             assert any(all(mask[i] == "0" for i in changed) for mask in masks)
+
+
+def test_sets_of_a_pair_are_compared_once(spark):
+    pairs = spark.createDataFrame([(1, 2)], "u long, v long")
+    sets = spark.createDataFrame([(1, [[1, 2], [3]]), (2, [[2], [3, 70]])], "doc_id long, parts array<array<long>>")
+    found = ngram_join._overlaps(pairs, sets)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_except(") == 2
+    row = found.first()
+    lane = lambda name: sum(row[f"{name}_{i}"] != 0 for i in range(ngram_join.LANES))
+    assert (row.n_u, row.n_v, row.shared, lane("missing"), lane("added")) == (3, 3, 2, 1, 1)

@@ -254,6 +254,8 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (``u``, ``v``) with sizes and partial overlaps per fragment (``parts_*``, ``parts``) and their sums (``n_*``, ``shared``)."""
     side = lambda name: sets.select(F.col("doc_id").alias(name), F.col("parts").alias(f"keys_{name}"))
     both = pairs.join(side("u"), "u").join(side("v"), "v")
+    # once, in columns of their own: within the functions of a sketch each lane would compare the sets anew
+    both = both.withColumns({name: F.expr(f"array_except(flatten(keys_{a}), flatten(keys_{b}))") for name, a, b in (("gone", "u", "v"), ("new", "v", "u"))})
     sizes = lambda keys: F.transform(keys, lambda part: F.size(part).cast("long"))
     counted = both.select(
         "u",
@@ -261,8 +263,8 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         sizes("keys_u").alias("parts_u"),
         sizes("keys_v").alias("parts_v"),
         F.zip_with("keys_u", "keys_v", lambda a, b: F.size(F.array_intersect(a, b)).cast("long")).alias("parts"),
-        *_sketch("array_except(flatten(keys_u), flatten(keys_v))", "missing"),
-        *_sketch("array_except(flatten(keys_v), flatten(keys_u))", "added"),
+        *_sketch("gone", "missing"),
+        *_sketch("new", "added"),
     )
     sums = {"n_u": _total(F.col("parts_u")), "n_v": _total(F.col("parts_v")), "shared": _total(F.col("parts"))}
     return counted.withColumns(sums)
