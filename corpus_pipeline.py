@@ -23,17 +23,33 @@ ORACLE_SQL = None
 SHINGLE = 5
 PERCENT = 80
 
+#: Rows in an Arrow batch, of texts and of packed batches of texts, some megabytes each. An executor does not give the memory of
+#: larger ones back, so that they would count in all stages that follow.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_AT_ONCE = 500
+PACKED_AT_ONCE = 2
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the quality trees accept, learned from the labels that are not held out."""
+    """Documents that the quality trees accept, learned from the labels that are not held out.
+
+    They are scored when they are read, so the session keeps its smaller Arrow batches; ``run`` puts them back."""
+    if int(spark.conf.get(BATCH)) > TEXTS_AT_ONCE:
+        spark.conf.set(BATCH, str(TEXTS_AT_ONCE))
     model = quality_gbt.learn(docs.select("doc_id", "text"), taught(spark, folder))
     scored = quality_gbt.score(docs, model, name="__score")
     return scored.filter(F.col("__score") >= quality_gbt.KEEP_FROM).select(*docs.columns)
 
 
+def _stored(docs: DataFrame, label: str, rows: int) -> DataFrame:
+    """The same rows, stored by a job with this many of its input rows in an Arrow batch."""
+    with rows_per_batch(docs.sparkSession, rows):
+        return materialize(docs, label, "zstd").df
+
+
 def _numbered(docs: DataFrame, label: str) -> DataFrame:
     """The rows with a number each (``__row``), stored, so that it is the same at every reading."""
-    return materialize(docs.withColumn("__row", F.monotonically_increasing_id()), label).df
+    return materialize(docs.withColumn("__row", F.monotonically_increasing_id()), label, "zstd").df
 
 
 def _own_texts(rows: DataFrame) -> DataFrame:
@@ -63,13 +79,14 @@ def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     cut = suffix_levels.remove_repeated(docs.withColumnsRenamed(aside), keep=tuple(aside.values()), whole_characters=True)
     text = F.col("kept").cast("string")
     new = {"doc_id": F.col("doc_id"), "text": text, "n_chars": F.char_length(text).cast("long")}
-    return cut.select(*(new.get(c, F.col(aside.get(c, c))).alias(c) for c in docs.columns))
+    return _stored(cut.select(*(new.get(c, F.col(aside.get(c, c))).alias(c) for c in docs.columns)), "cut", PACKED_AT_ONCE)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Rows that hold no passage of the benchmark, each judged by its own text, whatever its id."""
     rows = _numbered(docs, "searched")
-    found = spaced_seeds.contaminated(_own_texts(rows), table(spark, folder, "benchmark"))
+    with rows_per_batch(spark, TEXTS_AT_ONCE):
+        found = spaced_seeds.contaminated(_own_texts(rows), table(spark, folder, "benchmark"))
     found = found.select(F.col("doc_id").alias("__row")).distinct()
     return rows.join(found, "__row", "left_anti").select(*docs.columns)
 
@@ -77,11 +94,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of each text, with the check that they decode to it."""
     # the stages before leave the executor's heap grown, so the workers remember less than they do on their own
-    both = bpe_fst.round_trip(docs.select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"), pieces=100_000, states=70_000)
+    both = bpe_fst.round_trip(docs.select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"), pieces=50_000, states=40_000)
     exact = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
     rows = both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), exact.alias("round_trip"))
-    with rows_per_batch(spark, 300):
-        return materialize(rows, "tokens").df
+    return _stored(rows, "tokens", 100)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -95,6 +111,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-")).df
+    with rows_per_batch(spark, TEXTS_AT_ONCE):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-")).df
     return docs

@@ -45,6 +45,9 @@ PARTS = 16
 LANES = 4
 ROUND_KEYS = 1 << 25
 SHARDS_PER_PARTITION = 4
+#: Rows of texts in an Arrow batch, and in what a worker packs at once: shards have fewer, larger blocks with more rows.
+TEXTS_AT_ONCE = 500
+PACKED_ROWS = 4000
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -120,9 +123,22 @@ def fingerprints(keys: np.ndarray, offsets: np.ndarray, percent: int = PERCENT)
 def _describe(documents: DataFrame, shards: int, shingle: int, percent: int) -> DataFrame:
     """Rows of documents (``doc_id``, ``n``, ``set``) and rows of packed fingerprints (``shard``, ``keys``, ``ids``)."""
 
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        prints, of = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(prints)
+        prints, of = prints[order], of[order]
+        cuts = np.searchsorted((prints >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1))
+        for shard in np.flatnonzero(np.diff(cuts)):
+            a, b = cuts[shard], cuts[shard + 1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([shard], pa.int32()), pa.array([pack(prints[a:b])]), pa.array([pack_counts(of[a:b])])],
+                ["doc_id", "n", "set", "shard", "keys", "ids"],
+            )
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            ids, held = batch.column(0), []
+            ids = batch.column(0)
             for part in text_slices(batch.column(1)):
                 keys, offsets = shingle_sets(part, shingle)
                 sizes = np.diff(offsets)
@@ -139,18 +155,12 @@ def _describe(documents: DataFrame, shards: int, shingle: int, percent: int) ->
                 numbers = own.fill_null(-1).to_numpy(zero_copy_only=False)
                 known = np.array(own.is_valid())[of] if len(of) else np.zeros(0, bool)
                 held.append((prints[known], numbers[of][known]))
-            if not held:
-                continue
-            prints, of = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(prints)
-            prints, of = prints[order], of[order]
-            cuts = np.searchsorted((prints >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1))
-            for shard in np.flatnonzero(np.diff(cuts)):
-                a, b = cuts[shard], cuts[shard + 1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([shard], pa.int32()), pa.array([pack(prints[a:b])]), pa.array([pack_counts(of[a:b])])],
-                    ["doc_id", "n", "set", "shard", "keys", "ids"],
-                )
+            rows += batch.num_rows
+            if held and rows >= PACKED_ROWS:
+                yield from packed(held)
+                held, rows = [], 0
+        if held:
+            yield from packed(held)
 
     return documents.mapInArrow(tidy(describe), "doc_id long, n long, set binary, shard int, keys binary, ids binary")
 
@@ -250,10 +260,11 @@ def _total(counts: Column) -> Column:
     return F.aggregate(counts, F.lit(0).cast("long"), lambda n, x: n + x)
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (``u``, ``v``) with sizes and partial overlaps per fragment (``parts_*``, ``parts``) and their sums (``n_*``, ``shared``)."""
-    side = lambda name: sets.select(F.col("doc_id").alias(name), F.col("parts").alias(f"keys_{name}"))
-    both = pairs.join(side("u"), "u").join(side("v"), "v")
+def _overlaps(pairs: DataFrame, sets: DataFrame, members: DataFrame | None = None) -> DataFrame:
+    """The pairs (``u``, ``v``) with sizes and partial overlaps per fragment (``parts_*``, ``parts``) and their sums (``n_*``, ``shared``);
+    ``members`` are the sets of all ``v``, if those are fewer."""
+    side = lambda of, name: of.select(F.col("doc_id").alias(name), F.col("parts").alias(f"keys_{name}"))
+    both = pairs.join(side(sets, "u"), "u").join(side(sets if members is None else members, "v"), "v")
     # once, in columns of their own: within the functions of a sketch each lane would compare the sets anew
     both = both.withColumns({name: F.expr(f"array_except(flatten(keys_{a}), flatten(keys_{b}))") for name, a, b in (("gone", "u", "v"), ("new", "v", "u"))})
     sizes = lambda keys: F.transform(keys, lambda part: F.size(part).cast("long"))
@@ -273,13 +284,14 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _in_rounds(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``_overlaps`` of stored pairs, stored. A pair moves a whole set, and a set may be in many pairs, so pairs are taken in as many
     rounds as they outweigh the sets, and ``ROUND_KEYS``: no round moves much more than the larger of both, and its shuffle files
-    go with it."""
+    go with it. All pairs of one ``v`` are in one round, so that its set moves for itself in that round only: a ``v`` has no more
+    hubs than fragments, while a hub may have very many pairs."""
     sized = sets.select("doc_id", _total(F.transform("parts", lambda part: F.size(part).cast("long"))).alias("n"))
     whole = sized.agg(F.sum("n")).first()[0] or 1
     moved = pairs.join(sized, F.col("u") == F.col("doc_id")).agg(F.sum("n")).first()[0] or 0
     rounds = -(-moved // max(whole, ROUND_KEYS)) or 1
-    mine = F.pmod(F.xxhash64("u", "v"), F.lit(rounds))
-    parts = [materialize(_overlaps(pairs.filter(mine == i), sets), "overlaps").df for i in range(rounds)]
+    mine = lambda name, i: F.pmod(F.xxhash64(name), F.lit(rounds)) == i
+    parts = [materialize(_overlaps(pairs.filter(mine("v", i)), sets, sets.filter(mine("doc_id", i))), "overlaps").df for i in range(rounds)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -348,7 +360,7 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
 
 def _link(texts: DataFrame, shards: int, shingle: int, percent: int) -> DataFrame:
     spark = texts.sparkSession
-    with rows_per_batch(spark, 4000):
+    with rows_per_batch(spark, TEXTS_AT_ONCE):
         stored = materialize(_describe(texts, shards, shingle, percent), "shingles")
     described = stored.df
     own = materialize(described.filter("shard is null").select("doc_id", "n", "set"), "documents").df
@@ -361,15 +373,18 @@ def _link(texts: DataFrame, shards: int, shingle: int, percent: int) -> DataFram
         dealt = blocks.repartition(shards, "shard").sortWithinPartitions("shard")
         firsts = members.select("doc_id", "first").distinct()
         shared = dealt.mapInArrow(tidy(_shared), "print long, doc_id long").join(firsts, "doc_id")
-        entries = materialize(shared.select("print", F.col("first").alias("doc_id")).distinct(), "prints").df
+        prints = materialize(shared.select("print", F.col("first").alias("doc_id")).distinct(), "prints")
+    entries = prints.df
     delete_folder(spark, stored.path)  # the fingerprints, which are as large as the texts, have been read
     groups = entries.groupBy("print").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).filter("u <> last")
     pairs = entries.join(groups, "print").filter("u <> doc_id").select("u", F.col("doc_id").alias("v")).distinct()
     pairs = materialize(pairs, "stars").df
+    delete_folder(spark, prints.path)
     wanted = pairs.select(F.col("v").alias("doc_id")).union(pairs.select(F.col("u").alias("doc_id"))).distinct()
     # the ids grow with the input: one plan at every size
     needed = texts.join(wanted.hint("merge"), "doc_id", "left_semi")
-    sets = materialize(_sets(needed.dropDuplicates(["doc_id"]), shingle), "sets").df
+    with rows_per_batch(spark, TEXTS_AT_ONCE):
+        sets = materialize(_sets(needed.dropDuplicates(["doc_id"]), shingle), "sets").df
     stars = _in_rounds(pairs, sets)
     links = stars.filter(_enough(percent)).select("u", "v")
     labels = materialize(components(links), "labels").df
