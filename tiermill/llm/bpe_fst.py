@@ -7,6 +7,9 @@ vocabulary trie that the bytes since then lead to, and the token before that pla
 are made when a text first needs them. Tokens are emitted when all items agree on them; an ordinary piece is shorter
 than the lookahead of a long one, so it is emitted at its end.
 
+Many short pieces are read side by side, their items as arrays that advance together (``bpe_arrays``): with words that are
+seldom met again, states would be made about as often as they are used. A longer piece is read alone, by states.
+
 Decoding. Token bytes are fed to a state machine that keeps the bytes of an unfinished UTF-8 character until the next
 feed; so ids may be decoded in blocks of any size.
 
@@ -21,6 +24,7 @@ import gc
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
+from tiermill.llm.bpe_arrays import SideBySide, Verdicts
 from tiermill.llm.segments import CACHE_ENTRIES, PieceCache
 from tiermill.llm.workers import keep, ship, trim
 
@@ -42,6 +47,7 @@ _NEVER = 1 << 60
 _SHIFT = 24
 _LOW = (1 << _SHIFT) - 1
 _LONG_PIECE = 1 << 14
+_SHORT_PIECE = 64
 
 
 def _load_tokens(path: str) -> list[bytes]:
@@ -78,7 +84,7 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[part] for part in parts]
 
-    def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
+    def spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """Tokens at one end of a token while it is merged, each with the rank of the merge that ends it."""
         found = self._spines.get((token, side))
         if found is None:
@@ -86,7 +92,7 @@ class Vocabulary:
             if len(inner) < 2:
                 found = [(token, _NEVER)]
             else:
-                below = self._spine(inner[-1 if side else 0], side)
+                below = self.spine(inner[-1 if side else 0], side)
                 found = [*below[:-1], (below[-1][0], token), (token, _NEVER)]
             self._spines[token, side] = found
         return found
@@ -95,7 +101,7 @@ class Vocabulary:
         """Whether the two tokens stay apart when their joined bytes are merged."""
         if len(self.known_pairs) > MOST_PAIRS:
             self.known_pairs.clear()
-        found = self._stay_apart(self._spine(left, 1), self._spine(right, 0))
+        found = self._stay_apart(self.spine(left, 1), self.spine(right, 0))
         self.known_pairs[left << _SHIFT | right] = found
         return found
 
@@ -137,6 +143,7 @@ class Transducer:
             self._token[node] = rank
         self._inner = [node in inner for node in range(len(self._token))]
         self._sizes = [0, *map(len, vocabulary.tokens)]
+        self._many: SideBySide | None = None
         self._reset()
 
     def _reset(self) -> None:
@@ -241,6 +248,23 @@ class Transducer:
         return out
 
 
+    def encode_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Tokens of each of these pieces, as 32-bit numbers."""
+        ranks = self.vocabulary.ranks
+        if self._many is None:
+            self._many = SideBySide(self._child, self._token, self._sizes, Verdicts(self.vocabulary.tokens, ranks, self.vocabulary.spine))
+        alone = [i for i, piece in enumerate(pieces) if len(piece) > _SHORT_PIECE or piece in ranks]
+        if not alone:
+            return self._many.encode(pieces)
+        short = pieces.copy()
+        for i in alone:
+            short[i] = short[i][:1]
+        out = self._many.encode(short)
+        for i in alone:
+            out[i] = array("i", self.encode(pieces[i])).tobytes()
+        return out
+
+
 class StreamDecoder:
     """Decodes ids fed in blocks; an unfinished character waits for the next block."""
 
@@ -276,22 +300,21 @@ class StreamDecoder:
 def _encoder(path: str, pieces: int = CACHE_ENTRIES, states: int = MOST_STATES) -> PieceCache:
     trim()
     transducer, split = Transducer(Vocabulary.load(path), states), regex.compile(PATTERN).findall
+    letters = regex.compile(r" ?\p{L}+").fullmatch
     gc.set_threshold(1_000_000, 50, 1000)  # the tables hold many objects and no cycles
 
-    def encode(pieces: list[str], cache: PieceCache) -> Iterator[bytes]:
-        for piece in pieces:
-            matches = split(piece)
-            if len(matches) == 1:
-                yield array("i", transducer.encode(piece.encode())).tobytes()
-                continue
-            out = []
-            for match in matches:
-                ids = cache.get(match)
-                if ids is None:
-                    ids = array("i", transducer.encode(match.encode())).tobytes()
-                    cache.put(match, ids)
-                out.append(ids)
-            yield b"".join(out)
+    def encode(pieces: list[str], cache: PieceCache) -> list[bytes]:
+        # of letters alone, behind a space at most, most pieces are one match
+        plain = [p.isalpha() or p[0] == " " and p[1:].isalpha() if p.isascii() else letters(p) is not None for p in pieces]
+        whole, cut = list(compress(pieces, plain)), [split(p) for p, is_plain in zip(pieces, plain, strict=True) if not is_plain]
+        new = list(dict.fromkeys(match for matches in cut for match in matches if cache.get(match) is None))
+        found = transducer.encode_many([piece.encode() for piece in whole + new])
+        known = dict(zip(new, found[len(whole) :], strict=True))
+        for match, ids in known.items():
+            cache.put(match, ids)
+        whole_ids = iter(found)
+        cut_ids = (b"".join([known.get(match) or cache.get(match) for match in matches]) for matches in cut)
+        return [next(whole_ids if is_plain else cut_ids) for is_plain in plain]
 
     keep(_encoder.cache_clear)
     return PieceCache(encode, pieces)
