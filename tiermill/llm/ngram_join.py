@@ -9,6 +9,10 @@ into the class of its largest possible partner). Then some fragment holds the sa
 fragment, apart from all others, documents are matched by a fingerprint of their shingles in it. A document
 that fills no more fragments than it may differ in is matched by each single shingle instead, as is then its partner.
 
+Leaving alone. A small fragment is often the same by chance, in a line or phrase that many documents have. Shingles that no other
+matched document has are missing in whatever a document is compared with; one with more of them than a link may differ in is
+linked with nothing. Such documents, most of the matched ones, are counted out before any sets are compared.
+
 Counting. For each pair found, the overlap is counted in each of ``PARTS`` fragments of the order separately, and the
 counts are summed per pair and compared with the sizes, without any estimate.
 
@@ -216,35 +220,85 @@ def _part(keys: np.ndarray) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(PARTS) >> np.uint64(32)).astype(np.int64)
 
 
-def _private(sets: DataFrame, shards: int) -> DataFrame:
-    """How many shingles of each document no other document of ``sets`` has, per fragment: ``doc_id``, ``private``."""
+def _private(texts: DataFrame, shards: int, partitions: int, shingle: int) -> DataFrame:
+    """How many shingles of each document no other one of ``texts`` has, per fragment: ``doc_id``, ``private``, if it has any.
+
+    Shingles are dealt by their order; what is found there goes on by document, in packed blocks, as a document may have a few in
+    each of very many shards."""
+
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys, ids = keys[order], ids[order]
+        cuts = np.searchsorted((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1))
+        for shard in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[shard], cuts[shard + 1])
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([pack(keys[own])]), pa.array([pack_counts(ids[own])])], ["shard", "keys", "ids"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            inner = batch.column(1).flatten()
-            keys = inner.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            sizes = np.diff(np.asarray(inner.offsets)).reshape(-1, PARTS).sum(1)
-            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
-            order = np.argsort(keys, kind="stable")
-            keys, ids = keys[order], ids[order]
-            cuts = np.searchsorted((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1))
-            for shard in np.flatnonzero(np.diff(cuts)):
-                own = slice(cuts[shard], cuts[shard + 1])
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([pack(keys[own])]), pa.array([pack_counts(ids[own])])], ["shard", "keys", "ids"])
+            numbers = batch.column(0).to_numpy(zero_copy_only=False)
+            for piece in text_slices(batch.column(1)):
+                keys, offsets = shingle_sets(piece, shingle)
+                held.append((keys, np.repeat(numbers[piece.first : piece.first + len(piece)], np.diff(offsets))))
+            rows += batch.num_rows
+            if rows >= PACKED_ROWS:
+                yield from packed(held)
+                held, rows = [], 0
+        if held:
+            yield from packed(held)
 
     def alone(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for keys, ids in _by_shard(blocks):
             same = keys[1:] == keys[:-1]
             single = np.ones(len(keys), bool)
             single[1:] &= ~same
             single[:-1] &= ~same
-            cells, counts = np.unique(np.column_stack([ids[single], _part(keys[single])]), axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cells[:, 0]), pa.array(cells[:, 1]), pa.array(counts)], ["doc_id", "part", "n"])
+            own, part = ids[single], _part(keys[single])
+            for i in np.unique(part).tolist():
+                found, counts = np.unique(own[part == i], return_counts=True)
+                held.append((found.view(np.uint64), np.full(len(found), i, np.int64), counts))
+        if not held:
+            return
+        own, part, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        bucket = ((mix(own) >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
+        order = np.lexsort((own, bucket))
+        own, part, counts = own[order], part[order], counts[order]
+        cuts = np.searchsorted(bucket[order], np.arange(partitions + 1))
+        for i in np.flatnonzero(np.diff(cuts)):
+            at = slice(cuts[i], cuts[i + 1])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([x]) for x in (pack(own[at]), pack_counts(part[at]), pack_counts(counts[at])))], ["bucket", "ids", "part", "n"])
+
+    def summed(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def whole(held: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+            own = np.concatenate([unpack(x) for x, _, _ in held])
+            part, counts = (np.concatenate([unpack_counts(x[i]) for x in held]).view(np.int64) for i in (1, 2))
+            found, which = np.unique(own, return_inverse=True)
+            table = np.bincount(which * PARTS + part, counts, len(found) * PARTS).astype(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * PARTS), pa.array(table))
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), lists], ["doc_id", "private"])
+
+        bucket, held = None, []
+        for batch in blocks:
+            for now, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if now != bucket and held:
+                    yield whole(held)
+                    held = []
+                bucket = now
+                held.append(row)
+        if held:
+            yield whole(held)
+
+    dealt = texts.select("doc_id", "text").mapInArrow(tidy(deal), "shard int, keys binary, ids binary")
+    found = dealt.repartition(partitions, "shard").sortWithinPartitions("shard").mapInArrow(tidy(alone), "bucket int, ids binary, part binary, n binary")
+    return found.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(summed), "doc_id long, private array<long>")
+
 
-    dealt = sets.select("doc_id", "parts").mapInArrow(tidy(deal), "shard int, keys binary, ids binary")
-    counted = dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(tidy(alone), "doc_id long, part long, n long")
-    of_part = [F.sum(F.when(F.col("part") == i, F.col("n")).otherwise(0)) for i in range(PARTS)]
-    return counted.groupBy("doc_id").agg(F.array(*of_part).alias("private"))
+def _lonely(private: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Documents with more private shingles than a link of a set of their size (``n``) may differ in."""
+    return private.join(sizes, "doc_id").filter(percent * _total(F.col("private")) > (100 - percent) * F.col("n")).select("doc_id")
 
 
 def _sketch(keys: str, name: str) -> list[Column]:
@@ -350,16 +404,16 @@ def link(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shing
     spark = documents.sparkSession
     ship(spark)
     texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    shards = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     result = scratch_path(spark, "linked")
     with scratch_scope(spark), shuffles_deleted(spark):
-        linked = _link(texts, shards, shingle, percent)
+        linked = _link(texts, partitions, shingle, percent)
         linked.write.parquet(result)
     return spark.read.schema(linked.schema).parquet(result)
 
 
-def _link(texts: DataFrame, shards: int, shingle: int, percent: int) -> DataFrame:
-    spark = texts.sparkSession
+def _link(texts: DataFrame, partitions: int, shingle: int, percent: int) -> DataFrame:
+    spark, shards = texts.sparkSession, SHARDS_PER_PARTITION * partitions
     with rows_per_batch(spark, TEXTS_AT_ONCE):
         stored = materialize(_describe(texts, shards, shingle, percent), "shingles")
     described = stored.df
@@ -374,22 +428,27 @@ def _link(texts: DataFrame, shards: int, shingle: int, percent: int) -> DataFram
         firsts = members.select("doc_id", "first").distinct()
         shared = dealt.mapInArrow(tidy(_shared), "print long, doc_id long").join(firsts, "doc_id")
         prints = materialize(shared.select("print", F.col("first").alias("doc_id")).distinct(), "prints")
-    entries = prints.df
     delete_folder(spark, stored.path)  # the fingerprints, which are as large as the texts, have been read
+    several = prints.df.groupBy("print").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).filter("u <> last")
+    entries = materialize(prints.df.join(several, "print", "left_semi"), "entries").df
+    delete_folder(spark, prints.path)
+    # the ids grow with the input: one plan at every size
+    matched = texts.join(entries.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
+    needed = materialize(matched.dropDuplicates(["doc_id"]), "needed", "zstd").df
+    with rows_per_batch(spark, 200):
+        private = materialize(_private(needed, shards, partitions, shingle), "private").df
+    lonely = _lonely(private, members.groupBy("doc_id").agg(F.max("n").alias("n")), percent)
+    entries = materialize(entries.join(lonely.hint("merge"), "doc_id", "left_anti"), "social").df
     groups = entries.groupBy("print").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("last")).filter("u <> last")
     pairs = entries.join(groups, "print").filter("u <> doc_id").select("u", F.col("doc_id").alias("v")).distinct()
     pairs = materialize(pairs, "stars").df
-    delete_folder(spark, prints.path)
     wanted = pairs.select(F.col("v").alias("doc_id")).union(pairs.select(F.col("u").alias("doc_id"))).distinct()
-    # the ids grow with the input: one plan at every size
-    needed = texts.join(wanted.hint("merge"), "doc_id", "left_semi")
+    needed = needed.join(wanted.hint("merge"), "doc_id", "left_semi")
     with rows_per_batch(spark, TEXTS_AT_ONCE):
-        sets = materialize(_sets(needed.dropDuplicates(["doc_id"]), shingle), "sets").df
+        sets = materialize(_sets(needed, shingle), "sets").df
     stars = _in_rounds(pairs, sets)
     links = stars.filter(_enough(percent)).select("u", "v")
     labels = materialize(components(links), "labels").df
-    with rows_per_batch(spark, 2000):
-        private = materialize(_private(sets, shards), "private").df
     across = materialize(_across(stars, labels, private, percent), "across").df
     more = _in_rounds(across, sets).filter(_enough(percent)).select("u", "v")
     if not more.isEmpty():
