@@ -49,7 +49,7 @@ def test_texts_that_share_a_line_are_not_compared(spark, monkeypatch):
 def test_private_shingles_are_counted_by_fragment(spark, shards):
     """Whatever the number of shards, and over several batches and negative numbers."""
     rnd = random.Random(3)
-    rows = [(i * 1_000_003 - 40_000_000, " ".join(rnd.choices("abcdefg", k=rnd.randint(0, 90)))) for i in range(90)] + [(7, None)]
+    rows = [(i * 1_000_003 - 40_000_000, " ".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(0, 90)))) for i in range(90)] + [(7, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     sets = {r.doc_id: r.parts for r in ngram_join._sets(df, 3).collect()}
     seen = Counter(key for parts in sets.values() for part in parts for key in part)
